@@ -375,3 +375,74 @@ def q_final_scores(spark, sf):
                        f"LIMIT {C.TOP_N}"))
 def q_top_wallets(spark, sf):
     return SC.top_wallets(_final(spark, sf), C.TOP_N)
+
+
+# ---------------------------------------------------------------- A11-A13, H14, U4, D14
+from ledgerlens.operators import analysis as AN  # noqa: E402
+
+
+@register("score_distribution", O.with_ctes(
+    O.pipeline_ctes(), "SELECT final_score, count(*) AS wallets FROM fin GROUP BY final_score"))
+def q_score_distribution(spark, sf):
+    return AN.score_distribution(_final(spark, sf))
+
+
+@register("score_overall", O.with_ctes(
+    O.pipeline_ctes(), "SELECT count(*) AS wallets, min(final_score) AS min_score, max(final_score) AS max_score, "
+                       "round(avg(final_score), 6) AS mean_score, round(CAST(median(final_score) AS DOUBLE), 6) "
+                       "AS median_score FROM fin"))
+def q_score_overall(spark, sf):
+    return out(AN.score_overall(_final(spark, sf)))
+
+
+def _corr_sql(a, b):
+    return (f"covar_pop(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) / "
+            f"NULLIF(stddev_pop(CAST({a} AS DOUBLE)) * stddev_pop(CAST({b} AS DOUBLE)), 0)")
+
+
+@register("score_feature_corr", O.with_ctes(
+    O.pipeline_ctes(), "SELECT feature, round(correlation, 6) AS correlation FROM (" + " UNION ALL ".join(
+        f"SELECT '{n}' AS feature, {_corr_sql('final_score', n)} AS correlation FROM fin"
+        for n in AN.CORR_FEATURES) + ")"))
+def q_score_feature_corr(spark, sf):
+    fin = _final(spark, sf)
+    return out(AN.score_feature_corr(fin, fin))
+
+
+_TB_COLS = ["wallet", "wallet_prefix", "group", "final_score", "raw_score"] + AN.KEY_FEATURES
+
+
+@register("top_bottom_wallets", O.with_ctes(
+    O.pipeline_ctes(),
+    "SELECT wallet, substr(wallet, 1, 10) AS wallet_prefix, \"group\", final_score, round(raw_score, 6) AS raw_score, "
+    "tx_count, round(wallet_age_days, 6) AS wallet_age_days, market_count, liquidation_count_borrower FROM ("
+    "(SELECT *, 'top' AS \"group\" FROM fin ORDER BY final_score DESC, wallet ASC LIMIT 5) UNION ALL "
+    "(SELECT *, 'bottom' AS \"group\" FROM fin ORDER BY final_score ASC, wallet DESC LIMIT 5))"))
+def q_top_bottom_wallets(spark, sf):
+    fin = _final(spark, sf)
+    return out(AN.top_bottom_analysis(fin, fin, 5))
+
+
+@register("dedup_wallets", O.with_ctes(
+    O.pipeline_ctes(), "SELECT DISTINCT wallet, final_score FROM (SELECT wallet, final_score FROM fin UNION ALL "
+                       "(SELECT wallet, final_score FROM fin ORDER BY final_score DESC, wallet LIMIT 5))"))
+def q_dedup_wallets(spark, sf):
+    fin = _final(spark, sf).select("wallet", "final_score")
+    both = fin.unionByName(AN.top_and_bottom(fin, 5).where(F.col("group") == "top").drop("group"))
+    return AN.dedup_wallets(both)
+
+
+@register("score_bands", O.with_ctes(
+    O.pipeline_ctes(), f"SELECT wallet, final_score, CASE WHEN final_score >= {C.BAND_HIGH} THEN 'high' "
+                       f"WHEN final_score >= {C.BAND_MEDIUM} THEN 'medium' ELSE 'low' END AS band, "
+                       "CASE WHEN final_score >= 80 THEN 'A' WHEN final_score >= 60 THEN 'B' "
+                       "WHEN final_score >= 40 THEN 'C' WHEN final_score >= 20 THEN 'D' ELSE 'F' END AS grade FROM fin"))
+def q_score_bands(spark, sf):
+    return AN.score_bands(_final(spark, sf))
+
+
+@register("final_scores_orders", O.with_ctes(
+    O.pipeline_ctes("orders"), "SELECT wallet, round(raw_score, 6) AS raw_score, final_score FROM fin"))
+def q_final_scores_orders(spark, sf):
+    """Whole pipeline on the lineitem x orders source (many timestamp ties)."""
+    return out(_final(spark, sf, source="orders").select("wallet", "raw_score", "final_score"))
