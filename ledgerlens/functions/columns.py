@@ -32,8 +32,9 @@ def parse_timestamp(c) -> Column:
     as a row without timestamp).
     """
     s = _c(c).cast("string")
-    secs = s.try_cast("double")
-    return F.coalesce(F.timestamp_seconds(secs), F.try_to_timestamp(s))
+    exact = s.try_cast("decimal(38,9)")        # keeps every microsecond digit
+    approx = s.try_cast("double")              # exponent notation
+    return F.coalesce(F.timestamp_seconds(exact), F.timestamp_seconds(approx), F.try_to_timestamp(s))
 
 
 def normalize_event_type(c) -> Column:

@@ -446,3 +446,67 @@ def q_score_bands(spark, sf):
 def q_final_scores_orders(spark, sf):
     """Whole pipeline on the lineitem x orders source (many timestamp ties)."""
     return out(_final(spark, sf, source="orders").select("wallet", "raw_score", "final_score"))
+
+
+# ---------------------------------------------------------------- S1-S8, S10-S12 (files derived from the tables)
+from ledgerlens.sources import files as FI  # noqa: E402
+from ledgerlens.sources import sinks as SK  # noqa: E402
+from ledgerlens.session import ensure_checkpoint_dir  # noqa: E402
+
+
+def _scratch(spark, tag):
+    import uuid
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/raw/{tag}-{uuid.uuid4().hex}"
+
+
+def _list_files(spark, path, suffix):
+    return sorted(r["path"] for r in spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}")
+                  .option("recursiveFileLookup", "true").load(path).select("path").collect())
+
+
+_RT_COLS = ["event_type", "timestamp", "transaction_hash", "account", "token", "amount", "amountusd"]
+
+
+@register("nested_json_roundtrip", O.with_ctes(
+    f"tx AS ({O.tx_sql()}), clean AS ({O.clean_sql('tx')})",
+    f"SELECT {_fsel(['amount', 'amountusd'], _RT_COLS)} FROM clean"))
+def q_nested_json_roundtrip(spark, sf):
+    """Tables -> raw nested JSON files -> format inference, nested parse,
+    standardisation, multi-file union -> cleaning (S2, S5, S8, P1-P7, U1, U2)."""
+    path = _scratch(spark, "nested")
+    SK.write_nested_event_files(_tx(spark, sf), path, files=4)
+    tx, _rejected = FI.load_and_process(spark, _list_files(spark, path, ".json"))
+    return out(CL.clean_transactions(tx).select(*_RT_COLS))
+
+
+_CSV_COLS = ["event_type", "timestamp", "transaction_hash", "account", "token", "ctoken", "amount"]
+
+
+@register("csv_roundtrip", O.with_ctes(
+    f"""tx AS (SELECT * REPLACE (CASE WHEN CAST(transaction_hash AS BIGINT) % 3 = 0 THEN upper(event_type)
+        WHEN CAST(transaction_hash AS BIGINT) % 3 = 1 THEN ' ' || lower(event_type) || chr(9)
+        ELSE lower(event_type) || 'x' END AS event_type) FROM ({O.tx_sql()})), clean AS ({O.clean_sql('tx')})""",
+    f"SELECT {_fsel(['amount'], _CSV_COLS)} FROM clean"))
+def q_csv_roundtrip(spark, sf):
+    """Tables -> ';'-separated CSV with aliased headers and messy event names
+    -> separator sniffing, alias resolution, per-row timestamp parsing,
+    event normalisation (S3, P2, P6, P8, P9, F1, F2)."""
+    t = transactions(spark, sf, "events_sparse")
+    h = F.col("transaction_hash").cast("bigint")
+    ev = (F.when(h % 3 == 0, F.upper("event_type"))
+           .when(h % 3 == 1, F.concat(F.lit(" "), F.lower("event_type"), F.lit("\t")))
+           .otherwise(F.concat(F.lower("event_type"), F.lit("x"))))
+    raw = t.select(SK.epoch_seconds_text("timestamp").alias("block_timestamp"), F.col("account").alias("user"),
+                   ev.alias("event"), F.col("transaction_hash").alias("tx_hash"), F.col("token").alias("asset"),
+                   F.col("ctoken").alias("c_token"), F.col("amount").cast("string").alias("amount_decimal"))
+    path = _scratch(spark, "csv")
+    raw.write.option("header", True).option("sep", ";").csv(path)
+    tx, _rejected = FI.load_and_process(spark, _list_files(spark, path, ".csv"))
+    return out(CL.clean_transactions(tx).select(*_CSV_COLS))
+
+
+@register("largest_files")
+def q_largest_files(spark, sf):
+    """The 3 largest driver table files (S1): file metadata only."""
+    return FI.largest_files(spark, sf, 3, "*.parquet").select(
+        F.element_at(F.split("path", "/"), -1).alias("file"), "length")

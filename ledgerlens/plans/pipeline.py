@@ -20,7 +20,7 @@ from ledgerlens.schema import TEMPORAL_COLUMNS
 from ledgerlens.session import stage
 from ledgerlens.sources.adapters import transactions
 
-STAGE_MODE = "checkpoint"
+STAGE_MODE = "table"
 
 
 def cleaned(spark: SparkSession, sf_dir: str, source: str = "events_sparse") -> DataFrame:

@@ -69,20 +69,27 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return d
 
 
-def stage(df, how: str = "checkpoint"):
+def stage(df, how: str = "table"):
     """Materialise a stage table and cut its lineage.
 
-    ``checkpoint`` (default) writes the rows to the shared folder named by
-    ``spark.checkpoint.dir`` (survives executor loss); ``persist`` keeps them in
-    executor memory/disk (lost blocks are recomputed from lineage); ``none``
-    keeps the lazy plan.  Stage tables here are per-wallet, so they are small
-    next to the transaction log they summarise."""
+    ``table`` (default) writes the rows as parquet under the shared folder
+    named by ``spark.checkpoint.dir`` and reads them back: one job, survives
+    executor loss, and later stages get column pruning.  ``checkpoint`` uses
+    ``DataFrame.checkpoint`` (same folder); ``persist`` keeps the rows in
+    executor memory/disk; ``none`` keeps the lazy plan.  Stage tables here are
+    per-wallet, so they are small next to the transaction log they summarise."""
     if how == "none":
         return df
     if how == "persist":
         from pyspark import StorageLevel
         return df.persist(StorageLevel.MEMORY_AND_DISK)
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark)
     if how == "checkpoint":
-        ensure_checkpoint_dir(df.sparkSession)
         return df.checkpoint(eager=True)
+    if how == "table":
+        import uuid
+        path = f"{root.rstrip('/')}/stages/{uuid.uuid4().hex}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
     raise ValueError(how)
