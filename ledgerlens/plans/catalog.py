@@ -510,3 +510,62 @@ def q_largest_files(spark, sf):
     """The 3 largest driver table files (S1): file metadata only."""
     return FI.largest_files(spark, sf, 3, "*.parquet").select(
         F.element_at(F.split("path", "/"), -1).alias("file"), "length")
+
+
+# ---------------------------------------------------------------- M1-M5, J3 with a real anomaly table
+from ledgerlens.operators import anomaly as AM  # noqa: E402
+
+_ANOM_COLS = [c for c in O.FEATURE_COLS if c not in ("wallet", "first_tx_timestamp", "last_tx_timestamp")]
+
+
+def _z_sql(c):
+    return (f"CASE WHEN stddev_pop({c}) OVER () > 0 THEN ({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () "
+            f"ELSE {O.d(0)} END")
+
+
+@register("standardize_features", O.with_ctes(
+    O.features_ctes(), "SELECT wallet, " + ", ".join(f"round({_z_sql(c)}, 6) AS {c}" for c in _ANOM_COLS)
+    + " FROM feat"))
+def q_standardize_features(spark, sf):
+    f = _feats(spark, sf)
+    return out(AM.standardize(f, AM.anomaly_feature_columns(f)))
+
+
+_DIST_SQL = "-sqrt(" + " + ".join(f"pow(z_{c}, 2)" for c in _ANOM_COLS) + ")"
+
+
+@register("anomaly_rescale", O.with_ctes(
+    O.features_ctes() + ", z AS (SELECT wallet, " + ", ".join(f"{_z_sql(c)} AS z_{c}" for c in _ANOM_COLS)
+    + " FROM feat), s AS (SELECT wallet, " + _DIST_SQL + " AS score FROM z), "
+    "dd AS (SELECT wallet, score - (SELECT quantile_cont(score, 0.05) FROM s) AS decision FROM s)",
+    f"SELECT wallet, round({O.d(1)} - (decision - mn) / (mx - mn + 1e-10), 6) AS anomaly_score, decision < 0 "
+    "AS is_anomaly FROM dd CROSS JOIN (SELECT min(decision) AS mn, max(decision) AS mx FROM dd)"))
+def q_anomaly_rescale(spark, sf):
+    """M5 on a deterministic score (minus the norm of the standardised
+    features): contamination quantile offset, rescale, flag."""
+    f = _feats(spark, sf)
+    cols = AM.anomaly_feature_columns(f)
+    z = AM.standardize(f, cols)
+    s = z.select("wallet", (-F.sqrt(sum((F.pow(F.col(c), 2) for c in cols[1:]), F.pow(F.col(cols[0]), 2))))
+                 .alias("score"))
+    return out(AM.rescale_decision(AM.decision_from_scores(s)))
+
+
+def _anomaly_table(spark, sf):
+    f = _feats(spark, sf)
+    n = f.count()
+    return f, P.stage(AM.detect_anomalies(f, n), P.STAGE_MODE)
+
+
+@register("isolation_forest")
+def q_isolation_forest(spark, sf):
+    """M1 -> M2 -> M3 -> M5: isolation-forest anomaly score per wallet."""
+    return out(_anomaly_table(spark, sf)[1])
+
+
+@register("final_scores_with_anomaly")
+def q_final_scores_with_anomaly(spark, sf):
+    """Whole reference pipeline including the anomaly stage (J3 left join)."""
+    f, a = _anomaly_table(spark, sf)
+    s = P.scores(f, a)
+    return out(SC.final_score(s).select("wallet", "anomaly_score", "raw_score", "final_score"))
