@@ -74,3 +74,58 @@ def running_sums(df: DataFrame, key: str, order: list, values: dict,
     if not keep_chunk:
         drop.append("_chunk")
     return out.drop(*drop)
+
+
+def with_previous(df: DataFrame, key, ts: str = "timestamp", carry=(), tiebreak=(),
+                  chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+    """Add ``prev_ts`` and ``prev_<c>`` for ``c`` in ``carry``: the values of
+    the previous row of the same key in (ts, *tiebreak) order."""
+    keys = [key] if isinstance(key, str) else list(key)
+    order = [ts, *tiebreak]
+    t = df.withColumn("_chunk", chunk_of(ts, chunk_seconds))
+    w = Window.partitionBy(*keys, "_chunk").orderBy(*order)
+    t = t.withColumns({"_p_ts": F.lag(ts).over(w), "_rn": F.row_number().over(w),
+                       **{f"_p_{c}": F.lag(c).over(w) for c in carry}})
+    last = F.max_by(F.struct(*[F.col(c) for c in [ts, *carry]]), F.struct(*[F.col(c) for c in order]))
+    cs = t.groupBy(*keys, "_chunk").agg(last.alias("_last"))
+    wc = Window.partitionBy(*keys).orderBy("_chunk")
+    cs = cs.select(*keys, "_chunk", F.lag("_last").over(wc).alias("_pl"))
+    t = t.join(cs, [*keys, "_chunk"], "left")
+    first_in_chunk = F.col("_rn") == 1
+    adds = {"prev_ts": F.when(first_in_chunk, F.col(f"_pl.{ts}")).otherwise(F.col("_p_ts"))}
+    for c in carry:
+        adds[f"prev_{c}"] = F.when(first_in_chunk, F.col(f"_pl.{c}")).otherwise(F.col(f"_p_{c}"))
+    return t.withColumns(adds).drop("_p_ts", "_rn", *[f"_p_{c}" for c in carry], "_pl", "_chunk")
+
+
+def min_at_or_after(df: DataFrame, key, value: str, out: str, ts: str = "timestamp",
+                    chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+    """``out`` = min of ``value`` over rows of the same key with a timestamp at
+    or after the row's (ties included), e.g. the next repayment time."""
+    keys = [key] if isinstance(key, str) else list(key)
+    t = df.withColumn("_chunk", chunk_of(ts, chunk_seconds))
+    w = Window.partitionBy(*keys, "_chunk").orderBy(ts).rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    t = t.withColumn("_loc", F.min(value).over(w))
+    cs = t.groupBy(*keys, "_chunk").agg(F.min(value).alias("_cm"))
+    wc = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(1, Window.unboundedFollowing)
+    cs = cs.select(*keys, "_chunk", F.min("_cm").over(wc).alias("_after"))
+    return (t.join(cs, [*keys, "_chunk"], "left")
+             .withColumn(out, F.least("_loc", "_after")).drop("_loc", "_after", "_chunk"))
+
+
+def last_known(df: DataFrame, key, value: str, out: str, ts: str = "timestamp", tiebreak=(),
+               chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+    """As-of carry-forward: ``out`` = the last non-NULL ``value`` of the same key
+    at or before the row in (ts, *tiebreak) order (union + ``last`` ignore
+    nulls, chunked so a hot key spreads over tasks)."""
+    keys = [key] if isinstance(key, str) else list(key)
+    order = [ts, *tiebreak]
+    t = df.withColumn("_chunk", chunk_of(ts, chunk_seconds))
+    w = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    t = t.withColumn("_loc", F.last(value, ignorenulls=True).over(w))
+    known = F.when(F.col(value).isNotNull(), F.struct(*[F.col(c) for c in order]))
+    cs = t.groupBy(*keys, "_chunk").agg(F.max_by(F.col(value), known).alias("_cl"))
+    wc = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    cs = cs.select(*keys, "_chunk", F.last("_cl", ignorenulls=True).over(wc).alias("_before"))
+    return (t.join(cs, [*keys, "_chunk"], "left")
+             .withColumn(out, F.coalesce("_loc", "_before")).drop("_loc", "_before", "_chunk"))

@@ -29,20 +29,27 @@ def _buckets(df: DataFrame, buckets: int | None) -> int:
     return max(DEFAULT_BUCKETS, n)
 
 
-def value_positions(df: DataFrame, value: str, groups=(), buckets: int | None = None) -> DataFrame:
+def value_positions(df: DataFrame, value: str, groups=(), buckets: int | None = None,
+                    many_groups: bool = False) -> DataFrame:
     """(groups..., value, cnt, pos, n): distinct non-null values with their
     1-based minimum rank ``pos`` and the group's non-null row count ``n``.
 
-    The number of groups must be small (it multiplies the broadcast cut-point
-    table); the number of rows and of distinct values is unbounded."""
+    Few groups: cut points per group (groups x buckets, broadcast).  Many
+    groups (e.g. one per wallet): one global set of cut points (buckets
+    doubles, broadcast) and the per-(group, bucket) offsets are joined, not
+    broadcast.  Rows and distinct values are unbounded either way."""
     g = list(groups)
     b = _buckets(df, buckets)
     v = F.col(value)
     base = df.where(v.isNotNull())
     dv = base.groupBy(*g, value).agg(F.count(F.lit(1)).alias("_cnt"))
     probs = [i / b for i in range(1, b)]
-    cuts = base.groupBy(*g).agg(F.percentile_approx(v, probs, 10 * b).alias("_cuts"))
-    dvb = dv.join(F.broadcast(cuts), g, "inner") if g else dv.crossJoin(F.broadcast(cuts))
+    if many_groups:
+        cuts = dv.agg(F.percentile_approx(v, probs, 10 * b).alias("_cuts"))
+        dvb = dv.crossJoin(F.broadcast(cuts))      # one row of bounded size
+    else:
+        cuts = base.groupBy(*g).agg(F.percentile_approx(v, probs, 10 * b).alias("_cuts"))
+        dvb = dv.join(F.broadcast(cuts), g, "inner") if g else dv.crossJoin(F.broadcast(cuts))
     dvb = dvb.withColumn("_bucket", F.size(F.filter("_cuts", lambda c: c < v))).drop("_cuts")
     tot = dvb.groupBy(*g, "_bucket").agg(F.sum("_cnt").alias("_bc"))
     wo = Window.partitionBy(*g).orderBy("_bucket")
@@ -52,8 +59,9 @@ def value_positions(df: DataFrame, value: str, groups=(), buckets: int | None =
                      F.sum("_bc").over(Window.partitionBy(*g)).alias("n"))
     wb = Window.partitionBy(*g, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     dvb = dvb.withColumn("_pre", F.coalesce(F.sum("_cnt").over(wb), F.lit(0)))
-    # tot has at most groups x buckets rows: a bounded broadcast.
-    return (dvb.join(F.broadcast(tot), [*g, "_bucket"], "inner")
+    # Few groups: tot has at most groups x buckets rows, a bounded broadcast.
+    tot = tot if many_groups else F.broadcast(tot)
+    return (dvb.join(tot, [*g, "_bucket"], "inner")
                .select(*g, value, F.col("_cnt").alias("cnt"),
                        (F.col("_off") + F.col("_pre") + 1).alias("pos"), "n"))
 
@@ -71,10 +79,10 @@ def percentile_rank_min(df: DataFrame, value: str, out: str = "pct_rank",
 
 
 def exact_quantile_long(long_df: DataFrame, group: str, value: str, q: float = 0.5,
-                        buckets: int | None = None) -> DataFrame:
+                        buckets: int | None = None, many_groups: bool = False) -> DataFrame:
     """Exact interpolated quantile per group (``percentile`` / ``quantile_cont``
     semantics) from a long (group, value) table."""
-    p = value_positions(long_df, value, [group], buckets)
+    p = value_positions(long_df, value, [group], buckets, many_groups)
     h = (F.col("n") - 1) * F.lit(q)           # 0-based fractional position
     lo = F.floor(h) + 1
     hi = F.ceil(h) + 1

@@ -33,7 +33,7 @@ def register(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
         if sql is not None:
-            ORACLES[name] = sql
+            ORACLES[name] = O.count_filter(sql)
         return fn
     return deco
 
@@ -569,3 +569,280 @@ def q_final_scores_with_anomaly(spark, sf):
     f, a = _anomaly_table(spark, sf)
     s = P.scores(f, a)
     return out(SC.final_score(s).select("wallet", "anomaly_score", "raw_score", "final_score"))
+
+
+# ---------------------------------------------------------------- D1-D16
+import datetime as _dt  # noqa: E402
+
+from ledgerlens.operators import declared as DE  # noqa: E402
+
+_CLEAN = f"tx AS ({O.tx_sql()}), clean AS ({O.clean_sql('tx')})"
+_CLEAN_DENSE = f"tx AS ({O.tx_sql('events_dense')}), clean AS ({O.clean_sql('tx')})"
+
+
+def _ts_sql(dt):
+    return "TIMESTAMP '" + dt.strftime("%Y-%m-%d %H:%M:%S") + "'"
+
+
+def _window_sql():
+    parts = []
+    for name, days in C.TIME_WINDOWS.items():
+        inside = "TRUE" if days is None else f'"timestamp" >= {_ts_sql(C.DEFAULT_AS_OF - _dt.timedelta(days=days))}'
+        inside = f'({inside} AND "timestamp" <= {O.AS_OF_SQL})'
+        parts.append(f"CAST(count_if({inside}) AS BIGINT) AS tx_count_{name}")
+        for ev, short in (("Mint", "mint"), ("Borrow", "borrow"), ("RepayBorrow", "repay")):
+            parts.append(f"round(COALESCE(sum(CASE WHEN {inside} AND event_type = '{ev}' THEN amount END), {O.d(0)}), 6) "
+                         f"AS {short}_volume_{name}")
+        parts.append(f"CAST(count_if({inside} AND event_type = 'LiquidateBorrow') AS BIGINT) AS liquidation_count_{name}")
+    return ", ".join(parts)
+
+
+@register("windowed_features", O.with_ctes(_CLEAN, f"SELECT account AS wallet, {_window_sql()} FROM clean GROUP BY account"))
+def q_windowed_features(spark, sf):
+    return out(DE.windowed_features(_tx(spark, sf)))
+
+
+@register("weight_aliases", O.with_ctes(
+    O.features_ctes(), f"SELECT wallet, tx_count AS tx_count_total, round({O.days('first_tx_timestamp', O.AS_OF_SQL)}, 6) "
+                       "AS account_age_days, market_count AS market_diversity_count FROM feat"))
+def q_weight_aliases(spark, sf):
+    f = DE.weight_aliases(_feats(spark, sf))
+    return out(f.select("wallet", "tx_count_total", "account_age_days", "market_diversity_count"))
+
+
+_EVS = [("Mint", "mint"), ("Redeem", "redeem"), ("Borrow", "borrow"), ("RepayBorrow", "repay"),
+        ("LiquidateBorrow", "liquidation")]
+
+
+@register("activity_rates", O.with_ctes(
+    _CLEAN + f", g AS ({O.gaps_sql('clean')}), med AS (SELECT account AS wallet, median(gap) AS m FROM g GROUP BY account), "
+    "b AS (SELECT account AS wallet, count(*) AS n, greatest(" + O.d(1) + ", " + O.days('min("timestamp")', 'max("timestamp")')
+    + ") AS span, " + ", ".join(f"avg(CASE WHEN event_type = '{e}' THEN amount END) AS avg_{s}_amount" for e, s in _EVS)
+    + " FROM clean GROUP BY account)",
+    "SELECT b.wallet, " + ", ".join(f"round(avg_{s}_amount, 6) AS avg_{s}_amount" for _, s in _EVS)
+    + f", round(n / span, 6) AS tx_per_day, round(n / (span / {O.d(7)}), 6) AS tx_per_week, "
+      f"round(n / (span / {O.d(30)}), 6) AS tx_per_month, round(m, 6) AS median_interval_days "
+      "FROM b LEFT JOIN med USING (wallet)"))
+def q_activity_rates(spark, sf):
+    return out(DE.activity_rates(_tx(spark, sf)))
+
+
+@register("borrow_to_repay", O.with_ctes(
+    _CLEAN + ", t AS (SELECT account, token, \"timestamp\", event_type, min(CASE WHEN event_type = 'RepayBorrow' "
+    "THEN \"timestamp\" END) OVER (PARTITION BY account, token ORDER BY \"timestamp\" RANGE BETWEEN CURRENT ROW "
+    "AND UNBOUNDED FOLLOWING) AS nr FROM clean)",
+    f"SELECT account AS wallet, count(*) AS borrows, count(d) AS borrows_repaid, round(avg(d), 6) AS avg_days_to_repay, "
+    f"round(max(d), 6) AS max_days_to_repay FROM (SELECT account, {O.days('\"timestamp\"', 'nr')} AS d FROM t "
+    "WHERE event_type = 'Borrow') GROUP BY account"))
+def q_borrow_to_repay(spark, sf):
+    return out(DE.borrow_to_repay(_tx(spark, sf)))
+
+
+_SESS = (_CLEAN + """, t AS (SELECT account, "timestamp", transaction_hash,
+  lag("timestamp") OVER (PARTITION BY account ORDER BY "timestamp", transaction_hash) AS p FROM clean),
+t2 AS (SELECT *, (epoch_us("timestamp") - epoch_us(p)) / 1e6 AS gap,
+  CASE WHEN p IS NULL OR (epoch_us("timestamp") - epoch_us(p)) / 1e6 > 3600 THEN 1 ELSE 0 END AS nw FROM t),
+t3 AS (SELECT *, gap / 86400.0 AS gd, sum(nw) OVER (PARTITION BY account ORDER BY "timestamp", transaction_hash
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS session FROM t2),
+s AS (SELECT account, session, count(*) AS a, """ + O.days('min("timestamp")', 'max("timestamp")') + """ AS d
+  FROM t3 GROUP BY account, session),
+per AS (SELECT account AS wallet, count(*) AS sessions, avg(a) AS actions_per_session, avg(d) AS avg_session_days
+  FROM s GROUP BY account),
+g AS (SELECT account AS wallet, max(gd) AS longest_inactivity_days,
+  (stddev_pop(gd) - avg(gd)) / NULLIF(stddev_pop(gd) + avg(gd), 0) AS burstiness FROM t3 GROUP BY account),
+daily AS (SELECT wallet, stddev_pop(c) AS daily_count_stddev FROM (SELECT account AS wallet,
+  CAST("timestamp" AS DATE) AS day, count(*) AS c FROM clean GROUP BY ALL) GROUP BY wallet)""")
+
+
+@register("wallet_sessions", O.with_ctes(
+    _SESS, "SELECT wallet, sessions, round(actions_per_session, 6) AS actions_per_session, round(avg_session_days, 6) "
+           "AS avg_session_days, round(longest_inactivity_days, 6) AS longest_inactivity_days, round(burstiness, 6) "
+           "AS burstiness, round(daily_count_stddev, 6) AS daily_count_stddev FROM per JOIN g USING (wallet) "
+           "JOIN daily USING (wallet)"))
+def q_wallet_sessions(spark, sf):
+    return out(DE.wallet_sessions(_tx(spark, sf)))
+
+
+@register("asof_price", O.with_ctes(
+    _CLEAN, "SELECT transaction_hash, token, event_type, round(last_value(px IGNORE NULLS) OVER (PARTITION BY token "
+            "ORDER BY \"timestamp\", transaction_hash ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS price "
+            "FROM (SELECT *, CASE WHEN event_type = 'Mint' AND amount <> 0 THEN amountusd / amount END AS px FROM clean)"))
+def q_asof_price(spark, sf):
+    return out(DE.asof_price(_tx(spark, sf)))
+
+
+def _balances_sql():
+    usd = "COALESCE(amountusd, amount)"
+    sup = f"CASE WHEN event_type = 'Mint' THEN {usd} WHEN event_type = 'Redeem' THEN -{usd} ELSE {O.d(0)} END"
+    debt = (f"CASE WHEN event_type = 'Borrow' THEN {usd} WHEN event_type IN ('RepayBorrow', 'LiquidateBorrow') "
+            f"THEN -{usd} ELSE {O.d(0)} END")
+    w = 'OVER (PARTITION BY account ORDER BY "timestamp", transaction_hash ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)'
+    return (f"""bal AS (SELECT account, "timestamp", transaction_hash, event_type, {usd} AS usd,
+  round(sum({sup}) {w}, {DE.BALANCE_DIGITS}) AS supplied, round(sum({debt}) {w}, {DE.BALANCE_DIGITS}) AS borrowed,
+  lead("timestamp") OVER (PARTITION BY account ORDER BY "timestamp", transaction_hash) AS next_ts FROM clean)""")
+
+
+_LTV_SQL = (_CLEAN + ", " + _balances_sql() + f""", l AS (SELECT *, CASE WHEN supplied > 0 THEN borrowed / supplied END AS ltv,
+  greatest({O.d(0)}, {O.days('"timestamp"', f'COALESCE(next_ts, {O.AS_OF_SQL})')}) AS dt FROM bal),
+l2 AS (SELECT *, CASE WHEN ltv IS NOT NULL THEN dt END AS wl FROM l)""")
+
+
+@register("ltv_path", O.with_ctes(
+    _LTV_SQL, "SELECT account AS wallet, round(avg(ltv), 6) AS avg_ltv_alltime, round(min(ltv), 6) AS min_ltv_alltime, "
+              "round(max(ltv), 6) AS max_ltv_alltime, round(stddev_pop(ltv), 6) AS ltv_stddev, "
+              "round(sum(ltv * wl) / NULLIF(sum(wl), 0), 6) AS time_weighted_ltv, "
+              "round(sum(CASE WHEN ltv > 0.8 THEN dt END) / NULLIF(sum(wl), 0), 6) AS time_near_liquidation_pct, "
+              f"round(avg(CASE WHEN \"timestamp\" >= {_ts_sql(C.DEFAULT_AS_OF - _dt.timedelta(days=90))} THEN ltv END), 6) "
+              "AS avg_ltv_90d FROM l2 GROUP BY account"))
+def q_ltv_path(spark, sf):
+    return out(DE.ltv_path(_tx(spark, sf)))
+
+
+@register("liquidation_history", O.with_ctes(
+    _CLEAN_DENSE + """, liq AS (SELECT *, COALESCE(amountusd, amount) AS usd FROM clean WHERE event_type = 'LiquidateBorrow'),
+su AS (SELECT account AS wallet, count(*) AS sc, sum(usd) AS sv FROM liq GROUP BY account),
+pe AS (SELECT liquidator AS wallet, count(*) AS pc, sum(usd) AS pv FROM liq WHERE liquidator IS NOT NULL GROUP BY liquidator),
+j AS (SELECT COALESCE(su.wallet, pe.wallet) AS wallet, COALESCE(sc, 0) AS sc, COALESCE(sv, 0.0) AS sv,
+  COALESCE(pc, 0) AS pc, COALESCE(pv, 0.0) AS pv FROM su FULL OUTER JOIN pe ON su.wallet = pe.wallet)""",
+    f"SELECT wallet, sc AS suffered_count, round(sv, 6) AS suffered_value, pc AS performed_count, round(pv, 6) AS "
+    f"performed_value, round(sv / NULLIF(sc, 0), 6) AS avg_suffered_size, round(pc / greatest({O.d(1)}, CAST(sc AS DOUBLE)), 6) "
+    "AS performed_to_suffered FROM j"))
+def q_liquidation_history(spark, sf):
+    return out(DE.liquidation_history(_tx(spark, sf, "events_dense")))
+
+
+@register("interest_estimate", O.with_ctes(
+    _CLEAN + ", " + _balances_sql() + f""", y AS (SELECT *, greatest({O.d(0)}, {O.days('"timestamp"', f'COALESCE(next_ts, {O.AS_OF_SQL})')}) / 365.0 AS yrs FROM bal),
+g AS (SELECT account AS wallet, sum(greatest({O.d(0)}, borrowed) * 0.05 * yrs) AS ip, sum(greatest({O.d(0)}, supplied) * 0.02 * yrs) AS ie,
+  sum(greatest({O.d(0)}, supplied) * 0.01 * yrs) AS ce, sum(abs(usd)) AS vol FROM y GROUP BY account)""",
+    f"SELECT wallet, round(ip, 6) AS interest_paid_estimate, round(ie, 6) AS interest_earned_estimate, round(ce, 6) AS "
+    f"comp_earned_estimate, round(ce / greatest({O.d(1)}, vol), 6) AS comp_earned_estimate_ratio FROM g"))
+def q_interest_estimate(spark, sf):
+    return out(DE.interest_estimate(_tx(spark, sf)))
+
+
+@register("complex_actions", O.with_ctes(
+    _CLEAN, "SELECT wallet, count(*) AS active_windows, CAST(count_if(e >= 2 AND m >= 2) AS BIGINT) AS complex_windows, "
+            "round(count_if(e >= 2 AND m >= 2) / count(*), 6) AS complex_action_freq FROM (SELECT account AS wallet, "
+            "floor(epoch_us(\"timestamp\") / 600000000) AS b, count(DISTINCT event_type) AS e, count(DISTINCT token) AS m "
+            "FROM clean GROUP BY ALL) GROUP BY wallet"))
+def q_complex_actions(spark, sf):
+    return out(DE.complex_actions(_tx(spark, sf)))
+
+
+@register("behaviour_flags", O.with_ctes(
+    _CLEAN + """, a AS (SELECT *, lag(event_type) OVER (PARTITION BY account, token ORDER BY "timestamp", transaction_hash) AS pe,
+  (epoch_us("timestamp") - epoch_us(lag("timestamp") OVER (PARTITION BY account, token ORDER BY "timestamp", transaction_hash))) / 1e6 AS g
+  FROM clean),
+b AS (SELECT *, lag(event_type) OVER (PARTITION BY account ORDER BY "timestamp", transaction_hash) AS pe2,
+  (epoch_us("timestamp") - epoch_us(lag("timestamp") OVER (PARTITION BY account ORDER BY "timestamp", transaction_hash))) / 1e6 AS g2
+  FROM clean),
+m AS (SELECT account AS wallet, CAST(count_if(event_type = 'Redeem' AND pe = 'Mint' AND g <= 3600) AS BIGINT) AS rapid_cycles,
+  CAST(count_if(event_type = 'RepayBorrow' AND pe = 'Borrow' AND g <= 600) AS BIGINT) AS flash_like FROM a GROUP BY account),
+r AS (SELECT account AS wallet, CAST(count_if(pe2 = event_type AND g2 <= 60) AS BIGINT) AS repeats FROM b GROUP BY account)""",
+    "SELECT * FROM m JOIN r USING (wallet)"))
+def q_behaviour_flags(spark, sf):
+    return DE.behaviour_flags(_tx(spark, sf))
+
+
+@register("wallet_clusters")
+def q_wallet_clusters(spark, sf):
+    """KMeans (k=4) on the standardised anomaly features."""
+    f = _feats(spark, sf)
+    cols = AM.anomaly_feature_columns(f)
+    pred, _sil = DE.wallet_clusters(AM.standardize(f, cols), cols)
+    return pred
+
+
+_SENS_W = {f: w for f, w in _AVAIL.items()}
+
+
+def _sens_sql():
+    total = sum(abs(w) for w in _SENS_W.values())
+    rows = []
+    for f, w in _SENS_W.items():
+        if w == 0:
+            continue
+        for sgn, tag in ((1, "up"), (-1, "down")):
+            s = 1 + sgn * 0.1
+            c = f"COALESCE(c_{f}, {O.d(0)})"
+            expr = (f"(raw_score * {O.d(total)} - {c} + {c} * {O.d(s)}) / {O.d(total - abs(w) + abs(w) * s)}")
+            rows.append(f"SELECT '{f}' AS feature, '{tag}' AS direction, round({_corr_sql('raw_score', expr)}, 6) AS "
+                        f"correlation, round(avg(abs({expr} - raw_score)), 6) AS mean_abs_change FROM weighted")
+    return " UNION ALL ".join(rows)
+
+
+@register("weight_sensitivity", O.with_ctes(_SC_CTES, _sens_sql()))
+def q_weight_sensitivity(spark, sf):
+    s = SC.weighted_score(SC.prepare_scoring(_feats(spark, sf)))
+    return out(DE.weight_sensitivity(s, SC.available_weights(s)))
+
+
+def _cut_final(spark, sf, cutoff):
+    tx = _tx(spark, sf).where(F.col("timestamp") < F.lit(cutoff.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp"))
+    f = P.features(tx, as_of=cutoff)
+    return SC.final_score(P.scores(f))
+
+
+_CUTOFF = _dt.datetime(2024, 1, 16)
+
+
+@register("score_backtest")
+def q_score_backtest(spark, sf):
+    """Scores with the clock at a cut-off date (history before it only) against
+    the full-history scores, per wallet (D15)."""
+    before = _cut_final(spark, sf, _CUTOFF).select("wallet", F.col("final_score").alias("score_before"))
+    after = _final(spark, sf).select("wallet", F.col("final_score").alias("score_after"))
+    return before.join(after, "wallet", "full_outer").withColumn("change", F.col("score_after") - F.col("score_before"))
+
+
+@register("score_drift")
+def q_score_drift(spark, sf):
+    """Population stability index of the score distribution between the
+    cut-off clock and the full history (D15)."""
+    return out(DE.score_drift(_cut_final(spark, sf, _CUTOFF), _final(spark, sf)))
+
+
+def _timeline(final, tx, n=2):
+    sel_top = final.orderBy(F.col("final_score").desc(), F.col("wallet").asc()).limit(n).select("wallet", F.lit("top").alias("group"))
+    sel_bot = final.orderBy(F.col("final_score").asc(), F.col("wallet").desc()).limit(n).select("wallet", F.lit("bottom").alias("group"))
+    med = exact_medians(final, ["final_score"]).select(F.col("final_score").alias("_med"))
+    mid = (final.crossJoin(F.broadcast(med)).orderBy(F.abs(F.col("final_score") - F.col("_med")).asc(), F.col("wallet").asc())
+                .limit(n).select("wallet", F.lit("middle").alias("group")))
+    sel = sel_top.unionByName(sel_bot).unionByName(mid)          # 3n rows: bounded broadcast
+    t = tx.join(F.broadcast(sel), tx.account == sel.wallet, "inner").drop("wallet")
+    usd = F.coalesce(F.col("amountusd"), F.col("amount"))
+    sup = F.when(F.col("event_type") == "Mint", usd).when(F.col("event_type") == "Redeem", -usd).otherwise(F.lit(0.0))
+    debt = (F.when(F.col("event_type") == "Borrow", usd)
+             .when(F.col("event_type").isin("RepayBorrow", "LiquidateBorrow"), -usd).otherwise(F.lit(0.0)))
+    from ledgerlens.operators.ordered import running_sums
+    t = running_sums(t, "account", ["timestamp", "transaction_hash"],
+                     {"seq": F.lit(1), "running_supplied": sup, "running_borrowed": debt})
+    return t.select(F.col("account").alias("wallet"), "group", "seq", "timestamp", "transaction_hash", "event_type",
+                    F.round("running_supplied", DE.BALANCE_DIGITS).alias("running_supplied"),
+                    F.round("running_borrowed", DE.BALANCE_DIGITS).alias("running_borrowed"))
+
+
+def _timeline_sql():
+    usd = "COALESCE(amountusd, amount)"
+    sup = f"CASE WHEN event_type = 'Mint' THEN {usd} WHEN event_type = 'Redeem' THEN -{usd} ELSE {O.d(0)} END"
+    debt = (f"CASE WHEN event_type = 'Borrow' THEN {usd} WHEN event_type IN ('RepayBorrow', 'LiquidateBorrow') "
+            f"THEN -{usd} ELSE {O.d(0)} END")
+    w = 'OVER (PARTITION BY account ORDER BY "timestamp", transaction_hash ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)'
+    return O.with_ctes(
+        O.pipeline_ctes() + """, sel AS (
+  (SELECT wallet, 'top' AS "group" FROM fin ORDER BY final_score DESC, wallet ASC LIMIT 2) UNION ALL
+  (SELECT wallet, 'bottom' AS "group" FROM fin ORDER BY final_score ASC, wallet DESC LIMIT 2) UNION ALL
+  (SELECT wallet, 'middle' AS "group" FROM fin ORDER BY abs(final_score - (SELECT median(final_score) FROM fin)) ASC,
+   wallet ASC LIMIT 2))""",
+        f"""SELECT account AS wallet, "group", count(*) {w} AS seq, "timestamp", transaction_hash, event_type,
+  round(round(sum({sup}) {w}, {DE.BALANCE_DIGITS}), 6) AS running_supplied,
+  round(round(sum({debt}) {w}, {DE.BALANCE_DIGITS}), 6) AS running_borrowed
+FROM clean JOIN sel ON clean.account = sel.wallet""")
+
+
+@register("wallet_timeline", _timeline_sql())
+def q_wallet_timeline(spark, sf):
+    """Ordered event timeline with running counts and balances for the top,
+    bottom and middle-scored wallets (D16)."""
+    return out(_timeline(_final(spark, sf), _tx(spark, sf)))

@@ -269,3 +269,21 @@ def rule_applies(rule: str, cols, optimize: bool = True) -> bool:
     if not optimize and rule in ("consistency_bonus", "inactivity_penalty"):
         return False
     return need <= cols
+
+
+def count_filter(sql: str) -> str:
+    """Rewrite ``count_if(x)`` as ``(count(*) FILTER (WHERE x))``: DuckDB's
+    count_if yields NULL when every condition is NULL, a count yields 0."""
+    out, i = [], 0
+    while True:
+        j = sql.find("count_if(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        out.append(sql[i:j])
+        k, depth = j + len("count_if("), 1
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        out.append(f"(count(*) FILTER (WHERE {sql[j + len('count_if('):k - 1]}))")
+        i = k
