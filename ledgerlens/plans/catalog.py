@@ -846,3 +846,223 @@ def q_wallet_timeline(spark, sf):
     """Ordered event timeline with running counts and balances for the top,
     bottom and middle-scored wallets (D16)."""
     return out(_timeline(_final(spark, sf), _tx(spark, sf)))
+
+
+# ---------------------------------------------------------------- M6-M26
+from ledgerlens.operators import ensemble as EN  # noqa: E402
+from ledgerlens.operators import selection as SE  # noqa: E402
+from ledgerlens.operators import sequences as SQ  # noqa: E402
+from ledgerlens.operators import tuning as TU  # noqa: E402
+
+_TF_COLS = [c for c in O.FEATURE_COLS if c not in ("wallet", "first_tx_timestamp", "last_tx_timestamp")]
+_TF_CTES = (O.pipeline_ctes() + ", tf AS (SELECT f.wallet, " + ", ".join(f"COALESCE(CAST(f.{c} AS DOUBLE), {O.d(0)}) AS {c}"
+            for c in _TF_COLS) + ", a.raw_score AS label FROM feat f JOIN adjusted a USING (wallet))")
+
+
+def _train(spark, sf):
+    f = _feats(spark, sf)
+    s = P.scores(f)
+    return P.stage(SE.training_frame(f, s), P.STAGE_MODE)
+
+
+@register("training_frame", O.with_ctes(_TF_CTES, f"SELECT wallet, {O.r6(_TF_COLS + ['label'])} FROM tf"))
+def q_training_frame(spark, sf):
+    return out(_train(spark, sf))
+
+
+_CORR_CTE = ("cr AS (SELECT feature, correlation, abs(correlation) AS abs_correlation FROM ("
+             + " UNION ALL ".join(f"SELECT '{c}' AS feature, {_corr_sql(c, 'label')} AS correlation FROM tf" for c in _TF_COLS)
+             + ")), crr AS (SELECT *, row_number() OVER (ORDER BY abs_correlation DESC NULLS LAST, feature) AS rank, "
+             "COALESCE(abs_correlation >= 0.1, FALSE) AS selected FROM cr)")
+
+
+@register("feature_correlation", O.with_ctes(
+    _TF_CTES + ", " + _CORR_CTE, "SELECT feature, round(correlation, 6) AS correlation, round(abs_correlation, 6) "
+                                 "AS abs_correlation, rank, selected FROM crr"))
+def q_feature_correlation(spark, sf):
+    return out(SE.correlation_ranking(_train(spark, sf)))
+
+
+def _bin_sql(c, bins=10):
+    return (f"CAST(CASE WHEN hi_{c} > lo_{c} THEN least({bins - 1}, floor((({c} - lo_{c}) / (hi_{c} - lo_{c})) * {bins})) "
+            f"ELSE 0 END AS INTEGER)")
+
+
+_MI_CTE = ("mst AS (SELECT " + ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in _TF_COLS + ["label"])
+           + " FROM tf), lg AS (" + " UNION ALL ".join(
+               f"SELECT '{c}' AS feature, {_bin_sql(c)} AS xb, {_bin_sql('label')} AS yb FROM tf CROSS JOIN mst" for c in _TF_COLS)
+           + "), jt AS (SELECT feature, xb, yb, count(*) AS nxy FROM lg GROUP BY ALL), "
+           "jt2 AS (SELECT *, sum(nxy) OVER (PARTITION BY feature) AS n, sum(nxy) OVER (PARTITION BY feature, xb) AS nx, "
+           "sum(nxy) OVER (PARTITION BY feature, yb) AS ny FROM jt), "
+           "mi AS (SELECT feature, sum((nxy / n) * ln((nxy * n) / (nx * ny))) AS mutual_info FROM jt2 GROUP BY feature), "
+           "mir AS (SELECT *, row_number() OVER (ORDER BY mutual_info DESC, feature) AS rank FROM mi)")
+
+
+@register("feature_mutual_info", O.with_ctes(
+    _TF_CTES + ", " + _MI_CTE, "SELECT feature, round(mutual_info, 6) AS mutual_info, rank FROM mir"))
+def q_feature_mutual_info(spark, sf):
+    return out(SE.mutual_info_ranking(_train(spark, sf)))
+
+
+def _pairs_sql():
+    from itertools import combinations
+    pairs = list(combinations(_TF_COLS, 2))
+    return ("pw AS (" + " UNION ALL ".join(
+        f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, {_corr_sql(a, b)} AS correlation FROM tf" for a, b in pairs) + ")")
+
+
+@register("redundant_pairs", O.with_ctes(
+    _TF_CTES + ", " + _pairs_sql(), "SELECT feature_a, feature_b, round(correlation, 6) AS correlation FROM pw "
+                                    "WHERE abs(correlation) > 0.8 ORDER BY abs(correlation) DESC, feature_a, feature_b LIMIT 20"))
+def q_redundant_pairs(spark, sf):
+    return out(SE.redundant_pairs(_train(spark, sf)))
+
+
+@register("feature_votes", O.with_ctes(
+    _TF_CTES + ", " + _CORR_CTE + ", " + _MI_CTE,
+    "SELECT feature, count(*) AS votes, CAST(min(m * 1000 + pos) // 1000 AS INTEGER) AS first_method, "
+    "CAST(min(m * 1000 + pos) % 1000 AS INTEGER) AS first_pos FROM ("
+    "SELECT feature, 0 AS m, rank - 1 AS pos FROM crr WHERE rank <= 15 UNION ALL "
+    "SELECT feature, 1 AS m, rank - 1 AS pos FROM mir WHERE rank <= 15) GROUP BY feature "
+    "ORDER BY votes DESC, min(m * 1000 + pos) LIMIT 15"))
+def q_feature_votes(spark, sf):
+    """Combined vote over the correlation and mutual-information top-15 lists."""
+    t = _train(spark, sf)
+    c = SE.correlation_ranking(t).where(F.col("rank") <= 15).select(F.lit(0).alias("method"),
+                                                                   (F.col("rank") - 1).cast("int").alias("pos"), "feature")
+    m = SE.mutual_info_ranking(t).where(F.col("rank") <= 15).select(F.lit(1).alias("method"),
+                                                                    (F.col("rank") - 1).cast("int").alias("pos"), "feature")
+    return SE.votes_from_long(c.unionByName(m), 15)
+
+
+@register("rf_importance")
+def q_rf_importance(spark, sf):
+    """Random-forest importances (100 trees, depth 10, seed 42); sums to 1."""
+    return SE.rf_importance(_train(spark, sf))
+
+
+@register("rfe_selection")
+def q_rfe_selection(spark, sf):
+    """Recursive feature elimination down to 10 features (step 1)."""
+    keep = SE.recursive_elimination(_train(spark, sf), 10)
+    return spark.createDataFrame([(i + 1, f) for i, f in enumerate(keep)], "position int, feature string")
+
+
+@register("kfold_assignment", O.with_ctes(
+    O.features_ctes(), "SELECT wallet, CAST(CAST('0x' || substr(md5(wallet), 1, 8) AS BIGINT) % 5 AS INTEGER) AS fold FROM feat"))
+def q_kfold_assignment(spark, sf):
+    return TU.fold_column(_feats(spark, sf).select("wallet"), 5)
+
+
+_HO = ("ho AS (SELECT *, CASE WHEN CAST('0x' || substr(md5(wallet), 1, 8) AS BIGINT) % 100 < 20 THEN 'test' ELSE 'train' "
+       "END AS split FROM tf), hs AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _TF_COLS)
+       + " FROM ho WHERE split = 'train')")
+
+
+@register("holdout_split", O.with_ctes(
+    _TF_CTES + ", " + _HO, "SELECT wallet, split, " + ", ".join(
+        f"round(CASE WHEN s_{c} > 0 THEN ({c} - m_{c}) / s_{c} ELSE {O.d(0)} END, 6) AS {c}" for c in _TF_COLS)
+    + ", round(label, 6) AS label FROM ho CROSS JOIN hs"))
+def q_holdout_split(spark, sf):
+    t = _train(spark, sf)
+    return out(EN.holdout_split(t, SE.feature_columns(t)))
+
+
+@register("tune_models")
+def q_tune_models(spark, sf):
+    """Grid search of the linear zoo (ridge, lasso, elastic net) with the
+    reference grids and 5 deterministic folds: one row per candidate."""
+    t = _train(spark, sf)
+    return TU.tune(t, SE.feature_columns(t), ("ridge", "lasso", "elastic_net"), ("grid",))
+
+
+@register("best_method")
+def q_best_method(spark, sf):
+    """Best method and parameters per model from grid and random search (T4)."""
+    t = _train(spark, sf)
+    res = TU.tune(t, SE.feature_columns(t), ("ridge", "lasso"), ("grid", "random"), n_iter=10)
+    return TU.best_per_model(res)
+
+
+@register("ensemble_predictions")
+def q_ensemble_predictions(spark, sf):
+    """Fitted ridge / lasso / random forest, hybrid table with row statistics
+    and the voting ensemble (M19, M21, M22)."""
+    t = _train(spark, sf)
+    cols = SE.feature_columns(t)
+    models = EN.fit_models(t, cols, EN.DEFAULT_BEST)
+    pred = EN.voting(EN.predict_all(models, t), list(models))
+    pc = [f"score_{m}" for m in models]
+    return out(EN.row_stats(pred, pc, "pred_").select("wallet", "label", *pc, "ensemble_voting", "pred_mean",
+                                                      "pred_median", "pred_min", "pred_max"))
+
+
+@register("stacking_ensemble")
+def q_stacking_ensemble(spark, sf):
+    """Stacking: out-of-fold base predictions (each wallet exactly once) and the
+    ridge meta-model's prediction on them (M20)."""
+    t = _train(spark, sf)
+    best = {"ridge": {"alpha": 1.0}, "lasso": {"alpha": 0.01}}
+    meta, _bases, oof = EN.stacking(t, SE.feature_columns(t), best)
+    from pyspark.ml.feature import VectorAssembler
+    pc = [f"score_{m}" for m in best]
+    return out(meta.transform(VectorAssembler(inputCols=pc, outputCol="scaled").transform(oof))
+               .select("wallet", "fold", *pc, F.col("prediction").alias("stacked")))
+
+
+_MULTI = (O.pipeline_ctes() + f", mm AS ({O.minmax_sql('adjusted')}), sg AS ({O.sigmoid_sql('adjusted')}), "
+          "ms AS (SELECT fin.wallet, fin.final_score AS score_percentile, mm.final_score AS score_minmax, "
+          "sg.final_score AS score_sigmoid FROM fin JOIN mm USING (wallet) JOIN sg USING (wallet))")
+_MCOLS = ["score_percentile", "score_minmax", "score_sigmoid"]
+
+
+def _multi_scores(spark, sf):
+    s = _scored(spark, sf)
+    p = SC.final_score(s, "percentile").select("wallet", F.col("final_score").alias("score_percentile"))
+    m = SC.final_score(s, "min_max").select("wallet", F.col("final_score").alias("score_minmax"))
+    g = SC.final_score(s, "sigmoid").select("wallet", F.col("final_score").alias("score_sigmoid"))
+    return p.join(m, "wallet").join(g, "wallet")
+
+
+@register("prediction_stats", O.with_ctes(
+    _MULTI, "SELECT wallet, score_percentile, score_minmax, score_sigmoid, round((CAST(score_percentile AS DOUBLE) + "
+            "score_minmax + score_sigmoid) / 3.0, 6) AS pred_mean, CAST(median([score_percentile, score_minmax, "
+            "score_sigmoid]) AS DOUBLE) AS pred_median, CAST(least(score_percentile, score_minmax, score_sigmoid) AS DOUBLE) "
+            "AS pred_min, CAST(greatest(score_percentile, score_minmax, score_sigmoid) AS DOUBLE) AS pred_max FROM ms"
+    .replace("median([score_percentile, score_minmax, score_sigmoid])",
+             "list_sort([score_percentile, score_minmax, score_sigmoid])[2]")))
+def q_prediction_stats(spark, sf):
+    """Row statistics over the three score transforms as prediction columns."""
+    return out(EN.row_stats(_multi_scores(spark, sf), _MCOLS, "pred_"))
+
+
+@register("model_correlation", O.with_ctes(
+    _MULTI, " UNION ALL ".join(f"SELECT '{a}' AS model_a, '{b}' AS model_b, round({_corr_sql(a, b)}, 6) AS correlation FROM ms"
+                               for a in _MCOLS for b in _MCOLS)))
+def q_model_correlation(spark, sf):
+    """Correlation matrix of prediction columns."""
+    return out(EN.correlation_matrix(_multi_scores(spark, sf), _MCOLS))
+
+
+@register("regression_metrics", O.with_ctes(
+    _MULTI, " UNION ALL ".join(f"SELECT '{p}' AS model, round(avg(pow({p} - score_percentile, 2)), 6) AS mse, "
+                               f"round(avg(abs({p} - score_percentile)), 6) AS mae FROM ms"
+                               for p in ["score_minmax", "score_sigmoid"])))
+def q_regression_metrics(spark, sf):
+    """MSE / MAE of prediction columns against a label column."""
+    return out(EN.regression_metrics(_multi_scores(spark, sf), "score_percentile", ["score_minmax", "score_sigmoid"]))
+
+
+@register("tx_sequences", O.with_ctes(
+    _CLEAN + """, r AS (SELECT account, "timestamp", event_type, amount,
+  lag("timestamp") OVER (PARTITION BY account ORDER BY "timestamp", transaction_hash) AS p,
+  row_number() OVER (PARTITION BY account ORDER BY "timestamp" DESC, transaction_hash DESC) AS fe FROM clean),
+ev AS (SELECT account AS wallet, 10 - fe + 1 AS pos, CASE event_type WHEN 'Mint' THEN 1 WHEN 'Redeem' THEN 2
+  WHEN 'Borrow' THEN 3 WHEN 'RepayBorrow' THEN 4 WHEN 'LiquidateBorrow' THEN 5 END AS event_code,
+  COALESCE(amount, 0.0) AS amount, COALESCE(""" + O.days("p", '"timestamp"') + """, 0.0) AS gap_days FROM r WHERE fe <= 10),
+grid AS (SELECT DISTINCT account AS wallet, pos FROM clean, range(1, 11) t(pos))""",
+    "SELECT g.wallet, CAST(g.pos AS INTEGER) AS pos, CAST(COALESCE(event_code, 0) AS INTEGER) AS event_code, "
+    "round(COALESCE(amount, 0.0), 6) AS amount, round(COALESCE(gap_days, 0.0), 6) AS gap_days "
+    "FROM grid g LEFT JOIN ev ON g.wallet = ev.wallet AND g.pos = ev.pos"))
+def q_tx_sequences(spark, sf):
+    return out(SQ.tx_sequences(_tx(spark, sf), 10))
