@@ -1066,3 +1066,49 @@ grid AS (SELECT DISTINCT account AS wallet, pos FROM clean, range(1, 11) t(pos))
     "FROM grid g LEFT JOIN ev ON g.wallet = ev.wallet AND g.pos = ev.pos"))
 def q_tx_sequences(spark, sf):
     return out(SQ.tx_sequences(_tx(spark, sf), 10))
+
+
+# ---------------------------------------------------------------- X1-X6 (streams over the events table)
+from ledgerlens.streaming import incremental as ST  # noqa: E402
+
+
+@register("stream_wallet_summary", O.with_ctes(
+    _CLEAN, "SELECT account AS wallet, min(\"timestamp\") AS first_tx_timestamp, max(\"timestamp\") AS last_tx_timestamp, "
+            "count(*) AS tx_count, " + ", ".join(
+                f"CAST(count_if(event_type = '{e}') AS BIGINT) AS {n}" for e, n in
+                (("Mint", "mint_count"), ("Redeem", "redeem_count"), ("Borrow", "borrow_count"),
+                 ("RepayBorrow", "repay_count"), ("LiquidateBorrow", "liquidation_count")))
+            + ", round(sum(CASE WHEN event_type = 'Mint' THEN amount END), 6) AS supply_volume, "
+              "round(sum(CASE WHEN event_type = 'Borrow' THEN amount END), 6) AS borrow_volume FROM clean GROUP BY account"))
+def q_stream_wallet_summary(spark, sf):
+    """X1 + X3: streamed, cleaned events -> stateful wallet summary (complete
+    mode); equals the batch summary once the stream has consumed the table."""
+    return out(ST.run_to_table(spark, ST.running_summary(ST.event_stream(spark, sf)), "complete"))
+
+
+@register("stream_dedup", O.with_ctes(_CLEAN, "SELECT transaction_hash, account, event_type FROM clean"))
+def q_stream_dedup(spark, sf):
+    """Replay-safe ingestion with watermark-bounded dedup state."""
+    s = ST.dedup_events(ST.event_stream(spark, sf)).select("transaction_hash", "account", "event_type")
+    return ST.run_to_table(spark, s, "append")
+
+
+@register("stream_window_activity", O.with_ctes(
+    _CLEAN, "SELECT account AS wallet, to_timestamp(floor(epoch_us(\"timestamp\") / 3600000000) * 3600)::TIMESTAMP AS "
+            "window_start, count(*) AS events, round(sum(amount), 6) AS volume FROM clean GROUP BY ALL"))
+def q_stream_window_activity(spark, sf):
+    """Hourly tumbling windows per wallet with a watermark."""
+    t = ST.run_to_table(spark, ST.windowed_activity(ST.event_stream(spark, sf)), "update")
+    t = t.groupBy("wallet", F.col("w.start").alias("window_start")).agg(
+        F.max("events").alias("events"), F.max_by("volume", "events").alias("volume"))
+    return out(t)
+
+
+@register("stream_interval_stats", O.with_ctes(
+    _CLEAN + f", g AS ({O.gaps_sql('clean')}), w AS (SELECT DISTINCT account FROM clean)",
+    "SELECT w.account AS wallet, count(g.gap) AS gaps, round(avg(g.gap), 6) AS avg_gap_days, "
+    "round(stddev_pop(g.gap), 6) AS stddev_gap_days FROM w LEFT JOIN g USING (account) GROUP BY w.account"))
+def q_stream_interval_stats(spark, sf):
+    """Running inter-event gap statistics kept in applyInPandasWithState."""
+    t = ST.run_to_table(spark, ST.interval_stats(ST.event_stream(spark, sf)), "update")
+    return out(t.drop("last_tx_us"))

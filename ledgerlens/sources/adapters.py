@@ -45,7 +45,11 @@ def events_account(user_id, event_id, mode: str = "sparse"):
 def events_transactions(spark: SparkSession, sf_dir: str, account: str = "sparse") -> DataFrame:
     """Canonical transactions from the driver ``events`` table."""
     use_utc(spark)
-    e = read_table(spark, sf_dir, "events")
+    return adapt_events(read_table(spark, sf_dir, "events"), account)
+
+
+def adapt_events(e: DataFrame, account: str = "sparse") -> DataFrame:
+    """The adapter as pure column expressions (works on batch and streams)."""
     k = F.get_json_object("props", "$.k").cast("bigint")
     uid, eid = F.col("user_id"), F.col("event_id")
     acct = events_account(uid, eid, account)
