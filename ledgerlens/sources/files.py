@@ -206,6 +206,11 @@ def load_and_process(spark: SparkSession, paths: list, keep_liquidator: bool = F
         try:
             df = standardize_columns(parse_file(spark, p, fmts.get(p) or fmts.get(p.replace("file://", "")),
                                                 keep_liquidator))
+            # Raw files union as text (like object columns): a string amount in
+            # one file and a number in another must not be widened to BIGINT.
+            df = df.select(*[F.col(f"`{c}`") if t == "timestamp" else F.col(f"`{c}`").cast("string").alias(c)
+                             for c, t in df.dtypes])
+            df.schema  # analysis errors surface here, inside the try
             good.append(df)
         except Exception as ex:  # noqa: BLE001 - a bad file is skipped, as in the reference
             bad.append((p, str(ex).splitlines()[0][:500] if str(ex) else type(ex).__name__))
