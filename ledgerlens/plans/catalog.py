@@ -787,16 +787,33 @@ def _cut_final(spark, sf, cutoff):
 _CUTOFF = _dt.datetime(2024, 1, 16)
 
 
-@register("score_backtest")
+_CUT_SQL = _ts_sql(_CUTOFF)
+_BEFORE = f"(WITH {O.pipeline_ctes(cutoff=_CUT_SQL, as_of=_CUT_SQL)} SELECT wallet, final_score FROM fin)"
+_AFTER = f"(WITH {O.pipeline_ctes()} SELECT wallet, final_score FROM fin)"
+
+
+@register("score_backtest", f"""SELECT COALESCE(b.wallet, a.wallet) AS wallet, CAST(b.final_score AS DOUBLE) AS score_before,
+  CAST(a.final_score AS DOUBLE) AS score_after, CAST(a.final_score - b.final_score AS DOUBLE) AS change
+FROM {_BEFORE} b FULL OUTER JOIN {_AFTER} a ON a.wallet = b.wallet""")
 def q_score_backtest(spark, sf):
     """Scores with the clock at a cut-off date (history before it only) against
     the full-history scores, per wallet (D15)."""
     before = _cut_final(spark, sf, _CUTOFF).select("wallet", F.col("final_score").alias("score_before"))
     after = _final(spark, sf).select("wallet", F.col("final_score").alias("score_after"))
-    return before.join(after, "wallet", "full_outer").withColumn("change", F.col("score_after") - F.col("score_before"))
+    j = before.join(after, "wallet", "full_outer").withColumn("change", F.col("score_after") - F.col("score_before"))
+    # Nullable integers are emitted as doubles (wallets without history before the cut-off).
+    return j.select("wallet", *[F.col(c).cast("double").alias(c) for c in ("score_before", "score_after", "change")])
+
+
+def _hist_sql(src, tag):
+    return (f"(SELECT least(9, CAST(floor(final_score * 10 / 101) AS INTEGER)) AS bin, count(*) AS {tag} "
+            f"FROM {src} GROUP BY 1)")
 
 
-@register("score_drift")
+@register("score_drift", f"""WITH h AS (SELECT COALESCE(x.bin, y.bin) AS bin, COALESCE(nb, 0) AS nb, COALESCE(na, 0) AS na
+  FROM {_hist_sql(_BEFORE, 'nb')} x FULL OUTER JOIN {_hist_sql(_AFTER, 'na')} y ON x.bin = y.bin),
+pq AS (SELECT nb / (SELECT sum(nb) FROM h) + 1e-6 AS p, na / (SELECT sum(na) FROM h) + 1e-6 AS q FROM h)
+SELECT round(sum((q - p) * ln(q / p)), 6) AS psi, round(sum(abs(q - p)), 6) AS l1_distance FROM pq""")
 def q_score_drift(spark, sf):
     """Population stability index of the score distribution between the
     cut-off clock and the full history (D15)."""

@@ -127,17 +127,20 @@ TEMPORAL = ["avg_time_between_tx_days", "max_time_between_tx_days", "min_time_be
 
 
 def features_ctes(source: str = "events_sparse", optimize: bool = True,
-                  liquidation_mode: str = "compat") -> str:
-    """CTEs tx, clean, act, temporal, rawf, med, feat (imputed features)."""
+                  liquidation_mode: str = "compat", cutoff: str | None = None, as_of: str | None = None) -> str:
+    """CTEs tx, clean, act, temporal, rawf, med, feat (imputed features).
+    ``cutoff`` keeps history strictly before it; ``as_of`` is the clock."""
     temporal = TEMPORAL if optimize else TEMPORAL[:4]
     meds = ", ".join(f"median({c}) AS m_{c}" for c in temporal)
     repl = ", ".join(f"COALESCE({c}, m_{c}, {d(0)}) AS {c}" for c in temporal)
     tcols = ", ".join(f"t.{c}" for c in temporal)
+    clean = clean_sql("tx") + (f' AND "timestamp" < {cutoff}' if cutoff else "")
+    clock = as_of or AS_OF_SQL
     return f"""tx AS ({tx_sql(source)}),
-clean AS ({clean_sql('tx')}),
+clean AS ({clean}),
 act AS ({activity_sql('clean', liquidation_mode)}),
 temporal AS ({temporal_sql('clean', optimize)}),
-rawf AS (SELECT a.*, {days('a.last_tx_timestamp', AS_OF_SQL)} AS days_since_last_tx, {tcols}
+rawf AS (SELECT a.*, {days('a.last_tx_timestamp', clock)} AS days_since_last_tx, {tcols}
   FROM act a LEFT JOIN temporal t USING (wallet)),
 med AS (SELECT {meds} FROM rawf),
 feat AS (SELECT rawf.* REPLACE ({repl}) FROM rawf CROSS JOIN med)"""
@@ -223,14 +226,15 @@ def percentile_sql(src: str, reverse: bool = True, tie_digits: int = 12) -> str:
     return f"SELECT *, least(100, greatest(0, CAST(round_even({pct}, 0) AS INTEGER))) AS final_score FROM {src}"
 
 
-def pipeline_ctes(source: str = "events_sparse", optimize: bool = True, method: str = "percentile") -> str:
+def pipeline_ctes(source: str = "events_sparse", optimize: bool = True, method: str = "percentile",
+                  cutoff: str | None = None, as_of: str | None = None) -> str:
     """All CTEs through ``fin`` (final scores) with constant anomaly 0.5."""
     cols = FEATURE_COLS if optimize else [c for c in FEATURE_COLS if c != "activity_consistency_cv"]
     cols = cols + ["anomaly_score"]
     fin = {"percentile": percentile_sql("adjusted"),
            "min_max": minmax_sql("adjusted"),
            "sigmoid": sigmoid_sql("adjusted")}[method]
-    return f"""{features_ctes(source, optimize)},
+    return f"""{features_ctes(source, optimize, cutoff=cutoff, as_of=as_of)},
 sc0 AS (SELECT *, {d(C.NEUTRAL_ANOMALY)} AS anomaly_score FROM feat),
 {scoring_ctes(cols, 'sc0', optimize)},
 {adjust_ctes(cols, 'weighted', optimize)},
