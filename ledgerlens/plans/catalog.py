@@ -1129,3 +1129,10 @@ def q_stream_interval_stats(spark, sf):
     """Running inter-event gap statistics kept in applyInPandasWithState."""
     t = ST.run_to_table(spark, ST.interval_stats(ST.event_stream(spark, sf)), "update")
     return out(t.drop("last_tx_us"))
+
+
+@register("one_class_svm")
+def q_one_class_svm(spark, sf):
+    """M1 -> M2 -> M4 (random-feature one-class SVM, nu = 0.05) -> rescale."""
+    f = _feats(spark, sf)
+    return out(AM.detect_anomalies_svm(f, f.count()))

@@ -239,3 +239,17 @@ def test_rf_importance_sums_to_one(spark):
     from conftest import SF_SMALL
     imp = rf_importance(_train(spark, SF_SMALL), n_trees=10, max_depth=5).toPandas()
     assert imp["importance"].sum() == pytest.approx(1.0)
+
+
+def test_one_class_svm_flags_planted_outliers(spark):
+    from ledgerlens.operators import anomaly as AM
+    rng = np.random.default_rng(4)
+    X = np.vstack([rng.normal(0, 1, (400, 3)), rng.normal(8, 0.3, (4, 3))])
+    df = spark.createDataFrame([(f"w{i:03d}", [float(v) for v in row]) for i, row in enumerate(X)],
+                               "wallet string, features array<double>")
+    z = AM.fourier_features(df, AM.rbf_gamma_scale(df), 100).persist()
+    w, _rho = AM.fit_one_class_svm(z, 0.05, 40)
+    res = AM.rescale_decision(AM.one_class_svm_decision(z, w)).toPandas()
+    top = set(res.sort_values("anomaly_score", ascending=False)["wallet"].head(10))
+    assert {f"w{i}" for i in range(400, 404)} <= top
+    assert 0 < res["is_anomaly"].sum() < 60
