@@ -155,17 +155,18 @@ def imputation_plan(dtypes) -> dict:
     return plan
 
 
-def impute_features(df: DataFrame, nullable=None) -> DataFrame:
+def impute_features(df: DataFrame, nullable=None, rows: int | None = None) -> DataFrame:
     """Median / zero imputation (A10).  ``nullable`` restricts the median
     computation to columns that can hold NULL (filling a column without NULL is
     a no-op); by default every median-rule column is considered.  Medians are
-    exact and distributed (no single-task buffer)."""
+    exact: with a known row count up to ``ranking.SMALL_ROWS`` the built-in
+    aggregate is used, otherwise the distributed order statistics."""
     plan = imputation_plan(df.dtypes)
     zero_cols = [c for c, r in plan.items() if r == "zero"]
     med_cols = [c for c, r in plan.items() if r == "median" and (nullable is None or c in nullable)]
     out = df
     if med_cols:
-        med = exact_medians(df, med_cols).select(*[F.col(c).alias(f"_med_{c}") for c in med_cols])
+        med = exact_medians(df, med_cols, rows=rows).select(*[F.col(c).alias(f"_med_{c}") for c in med_cols])
         out = out.crossJoin(F.broadcast(med))  # one row
         out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"_med_{c}"), F.lit(0.0)) for c in med_cols})
         out = out.drop(*[f"_med_{c}" for c in med_cols])

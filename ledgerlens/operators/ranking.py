@@ -48,7 +48,9 @@ def value_positions(df: DataFrame, value: str, groups=(), buckets: int | None =
         cuts = dv.agg(F.percentile_approx(v, probs, 10 * b).alias("_cuts"))
         dvb = dv.crossJoin(F.broadcast(cuts))      # one row of bounded size
     else:
-        cuts = base.groupBy(*g).agg(F.percentile_approx(v, probs, 10 * b).alias("_cuts"))
+        # Cut points over the distinct values: buckets get similar numbers of
+        # distinct values, which is what the per-bucket window processes.
+        cuts = dv.groupBy(*g).agg(F.percentile_approx(v, probs, 10 * b).alias("_cuts"))
         dvb = dv.join(F.broadcast(cuts), g, "inner") if g else dv.crossJoin(F.broadcast(cuts))
     dvb = dvb.withColumn("_bucket", F.size(F.filter("_cuts", lambda c: c < v))).drop("_cuts")
     tot = dvb.groupBy(*g, "_bucket").agg(F.sum("_cnt").alias("_bc"))
@@ -94,12 +96,21 @@ def exact_quantile_long(long_df: DataFrame, group: str, value: str, q: float = 0
     return agg.select(group, (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_f")).alias("quantile"))
 
 
-def exact_medians(df: DataFrame, columns: list, buckets: int | None = None) -> DataFrame:
+# Row count up to which a global exact median may use the built-in aggregate:
+# its final merge holds the distinct values of one column in one task.
+SMALL_ROWS = 500_000
+
+
+def exact_medians(df: DataFrame, columns: list, buckets: int | None = None, rows: int | None = None) -> DataFrame:
     """One-row DataFrame with the exact median of each column (NULL if the
-    column has no value).  All columns are handled in one pass by stacking
-    them into a long (name, value) table."""
+    column has no value).  ``rows`` is a known row count (e.g. of a stage
+    table); up to ``SMALL_ROWS`` the built-in ``median`` is used (bounded
+    single-task merge), otherwise all columns are handled in one distributed
+    pass by stacking them into a long (name, value) table."""
     if not columns:
         return df.sparkSession.range(1).select()
+    if rows is not None and rows <= SMALL_ROWS:
+        return df.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in columns])
     stack = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("v"))
                                 for c in columns])).alias("s")
     long_df = df.select(stack).select("s.name", "s.v")

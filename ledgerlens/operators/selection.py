@@ -44,7 +44,8 @@ def correlation_ranking(train: DataFrame, threshold: float = 0.1) -> DataFrame:
     cols = feature_columns(train)
     wide = train.agg(*[safe_corr(c, "label").alias(c) for c in cols])
     long = _stack(wide, cols, "correlation").withColumn("abs_correlation", F.abs("correlation"))
-    w = Window.orderBy(F.col("abs_correlation").desc_nulls_last(), F.col("feature"))   # d rows
+    # d rows; ranked on 12 digits so last-bit noise of floating sums cannot split ties
+    w = Window.orderBy(F.round("abs_correlation", 12).desc_nulls_last(), F.col("feature"))
     return long.withColumn("rank", F.row_number().over(w)) \
                .withColumn("selected", F.coalesce(F.col("abs_correlation") >= threshold, F.lit(False)))
 
@@ -73,7 +74,7 @@ def mutual_info_ranking(train: DataFrame, bins: int = 10) -> DataFrame:
                   .withColumn("ny", F.sum("nxy").over(Window.partitionBy("feature", "yb"))))
     term = (F.col("nxy") / F.col("n")) * F.log((F.col("nxy") * F.col("n")) / (F.col("nx") * F.col("ny")))
     mi = joint.groupBy("feature").agg(F.sum(term).alias("mutual_info"))
-    w = Window.orderBy(F.col("mutual_info").desc(), F.col("feature"))
+    w = Window.orderBy(F.round("mutual_info", 12).desc(), F.col("feature"))
     return mi.withColumn("rank", F.row_number().over(w))
 
 
@@ -116,7 +117,7 @@ def redundant_pairs(train: DataFrame, threshold: float = 0.8, top: int = 20) ->
                                       F.col(f"{a}__{b}").alias("correlation")) for a, b in pairs]))
     long = wide.select(st.alias("s")).select("s.*")
     return (long.where(F.abs("correlation") > threshold)
-                .orderBy(F.abs("correlation").desc(), "feature_a", "feature_b").limit(top))
+                .orderBy(F.round(F.abs("correlation"), 12).desc(), "feature_a", "feature_b").limit(top))
 
 
 def feature_votes(lists: dict, n_features: int = 15, spark=None) -> DataFrame:

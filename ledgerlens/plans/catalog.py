@@ -889,7 +889,7 @@ def q_training_frame(spark, sf):
 
 _CORR_CTE = ("cr AS (SELECT feature, correlation, abs(correlation) AS abs_correlation FROM ("
              + " UNION ALL ".join(f"SELECT '{c}' AS feature, {_corr_sql(c, 'label')} AS correlation FROM tf" for c in _TF_COLS)
-             + ")), crr AS (SELECT *, row_number() OVER (ORDER BY abs_correlation DESC NULLS LAST, feature) AS rank, "
+             + ")), crr AS (SELECT *, row_number() OVER (ORDER BY round(abs_correlation, 12) DESC NULLS LAST, feature) AS rank, "
              "COALESCE(abs_correlation >= 0.1, FALSE) AS selected FROM cr)")
 
 
@@ -912,7 +912,7 @@ _MI_CTE = ("mst AS (SELECT " + ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c
            "jt2 AS (SELECT *, sum(nxy) OVER (PARTITION BY feature) AS n, sum(nxy) OVER (PARTITION BY feature, xb) AS nx, "
            "sum(nxy) OVER (PARTITION BY feature, yb) AS ny FROM jt), "
            "mi AS (SELECT feature, sum((nxy / n) * ln((nxy * n) / (nx * ny))) AS mutual_info FROM jt2 GROUP BY feature), "
-           "mir AS (SELECT *, row_number() OVER (ORDER BY mutual_info DESC, feature) AS rank FROM mi)")
+           "mir AS (SELECT *, row_number() OVER (ORDER BY round(mutual_info, 12) DESC, feature) AS rank FROM mi)")
 
 
 @register("feature_mutual_info", O.with_ctes(
@@ -930,7 +930,7 @@ def _pairs_sql():
 
 @register("redundant_pairs", O.with_ctes(
     _TF_CTES + ", " + _pairs_sql(), "SELECT feature_a, feature_b, round(correlation, 6) AS correlation FROM pw "
-                                    "WHERE abs(correlation) > 0.8 ORDER BY abs(correlation) DESC, feature_a, feature_b LIMIT 20"))
+                                    "WHERE abs(correlation) > 0.8 ORDER BY round(abs(correlation), 12) DESC, feature_a, feature_b LIMIT 20"))
 def q_redundant_pairs(spark, sf):
     return out(SE.redundant_pairs(_train(spark, sf)))
 

@@ -30,7 +30,8 @@ def cleaned(spark: SparkSession, sf_dir: str, source: str = "events_sparse") ->
 def features(tx: DataFrame, as_of: _dt.datetime = DEFAULT_AS_OF, optimize: bool = True,
              liquidation_mode: str = "compat", how: str | None = None) -> DataFrame:
     raw = stage(raw_wallet_features(tx, as_of, optimize, liquidation_mode), how or STAGE_MODE)
-    return impute_features(raw, nullable=set(TEMPORAL_COLUMNS))
+    rows = raw.count() if (how or STAGE_MODE) in ("table", "checkpoint") else None   # parquet metadata
+    return impute_features(raw, nullable=set(TEMPORAL_COLUMNS), rows=rows)
 
 
 def scores(feats: DataFrame, anomaly: DataFrame | None = None, optimize: bool = True,
