@@ -100,11 +100,15 @@ def recursive_elimination(train: DataFrame, n_features: int = 10, n_trees: int =
                           seed: int = C.SEED) -> list:
     """RFE with step 1 (M11): refit the forest, drop the least important, until
     ``n_features`` remain.  Driver loop of d - k distributed fits."""
+    from pyspark import StorageLevel
     cols = feature_columns(train)
-    base = train.select("label", *cols)
-    while len(cols) > n_features:
-        imp = rf_importance(base, cols, n_trees, max_depth, seed).orderBy("importance", F.col("feature").desc()).first()
-        cols = [c for c in cols if c != imp["feature"]]
+    base = train.select("label", *cols).persist(StorageLevel.MEMORY_AND_DISK)   # read once for all fits
+    try:
+        while len(cols) > n_features:
+            imp = rf_importance(base, cols, n_trees, max_depth, seed).orderBy("importance", F.col("feature").desc()).first()
+            cols = [c for c in cols if c != imp["feature"]]
+    finally:
+        base.unpersist()
     return cols
 
 

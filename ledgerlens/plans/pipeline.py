@@ -27,6 +27,20 @@ def cleaned(spark: SparkSession, sf_dir: str, source: str = "events_sparse") ->
     return clean_transactions(transactions(spark, sf_dir, source))
 
 
+def observed(df: DataFrame, name: str):
+    """Attach run counters to a stage (A15): rows and rows per event type are
+    collected by the job that materialises the stage, no extra pass.  Returns
+    (df, Observation); ``observation.get`` is available after that job."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+    obs = Observation(name)
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    if "event_type" in df.columns:
+        aggs += [F.count_if(F.col("event_type") == e).alias(f"rows_{e}") for e in
+                 ("Mint", "Redeem", "Borrow", "RepayBorrow", "LiquidateBorrow")]
+    return df.observe(obs, *aggs), obs
+
+
 def features(tx: DataFrame, as_of: _dt.datetime = DEFAULT_AS_OF, optimize: bool = True,
              liquidation_mode: str = "compat", how: str | None = None) -> DataFrame:
     raw = stage(raw_wallet_features(tx, as_of, optimize, liquidation_mode), how or STAGE_MODE)

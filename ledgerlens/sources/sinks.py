@@ -57,3 +57,19 @@ def write_nested_event_files(tx: DataFrame, path: str, files: int = 8) -> None:
     aggs = [F.collect_list(F.when(F.col("event_type") == ev, elem)).alias(k) for ev, k in ev_key.items()]
     doc = t.groupBy("_b").agg(*aggs)
     doc.repartition(files, "_b").write.mode("overwrite").partitionBy("_b").json(path)
+
+
+def save_models(models: dict, path: str) -> None:
+    """Fitted Spark ML pipelines, one folder per model."""
+    for name, m in models.items():
+        m.write().overwrite().save(f"{path.rstrip('/')}/{name}")
+
+
+def load_models(names, path: str) -> dict:
+    from pyspark.ml import PipelineModel
+    return {n: PipelineModel.load(f"{path.rstrip('/')}/{n}") for n in names}
+
+
+def save_forest(nodes: DataFrame, path: str) -> None:
+    """Isolation-forest node table as parquet."""
+    nodes.write.mode("overwrite").parquet(path)

@@ -253,3 +253,22 @@ def test_one_class_svm_flags_planted_outliers(spark):
     top = set(res.sort_values("anomaly_score", ascending=False)["wallet"].head(10))
     assert {f"w{i}" for i in range(400, 404)} <= top
     assert 0 < res["is_anomaly"].sum() < 60
+
+
+def test_stage_counters_and_model_persistence(spark, tmp_dir):
+    from conftest import SF_SMALL
+    from ledgerlens.plans import pipeline as P
+    from ledgerlens.session import stage
+    from ledgerlens.sources.sinks import load_models, save_models
+    tx, obs = P.observed(P.cleaned(spark, SF_SMALL), "clean")
+    staged = stage(tx)
+    counts = obs.get
+    assert counts["rows"] == staged.count() and counts["rows_Mint"] > 0
+    from ledgerlens.operators import ensemble as EN, selection as SE
+    t = P.stage(SE.training_frame(P.features(staged), P.scores(P.features(staged))))
+    models = EN.fit_models(t, SE.feature_columns(t), {"ridge": {"alpha": 1.0}})
+    save_models(models, tmp_dir)
+    back = load_models(["ridge"], tmp_dir)["ridge"]
+    a = models["ridge"].transform(t).select("prediction").collect()
+    b = back.transform(t).select("prediction").collect()
+    assert a == b
