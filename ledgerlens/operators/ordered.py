@@ -27,10 +27,12 @@ def consecutive_gaps(tx: DataFrame, key: str = "account", ts: str = "timestamp",
     """
     t = tx.select(F.col(key), F.col(ts).alias("_ts")).withColumn("_chunk", chunk_of("_ts", chunk_seconds))
     w = Window.partitionBy(key, "_chunk").orderBy("_ts")
-    inner = (t.withColumn("_next", F.lead("_ts").over(w))
-              .where(F.col("_next").isNotNull())
-              .select(key, day_diff("_ts", "_next").alias("gap_days")))
-    cs = t.groupBy(key, "_chunk").agg(F.min("_ts").alias("_first"), F.max("_ts").alias("_last"))
+    win = t.withColumn("_next", F.lead("_ts").over(w))
+    inner = (win.where(F.col("_next").isNotNull())
+                .select(key, day_diff("_ts", "_next").alias("gap_days")))
+    # Chunk summaries from the windowed rows: already partitioned by
+    # (key, chunk), so no second scan or shuffle of the log.
+    cs = win.groupBy(key, "_chunk").agg(F.min("_ts").alias("_first"), F.max("_ts").alias("_last"))
     wc = Window.partitionBy(key).orderBy("_chunk")
     cross = (cs.withColumn("_nf", F.lead("_first").over(wc))
                .where(F.col("_nf").isNotNull())
