@@ -23,11 +23,12 @@ def score_distribution(final: DataFrame) -> DataFrame:
     return final.groupBy("final_score").agg(F.count(F.lit(1)).alias("wallets"))
 
 
-def score_overall(final: DataFrame) -> DataFrame:
-    """n, min, max, mean and exact median of the final score."""
+def score_overall(final: DataFrame, rows: int | None = None) -> DataFrame:
+    """n, min, max, mean and exact median of the final score (A12); ``rows``
+    is a known wallet count (enables the bounded built-in median)."""
     s = final.agg(F.count(F.lit(1)).alias("wallets"), F.min("final_score").alias("min_score"),
                   F.max("final_score").alias("max_score"), F.avg("final_score").alias("mean_score"))
-    med = exact_medians(final, ["final_score"]).withColumnRenamed("final_score", "median_score")
+    med = exact_medians(final, ["final_score"], rows=rows).withColumnRenamed("final_score", "median_score")
     return s.crossJoin(med)   # two one-row tables
 
 

@@ -392,7 +392,8 @@ def q_score_distribution(spark, sf):
                        "round(avg(final_score), 6) AS mean_score, round(CAST(median(final_score) AS DOUBLE), 6) "
                        "AS median_score FROM fin"))
 def q_score_overall(spark, sf):
-    return out(AN.score_overall(_final(spark, sf)))
+    s = _scored(spark, sf)
+    return out(AN.score_overall(SC.final_score(s), rows=s.count()))   # count from parquet metadata
 
 
 def _corr_sql(a, b):
