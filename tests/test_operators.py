@@ -272,3 +272,15 @@ def test_stage_counters_and_model_persistence(spark, tmp_dir):
     a = models["ridge"].transform(t).select("prediction").collect()
     b = back.transform(t).select("prediction").collect()
     assert a == b
+
+
+def test_stage_resume(spark, tmp_dir):
+    from conftest import SF_SMALL
+    from ledgerlens.plans.pipeline import run_stages
+    a = run_stages(spark, SF_SMALL, tmp_dir, with_anomaly=False)
+    assert a["counters"]["rows"] == a["transactions"].count()
+    first = sorted(map(tuple, a["final"].select("wallet", "final_score").collect()))
+    b = run_stages(spark, SF_SMALL, tmp_dir, skip_to="scores", with_anomaly=False)
+    assert sorted(map(tuple, b["final"].select("wallet", "final_score").collect())) == first
+    top = spark.read.option("header", True).csv(f"{tmp_dir}/wallet_scores_csv")
+    assert top.columns == ["wallet", "score"] and top.count() == min(1000, len(first))
