@@ -52,7 +52,13 @@ def liquidator_counts(tx: DataFrame) -> DataFrame:
 
 
 def wallet_activity(tx: DataFrame, liquidation_mode: str = "compat") -> DataFrame:
-    """Summary (A1, A2) and activity features (A4, A5, A6) in one aggregation.
+    """Summary (A1-A3) and activity features (A4, A5, A6) in one aggregation.
+
+    Each row is exploded into its (token, ctoken) markets with a flag on the
+    first copy; counts and sums read only flagged copies, min/max are
+    unaffected by the copy, and ``countDistinct(market)`` gives the market
+    count.  One scan and one single-distinct aggregation (partial on
+    (account, market), final on account) replace a second scan and a join.
 
     ``liquidation_mode``: ``compat`` counts, like the reference, only the
     account's own liquidation rows (liquidator = self for the liquidator count;
@@ -60,28 +66,48 @@ def wallet_activity(tx: DataFrame, liquidation_mode: str = "compat") -> DataFram
     liquidations performed on other accounts' rows."""
     has_amount = "amount" in tx.columns
     has_liq = "liquidator" in tx.columns
+    mk = [c for c in ("token", "ctoken") if c in tx.columns]
+    keep = ["account", "timestamp", "event_type"] + (["amount"] if has_amount else []) + \
+        (["liquidator"] if has_liq else [])
+    if mk:
+        copies = F.array(*[F.struct(F.col(c).cast("string").alias("m"), F.lit(i == 0).alias("w"))
+                           for i, c in enumerate(mk)])
+        x = tx.select(*keep, F.explode(copies).alias("_e")).select(*keep, "_e.m", "_e.w")
+    else:
+        x = tx.select(*keep, F.lit(None).cast("string").alias("m"), F.lit(True).alias("w"))
+    w = F.col("w")
+    ev = _ev()
+
+    def cnt(cond=None):
+        return F.count_if(w if cond is None else (w & cond))
+
+    def vol(e):
+        if not has_amount:
+            return F.lit(0.0)
+        return F.coalesce(F.sum(F.when(w & (ev == e), F.col("amount"))), F.lit(0.0))
+
     aggs = [
         F.min("timestamp").alias("first_tx_timestamp"),
         F.max("timestamp").alias("last_tx_timestamp"),
-        F.count(F.lit(1)).alias("tx_count"),
-        _count("Mint").alias("mint_count"),
-        _count("Redeem").alias("redeem_count"),
-        _count("Borrow").alias("borrow_count"),
-        _count("RepayBorrow").alias("repay_count"),
-        _count("LiquidateBorrow").alias("liquidation_count"),
-        _volume("Mint", has_amount).alias("supply_volume"),
-        _volume("Borrow", has_amount).alias("borrow_volume"),
-        _volume("RepayBorrow", has_amount).alias("repay_volume"),
+        cnt().alias("tx_count"),
+        cnt(ev == "Mint").alias("mint_count"),
+        cnt(ev == "Redeem").alias("redeem_count"),
+        cnt(ev == "Borrow").alias("borrow_count"),
+        cnt(ev == "RepayBorrow").alias("repay_count"),
+        cnt(ev == "LiquidateBorrow").alias("liquidation_count"),
+        vol("Mint").alias("supply_volume"),
+        vol("Borrow").alias("borrow_volume"),
+        vol("RepayBorrow").alias("repay_volume"),
+        F.countDistinct("m").alias("market_count"),
     ]
     if has_liq:
-        aggs.append(F.count_if((_ev() == "LiquidateBorrow") & (F.col("liquidator") == F.col("account")))
-                    .alias("_self_liq"))
-    a = tx.groupBy(F.col("account").alias("wallet")).agg(*aggs)
+        aggs.append(cnt((ev == "LiquidateBorrow") & (F.col("liquidator") == F.col("account"))).alias("_self_liq"))
+    a = x.groupBy(F.col("account").alias("wallet")).agg(*aggs)
     zero = F.lit(0).cast("long")
     a = a.select(
         "wallet", "first_tx_timestamp", "last_tx_timestamp", "tx_count",
         day_diff("first_tx_timestamp", "last_tx_timestamp").alias("wallet_age_days"),
-        "mint_count", "redeem_count", "borrow_count", "repay_count", "liquidation_count",
+        "mint_count", "redeem_count", "borrow_count", "repay_count", "liquidation_count", "market_count",
         guarded_ratio("borrow_count", "mint_count").alias("borrow_to_supply_ratio_count"),
         guarded_ratio("borrow_volume", "supply_volume").alias("borrow_to_supply_ratio_vol"),
         guarded_ratio("repay_volume", "borrow_volume").alias("repay_ratio"),
@@ -95,9 +121,7 @@ def wallet_activity(tx: DataFrame, liquidation_mode: str = "compat") -> DataFram
                           F.coalesce("liquidation_count_liquidator", zero)))
     elif liquidation_mode not in ("compat", "corrected"):
         raise ValueError(liquidation_mode)
-    m = market_counts(tx)
-    return (a.join(m, "wallet", "left")
-             .withColumn("market_count", F.coalesce("market_count", zero)))
+    return a
 
 
 def wallet_summary(tx: DataFrame) -> DataFrame:
