@@ -124,6 +124,8 @@ def fit_isolation_forest(points: DataFrame, n_rows: int, n_trees: int = C.N_TREE
     from pyspark.sql import Window
     w = Window.partitionBy("tree").orderBy("u", key)
     sample = cand.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= psi).drop("_r")
+    from ledgerlens.session import ship_package
+    ship_package(points.sparkSession)
     return (sample.select("tree", "u", "features")
                   .groupBy("tree").applyInPandas(lambda pdf: _grow(pdf, seed, height), NODE_SCHEMA))
 
@@ -142,6 +144,8 @@ def score_isolation_forest(points: DataFrame, nodes: DataFrame, psi: int, key: s
     scikit-learn's ``score_samples``).  The forest is collected (bounded:
     trees x <= 2 psi nodes) and broadcast."""
     spark = points.sparkSession
+    from ledgerlens.session import ship_package
+    ship_package(spark)
     forest = spark.sparkContext.broadcast(_forest_arrays(nodes.toPandas()))
     c_psi = float(average_path_length([psi])[0])
 
@@ -216,6 +220,8 @@ def fourier_features(points: DataFrame, gamma: float, n_components: int = 100, s
                      key: str = "wallet") -> DataFrame:
     """Random Fourier features of the RBF kernel (Rahimi & Recht 2007):
     z(x) = sqrt(2/D) cos(x W + b), W ~ N(0, 2 gamma), b ~ U(0, 2 pi)."""
+    from ledgerlens.session import ship_package
+    ship_package(points.sparkSession)
     d = len(points.select("features").first()[0])
     rng = np.random.default_rng(seed)
     W = rng.normal(0.0, math.sqrt(2.0 * gamma), (d, n_components))
@@ -237,6 +243,8 @@ def fit_one_class_svm(z: DataFrame, nu: float = C.CONTAMINATION, steps: int = 40
     descent.  Each step is one distributed pass (per-partition numpy partial
     sums of the violators, a bounded #partitions x (D+2) result).  Returns
     (w, rho)."""
+    from ledgerlens.session import ship_package
+    ship_package(z.sparkSession)
     first = z.select("z").first()
     D = len(first[0])
     w, rho = np.zeros(D), 0.0

@@ -93,3 +93,30 @@ def stage(df, how: str = "table"):
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
     raise ValueError(how)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark) -> None:
+    """Make ``ledgerlens`` importable in Python workers (pandas UDF paths).
+
+    The package is zipped once per SparkContext and registered with
+    ``addPyFile``; Spark distributes it to every executor.  On a cluster this
+    matches ``--py-files``; it is a no-op when already shipped."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import os
+    import zipfile
+    root = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="ledgerlens-pkg-"), "ledgerlens.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _dirs, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)

@@ -93,6 +93,8 @@ def interval_stats(stream: DataFrame) -> DataFrame:
     """Running count / mean / M2 of inter-event gaps per wallet kept in
     user state (events of a wallet are assumed to arrive in time order across
     micro-batches; within one batch they are sorted)."""
+    from ledgerlens.session import ship_package
+    ship_package(stream.sparkSession)
     s = stream.select(F.col("account").alias("wallet"), F.unix_micros("timestamp").alias("us"))
     return s.groupBy("wallet").applyInPandasWithState(_interval_update, INTERVAL_OUT, INTERVAL_STATE, "update",
                                                      GroupStateTimeout.NoTimeout)
