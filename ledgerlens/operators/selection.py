@@ -46,7 +46,7 @@ def correlation_ranking(train: DataFrame, threshold: float = 0.1) -> DataFrame:
     long = _stack(wide, cols, "correlation").withColumn("abs_correlation", F.abs("correlation"))
     # d rows; ranked on 12 digits so last-bit noise of floating sums cannot split ties
     w = Window.orderBy(F.round("abs_correlation", 12).desc_nulls_last(), F.col("feature"))
-    return long.withColumn("rank", F.row_number().over(w)) \
+    return long.withColumn("rank", F.row_number().over(w).cast("long")) \
                .withColumn("selected", F.coalesce(F.col("abs_correlation") >= threshold, F.lit(False)))
 
 
@@ -75,7 +75,7 @@ def mutual_info_ranking(train: DataFrame, bins: int = 10) -> DataFrame:
     term = (F.col("nxy") / F.col("n")) * F.log((F.col("nxy") * F.col("n")) / (F.col("nx") * F.col("ny")))
     mi = joint.groupBy("feature").agg(F.sum(term).alias("mutual_info"))
     w = Window.orderBy(F.round("mutual_info", 12).desc(), F.col("feature"))
-    return mi.withColumn("rank", F.row_number().over(w))
+    return mi.withColumn("rank", F.row_number().over(w).cast("long"))
 
 
 def _assemble(train: DataFrame, cols):
@@ -93,7 +93,8 @@ def rf_importance(train: DataFrame, cols=None, n_trees: int = 100, max_depth: in
     imp = m.featureImportances.toArray().tolist()       # d numbers
     spark = train.sparkSession
     df = spark.createDataFrame([(c, float(v)) for c, v in zip(cols, imp)], "feature string, importance double")
-    return df.withColumn("rank", F.row_number().over(Window.orderBy(F.col("importance").desc(), F.col("feature"))))
+    return df.withColumn("rank", F.row_number().over(Window.orderBy(F.col("importance").desc(), F.col("feature")))
+                         .cast("long"))
 
 
 def recursive_elimination(train: DataFrame, n_features: int = 10, n_trees: int = 100, max_depth: int = 10,
