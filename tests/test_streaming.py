@@ -33,3 +33,19 @@ def test_running_summary_over_two_batches_equals_batch(spark, tmp_dir):
     diff = got.select("wallet", "tx_count").exceptAll(batch).count() + batch.exceptAll(got.select("wallet", "tx_count")).count()
     assert diff == 0
     assert got.agg(F.sum("tx_count")).first()[0] == spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
+
+
+def test_rescore_against_frozen_statistics(spark):
+    from ledgerlens.operators import scoring as SC
+    from ledgerlens.plans import pipeline as P
+    feats = SC.prepare_scoring(P.features(P.cleaned(spark, SF_SMALL)))
+    w = SC.available_weights(feats)
+    frozen = SC.feature_stats(feats, w)
+    batch = SC.weighted_score(feats, w).select("wallet", F.col("raw_score").alias("expected"))
+    got = ST.rescore_batch(feats, frozen, w).join(batch, "wallet")
+    assert got.where(F.abs(F.col("raw_score") - F.col("expected")) > 1e-12).count() == 0
+    # a touched wallet replaces its row in the current table (upsert without MERGE)
+    cur = batch.select("wallet", F.col("expected").alias("raw_score"))
+    upd = cur.limit(3).withColumn("raw_score", F.lit(-1.0))
+    merged = ST.upsert_by_key(upd, cur)
+    assert merged.count() == cur.count() and merged.where("raw_score = -1.0").count() == 3
