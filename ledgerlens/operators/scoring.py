@@ -176,3 +176,11 @@ def top_wallets(final: DataFrame, n: int = C.TOP_N) -> DataFrame:
     """Top-N (wallet, score); ties broken by wallet (TakeOrdered, no full sort)."""
     return (final.orderBy(F.col("final_score").desc(), F.col("wallet").asc()).limit(n)
                  .select("wallet", F.col("final_score").alias("score")))
+
+
+def weight_availability(df: DataFrame, weights: dict | None = None) -> DataFrame:
+    """F7 as a table: (feature, weight, available) for every configured weight,
+    decided on the schema at plan time."""
+    w = weights if weights is not None else C.FEATURE_WEIGHTS
+    rows = [(f, float(x), f in df.columns) for f, x in w.items()]
+    return df.sparkSession.createDataFrame(rows, "feature string, weight double, available boolean")

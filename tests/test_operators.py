@@ -284,3 +284,12 @@ def test_stage_resume(spark, tmp_dir):
     assert sorted(map(tuple, b["final"].select("wallet", "final_score").collect())) == first
     top = spark.read.option("header", True).csv(f"{tmp_dir}/wallet_scores_csv")
     assert top.columns == ["wallet", "score"] and top.count() == min(1000, len(first))
+
+
+def test_weight_availability_table(spark):
+    from conftest import SF_SMALL
+    from ledgerlens.plans import pipeline as P
+    s = SC.prepare_scoring(P.features(P.cleaned(spark, SF_SMALL)))
+    t = {r["feature"]: r["available"] for r in SC.weight_availability(s).collect()}
+    assert sum(t.values()) == 7 and not t["tx_count_total"] and t["anomaly_score"]
+    assert sorted(f for f, a in t.items() if not a) == sorted(SC.missing_weighted_features(s))
