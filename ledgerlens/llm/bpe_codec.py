@@ -29,7 +29,7 @@ from ledgerlens.llm.common import load_ranks, ship_package, slices
 
 #: Memo sizes in a worker; beyond them the memo starts anew (results are the same).
 MAX_PAIRS = 1_000_000
-MAX_PIECES = 300_000
+MAX_PIECES = 500_000
 
 
 class ByteBpe:
@@ -151,6 +151,21 @@ class PieceMemo(dict):
         return ids
 
 
+#: A worker's codecs by vocabulary, kept from task to task with what they have learned.
+_WORKER: dict[str, PieceMemo] = {}
+
+
+def worker_memo(ranks: dict[bytes, int], key: str) -> PieceMemo:
+    if key not in _WORKER:
+        _WORKER[key] = PieceMemo(ByteBpe(ranks))
+    return _WORKER[key]
+
+
+def ranks_key(ranks: dict[bytes, int]) -> str:
+    """A digest of the vocabulary."""
+    return hashlib.sha256(b"".join(b"%d %d " % (i, len(b)) + b for b, i in sorted(ranks.items()))).hexdigest()
+
+
 OUTPUTS = {"ids": pa.list_(pa.int32()), "decoded": pa.binary(), "n_tokens": pa.int64(), "ids_sha256": pa.string(),
            "decoded_sha256": pa.string()}
 DDL = {"ids": "array<int>", "decoded": "binary", "n_tokens": "bigint", "ids_sha256": "string",
@@ -175,11 +190,12 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, outputs: tu
     MB) by broadcast."""
     spark = docs.sparkSession
     ship_package(spark)
-    ranks = spark.sparkContext.broadcast(load_ranks(ranks_path))
+    vocabulary = load_ranks(ranks_path)
+    ranks, key = spark.sparkContext.broadcast(vocabulary), ranks_key(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = ByteBpe(ranks.value)
-        memo, split = PieceMemo(bpe), regex.compile(pattern)
+        memo, split = worker_memo(ranks.value, key), regex.compile(pattern)
+        bpe = memo.bpe
         decimal = {i: b"%d" % i for i in bpe.vocab}
         for b in slices(batches):
             got: dict[str, list] = {k: [] for k in outputs}

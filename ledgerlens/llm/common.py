@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.session import ensure_checkpoint_dir, ship_package, stage
 
-__all__ = ["add_row_index", "load_ranks", "read_table", "ship_package", "slices", "stage", "stage_path"]
+__all__ = ["add_row_index", "load_ranks", "read_table", "running_total", "ship_package", "slices", "stage", "stage_path"]
 
 #: Rows of an Arrow batch that are turned into Python objects at a time.
 SLICE_ROWS = 512
@@ -40,21 +40,37 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
-def add_row_index(df: DataFrame, order: list, name: str = "row_index", partitions: int | None = None) -> DataFrame:
-    """Number rows 0..n-1 in ``order``, with no single-task sort.
-
-    Rows are range-partitioned and sorted; a row's number is its place in its
-    partition plus the row count of the partitions before it.  Only one count
-    per partition meets in a single window.  The sorted rows are written to the
-    shared folder first, since range bounds are sampled: the numbers must not
-    change if a partition is computed again.  Keep ``df`` narrow."""
+def _placed(df: DataFrame, order: list, partitions: int | None) -> DataFrame:
+    """``df`` range-partitioned and sorted, with its partition ``_pid`` and place
+    ``_at`` there.  Written to the shared folder, since range bounds are sampled:
+    places must not change if a partition is computed again."""
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = stage(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-                   .withColumn("_mid", F.monotonically_increasing_id()))
-    pid, place = F.shiftright("_mid", 33), F.col("_mid").bitwiseAND((1 << 33) - 1)
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (placed.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
-               .select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
-    # One row per partition of the sort, however large the input is.
-    return (placed.withColumn("_pid", pid).join(F.broadcast(offsets), "_pid")
-            .withColumn(name, F.col("_before") + place).drop("_pid", "_mid", "_before"))
+    mid = F.monotonically_increasing_id()
+    return stage(df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_mid", mid)
+                 .select(*df.columns, F.shiftright("_mid", 33).alias("_pid"), F.col("_mid").bitwiseAND((1 << 33) - 1).alias("_at")))
+
+
+def _before(sums: DataFrame) -> DataFrame:
+    """``_pid`` and the sum of ``_n`` over the partitions before it.  The window
+    sees one row per partition of the sort, however large the input is."""
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    return sums.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
+
+
+def add_row_index(df: DataFrame, order: list, name: str = "row_index", partitions: int | None = None) -> DataFrame:
+    """Number rows 0..n-1 in ``order`` with no single-task sort: a row's number is
+    its place in its range partition plus the row counts of those before.  Keep
+    ``df`` narrow."""
+    placed = _placed(df, order, partitions)
+    offsets = _before(placed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")))
+    return placed.join(F.broadcast(offsets), "_pid").withColumn(name, F.col("_before") + F.col("_at")).drop("_pid", "_at", "_before")
+
+
+def running_total(df: DataFrame, order: list, value: str, name: str, partitions: int | None = None) -> DataFrame:
+    """Add the sum of ``value`` over all rows before this one in ``order``; a
+    window per range partition, and one sum per partition on top."""
+    placed = _placed(df, order, partitions)
+    offsets = _before(placed.groupBy("_pid").agg(F.sum(value).alias("_n")))
+    w = Window.partitionBy("_pid").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    inside = placed.withColumn("_sum", F.coalesce(F.sum(value).over(w), F.lit(0)))
+    return inside.join(F.broadcast(offsets), "_pid").withColumn(name, F.col("_before") + F.col("_sum")).drop("_pid", "_at", "_before", "_sum")
