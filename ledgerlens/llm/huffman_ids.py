@@ -17,6 +17,8 @@ store Spark can write to can hold it; its layout is that of :func:`pack_file`.
 
 from __future__ import annotations
 
+import hashlib
+import os
 import re
 import struct
 import zlib
@@ -34,7 +36,7 @@ MAX_BITS = 18
 BLOCK_IDS = 1024
 FILE_BYTES = 1 << 20
 END_ID = 1
-MAX_WORDS = 400_000
+MAX_WORDS = 600_000
 MAGIC = b"HIDS0001"
 
 # --------------------------------------------------------------------------- tokenising
@@ -47,13 +49,33 @@ class WordMemo(dict):
         super().__init__()
         self.tokenizer = tokenizer
 
-    def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(word) <= 64:
-            if len(self) >= MAX_WORDS:
-                self.clear()
-            self[word] = ids
-        return ids
+    def learn(self, words: set[str]) -> None:
+        words = list(words)
+        for i in range(0, len(words), 4096):
+            part = words[i:i + 4096]
+            for w, got in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                self[w] = np.array(got.ids, "<u4").tobytes()
+
+    def ids(self, texts: list[list[str]]) -> list[bytes]:
+        """The ids of each text, given as its parts; new parts go to the library together."""
+        if len(self) > MAX_WORDS:
+            self.clear()
+        self.learn({w for parts in texts for w in parts if w not in self})
+        return [b"".join(map(self.__getitem__, parts)) for parts in texts]
+
+
+#: A worker's memos by tokenizer, kept from task to task.
+_WORKER: dict[str, WordMemo] = {}
+
+
+def worker_memo(source: str, key: str) -> WordMemo:
+    if key not in _WORKER:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        from tokenizers import Tokenizer
+        tok = Tokenizer.from_str(source)
+        tok.encode_special_tokens = True
+        _WORKER[key] = WordMemo(tok)
+    return _WORKER[key]
 
 
 #: White space to ``str.split`` but not to the tokenizer's patterns, or a mark whose case or
@@ -75,24 +97,19 @@ def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_
     vocabulary allows and of 32 bits else.  A null text counts as empty."""
     ship_package(docs.sparkSession)
     with open(tokenizer_path, encoding="utf-8") as f:
-        source = docs.sparkSession.sparkContext.broadcast(f.read())
+        content = f.read()
+    source, key = docs.sparkSession.sparkContext.broadcast(content), hashlib.sha256(content.encode()).hexdigest()
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-        tok = Tokenizer.from_str(source.value)
-        tok.encode_special_tokens = True
-        width = id_width(max(tok.get_vocab_size(), (end_id or 0) + 1))
+        memo = worker_memo(source.value, key)
+        width = id_width(max(memo.tokenizer.get_vocab_size(), (end_id or 0) + 1))
         end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
-        memo = WordMemo(tok)
         for b in slices(batches):
-            n, out = [], []
-            for text in b.column(1).to_pylist():
-                text = text or ""
-                parts = [text] if ODD.search(text) else text.split()
-                ids = np.frombuffer(b"".join(map(memo.__getitem__, parts)) + end, "<u4")
-                n.append(len(ids))
-                out.append(ids.astype(width).tobytes())
+            texts = [t or "" for t in b.column(1).to_pylist()]
+            parts = [[t] if ODD.search(t) else t.split() for t in texts]
+            flat = [np.frombuffer(raw + end, "<u4") for raw in memo.ids(parts)]
+            n, out = [len(x) for x in flat], [x.astype(width).tobytes() for x in flat]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(out, pa.binary())],
                                              [id_col, "n_tokens", "ids"])
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import bpe_codec, chat_tree, huffman_ids, qgram_decontam, toxicity_chain, url_cascade, warc_archive
+from ledgerlens.llm import bpe_codec, chat_tree, huffman_ids, qgram_decontam, signature_join, simhash, toxicity_chain, url_cascade, warc_archive
 from ledgerlens.llm.common import read_table
 
 QUERIES: dict = {}
@@ -69,6 +69,11 @@ def q_qgram_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qgram_decontam.find_passages(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+@query("op4_simhash")
+def q_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.compare_edited(read_table(spark, sf_dir, "documents"))
+
+
 @query("op5_byte_bpe")
 def q_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.encode_documents(
@@ -89,6 +94,11 @@ def q_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman_ids.read_files(files)
 
 
+@query("op9_signature_join")
+def q_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signature_join.link_components(read_table(spark, sf_dir, "documents")).drop("part")
+
+
 # The digest needs base32 of the SHA-1, which DuckDB lacks: 40 bits at a time to eight letters.
 _B32 = " || ".join(
     f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(h, {1 + 10 * (j // 8)}, 10))::UBIGINT >> {35 - 5 * (j % 8)}) & 31)::INT, 1)"
