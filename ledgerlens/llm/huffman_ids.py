@@ -21,6 +21,7 @@ import hashlib
 import os
 import re
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -36,32 +37,67 @@ MAX_BITS = 18
 BLOCK_IDS = 1024
 FILE_BYTES = 1 << 20
 END_ID = 1
-MAX_WORDS = 600_000
+MAX_WORDS = 1_000_000
 MAGIC = b"HIDS0001"
 
 # --------------------------------------------------------------------------- tokenising
 
 
-class WordMemo(dict):
-    """Text without white space to the bytes of its ids (little-endian unsigned 32-bit)."""
+def byte_letters() -> dict[int, int]:
+    """Byte to the character that stands for it in a byte-level vocabulary:
+    itself where that is a visible Latin-1 character, the others in order from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: b if b in shown else 256 + hidden.index(b) for b in range(256)}
 
-    def __init__(self, tokenizer):
-        super().__init__()
-        self.tokenizer = tokenizer
 
-    def learn(self, words: set[str]) -> None:
-        words = list(words)
-        for i in range(0, len(words), 4096):
-            part = words[i:i + 4096]
-            for w, got in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self[w] = np.array(got.ids, "<u4").tobytes()
+class WordMemo:
+    """Text without white space to the bytes of its ids (little-endian unsigned
+    32-bit).  The first ``MAX_WORDS`` are remembered, so the frequent ones are.
+
+    A word of Latin letters, with or without ASCII marks behind it, goes to the
+    library's model at once: for such a word the normalizer only lowers it and
+    the pattern only cuts off the marks.  All others take the library's whole way."""
 
-    def ids(self, texts: list[list[str]]) -> list[bytes]:
-        """The ids of each text, given as its parts; new parts go to the library together."""
-        if len(self) > MAX_WORDS:
-            self.clear()
-        self.learn({w for parts in texts for w in parts if w not in self})
-        return [b"".join(map(self.__getitem__, parts)) for parts in texts]
+    #: Marks that may follow a word; not the apostrophe, with which the pattern has plans.
+    MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+        self.letters = byte_letters()
+        self.known: dict[str, bytes] = {}
+        self.behind: dict[str, list[int]] = {}
+
+    def encode(self, word: str) -> bytes:
+        core = word.lower().rstrip(self.MARKS)
+        if core.isalpha() and max(core) < "\u0250" and "\u03a3" not in word and unicodedata.is_normalized("NFC", core):
+            plain = core if core.isascii() else core.encode().decode("latin-1").translate(self.letters)
+            ids = [t.id for t in self.model.tokenize(plain)]
+            if len(core) < len(word):
+                ids += self._behind(word[len(core):])
+        else:
+            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+        return np.array(ids, "<u4").tobytes()
+
+    def _behind(self, marks: str) -> list[int]:
+        got = self.behind.get(marks)
+        if got is None:
+            got = self.tokenizer.encode(marks, add_special_tokens=False).ids
+            if len(self.behind) < 10_000 and len(marks) <= 16:
+                self.behind[marks] = got
+        return got
+
+    def ids(self, parts: list[str]) -> bytes:
+        known = self.known
+        got = list(map(known.get, parts))
+        if None in got:
+            for i, v in enumerate(got):
+                if v is None:
+                    w = parts[i]
+                    v = got[i] = known.get(w) or self.encode(w)
+                    if len(known) < MAX_WORDS and len(w) <= 64:
+                        known[w] = v
+        return b"".join(got)
 
 
 #: A worker's memos by tokenizer, kept from task to task.
@@ -108,7 +144,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_
         for b in slices(batches):
             texts = [t or "" for t in b.column(1).to_pylist()]
             parts = [[t] if ODD.search(t) else t.split() for t in texts]
-            flat = [np.frombuffer(raw + end, "<u4") for raw in memo.ids(parts)]
+            flat = [np.frombuffer(memo.ids(p) + end, "<u4") for p in parts]
             n, out = [len(x) for x in flat], [x.astype(width).tobytes() for x in flat]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(out, pa.binary())],
                                              [id_col, "n_tokens", "ids"])
