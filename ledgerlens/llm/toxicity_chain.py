@@ -7,9 +7,11 @@ later model meets the errors it will meet on new texts; for use, each category's
 model is then fitted on all training rows.
 
 Features are words and their first 4 to 7 characters, in lower case.  Those whose
-presence differs most between a category's classes are kept; each gives two
-numbers, whether it occurs and log(1 + occurrences per 100 words), since in a
-long text a part of a word may be there by chance.
+presence differs most between a category's classes are kept for its model; each
+gives two numbers, whether it occurs and log(1 + occurrences per 100 words), since
+in a long text a part of a word may be there by chance.  Both are scaled by the
+log ratio of the feature's shares in the two classes, so that the penalty weighs
+less on features that tell the classes apart; that helps where labels are few.
 
 Fitting uses a bounded sample of the labelled rows, ``SAMPLE_ROWS`` for each
 class of the last category, weighted back to the classes' shares.  All documents
@@ -18,6 +20,7 @@ are scored, whole, in one pass without a shuffle.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -32,12 +35,12 @@ from ledgerlens.llm.common import ship_package, slices, stage
 
 #: (name, label column, value that means yes), in the order of the chain; the last one decides.
 CATEGORIES = (("low_quality", "quality", 0), ("toxic", "toxic", 1))
-SAMPLE_ROWS = 6_000
-FEATURES = 300
-MIN_DOCS = 5
+SAMPLE_ROWS = 5_000
+FEATURES = 150
+MIN_DOCS = 3
 FOLDS = 5
 RIDGE = 1.0
-THRESHOLD = 0.5
+THRESHOLD = 0.4
 MAX_WORDS = 400_000
 WORD = re.compile(r"\w+")
 
@@ -71,60 +74,93 @@ class Extractor(dict):
         return np.concatenate([at, at + len(self.number)]), np.concatenate([np.ones(len(at)), np.log1p(100 * n / len(words))])
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = RIDGE) -> np.ndarray:
-    """Weights (the last is the intercept, which isn't penalised) by Newton's method."""
-    x = np.column_stack([x, np.ones(len(x))])
-    penalty = np.full(x.shape[1], ridge)
+def _blocks(x: np.ndarray, rows: int = 1024):
+    for i in range(0, len(x), rows):
+        yield slice(i, i + rows), x[i:i + rows].astype(np.float64)
+
+
+def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, scale: np.ndarray, ridge: float = RIDGE) -> np.ndarray:
+    """Coefficients for the columns of ``x`` by Newton's method, with a ridge
+    penalty on those of the columns times ``scale``; columns of scale 0 get none.
+    The last column is all ones, and its coefficient, the intercept, isn't
+    penalised.  Rows of weight 0 don't count.  Besides ``x`` it holds a block of
+    rows and a square of columns."""
+    used = np.flatnonzero(scale)
+    s = scale[used]
+    penalty = np.full(len(used), ridge)
     penalty[-1] = 1e-6
-    w = np.zeros(x.shape[1])
+    w = np.zeros(len(used))
 
     def loss(w):
-        z = x @ w
+        z = np.concatenate([b[:, used] @ (w * s) for _, b in _blocks(x)])
         return float(weight @ (np.logaddexp(0, z) - y * z) + penalty @ w**2 / 2)
 
     now = loss(w)
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (weight * (p - y)) + penalty * w
-        hessian = (x * (weight * np.maximum(p * (1 - p), 1e-9))[:, None]).T @ x + np.diag(penalty)
+        gradient, hessian = penalty * w, np.diag(penalty)
+        for at, b in _blocks(x):
+            b = b[:, used] * s
+            p = 1 / (1 + np.exp(-np.clip(b @ w, -30, 30)))
+            gradient += b.T @ (weight[at] * (p - y[at]))
+            hessian += (b * (weight[at] * np.maximum(p * (1 - p), 1e-9))[:, None]).T @ b
         step, rate = np.linalg.solve(hessian, gradient), 1.0
         while (new := loss(w - rate * step)) > now and rate > 1e-6:
             rate /= 2
+        if rate <= 1e-6:
+            break
         w, done, now = w - rate * step, now - new < 1e-7 * (1 + abs(now)), new
         if done:
             break
-    return w
+    out = np.zeros(x.shape[1])
+    out[used] = w * s
+    return out
 
 
 def log_odds(x: np.ndarray, w: np.ndarray) -> np.ndarray:
-    return np.clip(x @ w[:-1] + w[-1], -20, 20)
+    return np.clip(np.concatenate([b @ w for _, b in _blocks(x)] or [np.zeros(0)]), -20, 20)
 
 
 @dataclass
 class Chain:
+    """``models[c]``: coefficients of the features, of the log-odds (a quarter of
+    them, to be of the features' size) of the categories before c, and the intercept."""
+
     features: list[str]
     names: list[str]
     models: list[np.ndarray] = field(default_factory=list)
 
-    @staticmethod
-    def fit(features: list[str], names: list[str], x: np.ndarray, y: np.ndarray, weight: np.ndarray, fold: np.ndarray) -> Chain:
-        out, before = Chain(features, names), np.zeros((len(x), 0))
-        for c in range(len(names)):
-            full = np.column_stack([x, before / 4])
-            out.models.append(fit_logistic(full, y[:, c], weight))
-            unseen = np.zeros(len(x))
+    @property
+    def width(self) -> int:
+        return 2 * len(self.features) + len(self.names) + 1
+
+    def matrix(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Features first, then a column for each category, then ones."""
+        x = np.zeros((len(vectors), self.width), np.float32)
+        for row, (at, value) in zip(x, vectors, strict=True):
+            row[at] = value
+        x[:, -1] = 1
+        return x
+
+    def fit(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray, fold: np.ndarray, scales: list[dict[str, float]]) -> Chain:
+        """``scales``: for each category its features and their scales."""
+        for c in range(len(self.names)):
+            own = np.array([scales[c].get(f, 0.0) for f in self.features])
+            before = np.arange(len(self.names)) < c
+            scale = np.concatenate([own, own, before.astype(float), [1.0]])
+            self.models.append(fit_logistic(x, y[:, c], weight, scale))
             for k in range(FOLDS):
-                rest = fold != k
-                if rest.any() and (~rest).any():
-                    unseen[~rest] = log_odds(full[~rest], fit_logistic(full[rest], y[rest, c], weight[rest]))
-            before = np.column_stack([before, unseen])
-        return out
+                out = fold == k
+                if out.any() and (~out).any():
+                    w = fit_logistic(x, y[:, c], weight * ~out, scale)
+                    x[out, c - len(self.names) - 1] = log_odds(x[out], w) / 4
+        return self
 
-    def probabilities(self, x: np.ndarray) -> np.ndarray:
-        before = np.zeros((len(x), 0))
-        for w in self.models:
-            before = np.column_stack([before, log_odds(np.column_stack([x, before / 4]), w)])
-        return 1 / (1 + np.exp(-before))
+    def probabilities(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        x, out = self.matrix(vectors), np.zeros((len(vectors), len(self.names)))
+        for c, w in enumerate(self.models):
+            out[:, c] = log_odds(x, w)
+            x[:, c - len(self.names) - 1] = out[:, c] / 4
+        return 1 / (1 + np.exp(-out))
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, rows: int = SAMPLE_ROWS,
@@ -149,9 +185,10 @@ def training_sample(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, r
             .join(F.broadcast(picked), "_id"))
 
 
-def choose_features(sample: DataFrame, n_categories: int, per_category: int = FEATURES) -> list[str]:
-    """The features whose presence differs most between a category's classes, by
-    the score of a two-sample test of proportions; equal scores by name."""
+def choose_features(sample: DataFrame, n_categories: int, per_category: int = FEATURES) -> list[dict[str, float]]:
+    """For each category the features whose presence differs most between its
+    classes, by the score of a two-sample test of proportions (equal scores by
+    name), and their scales."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
         yes: list[Counter] = [Counter() for _ in range(n_categories)]
@@ -178,14 +215,20 @@ def choose_features(sample: DataFrame, n_categories: int, per_category: int = FE
                    .groupBy("feature").agg(F.sum("n").alias("n"), *(F.sum(F.col("yes")[c]).alias(f"y{c}") for c in range(n_categories)))
                    .filter(F.col("n") >= MIN_DOCS))
     totals = sample.agg(F.count(F.lit(1)).alias("n"), *(F.sum(F.col("y")[c]).alias(f"y{c}") for c in range(n_categories))).first()
-    out: list[str] = []
+    out: list[dict[str, float]] = []
     for c in range(n_categories):
+        out.append({})
         n1, n0 = totals[f"y{c}"] or 0, totals.n - (totals[f"y{c}"] or 0)
         if n1 and n0:
             a, b, p = F.col(f"y{c}") / n1, (F.col("n") - F.col(f"y{c}")) / n0, F.col("n") / totals.n
             score = F.abs(a - b) / F.sqrt(F.greatest(p * (1 - p), F.lit(1e-9)) * (1 / n1 + 1 / n0))
-            out += [r.feature for r in counts.select("feature", F.round(score, 9).alias("s")).orderBy(F.desc("s"), "feature").limit(per_category).collect()]
-    return sorted(set(out))
+            best = counts.select("feature", "n", f"y{c}", F.round(score, 9).alias("s")).orderBy(F.desc("s"), "feature").limit(5 * per_category).collect()
+            # A word and its beginnings that have the same counts say the same: the first by name stands for them.
+            alike = dict.fromkeys((r.n, r[f"y{c}"], r.feature[1:5]) for r in best)
+            for k in list(alike)[:per_category]:
+                f = next(r.feature for r in best if (r.n, r[f"y{c}"], r.feature[1:5]) == k)
+                out[c][f] = abs(math.log((k[1] + 1) / (n1 + 2) * (n0 + 2) / (k[0] - k[1] + 1)))
+    return out
 
 
 def train(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, rows: int = SAMPLE_ROWS, features: int = FEATURES,
@@ -195,7 +238,8 @@ def train(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, rows: int =
     ship_package(docs.sparkSession)
     names = [n for n, _, _ in categories]
     sample = stage(training_sample(docs, labels, categories, rows, id_col, text_col))
-    kept = choose_features(sample, len(names), features)
+    scales = choose_features(sample, len(names), features)
+    kept = sorted({f for own in scales for f in own})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         extract = Extractor(kept)
@@ -206,25 +250,17 @@ def train(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, rows: int =
 
     kind = docs.schema[id_col].dataType.simpleString()
     data = (sample.select("_id", "text", "y", "weight", "fold")
-            .mapInArrow(run, f"_id {kind}, at array<bigint>, value array<double>, y array<int>, weight double, fold bigint").toPandas())
+            .mapInArrow(run, f"_id {kind}, at array<bigint>, value array<double>, y array<int>, weight double, fold bigint").toArrow())
     # Rows arrive in any order; a set order gives the same model each time.
-    data["key"] = [(str(i), tuple(a), tuple(v)) for i, a, v in zip(data["_id"], data["at"], data["value"], strict=True)]
-    data = data.sort_values("key")
-    x = np.zeros((len(data), 2 * len(kept)))
-    for i, (a, v) in enumerate(zip(data["at"], data["value"], strict=True)):
-        x[i, np.asarray(a, np.int64)] = v
-    y = np.array(data["y"].tolist(), float).reshape(len(data), len(names))
-    if not len(data):
-        return Chain([], names, [np.append(np.zeros(c), -20.0) for c in range(len(names))])
-    return Chain.fit(kept, names, x, y, data["weight"].to_numpy(float), data["fold"].to_numpy())
-
-
-def _score(chain: Chain, extract: Extractor, texts: list) -> np.ndarray:
-    x = np.zeros((len(texts), 2 * len(chain.features)))
-    for i, t in enumerate(texts):
-        at, value = extract.vector(t)
-        x[i, at] = value
-    return chain.probabilities(x)
+    columns = [data.column(c).to_pylist() if c in ("_id", "y", "weight", "fold") else [v.values.to_numpy() for v in data.column(c)]
+               for c in ("_id", "at", "value", "y", "weight", "fold")]
+    rows = sorted(zip(*columns, strict=True), key=lambda r: (r[0], r[1].tobytes(), r[2].tobytes()))
+    if not rows:
+        return Chain([], names, [np.append(np.zeros(len(names)), -20.0) for _ in names])
+    chain = Chain(kept, names)
+    x = chain.matrix([(r[1], r[2]) for r in rows])
+    y = np.array([r[3] for r in rows], float).reshape(len(rows), len(names))
+    return chain.fit(x, y, np.array([r[4] for r in rows], float), np.array([r[5] for r in rows]), scales)
 
 
 def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -238,7 +274,7 @@ def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         extract = Extractor(model.value.features)
         for b in slices(batches):
-            p = _score(model.value, extract, b.column(1).to_pylist())
+            p = model.value.probabilities([extract.vector(t) for t in b.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(p[:, c]) for c in range(len(names))), pa.array(p[:, -1] >= threshold)], [id_col, *names, "rejected"])
 
     kind = docs.schema[id_col].dataType.simpleString()
@@ -253,7 +289,7 @@ def drop_toxic(docs: DataFrame, chain: Chain, text_col: str = "text", threshold:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         extract = Extractor(model.value.features)
         for b in slices(batches):
-            p = _score(model.value, extract, b.column(at).to_pylist())
+            p = model.value.probabilities([extract.vector(t) for t in b.column(at).to_pylist()])
             yield b.filter(pa.array(p[:, -1] < threshold))
 
     return docs.mapInArrow(run, docs.schema)
