@@ -6,12 +6,11 @@ the top/bottom selection, whose size is fixed by ``n``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens import config as C
 from ledgerlens.functions.columns import safe_corr
-from ledgerlens.operators.ranking import exact_medians
 
 CORR_FEATURES = ["tx_count", "wallet_age_days", "borrow_count", "repay_count", "market_count",
                  "liquidation_count_borrower"]
@@ -23,20 +22,29 @@ def score_distribution(final: DataFrame) -> DataFrame:
     return final.groupBy("final_score").agg(F.count(F.lit(1)).alias("wallets"))
 
 
-def score_overall(final: DataFrame, rows: int | None = None) -> DataFrame:
-    """n, min, max, mean and exact median of the final score (A12); ``rows``
-    is a known wallet count (enables the bounded built-in median)."""
-    s = final.agg(F.count(F.lit(1)).alias("wallets"), F.min("final_score").alias("min_score"),
-                  F.max("final_score").alias("max_score"), F.avg("final_score").alias("mean_score"))
-    med = exact_medians(final, ["final_score"], rows=rows).withColumnRenamed("final_score", "median_score")
-    return s.crossJoin(med)   # two one-row tables
+def score_overall(final: DataFrame) -> DataFrame:
+    """n, min, max, mean and exact median of the final score (A12), all from the
+    histogram of the 101 possible scores."""
+    h = score_distribution(final.where(F.col("final_score").isNotNull()))
+    w = Window.orderBy("final_score").rowsBetween(Window.unboundedPreceding, -1)   # at most 101 rows
+    h = h.withColumn("_below", F.coalesce(F.sum("wallets").over(w), F.lit(0)))
+    n = F.sum("wallets").over(Window.partitionBy())
+    h = h.withColumn("_n", n)
+    holds = lambda k: (F.col("_below") <= k) & (k < F.col("_below") + F.col("wallets"))
+    low, high = F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)
+    middle = lambda k: F.max(F.when(holds(k), F.col("final_score")))
+    s, k = F.col("final_score"), F.col("wallets")
+    return h.agg(F.coalesce(F.sum(k), F.lit(0)).alias("wallets"), F.min(s).alias("min_score"), F.max(s).alias("max_score"),
+                 (F.sum(s * k) / F.sum(k)).alias("mean_score"), ((middle(low) + middle(high)) / 2).alias("median_score"))
 
 
-def score_feature_corr(final: DataFrame, features: DataFrame, names=CORR_FEATURES) -> DataFrame:
+def score_feature_corr(final: DataFrame, features: DataFrame | None = None, names=CORR_FEATURES) -> DataFrame:
     """Pearson correlation of the final score with features, long form (A13,
-    J6).  Constant columns give NULL (the reference prints nan)."""
-    names = [n for n in names if n in features.columns]
-    j = features.select("wallet", *names).join(final.select("wallet", "final_score"), "wallet", "inner")
+    J6).  Constant columns give NULL (the reference prints nan).  Without
+    ``features`` they are columns of ``final`` and nothing is joined."""
+    names = [n for n in names if n in (features or final).columns]
+    j = final if features is None else \
+        features.select("wallet", *names).join(final.select("wallet", "final_score"), "wallet", "inner")
     wide = j.agg(*[safe_corr("final_score", n).alias(n) for n in names])
     stack = F.explode(F.array(*[F.struct(F.lit(n).alias("feature"), F.col(n).alias("correlation"))
                                 for n in names]))
@@ -53,15 +61,18 @@ def top_and_bottom(final: DataFrame, n: int = 5) -> DataFrame:
     return top.unionByName(bottom)
 
 
-def top_bottom_analysis(final: DataFrame, features: DataFrame, n: int = 5,
+def top_bottom_analysis(final: DataFrame, features: DataFrame | None = None, n: int = 5,
                         feature_names=KEY_FEATURES) -> DataFrame:
-    """Analysis table (H14, J4): the 2n selected wallets joined to their
-    features.  The selection is bounded by ``n`` so it is broadcast."""
-    sel = top_and_bottom(final.select("wallet", "final_score", "raw_score"), n)
-    cols = [c for c in feature_names if c in features.columns]
-    feats = features.select("wallet", *cols)
-    return (feats.join(F.broadcast(sel), "wallet", "inner")
-                 .withColumn("wallet_prefix", F.substring("wallet", 1, 10))
+    """Analysis table (H14, J4): the 2n selected wallets with their features,
+    which are columns of ``final`` or, if given, joined from ``features`` (the
+    selection is bounded by ``n``, so it is broadcast)."""
+    cols = [c for c in feature_names if c in (features or final).columns]
+    if features is None:
+        sel = top_and_bottom(final.select("wallet", "final_score", "raw_score", *cols), n)
+    else:
+        sel = features.select("wallet", *cols).join(
+            F.broadcast(top_and_bottom(final.select("wallet", "final_score", "raw_score"), n)), "wallet", "inner")
+    return (sel.withColumn("wallet_prefix", F.substring("wallet", 1, 10))
                  .select("wallet", "wallet_prefix", "group", "final_score", "raw_score", *cols))
 
 

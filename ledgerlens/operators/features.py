@@ -137,15 +137,23 @@ def temporal_features(tx: DataFrame, optimize: bool = True,
     optimize=False: sample stddev, no CV column.  Wallets with one row get no
     row here (NULL after the left join)."""
     gaps = consecutive_gaps(tx, "account", "timestamp", chunk_seconds)
-    g = F.col("gap_days")
-    aggs = [F.avg(g).alias("avg_time_between_tx_days"),
-            F.max(g).alias("max_time_between_tx_days"),
-            F.min(g).alias("min_time_between_tx_days")]
-    if optimize:
-        aggs.append(F.stddev_pop(g).alias("activity_consistency_stddev"))
-    else:
-        aggs.append(F.stddev_samp(g).alias("activity_consistency_stddev"))
-    t = gaps.groupBy(F.col("account").alias("wallet")).agg(*aggs)
+    day = F.lit(86_400_000_000.0)
+    us = F.col("gap_us")
+    wide = us.cast("decimal(19,0)")
+    # Sums of whole microseconds and of their squares are exact, so wallets with
+    # the same gaps get the same statistics whatever order the rows come in.
+    t = gaps.groupBy(F.col("account").alias("wallet")).agg(
+        F.count(us).alias("_n"), F.sum(us).alias("_s"), F.sum(wide * wide).alias("_q"),
+        F.max(us).alias("_max"), F.min(us).alias("_min"))
+    n = F.col("_n").cast("decimal(19,0)")
+    s = F.col("_s").cast("decimal(19,0)")
+    spread = (F.col("_q") * n).cast("decimal(38,0)") - (s * s).cast("decimal(38,0)")
+    k = F.col("_n").cast("double")
+    square = k * (k if optimize else F.nullif(k - 1, F.lit(0.0)))
+    t = t.select("wallet", (F.col("_s") / k / day).alias("avg_time_between_tx_days"),
+                 (F.col("_max") / day).alias("max_time_between_tx_days"),
+                 (F.col("_min") / day).alias("min_time_between_tx_days"),
+                 (F.sqrt(spread.cast("double") / square) / day).alias("activity_consistency_stddev"))
     if optimize:
         t = t.withColumn("activity_consistency_cv",
                          F.when(F.col("avg_time_between_tx_days") > 0,
@@ -179,18 +187,17 @@ def imputation_plan(dtypes) -> dict:
     return plan
 
 
-def impute_features(df: DataFrame, nullable=None, rows: int | None = None) -> DataFrame:
+def impute_features(df: DataFrame, nullable=None) -> DataFrame:
     """Median / zero imputation (A10).  ``nullable`` restricts the median
     computation to columns that can hold NULL (filling a column without NULL is
     a no-op); by default every median-rule column is considered.  Medians are
-    exact: with a known row count up to ``ranking.SMALL_ROWS`` the built-in
-    aggregate is used, otherwise the distributed order statistics."""
+    exact (distributed order statistics)."""
     plan = imputation_plan(df.dtypes)
     zero_cols = [c for c, r in plan.items() if r == "zero"]
     med_cols = [c for c, r in plan.items() if r == "median" and (nullable is None or c in nullable)]
     out = df
     if med_cols:
-        med = exact_medians(df, med_cols, rows=rows).select(*[F.col(c).alias(f"_med_{c}") for c in med_cols])
+        med = exact_medians(df, med_cols).select(*[F.col(c).alias(f"_med_{c}") for c in med_cols])
         out = out.crossJoin(F.broadcast(med))  # one row
         out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"_med_{c}"), F.lit(0.0)) for c in med_cols})
         out = out.drop(*[f"_med_{c}" for c in med_cols])

@@ -5,7 +5,9 @@ of one account to one task; a bot wallet holding a third of the data would
 then sort a third of the data in one task.  These helpers split each
 account's timeline into time chunks: the row-level window runs per
 (account, chunk), and only one summary row per chunk crosses chunks through a
-second, small window.  Results are exact.
+second, small window.  Chunks follow the data (:func:`with_chunks`): a day of a
+key that holds many rows is cut further, at quantiles of its times.  Results are
+exact.
 """
 
 from __future__ import annotations
@@ -18,25 +20,64 @@ from ledgerlens.functions.columns import chunk_of, day_diff
 DEFAULT_CHUNK_SECONDS = 86400
 
 
+#: A chunk is cut further if it has more than twice this many rows, or than
+#: twice this share of all rows; the cut points of all keys are at most 1 / SHARE.
+CHUNK_ROWS, CHUNK_SHARE = 50_000, 1 / 65_536
+GRID = 1024
+
+
+def with_chunks(df: DataFrame, keys, ts: str, chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
+                rows: int | None = None) -> DataFrame:
+    """Add ``_chunk``, which rises with time within a key: the fixed chunk of
+    ``chunk_seconds``, and within one that holds many rows the part between two
+    quantiles of its times.  Rows of one time stay together.
+
+    The counts are one aggregation (partial on the map side); only chunks over
+    the limit are read again for their quantiles.  The table of cut points is
+    broadcast: there are at most ``1 / CHUNK_SHARE`` of them in all, since each
+    stands for that share of the rows at least."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    rows = rows or CHUNK_ROWS
+    t = df.withColumns({"_base": chunk_of(ts, chunk_seconds), "_us": F.unix_micros(ts)})
+    counts = t.groupBy(*keys, "_base").agg(F.count(F.lit(1)).alias("_n"))
+    limit = counts.agg(F.greatest(F.lit(float(rows)), F.sum("_n") * CHUNK_SHARE).alias("_limit"))
+    hot = counts.crossJoin(F.broadcast(limit)).where(F.col("_n") > 2 * F.col("_limit"))     # one row of one number
+    parts = F.least(F.ceil(F.col("_n") / F.col("_limit")), F.lit(GRID)).cast("int").alias("_parts")
+    grid = F.percentile_approx("_us", [i / GRID for i in range(1, GRID)], 10 * GRID).alias("_grid")
+    own = t.select(*keys, "_base", "_us").join(F.broadcast(hot.select(*keys, "_base", parts)), [*keys, "_base"])
+    cuts = own.groupBy(*keys, "_base").agg(grid, F.first("_parts").alias("_parts"))
+    pick = F.transform(F.sequence(F.lit(1), F.col("_parts") - 1), lambda i: F.get("_grid", F.floor(i * GRID / F.col("_parts")).cast("int") - 1))
+    cuts = cuts.select(*keys, "_base", F.array_distinct(pick).alias("_cuts"))
+    t = t.join(F.broadcast(cuts), [*keys, "_base"], "left")
+    part = F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col("_us"))), F.lit(0))
+    part = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(part)
+    return t.withColumn("_chunk", F.col("_base").cast("bigint") * GRID + part).drop("_base", "_us", "_cuts")
+
+
+def gap_us(start, end):
+    """Microseconds from one timestamp column to another."""
+    return F.unix_micros(end) - F.unix_micros(start)
+
+
 def consecutive_gaps(tx: DataFrame, key: str = "account", ts: str = "timestamp",
                      chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
-    """All next-minus-current intervals (days) of each key's sorted timeline.
+    """All next-minus-current intervals of each key's sorted timeline.
 
-    Returns (key, gap_days): within-chunk gaps plus one gap between each pair
-    of consecutive non-empty chunks.  Ties give 0.
+    Returns (key, gap_us, gap_days): within-chunk gaps plus one gap between each
+    pair of consecutive non-empty chunks, in whole microseconds and in days.
+    Ties give 0.
     """
-    t = tx.select(F.col(key), F.col(ts).alias("_ts")).withColumn("_chunk", chunk_of("_ts", chunk_seconds))
+    t = with_chunks(tx.select(F.col(key), F.col(ts).alias("_ts")), key, "_ts", chunk_seconds)
     w = Window.partitionBy(key, "_chunk").orderBy("_ts")
     win = t.withColumn("_next", F.lead("_ts").over(w))
     inner = (win.where(F.col("_next").isNotNull())
-                .select(key, day_diff("_ts", "_next").alias("gap_days")))
-    # Chunk summaries from the windowed rows: already partitioned by
-    # (key, chunk), so no second scan or shuffle of the log.
+                .select(key, gap_us("_ts", "_next").alias("gap_us"), day_diff("_ts", "_next").alias("gap_days")))
+    # Chunk summaries: Spark pre-aggregates them from its own scan of the log.
     cs = win.groupBy(key, "_chunk").agg(F.min("_ts").alias("_first"), F.max("_ts").alias("_last"))
     wc = Window.partitionBy(key).orderBy("_chunk")
     cross = (cs.withColumn("_nf", F.lead("_first").over(wc))
                .where(F.col("_nf").isNotNull())
-               .select(key, day_diff("_last", "_nf").alias("gap_days")))
+               .select(key, gap_us("_last", "_nf").alias("gap_us"), day_diff("_last", "_nf").alias("gap_days")))
     return inner.unionByName(cross)
 
 
@@ -44,7 +85,7 @@ def with_neighbors(df: DataFrame, key: str = "account", ts: str = "timestamp",
                    tiebreak=(), chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
     """Add ``prev_ts`` and ``next_ts``: the key's previous / next timestamp in
     (ts, *tiebreak) order, across chunk borders."""
-    t = df.withColumn("_chunk", chunk_of(ts, chunk_seconds))
+    t = with_chunks(df, key, ts, chunk_seconds)
     w = Window.partitionBy(key, "_chunk").orderBy(ts, *tiebreak)
     t = t.withColumn("_p", F.lag(ts).over(w)).withColumn("_n", F.lead(ts).over(w))
     cs = t.groupBy(key, "_chunk").agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"))
@@ -62,7 +103,7 @@ def running_sums(df: DataFrame, key: str, order: list, values: dict,
     """Inclusive running sums per key in ``order``; ``values`` maps output name
     to a numeric Column.  Chunk totals are prefixed across chunks by a small
     window, row-level sums run per (key, chunk)."""
-    t = df.withColumn("_chunk", chunk_of(ts, chunk_seconds)).withColumns(
+    t = with_chunks(df, key, ts, chunk_seconds).withColumns(
         {f"_v_{n}": c for n, c in values.items()})
     w = Window.partitionBy(key, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     t = t.withColumns({f"_l_{n}": F.sum(f"_v_{n}").over(w) for n in values})
@@ -84,7 +125,7 @@ def with_previous(df: DataFrame, key, ts: str = "timestamp", carry=(), tiebreak=
     the previous row of the same key in (ts, *tiebreak) order."""
     keys = [key] if isinstance(key, str) else list(key)
     order = [ts, *tiebreak]
-    t = df.withColumn("_chunk", chunk_of(ts, chunk_seconds))
+    t = with_chunks(df, keys, ts, chunk_seconds)
     w = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     t = t.withColumns({"_p_ts": F.lag(ts).over(w), "_rn": F.row_number().over(w),
                        **{f"_p_{c}": F.lag(c).over(w) for c in carry}})
@@ -105,7 +146,7 @@ def min_at_or_after(df: DataFrame, key, value: str, out: str, ts: str = "timesta
     """``out`` = min of ``value`` over rows of the same key with a timestamp at
     or after the row's (ties included), e.g. the next repayment time."""
     keys = [key] if isinstance(key, str) else list(key)
-    t = df.withColumn("_chunk", chunk_of(ts, chunk_seconds))
+    t = with_chunks(df, keys, ts, chunk_seconds)
     w = Window.partitionBy(*keys, "_chunk").orderBy(ts).rangeBetween(Window.currentRow, Window.unboundedFollowing)
     t = t.withColumn("_loc", F.min(value).over(w))
     cs = t.groupBy(*keys, "_chunk").agg(F.min(value).alias("_cm"))
@@ -122,7 +163,7 @@ def last_known(df: DataFrame, key, value: str, out: str, ts: str = "timestamp",
     nulls, chunked so a hot key spreads over tasks)."""
     keys = [key] if isinstance(key, str) else list(key)
     order = [ts, *tiebreak]
-    t = df.withColumn("_chunk", chunk_of(ts, chunk_seconds))
+    t = with_chunks(df, keys, ts, chunk_seconds)
     w = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     t = t.withColumn("_loc", F.last(value, ignorenulls=True).over(w))
     known = F.when(F.col(value).isNotNull(), F.struct(*[F.col(c) for c in order]))

@@ -34,10 +34,10 @@ def value_positions(df: DataFrame, value: str, groups=(), buckets: int | None =
     """(groups..., value, cnt, pos, n): distinct non-null values with their
     1-based minimum rank ``pos`` and the group's non-null row count ``n``.
 
-    Few groups: cut points per group (groups x buckets, broadcast).  Many
-    groups (e.g. one per wallet): one global set of cut points (buckets
-    doubles, broadcast) and the per-(group, bucket) offsets are joined, not
-    broadcast.  Rows and distinct values are unbounded either way."""
+    Few groups: cut points per group.  Many groups (e.g. one per wallet): one
+    global set of cut points (a row of ``buckets`` doubles, broadcast).  The
+    joins on group and bucket carry no broadcast hint: Spark goes by their
+    measured size.  Rows and distinct values are unbounded either way."""
     g = list(groups)
     b = _buckets(df, buckets)
     v = F.col(value)
@@ -51,8 +51,13 @@ def value_positions(df: DataFrame, value: str, groups=(), buckets: int | None =
         # Cut points over the distinct values: buckets get similar numbers of
         # distinct values, which is what the per-bucket window processes.
         cuts = dv.groupBy(*g).agg(F.percentile_approx(v, probs, 10 * b).alias("_cuts"))
-        dvb = dv.join(F.broadcast(cuts), g, "inner") if g else dv.crossJoin(F.broadcast(cuts))
-    dvb = dvb.withColumn("_bucket", F.size(F.filter("_cuts", lambda c: c < v))).drop("_cuts")
+        dvb = dv.join(cuts, g, "inner") if g else dv.crossJoin(F.broadcast(cuts))
+    # Two steps of about sqrt(b) comparisons each instead of one with every cut point.
+    step = max(1, round((b - 1) ** 0.5))
+    coarse = F.filter("_cuts", lambda c, i: ((i + 1) % step == 0) & (c < v))
+    dvb = dvb.withColumn("_c", F.size(coarse) * step)
+    fine = F.filter(F.slice("_cuts", F.col("_c") + 1, step), lambda c: c < v)
+    dvb = dvb.withColumn("_bucket", F.col("_c") + F.size(fine)).drop("_cuts", "_c")
     tot = dvb.groupBy(*g, "_bucket").agg(F.sum("_cnt").alias("_bc"))
     wo = Window.partitionBy(*g).orderBy("_bucket")
     tot = tot.select(*g, "_bucket",
@@ -61,8 +66,6 @@ def value_positions(df: DataFrame, value: str, groups=(), buckets: int | None =
                      F.sum("_bc").over(Window.partitionBy(*g)).alias("n"))
     wb = Window.partitionBy(*g, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     dvb = dvb.withColumn("_pre", F.coalesce(F.sum("_cnt").over(wb), F.lit(0)))
-    # Few groups: tot has at most groups x buckets rows, a bounded broadcast.
-    tot = tot if many_groups else F.broadcast(tot)
     return (dvb.join(tot, [*g, "_bucket"], "inner")
                .select(*g, value, F.col("_cnt").alias("cnt"),
                        (F.col("_off") + F.col("_pre") + 1).alias("pos"), "n"))
@@ -96,21 +99,12 @@ def exact_quantile_long(long_df: DataFrame, group: str, value: str, q: float = 0
     return agg.select(group, (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_f")).alias("quantile"))
 
 
-# Row count up to which a global exact median may use the built-in aggregate:
-# its final merge holds the distinct values of one column in one task.
-SMALL_ROWS = 500_000
-
-
-def exact_medians(df: DataFrame, columns: list, buckets: int | None = None, rows: int | None = None) -> DataFrame:
+def exact_medians(df: DataFrame, columns: list, buckets: int | None = None) -> DataFrame:
     """One-row DataFrame with the exact median of each column (NULL if the
-    column has no value).  ``rows`` is a known row count (e.g. of a stage
-    table); up to ``SMALL_ROWS`` the built-in ``median`` is used (bounded
-    single-task merge), otherwise all columns are handled in one distributed
-    pass by stacking them into a long (name, value) table."""
+    column has no value): one distributed pass over all columns, stacked into a
+    long (name, value) table, at every size."""
     if not columns:
         return df.sparkSession.range(1).select()
-    if rows is not None and rows <= SMALL_ROWS:
-        return df.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in columns])
     stack = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("v"))
                                 for c in columns])).alias("s")
     long_df = df.select(stack).select("s.name", "s.v")

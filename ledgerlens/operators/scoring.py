@@ -141,14 +141,14 @@ def score_wallets(features: DataFrame, anomaly: DataFrame | None = None,
 
 
 def final_score(scored: DataFrame, method: str = C.SCORING_METHOD, reverse: bool = C.SCORING_REVERSE,
-                k: float = C.SIGMOID_K, x0: float = C.SIGMOID_X0, tie_digits: int | None = 12,
+                k: float = C.SIGMOID_K, x0: float = C.SIGMOID_X0, tie_digits: int | None = None,
                 buckets: int | None = None) -> DataFrame:
     """0-100 integer ``final_score``.
 
     percentile: rank(min, pct) of raw_score, ascending when ``reverse`` (so a
     high raw score gets a high score, as in the reference); min_max and sigmoid
-    invert when ``reverse``.  Raw scores are rounded to ``tie_digits`` before
-    ranking so last-bit noise of floating sums does not split ties."""
+    invert when ``reverse``.  Raw scores are ranked as they are; ``tie_digits``
+    rounds them first, for sources whose equal wallets differ in the last bits."""
     if "credit_score" in scored.columns:
         return scored.withColumn("final_score", F.col("credit_score"))
     raw = F.col("raw_score")

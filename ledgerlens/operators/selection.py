@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from ledgerlens import config as C
 from ledgerlens.functions.columns import safe_corr
+from ledgerlens.operators.ranking import value_positions
+from ledgerlens.session import stage
 
 TIMESTAMPS = ("first_tx_timestamp", "last_tx_timestamp")
 
@@ -50,23 +52,24 @@ def correlation_ranking(train: DataFrame, threshold: float = 0.1) -> DataFrame:
                .withColumn("selected", F.coalesce(F.col("abs_correlation") >= threshold, F.lit(False)))
 
 
-def _bin(x, lo, hi, bins):
-    return F.when(hi > lo, F.least(F.lit(bins - 1), F.floor(((x - lo) / (hi - lo)) * F.lit(bins)))) \
-            .otherwise(F.lit(0)).cast("int")
+def rank_bins(long: DataFrame, bins: int) -> DataFrame:
+    """(feature, value, bin) from a long (feature, value) table: ``bins`` bins of
+    equal counts by minimum rank, so a monotone change of a feature changes
+    nothing and equal values share a bin."""
+    p = value_positions(long, "value", ["feature"])
+    return p.select("feature", "value", F.floor((F.col("pos") - 1) * bins / F.col("n")).cast("int").alias("bin"))
 
 
 def mutual_info_ranking(train: DataFrame, bins: int = 10) -> DataFrame:
-    """Binned mutual information with the label (M8, re-aimed): equal-width
-    bins on [min, max] per column, MI = sum p(x,y) ln(p(x,y) / (p(x) p(y)))."""
+    """Mutual information with the label (M8) over bins of equal counts:
+    MI = sum p(x,y) ln(p(x,y) / (p(x) p(y)))."""
     cols = feature_columns(train)
-    st = train.agg(*[F.min(c).alias(f"_lo_{c}") for c in cols + ["label"]],
-                   *[F.max(c).alias(f"_hi_{c}") for c in cols + ["label"]])
-    t = train.crossJoin(F.broadcast(st))   # one row
-    yb = _bin(F.col("label"), F.col("_lo_label"), F.col("_hi_label"), bins)
-    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"),
-                                         _bin(F.col(c), F.col(f"_lo_{c}"), F.col(f"_hi_{c}"), bins).alias("xb"))
-                                for c in cols]))
-    long = t.select(yb.alias("yb"), cells.alias("s")).select("s.feature", "s.xb", "yb")
+    stacked = lambda df, names, *keep: df.select(*keep, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in names])).alias("s")).select(*keep, "s.*")
+    binned = stage(rank_bins(stacked(train, [*cols, "label"]), bins))
+    label = binned.where(F.col("feature") == "label").select(F.col("value").alias("label"), F.col("bin").alias("yb"))
+    t = stacked(train.join(label, "label"), cols, "yb")
+    long = t.join(binned, ["feature", "value"]).select("feature", F.col("bin").alias("xb"), "yb")
     joint = long.groupBy("feature", "xb", "yb").agg(F.count(F.lit(1)).alias("nxy"))
     wf = Window.partitionBy("feature")
     joint = (joint.withColumn("n", F.sum("nxy").over(wf))
@@ -113,16 +116,34 @@ def recursive_elimination(train: DataFrame, n_features: int = 10, n_trees: int =
     return cols
 
 
-def redundant_pairs(train: DataFrame, threshold: float = 0.8, top: int = 20) -> DataFrame:
-    """Feature pairs (i < j) with |r| > threshold, strongest first."""
-    cols = feature_columns(train)
-    pairs = list(combinations(cols, 2))
+def pair_correlations(train: DataFrame, cols=None) -> DataFrame:
+    """(feature_a, feature_b, correlation) for each pair of columns, a before b
+    in column order: one aggregation, one row per pair of columns."""
+    pairs = list(combinations(cols or feature_columns(train), 2))
+    if not pairs:
+        return train.sparkSession.createDataFrame([], "feature_a string, feature_b string, correlation double")
     wide = train.agg(*[safe_corr(a, b).alias(f"{a}__{b}") for a, b in pairs])
     st = F.explode(F.array(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
                                       F.col(f"{a}__{b}").alias("correlation")) for a, b in pairs]))
-    long = wide.select(st.alias("s")).select("s.*")
-    return (long.where(F.abs("correlation") > threshold)
-                .orderBy(F.round(F.abs("correlation"), 12).desc(), "feature_a", "feature_b").limit(top))
+    return wide.select(st.alias("s")).select("s.*")
+
+
+def correlation_matrix(train: DataFrame, cols=None) -> DataFrame:
+    """The full correlation matrix in long form (M10): both orders of each pair
+    and the diagonal (1, or NULL for a constant column)."""
+    cols = cols or feature_columns(train)
+    pairs = pair_correlations(train, cols)
+    own = train.agg(*[safe_corr(c, c).alias(c) for c in cols])
+    diagonal = own.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature_a"), F.lit(c).alias("feature_b"), F.col(c).alias("correlation"))
+                                              for c in cols])).alias("s")).select("s.*")
+    return pairs.unionByName(pairs.select(F.col("feature_b").alias("feature_a"), F.col("feature_a").alias("feature_b"), "correlation")) \
+        .unionByName(diagonal)
+
+
+def redundant_pairs(train: DataFrame, threshold: float = 0.8) -> DataFrame:
+    """All feature pairs (i < j) with r > threshold, strongest first."""
+    return (pair_correlations(train).where(F.col("correlation") > threshold)
+            .orderBy(F.round("correlation", 12).desc(), "feature_a", "feature_b"))
 
 
 def feature_votes(lists: dict, n_features: int = 15, spark=None) -> DataFrame:

@@ -63,7 +63,8 @@ def _scored(spark, sf, source="events_sparse", optimize=True):
 
 
 def _final(spark, sf, method="percentile", source="events_sparse", optimize=True):
-    return SC.final_score(_scored(spark, sf, source, optimize), method)
+    """Final scores, staged: a query that uses them several times computes them once."""
+    return P.stage(SC.final_score(_scored(spark, sf, source, optimize), method), P.STAGE_MODE)
 
 
 FEATURE_DOUBLES = ["wallet_age_days", "borrow_to_supply_ratio_count", "borrow_to_supply_ratio_vol",
@@ -209,9 +210,10 @@ def q_liquidation_roles(spark, sf):
     tx = _tx(spark, sf, "events_dense")
     a = FE.wallet_activity(tx, "compat").select("wallet", "liquidation_count_borrower",
                                                 "liquidation_count_liquidator")
-    b = FE.wallet_activity(tx, "corrected").select(
-        "wallet", F.col("liquidation_count_liquidator").alias("liquidation_count_liquidator_corrected"))
-    return a.join(b, "wallet")
+    # The corrected mode differs in this count alone, so the activity is aggregated once.
+    b = FE.liquidator_counts(tx).withColumnRenamed("liquidation_count_liquidator", "_performed")
+    return a.join(b, "wallet", "left").select(
+        *a.columns, F.coalesce("_performed", F.lit(0).cast("long")).alias("liquidation_count_liquidator_corrected"))
 
 
 # ---------------------------------------------------------------- W1, A7, A8, P10
@@ -392,8 +394,7 @@ def q_score_distribution(spark, sf):
                        "round(avg(final_score), 6) AS mean_score, round(CAST(median(final_score) AS DOUBLE), 6) "
                        "AS median_score FROM fin"))
 def q_score_overall(spark, sf):
-    s = _scored(spark, sf)
-    return out(AN.score_overall(SC.final_score(s), rows=s.count()))   # count from parquet metadata
+    return out(AN.score_overall(_final(spark, sf)))
 
 
 def _corr_sql(a, b):
@@ -406,8 +407,7 @@ def _corr_sql(a, b):
         f"SELECT '{n}' AS feature, {_corr_sql('final_score', n)} AS correlation FROM fin"
         for n in AN.CORR_FEATURES) + ")"))
 def q_score_feature_corr(spark, sf):
-    fin = _final(spark, sf)
-    return out(AN.score_feature_corr(fin, fin))
+    return out(AN.score_feature_corr(_final(spark, sf)))
 
 
 _TB_COLS = ["wallet", "wallet_prefix", "group", "final_score", "raw_score"] + AN.KEY_FEATURES
@@ -420,8 +420,7 @@ _TB_COLS = ["wallet", "wallet_prefix", "group", "final_score", "raw_score"] + AN
     "(SELECT *, 'top' AS \"group\" FROM fin ORDER BY final_score DESC, wallet ASC LIMIT 5) UNION ALL "
     "(SELECT *, 'bottom' AS \"group\" FROM fin ORDER BY final_score ASC, wallet DESC LIMIT 5))"))
 def q_top_bottom_wallets(spark, sf):
-    fin = _final(spark, sf)
-    return out(AN.top_bottom_analysis(fin, fin, 5))
+    return out(AN.top_bottom_analysis(_final(spark, sf), n=5))
 
 
 @register("dedup_wallets", O.with_ctes(
@@ -506,13 +505,6 @@ def q_csv_roundtrip(spark, sf):
     return out(CL.clean_transactions(tx).select(*_CSV_COLS))
 
 
-@register("largest_files")
-def q_largest_files(spark, sf):
-    """The 3 largest driver table files (S1): file metadata only."""
-    return FI.largest_files(spark, sf, 3, "*.parquet").select(
-        F.element_at(F.split("path", "/"), -1).alias("file"), "length")
-
-
 # ---------------------------------------------------------------- M1-M5, J3 with a real anomaly table
 from ledgerlens.operators import anomaly as AM  # noqa: E402
 
@@ -564,6 +556,32 @@ def q_isolation_forest(spark, sf):
     return out(_anomaly_table(spark, sf)[1])
 
 
+def _distance_anomaly(spark, sf, f):
+    """The deterministic anomaly table (minus the norm of the standardised
+    features, rescaled) without the wallets whose id ends in 7."""
+    cols = AM.anomaly_feature_columns(f)
+    z = AM.standardize(f, cols)
+    s = z.select("wallet", (-F.sqrt(sum((F.pow(F.col(c), 2) for c in cols[1:]), F.pow(F.col(cols[0]), 2)))).alias("score"))
+    return P.stage(AM.rescale_decision(AM.decision_from_scores(s)).where(~F.col("wallet").endswith("7")), P.STAGE_MODE)
+
+
+@register("final_scores_distance_anomaly", O.with_ctes(
+    O.features_ctes() + ", z AS (SELECT wallet, " + ", ".join(f"{_z_sql(c)} AS z_{c}" for c in _ANOM_COLS)
+    + " FROM feat), s AS (SELECT wallet, " + _DIST_SQL + " AS score FROM z), "
+    "dd AS (SELECT wallet, score - (SELECT quantile_cont(score, 0.05) FROM s) AS decision FROM s), "
+    f"an AS (SELECT wallet, {O.d(1)} - (decision - mn) / (mx - mn + 1e-10) AS anomaly_score "
+    "FROM dd CROSS JOIN (SELECT min(decision) AS mn, max(decision) AS mx FROM dd) WHERE NOT ends_with(wallet, '7')), "
+    f"sc0 AS (SELECT feat.*, COALESCE(an.anomaly_score, {O.d(C.NEUTRAL_ANOMALY)}) AS anomaly_score FROM feat LEFT JOIN an USING (wallet)), "
+    f"{O.scoring_ctes(_W_COLS)}, {O.adjust_ctes(_W_COLS)}, fin AS ({O.percentile_sql('adjusted')})",
+    "SELECT wallet, round(anomaly_score, 6) AS anomaly_score, round(raw_score, 6) AS raw_score, final_score FROM fin"))
+def q_final_scores_distance_anomaly(spark, sf):
+    """The whole pipeline with an anomaly table that SQL can compute too and
+    that lacks some wallets (J3 left join with misses, H13, H15)."""
+    f = P.stage(_feats(spark, sf), P.STAGE_MODE)
+    s = P.scores(f, _distance_anomaly(spark, sf, f))
+    return out(SC.final_score(s).select("wallet", "anomaly_score", "raw_score", "final_score"))
+
+
 @register("final_scores_with_anomaly")
 def q_final_scores_with_anomaly(spark, sf):
     """Whole reference pipeline including the anomaly stage (J3 left join)."""
@@ -782,7 +800,7 @@ def q_weight_sensitivity(spark, sf):
 def _cut_final(spark, sf, cutoff):
     tx = _tx(spark, sf).where(F.col("timestamp") < F.lit(cutoff.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp"))
     f = P.features(tx, as_of=cutoff)
-    return SC.final_score(P.scores(f))
+    return P.stage(SC.final_score(P.scores(f)), P.STAGE_MODE)
 
 
 _CUTOFF = _dt.datetime(2024, 1, 16)
@@ -902,13 +920,11 @@ def q_feature_correlation(spark, sf):
 
 
 def _bin_sql(c, bins=10):
-    return (f"CAST(CASE WHEN hi_{c} > lo_{c} THEN least({bins - 1}, floor((({c} - lo_{c}) / (hi_{c} - lo_{c})) * {bins})) "
-            f"ELSE 0 END AS INTEGER)")
+    return f"CAST(floor((rank() OVER (ORDER BY {c}) - 1) * {bins} / count(*) OVER ()) AS INTEGER)"
 
 
-_MI_CTE = ("mst AS (SELECT " + ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in _TF_COLS + ["label"])
-           + " FROM tf), lg AS (" + " UNION ALL ".join(
-               f"SELECT '{c}' AS feature, {_bin_sql(c)} AS xb, {_bin_sql('label')} AS yb FROM tf CROSS JOIN mst" for c in _TF_COLS)
+_MI_CTE = ("lg AS (" + " UNION ALL ".join(
+               f"SELECT '{c}' AS feature, {_bin_sql(c)} AS xb, {_bin_sql('label')} AS yb FROM tf" for c in _TF_COLS)
            + "), jt AS (SELECT feature, xb, yb, count(*) AS nxy FROM lg GROUP BY ALL), "
            "jt2 AS (SELECT *, sum(nxy) OVER (PARTITION BY feature) AS n, sum(nxy) OVER (PARTITION BY feature, xb) AS nx, "
            "sum(nxy) OVER (PARTITION BY feature, yb) AS ny FROM jt), "
@@ -931,11 +947,19 @@ def _pairs_sql():
 
 @register("redundant_pairs", O.with_ctes(
     _TF_CTES + ", " + _pairs_sql(), "SELECT feature_a, feature_b, round(correlation, 6) AS correlation FROM pw "
-                                    "WHERE abs(correlation) > 0.8 ORDER BY round(abs(correlation), 12) DESC, feature_a, feature_b LIMIT 20"))
+                                    "WHERE correlation > 0.8"))
 def q_redundant_pairs(spark, sf):
     return out(SE.redundant_pairs(_train(spark, sf)))
 
 
+@register("feature_matrix", O.with_ctes(
+    _TF_CTES, " UNION ALL ".join(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, round({_corr_sql(a, b)}, 6) AS correlation FROM tf"
+                                 for a in _TF_COLS for b in _TF_COLS)))
+def q_feature_matrix(spark, sf):
+    """The full feature correlation matrix."""
+    return out(SE.correlation_matrix(_train(spark, sf)))
+
+
 @register("feature_votes", O.with_ctes(
     _TF_CTES + ", " + _CORR_CTE + ", " + _MI_CTE,
     "SELECT feature, count(*) AS votes, CAST(min(m * 1000 + pos) // 1000 AS INTEGER) AS first_method, "
@@ -1035,11 +1059,10 @@ _MCOLS = ["score_percentile", "score_minmax", "score_sigmoid"]
 
 
 def _multi_scores(spark, sf):
-    s = _scored(spark, sf)
-    p = SC.final_score(s, "percentile").select("wallet", F.col("final_score").alias("score_percentile"))
-    m = SC.final_score(s, "min_max").select("wallet", F.col("final_score").alias("score_minmax"))
-    g = SC.final_score(s, "sigmoid").select("wallet", F.col("final_score").alias("score_sigmoid"))
-    return p.join(m, "wallet").join(g, "wallet")
+    s = _scored(spark, sf).select("wallet", "raw_score")
+    for method, name in (("percentile", "score_percentile"), ("min_max", "score_minmax"), ("sigmoid", "score_sigmoid")):
+        s = SC.final_score(s, method).withColumnRenamed("final_score", name)
+    return P.stage(s.select("wallet", *_MCOLS), P.STAGE_MODE)
 
 
 @register("prediction_stats", O.with_ctes(
@@ -1099,9 +1122,9 @@ from ledgerlens.streaming import incremental as ST  # noqa: E402
             + ", round(sum(CASE WHEN event_type = 'Mint' THEN amount END), 6) AS supply_volume, "
               "round(sum(CASE WHEN event_type = 'Borrow' THEN amount END), 6) AS borrow_volume FROM clean GROUP BY account"))
 def q_stream_wallet_summary(spark, sf):
-    """X1 + X3: streamed, cleaned events -> stateful wallet summary (complete
-    mode); equals the batch summary once the stream has consumed the table."""
-    return out(ST.run_to_table(spark, ST.running_summary(ST.event_stream(spark, sf)), "complete"))
+    """X1 + X3: streamed, cleaned events -> stateful wallet summary; the last row
+    of each wallet equals the batch summary once the stream has consumed the table."""
+    return out(ST.latest(ST.run_to_table(spark, ST.running_summary(ST.event_stream(spark, sf)), "update"), "wallet"))
 
 
 @register("stream_dedup", O.with_ctes(_CLEAN, "SELECT transaction_hash, account, event_type FROM clean"))
@@ -1117,9 +1140,8 @@ def q_stream_dedup(spark, sf):
 def q_stream_window_activity(spark, sf):
     """Hourly tumbling windows per wallet with a watermark."""
     t = ST.run_to_table(spark, ST.windowed_activity(ST.event_stream(spark, sf)), "update")
-    t = t.groupBy("wallet", F.col("w.start").alias("window_start")).agg(
-        F.max("events").alias("events"), F.max_by("volume", "events").alias("volume"))
-    return out(t)
+    return out(ST.latest(t.select("wallet", F.col("w.start").alias("window_start"), "events", "volume", "batch_id"),
+                         ["wallet", "window_start"]))
 
 
 @register("stream_interval_stats", O.with_ctes(
@@ -1129,7 +1151,26 @@ def q_stream_window_activity(spark, sf):
 def q_stream_interval_stats(spark, sf):
     """Running inter-event gap statistics kept in applyInPandasWithState."""
     t = ST.run_to_table(spark, ST.interval_stats(ST.event_stream(spark, sf)), "update")
-    return out(t.drop("last_tx_us"))
+    return out(ST.latest(t, "wallet").drop("last_tx_us", "late_events"))
+
+
+_RESCORE = {"tx_count": 0.5, "mint_count": 1.0, "borrow_count": -0.7, "liquidation_count": -2.0}
+
+
+def _rescore_sql():
+    part = lambda c, w: f"(({c} - mn_{c}) / CAST(mx_{c} - mn_{c} AS DOUBLE))" if w >= 0 else f"({O.d(1)} - ({c} - mn_{c}) / CAST(mx_{c} - mn_{c} AS DOUBLE))"
+    total = " + ".join(f"CASE WHEN mx_{c} > mn_{c} THEN {part(c, w)} * {O.d(abs(w))} ELSE 0 END" for c, w in _RESCORE.items())
+    return O.with_ctes(
+        _ACT_CTES + ", st AS (SELECT " + ", ".join(f"min({c}) AS mn_{c}, max({c}) AS mx_{c}" for c in _RESCORE) + " FROM act)",
+        f"SELECT wallet, round(({total}) / {O.d(sum(abs(w) for w in _RESCORE.values()))}, 6) AS raw_score FROM act CROSS JOIN st")
+
+
+@register("stream_rescore", _rescore_sql())
+def q_stream_rescore(spark, sf):
+    """Touched wallets scored again per micro-batch against statistics that
+    were frozen from the batch table."""
+    frozen = P.stage(SC.feature_stats(FE.wallet_summary(_tx(spark, sf)), list(_RESCORE)), P.STAGE_MODE)
+    return out(ST.rescored_stream(spark, ST.running_summary(ST.event_stream(spark, sf)), frozen, _RESCORE))
 
 
 @register("one_class_svm")

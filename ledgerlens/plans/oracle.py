@@ -114,12 +114,18 @@ def gaps_sql(src: str = "clean") -> str:
 
 
 def temporal_sql(src: str = "clean", optimize: bool = True) -> str:
-    sd = "stddev_pop(gap)" if optimize else "stddev_samp(gap)"
-    cv = (", CASE WHEN avg(gap) > 0 THEN stddev_pop(gap) / avg(gap) END AS activity_consistency_cv"
-          if optimize else "")
-    return f"""SELECT account AS wallet, avg(gap) AS avg_time_between_tx_days, max(gap) AS max_time_between_tx_days,
-  min(gap) AS min_time_between_tx_days, {sd} AS activity_consistency_stddev{cv}
-FROM ({gaps_sql(src)}) GROUP BY account"""
+    day = d(86_400_000_000)
+    below = "(n::DOUBLE * n)" if optimize else "(n::DOUBLE * nullif(n - 1, 0))"
+    cv = ", CASE WHEN mean > 0 THEN sd / mean END AS activity_consistency_cv" if optimize else ""
+    return f"""SELECT wallet, mean AS avg_time_between_tx_days, longest / {day} AS max_time_between_tx_days,
+  shortest / {day} AS min_time_between_tx_days, sd AS activity_consistency_stddev{cv}
+FROM (SELECT wallet, s::DOUBLE / n / {day} AS mean, longest, shortest,
+    sqrt((q::HUGEINT * n - s::HUGEINT * s)::DOUBLE / {below}) / {day} AS sd
+  FROM (SELECT account AS wallet, count(*) AS n, sum(us) AS s, sum(us::HUGEINT * us) AS q, max(us) AS longest,
+      min(us) AS shortest
+    FROM (SELECT account, epoch_us(nxt) - epoch_us("timestamp") AS us FROM (
+      SELECT account, "timestamp", lead("timestamp") OVER (PARTITION BY account ORDER BY "timestamp") AS nxt
+      FROM {src}) WHERE nxt IS NOT NULL) GROUP BY account))"""
 
 
 TEMPORAL = ["avg_time_between_tx_days", "max_time_between_tx_days", "min_time_between_tx_days",
@@ -220,9 +226,9 @@ def adjust_ctes(cols, src: str = "weighted", optimize: bool = True) -> str:
     return ",\n".join(ctes)
 
 
-def percentile_sql(src: str, reverse: bool = True, tie_digits: int = 12) -> str:
+def percentile_sql(src: str, reverse: bool = True) -> str:
     order = "ASC" if reverse else "DESC"
-    pct = f"rank() OVER (ORDER BY round(raw_score, {tie_digits}) {order}) / count(*) OVER () * 100"
+    pct = f"rank() OVER (ORDER BY raw_score {order}) / count(*) OVER () * 100"
     return f"SELECT *, least(100, greatest(0, CAST(round_even({pct}, 0) AS INTEGER))) AS final_score FROM {src}"
 
 

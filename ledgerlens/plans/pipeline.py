@@ -44,8 +44,7 @@ def observed(df: DataFrame, name: str):
 def features(tx: DataFrame, as_of: _dt.datetime = DEFAULT_AS_OF, optimize: bool = True,
              liquidation_mode: str = "compat", how: str | None = None) -> DataFrame:
     raw = stage(raw_wallet_features(tx, as_of, optimize, liquidation_mode), how or STAGE_MODE)
-    rows = raw.count() if (how or STAGE_MODE) in ("table", "checkpoint") else None   # parquet metadata
-    return impute_features(raw, nullable=set(TEMPORAL_COLUMNS), rows=rows)
+    return impute_features(raw, nullable=set(TEMPORAL_COLUMNS))
 
 
 def scores(feats: DataFrame, anomaly: DataFrame | None = None, optimize: bool = True,
@@ -87,7 +86,7 @@ def run_stages(spark: SparkSession, sf_dir: str, out_dir: str, skip_to: str | No
     if start <= 1:
         raw_wallet_features(tx, as_of, optimize).write.mode("overwrite").parquet(path("wallet_features_raw"))
     raw = spark.read.parquet(path("wallet_features_raw"))
-    feats = impute_features(raw, nullable=set(TEMPORAL_COLUMNS), rows=raw.count())
+    feats = impute_features(raw, nullable=set(TEMPORAL_COLUMNS))
     if start <= 1:
         feats.write.mode("overwrite").parquet(path("wallet_features"))
     feats = spark.read.parquet(path("wallet_features"))

@@ -3,8 +3,8 @@
 The reference is batch only; these are the same column functions applied to
 a file stream.  State is keyed by wallet and bounded by watermarks where the
 output is windowed; custom running statistics use
-``applyInPandasWithState``.  Checkpoints go to the shared folder named by
-``spark.checkpoint.dir``.
+``applyInPandasWithState``.  Checkpoints and result tables go to the shared
+folder named by ``spark.checkpoint.dir``; no result is held by the driver.
 """
 
 from __future__ import annotations
@@ -67,32 +67,39 @@ def session_activity(stream: DataFrame, gap: str = "1 hour", delay: str = "1 hou
                   .agg(F.count(F.lit(1)).alias("events")))
 
 
-INTERVAL_STATE = "n long, mean double, m2 double, last_us long"
-INTERVAL_OUT = "wallet string, gaps long, avg_gap_days double, stddev_gap_days double, last_tx_us long"
+INTERVAL_STATE = "n long, mean double, m2 double, last_us long, late long"
+INTERVAL_OUT = "wallet string, gaps long, avg_gap_days double, stddev_gap_days double, last_tx_us long, late_events long"
 
 
 def _interval_update(key, batches, state):
-    """Welford update of the inter-event gap statistics of one wallet."""
-    n, mean, m2, last = state.get if state.exists else (0, 0.0, 0.0, None)
-    ts = np.sort(np.concatenate([b["us"].to_numpy() for b in batches]))
-    if last is not None:
-        ts = np.concatenate([[last], ts])
-    for g in np.diff(ts) / 86400e6:
-        n += 1
-        d = g - mean
-        mean += d / n
-        m2 += d * (g - mean)
-    last = int(ts[-1])
-    state.update((n, mean, m2, last))
-    sd = float(np.sqrt(m2 / n)) if n else None
+    """Merge a batch's inter-event gaps into a wallet's count, mean and sum of
+    squared deviations.  Only an event's time is kept, so one that is older than
+    the wallet's last cannot be placed any more: it is counted as late."""
+    n, mean, m2, last, late = state.get if state.exists else (0, 0.0, 0.0, None, 0)
+    for us in (b["us"].to_numpy() for b in batches):
+        ts = np.sort(us)
+        if last is not None:
+            late += int((ts < last).sum())
+            ts = np.concatenate([[last], ts[ts >= last]])
+        gaps = np.diff(ts) / 86400e6
+        if len(gaps):
+            m, own = len(gaps), gaps.mean()
+            delta = own - mean
+            m2 += ((gaps - own) ** 2).sum() + delta**2 * n * m / (n + m)
+            mean += delta * m / (n + m)
+            n += m
+        last = int(ts[-1])
+    state.update((n, float(mean), float(m2), last, late))
     yield pd.DataFrame({"wallet": [key[0]], "gaps": [n], "avg_gap_days": [mean if n else None],
-                        "stddev_gap_days": [sd], "last_tx_us": [last]})
+                        "stddev_gap_days": [float(np.sqrt(m2 / n)) if n else None], "last_tx_us": [last],
+                        "late_events": [late]})
 
 
 def interval_stats(stream: DataFrame) -> DataFrame:
-    """Running count / mean / M2 of inter-event gaps per wallet kept in
-    user state (events of a wallet are assumed to arrive in time order across
-    micro-batches; within one batch they are sorted)."""
+    """Running count, mean and deviation of inter-event gaps per wallet in user
+    state: a row per wallet and micro-batch that touches it (see
+    :func:`latest`).  Events that are older than the last one of an
+    earlier batch of the wallet are counted in ``late_events``, not in the gaps."""
     from ledgerlens.session import ship_package
     ship_package(stream.sparkSession)
     s = stream.select(F.col("account").alias("wallet"), F.unix_micros("timestamp").alias("us"))
@@ -116,21 +123,70 @@ def rescore_batch(batch: DataFrame, frozen: DataFrame, weights: dict) -> DataFra
     return j.select("wallet", (total / F.lit(s)).alias("raw_score"))
 
 
+def _finish(query, timeout_s: int, report: dict | None) -> None:
+    query.awaitTermination(timeout_s)
+    if query.isActive:
+        query.stop()
+        raise TimeoutError(f"stream {query.name} did not finish in {timeout_s}s")
+    if query.exception():
+        raise query.exception()
+    if report is not None:
+        report["late_rows"] = sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress
+                                  for op in (p if isinstance(p, dict) else p.jsonValue).get("stateOperators", []))
+
+
 def run_to_table(spark: SparkSession, query_df: DataFrame, mode: str = "update", name: str | None = None,
-                 timeout_s: int = 600) -> DataFrame:
+                 timeout_s: int = 600, report: dict | None = None) -> DataFrame:
     """Run a streaming query over everything available (availableNow) into a
-    memory table and return its contents as a batch DataFrame."""
+    Parquet table under the shared checkpoint folder and read it back.
+
+    ``append`` uses the file sink.  ``update`` writes each micro-batch's rows to a
+    folder of its own, so a batch that is run again replaces itself; column
+    ``batch_id`` tells them apart (:func:`latest` keeps the last row of a key).
+    ``report`` gets ``late_rows``, the rows that a watermark dropped."""
+    if mode not in ("append", "update"):
+        raise ValueError(mode)
     name = name or f"ll_{uuid.uuid4().hex[:12]}"
-    ckpt = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}"
-    q = (query_df.writeStream.format("memory").queryName(name).outputMode(mode)
-                 .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError(f"stream {name} did not finish in {timeout_s}s")
-    if q.exception():
-        raise q.exception()
-    return spark.table(name)
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}"
+    out = f"{root}/rows"
+    writer = query_df.writeStream.queryName(name).outputMode(mode).trigger(availableNow=True) \
+        .option("checkpointLocation", f"{root}/state")
+    if mode == "append":
+        _finish(writer.format("parquet").start(out), timeout_s, report)
+        return spark.read.schema(query_df.schema).parquet(out)
+    schema = query_df.schema
+    write_batch(spark.createDataFrame([], schema), out, -1)   # so that the table exists without a batch
+    _finish(writer.foreachBatch(lambda batch, i: write_batch(batch, out, i)).start(), timeout_s, report)
+    return spark.read.schema(schema.add("batch_id", "long")).parquet(out)
+
+
+def write_batch(batch: DataFrame, path: str, batch_id: int) -> None:
+    """Write a micro-batch's rows as the partition of its id."""
+    batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+
+def latest(rows: DataFrame, keys) -> DataFrame:
+    """The last row of each key of an ``update`` table."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    rest = [c for c in rows.columns if c not in (*keys, "batch_id")]
+    last = F.max_by(F.struct(*rest), "batch_id").alias("_last")
+    return rows.groupBy(*keys).agg(last).select(*keys, "_last.*")
+
+
+def rescored_stream(spark: SparkSession, summaries: DataFrame, frozen: DataFrame, weights: dict,
+                    timeout_s: int = 600) -> DataFrame:
+    """The wallets that a micro-batch touches are scored again from their
+    running summaries against frozen statistics; the last score of each."""
+    name = f"ll_{uuid.uuid4().hex[:12]}"
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}"
+    out = f"{root}/rows"
+    schema = "wallet string, raw_score double"
+    write_batch(spark.createDataFrame([], schema), out, -1)
+    query = (summaries.writeStream.queryName(name).outputMode("update").trigger(availableNow=True)
+             .option("checkpointLocation", f"{root}/state")
+             .foreachBatch(lambda batch, i: write_batch(rescore_batch(batch, frozen, weights), out, i)).start())
+    _finish(query, timeout_s, None)
+    return latest(spark.read.schema(f"{schema}, batch_id long").parquet(out), "wallet")
 
 
 def upsert_by_key(batch: DataFrame, current: DataFrame, key: str = "wallet") -> DataFrame:

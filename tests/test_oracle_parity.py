@@ -53,5 +53,5 @@ def test_every_oracle_has_a_query():
 
 def test_entry_smoke(spark):
     df = E.entry(spark)
-    assert df.columns == ["wallet", "raw_score", "final_score"]
+    assert df.columns == ["wallet", "anomaly_score", "raw_score", "final_score"]
     assert df.count() > 0
