@@ -180,6 +180,17 @@ def rescale_decision(dec: DataFrame, decision: str = "decision", key: str = "wal
                        .alias("anomaly_score"), (d < 0).alias("is_anomaly")))
 
 
+def scores_from_labels(labels: DataFrame, label: str = "label", key: str = "wallet") -> DataFrame:
+    """P18's fallback for a model that only says -1 (anomalous) or 1: score 0.9 or 0.1."""
+    bad = F.col(label) == -1
+    return labels.select(key, F.when(bad, F.lit(0.9)).otherwise(F.lit(0.1)).alias("anomaly_score"), bad.alias("is_anomaly"))
+
+
+def anomaly_counts(anomalies: DataFrame) -> DataFrame:
+    """One row: wallets and flagged wallets."""
+    return anomalies.agg(F.count(F.lit(1)).alias("wallets"), F.count_if("is_anomaly").alias("anomalies"))
+
+
 def decision_from_scores(scores: DataFrame, contamination: float = C.CONTAMINATION,
                          score: str = "score", key: str = "wallet") -> DataFrame:
     """decision = score - offset, offset = the contamination quantile of the

@@ -55,6 +55,18 @@ def weight_aliases(features: DataFrame, as_of: _dt.datetime = C.DEFAULT_AS_OF) -
         "market_diversity_count": F.col("market_count")})
 
 
+def declared_features(tx: DataFrame, features: DataFrame, as_of: _dt.datetime = C.DEFAULT_AS_OF) -> DataFrame:
+    """``features`` with every column that a weight or rule names and the tables
+    can give (D2, D6, D9, D11), one row per wallet."""
+    out = weight_aliases(features, as_of)
+    ltv = ltv_path(tx, as_of).select("wallet", "avg_ltv_90d", "min_ltv_alltime", "max_ltv_alltime", "time_near_liquidation_pct")
+    rewards = interest_estimate(tx, as_of).select("wallet", "comp_earned_estimate_ratio")
+    actions = complex_actions(tx).select("wallet", "complex_action_freq")
+    for more in (ltv, rewards, actions):
+        out = out.join(more, "wallet", "left")
+    return out
+
+
 # ------------------------------------------------------------------ D3
 def activity_rates(tx: DataFrame) -> DataFrame:
     """Average value per event type, transactions per day/week/month of the

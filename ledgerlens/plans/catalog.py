@@ -544,6 +544,34 @@ def q_anomaly_rescale(spark, sf):
     return out(AM.rescale_decision(AM.decision_from_scores(s)))
 
 
+_DD_SQL = (O.features_ctes() + ", z AS (SELECT wallet, " + ", ".join(f"{_z_sql(c)} AS z_{c}" for c in _ANOM_COLS)
+           + " FROM feat), s AS (SELECT wallet, " + _DIST_SQL + " AS score FROM z), "
+           "dd AS (SELECT wallet, score - (SELECT quantile_cont(score, 0.05) FROM s) AS decision FROM s)")
+
+
+def _distance_decision(spark, sf):
+    f = _feats(spark, sf)
+    cols = AM.anomaly_feature_columns(f)
+    z = AM.standardize(f, cols)
+    s = z.select("wallet", (-F.sqrt(sum((F.pow(F.col(c), 2) for c in cols[1:]), F.pow(F.col(cols[0]), 2)))).alias("score"))
+    return AM.decision_from_scores(s)
+
+
+@register("anomaly_from_labels", O.with_ctes(
+    _DD_SQL, f"SELECT wallet, CASE WHEN decision < 0 THEN {O.d(0.9)} ELSE {O.d(0.1)} END AS anomaly_score, decision < 0 AS is_anomaly FROM dd"))
+def q_anomaly_from_labels(spark, sf):
+    """P18's fallback, on the labels of the deterministic decision."""
+    d = _distance_decision(spark, sf)
+    return out(AM.scores_from_labels(d.select("wallet", F.when(F.col("decision") < 0, -1).otherwise(1).alias("label"))))
+
+
+@register("anomaly_counts", O.with_ctes(
+    _DD_SQL, "SELECT count(*) AS wallets, (count(*) FILTER (decision < 0)) AS anomalies FROM dd"))
+def q_anomaly_counts(spark, sf):
+    """A14 on the deterministic decision."""
+    return AM.anomaly_counts(AM.rescale_decision(_distance_decision(spark, sf)))
+
+
 def _anomaly_table(spark, sf):
     f = _feats(spark, sf)
     n = f.count()
@@ -603,11 +631,11 @@ def _ts_sql(dt):
     return "TIMESTAMP '" + dt.strftime("%Y-%m-%d %H:%M:%S") + "'"
 
 
-def _window_sql():
+def _window_sql(as_of=C.DEFAULT_AS_OF):
     parts = []
     for name, days in C.TIME_WINDOWS.items():
-        inside = "TRUE" if days is None else f'"timestamp" >= {_ts_sql(C.DEFAULT_AS_OF - _dt.timedelta(days=days))}'
-        inside = f'({inside} AND "timestamp" <= {O.AS_OF_SQL})'
+        inside = "TRUE" if days is None else f'"timestamp" >= {_ts_sql(as_of - _dt.timedelta(days=days))}'
+        inside = f'({inside} AND "timestamp" <= {_ts_sql(as_of)})'
         parts.append(f"CAST(count_if({inside}) AS BIGINT) AS tx_count_{name}")
         for ev, short in (("Mint", "mint"), ("Borrow", "borrow"), ("RepayBorrow", "repay")):
             parts.append(f"round(COALESCE(sum(CASE WHEN {inside} AND event_type = '{ev}' THEN amount END), {O.d(0)}), 6) "
@@ -621,6 +649,15 @@ def q_windowed_features(spark, sf):
     return out(DE.windowed_features(_tx(spark, sf)))
 
 
+#: A clock for which the 30-day window begins inside the events.
+_CLOCK_IN = _dt.datetime(2024, 2, 15)
+
+
+@register("windowed_features_recent", O.with_ctes(_CLEAN, f"SELECT account AS wallet, {_window_sql(_CLOCK_IN)} FROM clean GROUP BY account"))
+def q_windowed_features_recent(spark, sf):
+    return out(DE.windowed_features(_tx(spark, sf), _CLOCK_IN))
+
+
 @register("weight_aliases", O.with_ctes(
     O.features_ctes(), f"SELECT wallet, tx_count AS tx_count_total, round({O.days('first_tx_timestamp', O.AS_OF_SQL)}, 6) "
                        "AS account_age_days, market_count AS market_diversity_count FROM feat"))
@@ -717,6 +754,42 @@ def q_ltv_path(spark, sf):
     return out(DE.ltv_path(_tx(spark, sf)))
 
 
+#: A clock at which accounts are old enough for the consistency rule.
+_CLOCK_LATE = _dt.datetime(2024, 9, 1)
+_DECLARED = ["tx_count_total", "account_age_days", "market_diversity_count", "avg_ltv_90d", "min_ltv_alltime", "max_ltv_alltime",
+             "time_near_liquidation_pct", "comp_earned_estimate_ratio", "complex_action_freq"]
+_DECLARED_COLS = O.FEATURE_COLS + _DECLARED + ["anomaly_score"]
+_ALL_RULES = ["liquidation_penalty", "good_repayer_bonus", "high_ltv_penalty", "consistency_bonus", "inactivity_penalty"]
+
+
+def _declared_sql():
+    clock = _ts_sql(_CLOCK_LATE)
+    held = O.days('"timestamp"', f"COALESCE(next_ts, {clock})")
+    recent = _ts_sql(_CLOCK_LATE - _dt.timedelta(days=90))
+    ctes = f"""{O.features_ctes('events_dense', as_of=clock)}, {_balances_sql()},
+l AS (SELECT *, CASE WHEN supplied > 0 THEN borrowed / supplied END AS ltv, greatest({O.d(0)}, {held}) AS dt FROM bal),
+lt AS (SELECT account AS wallet, avg(CASE WHEN "timestamp" >= {recent} THEN ltv END) AS avg_ltv_90d, min(ltv) AS min_ltv_alltime,
+  max(ltv) AS max_ltv_alltime, sum(CASE WHEN ltv > 0.8 THEN dt END) / NULLIF(sum(CASE WHEN ltv IS NOT NULL THEN dt END), 0) AS time_near_liquidation_pct,
+  sum(greatest({O.d(0)}, supplied) * 0.01 * (dt / 365.0)) / greatest({O.d(1)}, sum(abs(usd))) AS comp_earned_estimate_ratio FROM l GROUP BY account),
+ca AS (SELECT wallet, (count(*) FILTER (e >= 2 AND m >= 2)) / count(*) AS complex_action_freq FROM (SELECT account AS wallet,
+  count(DISTINCT event_type) AS e, count(DISTINCT token) AS m FROM clean GROUP BY account, floor(epoch_us("timestamp") / 600000000)) GROUP BY wallet),
+sc0 AS (SELECT feat.*, tx_count AS tx_count_total, {O.days('first_tx_timestamp', clock)} AS account_age_days, market_count AS market_diversity_count,
+  lt.* EXCLUDE (wallet), complex_action_freq, {O.d(C.NEUTRAL_ANOMALY)} AS anomaly_score FROM feat LEFT JOIN lt USING (wallet) LEFT JOIN ca USING (wallet)),
+{O.scoring_ctes(_DECLARED_COLS)}, {O.adjust_ctes(_DECLARED_COLS)}, fin AS ({O.percentile_sql('adjusted')})"""
+    return O.with_ctes(ctes, "SELECT wallet, round(raw_score, 6) AS raw_score, " + ", ".join(f"round(a_{k}, 6) AS {k}" for k in _ALL_RULES)
+                       + ", final_score FROM fin")
+
+
+@register("final_scores_declared", _declared_sql())
+def q_final_scores_declared(spark, sf):
+    """Scores with every declared column that the tables can give, on dense
+    accounts: the extra weights count and all five rules fire (F4, H3-H7)."""
+    tx = _tx(spark, sf, "events_dense")
+    f = P.stage(DE.declared_features(tx, P.features(tx, _CLOCK_LATE), _CLOCK_LATE), P.STAGE_MODE)
+    s = SC.final_score(P.scores(f))
+    return out(s.select("wallet", "raw_score", *[F.col("adjustments").getItem(k).alias(k) for k in _ALL_RULES], "final_score"))
+
+
 @register("liquidation_history", O.with_ctes(
     _CLEAN_DENSE + """, liq AS (SELECT *, COALESCE(amountusd, amount) AS usd FROM clean WHERE event_type = 'LiquidateBorrow'),
 su AS (SELECT account AS wallet, count(*) AS sc, sum(usd) AS sv FROM liq GROUP BY account),
@@ -1020,19 +1093,20 @@ def q_tune_models(spark, sf):
 
 @register("best_method")
 def q_best_method(spark, sf):
-    """Best method and parameters per model from grid and random search (T4)."""
+    """Best method and parameters per linear model from grid, random (30 draws)
+    and continuous search (100 draws) (T4, M18)."""
     t = _train(spark, sf)
-    res = TU.tune(t, SE.feature_columns(t), ("ridge", "lasso"), ("grid", "random"), n_iter=10)
-    return TU.best_per_model(res)
+    return TU.best_per_model(TU.tune(t, SE.feature_columns(t), ("ridge", "lasso", "elastic_net"), ("grid", "random", "space")))
 
 
 @register("ensemble_predictions")
 def q_ensemble_predictions(spark, sf):
-    """Fitted ridge / lasso / random forest, hybrid table with row statistics
-    and the voting ensemble (M19, M21, M22)."""
+    """All five models, the linear ones with the parameters that a grid search
+    finds best; hybrid table with row statistics and the voting ensemble (M19, M21, M22)."""
     t = _train(spark, sf)
     cols = SE.feature_columns(t)
-    models = EN.fit_models(t, cols, EN.DEFAULT_BEST)
+    tuned = EN.best_params_from(TU.tune(t, cols, ("ridge", "lasso", "elastic_net"), ("grid",)))
+    models = EN.fit_models(t, cols, {**EN.DEFAULT_BEST, **tuned})
     pred = EN.voting(EN.predict_all(models, t), list(models))
     pc = [f"score_{m}" for m in models]
     return out(EN.row_stats(pred, pc, "pred_").select("wallet", "label", *pc, "ensemble_voting", "pred_mean",
@@ -1041,15 +1115,12 @@ def q_ensemble_predictions(spark, sf):
 
 @register("stacking_ensemble")
 def q_stacking_ensemble(spark, sf):
-    """Stacking: out-of-fold base predictions (each wallet exactly once) and the
-    ridge meta-model's prediction on them (M20)."""
+    """Stacking of the linear models: bases refitted on all rows under a ridge
+    meta-model fitted on out-of-fold predictions (M20)."""
     t = _train(spark, sf)
-    best = {"ridge": {"alpha": 1.0}, "lasso": {"alpha": 0.01}}
-    meta, _bases, oof = EN.stacking(t, SE.feature_columns(t), best)
-    from pyspark.ml.feature import VectorAssembler
-    pc = [f"score_{m}" for m in best]
-    return out(meta.transform(VectorAssembler(inputCols=pc, outputCol="scaled").transform(oof))
-               .select("wallet", "fold", *pc, F.col("prediction").alias("stacked")))
+    best = {m: EN.DEFAULT_BEST[m] for m in ("ridge", "lasso", "elastic_net")}
+    return out(EN.stacked_predictions(t, SE.feature_columns(t), best))
+
 
 
 _MULTI = (O.pipeline_ctes() + f", mm AS ({O.minmax_sql('adjusted')}), sg AS ({O.sigmoid_sql('adjusted')}), "
