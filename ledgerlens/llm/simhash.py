@@ -108,7 +108,8 @@ def near(queries: DataFrame, table: DataFrame, radius: int = RADIUS, blocks: int
     # The first table in which the two meet; later ones find them again.
     first = reduce(lambda later, im: F.when(x.bitwiseAND(im[1]) == 0, F.lit(im[0])).otherwise(later), reversed(list(enumerate(masks))), F.lit(-1))
     close = (F.bit_count(x) <= radius) & (first == q["_table"])
-    return (q.join(t, (q["_table"] == t["_table"]) & (q["_key"] == t["_key"]) & close)
+    # Merged, not broadcast: the planner would take the few rows of a side for its size before they are exploded.
+    return (q.join(t.hint("merge"), (q["_table"] == t["_table"]) & (q["_key"] == t["_key"]) & close)
             .select("query", "found", distance(F.col("query"), F.col("found")).alias("distance")))
 
 
