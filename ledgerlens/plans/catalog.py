@@ -273,7 +273,7 @@ _AVAIL = O.available(_W_COLS)
 
 
 @register("feature_profile", O.with_ctes(
-    f"{O.features_ctes()}, sc0 AS (SELECT *, {O.d(C.NEUTRAL_ANOMALY)} AS anomaly_score FROM feat)",
+    f"{O.features_ctes()}, sc0 AS (SELECT *, {O.d(O.C.NEUTRAL_ANOMALY)} AS anomaly_score FROM feat)",
     "SELECT " + ", ".join(f"round(CAST(min({f}) AS DOUBLE), 6) AS min__{f}, round(CAST(max({f}) AS DOUBLE), 6) AS max__{f}, "
                           f"round(avg({f}), 6) AS mean__{f}" for f in _AVAIL) + " FROM sc0"))
 def q_feature_profile(spark, sf):
@@ -282,13 +282,13 @@ def q_feature_profile(spark, sf):
 
 
 @register("prepare_scoring", O.with_ctes(
-    f"{O.features_ctes()}, sc0 AS (SELECT *, {O.d(C.NEUTRAL_ANOMALY)} AS anomaly_score FROM feat)",
+    f"{O.features_ctes()}, sc0 AS (SELECT *, {O.d(O.C.NEUTRAL_ANOMALY)} AS anomaly_score FROM feat)",
     f"SELECT {_fsel(FEATURE_DOUBLES + ['anomaly_score'], _W_COLS)} FROM sc0"))
 def q_prepare_scoring(spark, sf):
     return out(SC.prepare_scoring(_feats(spark, sf)))
 
 
-_SC_CTES = (f"{O.features_ctes()}, sc0 AS (SELECT *, {O.d(C.NEUTRAL_ANOMALY)} AS anomaly_score FROM feat), "
+_SC_CTES = (f"{O.features_ctes()}, sc0 AS (SELECT *, {O.d(O.C.NEUTRAL_ANOMALY)} AS anomaly_score FROM feat), "
             f"{O.scoring_ctes(_W_COLS)}")
 
 
@@ -298,7 +298,7 @@ def q_score_weighted(spark, sf):
 
 
 @register("score_weighted_rowmode", O.with_ctes(
-    f"{O.features_ctes()}, sc0 AS (SELECT *, {O.d(C.NEUTRAL_ANOMALY)} AS anomaly_score FROM feat), "
+    f"{O.features_ctes()}, sc0 AS (SELECT *, {O.d(O.C.NEUTRAL_ANOMALY)} AS anomaly_score FROM feat), "
     f"{O.scoring_ctes(_W_COLS, optimize=False)}",
     "SELECT wallet, round(raw_score, 6) AS raw_score FROM weighted"))
 def q_score_weighted_rowmode(spark, sf):
@@ -335,7 +335,7 @@ _BASIC_COLS = [c for c in _W_COLS if c != "activity_consistency_cv"]
 
 
 @register("score_adjustments_basic", O.with_ctes(
-    f"{O.features_ctes(optimize=False)}, sc0 AS (SELECT *, {O.d(C.NEUTRAL_ANOMALY)} AS anomaly_score FROM feat), "
+    f"{O.features_ctes(optimize=False)}, sc0 AS (SELECT *, {O.d(O.C.NEUTRAL_ANOMALY)} AS anomaly_score FROM feat), "
     f"{O.scoring_ctes(_BASIC_COLS, optimize=False)}, {O.adjust_ctes(_BASIC_COLS, optimize=False)}",
     "SELECT wallet, round(raw_score, 6) AS raw_score FROM adjusted"))
 def q_score_adjustments_basic(spark, sf):
@@ -374,7 +374,7 @@ def q_final_scores(spark, sf):
 
 @register("top_wallets", O.with_ctes(
     O.pipeline_ctes(), f"SELECT wallet, final_score AS score FROM fin ORDER BY final_score DESC, wallet ASC "
-                       f"LIMIT {C.TOP_N}"))
+                       f"LIMIT {O.C.TOP_N}"))
 def q_top_wallets(spark, sf):
     return SC.top_wallets(_final(spark, sf), C.TOP_N)
 
@@ -433,8 +433,8 @@ def q_dedup_wallets(spark, sf):
 
 
 @register("score_bands", O.with_ctes(
-    O.pipeline_ctes(), f"SELECT wallet, final_score, CASE WHEN final_score >= {C.BAND_HIGH} THEN 'high' "
-                       f"WHEN final_score >= {C.BAND_MEDIUM} THEN 'medium' ELSE 'low' END AS band, "
+    O.pipeline_ctes(), f"SELECT wallet, final_score, CASE WHEN final_score >= {O.C.BAND_HIGH} THEN 'high' "
+                       f"WHEN final_score >= {O.C.BAND_MEDIUM} THEN 'medium' ELSE 'low' END AS band, "
                        "CASE WHEN final_score >= 80 THEN 'A' WHEN final_score >= 60 THEN 'B' "
                        "WHEN final_score >= 40 THEN 'C' WHEN final_score >= 20 THEN 'D' ELSE 'F' END AS grade FROM fin"))
 def q_score_bands(spark, sf):
@@ -474,11 +474,26 @@ def q_nested_json_roundtrip(spark, sf):
     """Tables -> raw nested JSON files -> format inference, nested parse,
     standardisation, multi-file union -> cleaning (S2, S5, S8, P1-P7, U1, U2)."""
     path = _scratch(spark, "nested")
-    SK.write_nested_event_files(_tx(spark, sf), path, files=4)
+    SK.write_nested_event_files(_tx(spark, sf), path)
     tx, _rejected = FI.load_and_process(spark, _list_files(spark, path, ".json"))
     return out(CL.clean_transactions(tx).select(*_RT_COLS))
 
 
+@register("load_with_rejects", O.with_ctes(
+    f"tx AS ({O.tx_sql()}), clean AS ({O.clean_sql('tx')})",
+    "SELECT 'broken.json' AS rejected, count(*) AS transactions FROM clean"))
+def q_load_with_rejects(spark, sf):
+    """A file that is no JSON among good ones is skipped and reported, the
+    others are loaded whole."""
+    path = _scratch(spark, "rejects")
+    t = _tx(spark, sf)
+    SK.write_nested_event_files(t, f"{path}/good")
+    t.select(F.lit("neither an array nor an object").alias("value")).limit(1).coalesce(1).write.text(f"{path}/bad/broken.json")
+    tx, rejected = FI.load_and_process(spark, [*_list_files(spark, f"{path}/good", ".json"), f"{path}/bad/broken.json"])
+    names = rejected.select(F.element_at(F.split("path", "/"), -1).alias("rejected"))
+    return names.crossJoin(CL.clean_transactions(tx).agg(F.count(F.lit(1)).alias("transactions")))   # two one-row tables
+
+
 _CSV_COLS = ["event_type", "timestamp", "transaction_hash", "account", "token", "ctoken", "amount"]
 
 
@@ -599,7 +614,7 @@ def _distance_anomaly(spark, sf, f):
     "dd AS (SELECT wallet, score - (SELECT quantile_cont(score, 0.05) FROM s) AS decision FROM s), "
     f"an AS (SELECT wallet, {O.d(1)} - (decision - mn) / (mx - mn + 1e-10) AS anomaly_score "
     "FROM dd CROSS JOIN (SELECT min(decision) AS mn, max(decision) AS mx FROM dd) WHERE NOT ends_with(wallet, '7')), "
-    f"sc0 AS (SELECT feat.*, COALESCE(an.anomaly_score, {O.d(C.NEUTRAL_ANOMALY)}) AS anomaly_score FROM feat LEFT JOIN an USING (wallet)), "
+    f"sc0 AS (SELECT feat.*, COALESCE(an.anomaly_score, {O.d(O.C.NEUTRAL_ANOMALY)}) AS anomaly_score FROM feat LEFT JOIN an USING (wallet)), "
     f"{O.scoring_ctes(_W_COLS)}, {O.adjust_ctes(_W_COLS)}, fin AS ({O.percentile_sql('adjusted')})",
     "SELECT wallet, round(anomaly_score, 6) AS anomaly_score, round(raw_score, 6) AS raw_score, final_score FROM fin"))
 def q_final_scores_distance_anomaly(spark, sf):
@@ -631,9 +646,9 @@ def _ts_sql(dt):
     return "TIMESTAMP '" + dt.strftime("%Y-%m-%d %H:%M:%S") + "'"
 
 
-def _window_sql(as_of=C.DEFAULT_AS_OF):
+def _window_sql(as_of=O.C.DEFAULT_AS_OF):
     parts = []
-    for name, days in C.TIME_WINDOWS.items():
+    for name, days in O.C.TIME_WINDOWS.items():
         inside = "TRUE" if days is None else f'"timestamp" >= {_ts_sql(as_of - _dt.timedelta(days=days))}'
         inside = f'({inside} AND "timestamp" <= {_ts_sql(as_of)})'
         parts.append(f"CAST(count_if({inside}) AS BIGINT) AS tx_count_{name}")
@@ -748,7 +763,7 @@ l2 AS (SELECT *, CASE WHEN ltv IS NOT NULL THEN dt END AS wl FROM l)""")
               "round(max(ltv), 6) AS max_ltv_alltime, round(stddev_pop(ltv), 6) AS ltv_stddev, "
               "round(sum(ltv * wl) / NULLIF(sum(wl), 0), 6) AS time_weighted_ltv, "
               "round(sum(CASE WHEN ltv > 0.8 THEN dt END) / NULLIF(sum(wl), 0), 6) AS time_near_liquidation_pct, "
-              f"round(avg(CASE WHEN \"timestamp\" >= {_ts_sql(C.DEFAULT_AS_OF - _dt.timedelta(days=90))} THEN ltv END), 6) "
+              f"round(avg(CASE WHEN \"timestamp\" >= {_ts_sql(O.C.DEFAULT_AS_OF - _dt.timedelta(days=90))} THEN ltv END), 6) "
               "AS avg_ltv_90d FROM l2 GROUP BY account"))
 def q_ltv_path(spark, sf):
     return out(DE.ltv_path(_tx(spark, sf)))
@@ -774,7 +789,7 @@ lt AS (SELECT account AS wallet, avg(CASE WHEN "timestamp" >= {recent} THEN ltv
 ca AS (SELECT wallet, (count(*) FILTER (e >= 2 AND m >= 2)) / count(*) AS complex_action_freq FROM (SELECT account AS wallet,
   count(DISTINCT event_type) AS e, count(DISTINCT token) AS m FROM clean GROUP BY account, floor(epoch_us("timestamp") / 600000000)) GROUP BY wallet),
 sc0 AS (SELECT feat.*, tx_count AS tx_count_total, {O.days('first_tx_timestamp', clock)} AS account_age_days, market_count AS market_diversity_count,
-  lt.* EXCLUDE (wallet), complex_action_freq, {O.d(C.NEUTRAL_ANOMALY)} AS anomaly_score FROM feat LEFT JOIN lt USING (wallet) LEFT JOIN ca USING (wallet)),
+  lt.* EXCLUDE (wallet), complex_action_freq, {O.d(O.C.NEUTRAL_ANOMALY)} AS anomaly_score FROM feat LEFT JOIN lt USING (wallet) LEFT JOIN ca USING (wallet)),
 {O.scoring_ctes(_DECLARED_COLS)}, {O.adjust_ctes(_DECLARED_COLS)}, fin AS ({O.percentile_sql('adjusted')})"""
     return O.with_ctes(ctes, "SELECT wallet, round(raw_score, 6) AS raw_score, " + ", ".join(f"round(a_{k}, 6) AS {k}" for k in _ALL_RULES)
                        + ", final_score FROM fin")

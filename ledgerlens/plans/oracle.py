@@ -2,14 +2,66 @@
 
 The SQL re-states each operator's definition independently of the Spark code:
 plain window functions, ``median`` and one-pass aggregates over the same
-parquet views.  Floating outputs are rounded to 6 digits on both sides.
+parquet views.  The fixed values are stated here again, not imported, so that a
+wrong one in the package shows.  Floating outputs are rounded to 6 digits on
+both sides.
 """
 
 from __future__ import annotations
 
-from ledgerlens import config as C
-from ledgerlens.schema import EVENT_SYNONYMS, EVENT_TYPES
-from ledgerlens.sources.adapters import EVENTS_EVENT_MAP
+import datetime as _dt
+
+
+# ---------------------------------------------------------------------------
+# FIXED VALUES (must equal the reference for equal results)
+# ---------------------------------------------------------------------------
+class C:
+    FEATURE_WEIGHTS = {
+        "tx_count_total": 0.2,
+        "borrow_to_supply_ratio_vol": -0.3,
+        "repay_ratio": 0.4,
+        "account_age_days": 0.3,
+        "days_since_last_tx": -0.2,
+        "activity_consistency_stddev": -0.2,
+        "avg_ltv_90d": -0.5,
+        "min_ltv_alltime": -0.3,
+        "liquidation_count_borrower": -0.8,
+        "liquidation_count_liquidator": 0.0,
+        "time_near_liquidation_pct": -0.6,
+        "market_diversity_count": 0.3,
+        "comp_earned_estimate_ratio": -0.1,
+        "avg_gas_price_relative": 0.1,
+        "complex_action_freq": 0.1,
+        "anomaly_score": -0.7,
+    }
+    LIQUIDATION_STEP, LIQUIDATION_CAP = 0.1, 0.5
+    GOOD_REPAY_RATIO, GOOD_REPAY_BONUS = 0.9, 0.1
+    HIGH_LTV_LIMIT, HIGH_LTV_PENALTY = 0.9, 0.1
+    CONSISTENT_AGE_DAYS, CONSISTENT_STDDEV, CONSISTENCY_BONUS = 180, 5, 0.05
+    INACTIVE_DAYS, INACTIVE_STEP, INACTIVE_PERIOD_DAYS, INACTIVE_CAP = 90, 0.05, 30, 0.25
+    NEUTRAL_ANOMALY = 0.5
+    SIGMOID_K, SIGMOID_X0, TOP_N = 1.0, 0.0, 1000
+    TIME_WINDOWS = {"lifetime": None, "90d": 90, "30d": 30}
+    BAND_HIGH, BAND_MEDIUM = 80, 40
+    DEFAULT_AS_OF = _dt.datetime(2024, 4, 15)
+
+
+EVENT_TYPES = ["Mint", "Redeem", "Borrow", "RepayBorrow", "LiquidateBorrow"]
+EVENT_SYNONYMS = {
+    "Mint": "Mint",
+    "Supply": "Mint",
+    "Deposit": "Mint",
+    "Redeem": "Redeem",
+    "Withdraw": "Redeem",
+    "Borrow": "Borrow",
+    "Repayborrow": "RepayBorrow",
+    "Repay": "RepayBorrow",
+    "Repayment": "RepayBorrow",
+    "Liquidateborrow": "LiquidateBorrow",
+    "Liquidate": "LiquidateBorrow",
+}
+EVENTS_EVENT_MAP = {"signup": "Mint", "view": "Redeem", "purchase": "Borrow", "click": "RepayBorrow", "error": "LiquidateBorrow"}
+# ---------------------------------------------------------------------------
 
 AS_OF_SQL = "TIMESTAMP '" + C.DEFAULT_AS_OF.strftime("%Y-%m-%d %H:%M:%S") + "'"
 K = "CAST(json_extract_string(props, '$.k') AS BIGINT)"

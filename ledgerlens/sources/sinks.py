@@ -39,11 +39,12 @@ def epoch_seconds_text(ts):
     return (F.unix_micros(F.col(ts)).cast("decimal(24,0)") / F.lit(1000000)).cast("decimal(24,6)").cast("string")
 
 
-def write_nested_event_files(tx: DataFrame, path: str, files: int = 8) -> None:
+def write_nested_event_files(tx: DataFrame, path: str, rows_per_file: int = 25_000) -> None:
     """Write canonical transactions in the nested raw layout: one JSON object
-    per file with the five event arrays.  Rows are split into ``files``
-    buckets by a hash of the transaction hash, so each object holds about
-    1/files of the rows (the caller sizes ``files`` to the data)."""
+    per file with the five event arrays.  The number of files follows the number
+    of rows, and a hash of the transaction hash deals rows to them, so an object
+    holds about ``rows_per_file`` rows at most, whatever the size of the table."""
+    files = max(1, -(-tx.count() // rows_per_file))
     ev_key = {ev: k for k, ev in NESTED_EVENT_KEYS}
     elem = F.struct(
         F.struct(F.col("account").alias("id")).alias("account"),
