@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import bpe_codec, chat_tree, huffman_ids, qgram_decontam, signature_join, simhash, toxicity_chain, url_cascade, warc_archive
+from ledgerlens.llm import bpe_codec, chat_tree, huffman_ids, license_scan, qgram_decontam, signature_join, simhash, toxicity_chain, url_cascade, warc_archive
 from ledgerlens.llm.common import read_table
 
 QUERIES: dict = {}
@@ -87,6 +87,11 @@ def q_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_chain.score(docs, toxicity_chain.train(docs, read_table(spark, sf_dir, "labels")))
 
 
+@query("op7_license_scan")
+def q_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read_table(spark, sf_dir, "documents"))
+
+
 @query("op8_huffman_ids")
 def q_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = huffman_ids.write_token_files(
