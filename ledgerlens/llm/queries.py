@@ -99,7 +99,17 @@ def q_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman_ids.read_files(files)
 
 
-@query("op9_signature_join")
+@query("op9_signature_join", f"""
+WITH RECURSIVE w AS (SELECT doc_id, [x for x in string_split_regex(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '[\\x20\\x09-\\x0D]+') if x <> ''] AS ws FROM documents),
+     s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+                               ELSE list_distinct([array_to_string(ws[i:i + 4], ' ') for i in range(1, len(ws) - 3)]) END AS sh FROM w),
+     n AS (SELECT doc_id, len(sh) AS n FROM s),
+     u AS (SELECT doc_id, unnest(sh) AS t FROM s),
+     p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM u a JOIN u b ON a.t = b.t AND a.doc_id < b.doc_id GROUP BY ALL),
+     l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+     e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+     r AS (SELECT doc_id AS node, doc_id AS root FROM n UNION SELECT e.b, r.root FROM r JOIN e ON r.node = e.a)
+SELECT doc_id, any_value(n.n)::BIGINT AS n_shingles, min(root) AS component_id FROM n JOIN r ON r.node = n.doc_id GROUP BY doc_id""")
 def q_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signature_join.link_components(read_table(spark, sf_dir, "documents")).drop("part")
 
