@@ -69,6 +69,23 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return d
 
 
+def _stage_root(spark: SparkSession, root: str) -> str:
+    """The application's folder for stage tables; Hadoop removes it when the
+    application ends."""
+    sc = spark.sparkContext
+    path = f"{root.rstrip('/')}/stages/{sc.applicationId}"
+    if path not in _STAGE_ROOTS:
+        folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+        fs = folder.getFileSystem(sc._jsc.hadoopConfiguration())
+        fs.mkdirs(folder)
+        fs.deleteOnExit(folder)
+        _STAGE_ROOTS.add(path)
+    return path
+
+
+_STAGE_ROOTS: set = set()
+
+
 def stage(df, how: str = "table"):
     """Materialise a stage table and cut its lineage.
 
@@ -89,7 +106,7 @@ def stage(df, how: str = "table"):
         return df.checkpoint(eager=True)
     if how == "table":
         import uuid
-        path = f"{root.rstrip('/')}/stages/{uuid.uuid4().hex}"
+        path = f"{_stage_root(spark, root)}/{uuid.uuid4().hex}"
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
     raise ValueError(how)
