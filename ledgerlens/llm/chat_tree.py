@@ -154,7 +154,9 @@ def format_tree(conversations: DataFrame, ranks_path: str, pattern: str,
     lines = stage(lines.select("run", F.col("steps")[0]["m"].alias("tree"), above.alias("above"), (own["s"] - tree_start).alias("start"), own["p"].alias("first_pos")))
     span = lambda to: F.concat("above", F.array(F.struct(F.col("run"), F.col("start").alias("from"), to.alias("to"))))
     here = F.col("start") + F.col("pos") - F.col("first_pos")
-    blocks = (turns.join(path.filter("cid = run").select("node", "cid", "run"), ["node", "cid"]).join(lines, "run")
+    # The narrow tables meet first, so that ids are shuffled once.
+    homes = path.filter("cid = run").select("node", "cid", "run").join(lines, "run")
+    blocks = (turns.join(homes, ["node", "cid"])
               .select("tree", "run", here.alias("start"), F.col("pos").alias("position"), "ids", "loss_from", "loss_to", span(here).alias("attends")))
     end = F.col("start") + F.col("end_pos") - F.col("first_pos")
     members = convs.drop("key").join(lines, "run").select(

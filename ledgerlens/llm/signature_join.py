@@ -5,10 +5,13 @@ their Jaccard similarity is at least ``PERCENT``.  The result is exact:
 
 1. Equal sets become one node (the group of copies is reduced in each task
    before it is shuffled).
-2. Tokens have one global order: rare ones first, by hash.  Linked sets share one
-   of the first n - ceil(t * n) + 1 tokens of each, so a token that is in the
-   prefix of one set only leads nowhere.  Which tokens count as frequent comes
-   from counts over all documents; it only shifts work, any order is right.
+2. Tokens have one global order: rare ones first, by hash.  Of its first n -
+   ceil(t * n) + k tokens a set shares k with any set that it is linked with, or
+   as many as that one's k.  So a token that is in the prefix of one set only
+   leads nowhere, and neither does a set with fewer shared tokens than that;
+   without it others may fall, so it is tried again.  Which tokens count as
+   frequent comes from counts over all documents; it only shifts work, any order
+   is right.
 3. Under each shared token stands a signature tree: leaves hold sets as bitmaps
    of their tokens, inner nodes the OR of the bitmaps below, the range of sizes,
    the most tokens that share a bit, and the component if it is one.  A dual
@@ -39,11 +42,18 @@ from ledgerlens.llm.components import components
 
 WORDS = 5
 PERCENT = 80
-#: A token is frequent if it is in at least this many sets of an Arrow batch and in this share of them.
-FREQUENT_ROWS, FREQUENT_SHARE = 8, 0.001
+#: A token is frequent if it is in at least this many sets of a lot, which is this many slices of documents.
+FREQUENT_ROWS, LOT = 8, 8
+#: Rows of groups of one leader that are traversed in one task.
+LEADER_ROWS = 16_384
 #: Frequent tokens that the order knows (the most frequent; 1.6 MB); others keep their place by hash.
 FREQUENT_TOKENS = 200_000
-SIGNATURE_BITS = 2048
+#: A prefix goes on by one token for each so many of the set.
+MORE = 20
+#: A signature has twice as many bits as the set has tokens, rounded up to a power of two, in this range.
+FEWEST_BITS, MOST_BITS = 256, 1 << 16
+#: How often sets without enough shared tokens are taken out.
+PRUNINGS = 2
 LEAF, FANOUT = 16, 8
 #: Sets of a token group that are traversed as one.
 GROUP = 2048
@@ -70,10 +80,10 @@ def shingles(text: bytes | None) -> np.ndarray:
         words += [b""] * (WORDS - len(w))
         w = np.fromiter(map(xxh3_64_intdigest, words), np.uint64, WORDS)
     n = len(w) - WORDS + 1
-    h = _mix(w[:n] * _ODD[0])
+    h = w[:n] * _ODD[0]
     for k in range(1, WORDS):
-        h = _mix(h + w[k:k + n] * _ODD[k])
-    return np.unique(h)
+        h += w[k:k + n] * _ODD[k]
+    return np.unique(_mix(h))
 
 
 def set_key(tokens: np.ndarray) -> int:
@@ -81,8 +91,15 @@ def set_key(tokens: np.ndarray) -> int:
 
 
 def prefix_length(n: int) -> int:
-    """Tokens of a set of n of which one at least is shared with any linked set."""
-    return n - -(-PERCENT * n // 100) + 1 if n else 0
+    """So many first tokens of a set of n hold max(1, n // MORE) of any linked set, or
+    as many as the same makes for that one."""
+    return n - -(-PERCENT * n // 100) + max(1, n // MORE) if n else 0
+
+
+def least_shared(n: Column) -> Column:
+    """Tokens that the prefix of a set of n shares with that of a linked set, which
+    has at least PERCENT of n tokens."""
+    return F.greatest(F.lit(1), F.floor(F.floor(n * PERCENT / 100) / MORE))
 
 
 def least_overlap(n: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -94,18 +111,6 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NULL_ID)).alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
 
 
-def _sizes(texts: DataFrame) -> DataFrame:
-    """``id, part`` (hash of the text), ``key, n`` of each document's set."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
-            raw = b.column(1).to_pylist()
-            sets = [shingles(t) for t in raw]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([xxh3_64_intdigest(t) - (1 << 63) for t in raw], pa.int64()), pa.array([set_key(s) for s in sets], pa.int64()),
-                                              pa.array([len(s) for s in sets], pa.int64())], ["id", "part", "key", "n"])
-
-    return texts.mapInArrow(run, "id bigint, part bigint, key bigint, n bigint")
-
-
 def _distinct_sets(batch: pa.RecordBatch, seen: set) -> list[np.ndarray]:
     """The sets of a slice that aren't in ``seen``, which gets them: a batch's copies count once."""
     out = []
@@ -117,20 +122,35 @@ def _distinct_sets(batch: pa.RecordBatch, seen: set) -> list[np.ndarray]:
     return out
 
 
-def _frequent(texts: DataFrame) -> dict[int, int]:
-    """Counts of the most frequent tokens, from tokens that are frequent in a batch."""
+def _survey(texts: DataFrame) -> DataFrame:
+    """Of each document ``id, part`` (hash of the text), ``key, n`` (its set);
+    and, in rows of their own, ``token, count`` of tokens that are frequent in a lot."""
+    kinds = [pa.int64()] * 6
+    names = ["id", "part", "key", "n", "token", "count"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            seen: set = set()
-            sets = [s for b in slices([whole]) for s in _distinct_sets(b, seen)]
-            if sets:
-                token, n = np.unique(np.concatenate(sets), return_counts=True)
-                keep = n >= max(FREQUENT_ROWS, FREQUENT_SHARE * len(sets))
-                yield pa.RecordBatch.from_arrays([pa.array(token[keep].view(np.int64)), pa.array(n[keep].astype(np.int64))], ["token", "n"])
+        seen: dict[tuple[int, int], np.ndarray] = {}
+
+        def frequent() -> pa.RecordBatch:
+            token, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *seen.values()]), return_counts=True)
+            seen.clear()
+            keep = n >= FREQUENT_ROWS
+            none = pa.nulls(int(keep.sum()), pa.int64())
+            return pa.RecordBatch.from_arrays([none, none, none, none, pa.array(token[keep].view(np.int64)), pa.array(n[keep].astype(np.int64))], names)
+
+        for i, b in enumerate(slices(batches), 1):
+            raw = b.column(1).to_pylist()
+            sets = [shingles(t) for t in raw]
+            keys = [set_key(s) for s in sets]
+            seen.update(((k, len(s)), s) for k, s in zip(keys, sets, strict=True) if len(s))
+            none = pa.nulls(b.num_rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([xxh3_64_intdigest(t) - (1 << 63) for t in raw], pa.int64()), pa.array(keys, pa.int64()),
+                                              pa.array([len(s) for s in sets], pa.int64()), none, none], names)
+            if i % LOT == 0:
+                yield frequent()
+        yield frequent()
 
-    rows = (texts.mapInArrow(run, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
-            .orderBy(F.desc("n"), "token").limit(FREQUENT_TOKENS).collect())
-    return {r.token: r.n for r in rows}
+    return texts.mapInArrow(run, ", ".join(f"{n} bigint" for n in names))
 
 
 class Order:
@@ -205,28 +225,65 @@ def _shared(postings: DataFrame) -> DataFrame:
             .mapInArrow(run, "token bigint, key bigint, n bigint"))
 
 
+def _different_groups(shared: DataFrame) -> DataFrame:
+    """One token of those with the same sets: the others' trees would be the same
+    trees.  Groups are told apart by size, ends and two sums over hashes of their sets."""
+    h = F.xxhash64("node")
+    groups = shared.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("first"), F.max("node").alias("last"),
+                                         F.bit_xor(h).alias("x"), F.sum(F.pmod(F.xxhash64("node", F.lit(1)), F.lit(1 << 31))).alias("s"))
+    one = groups.groupBy("size", "first", "last", "x", "s").agg(F.min("token").alias("token"))
+    return shared.join(one.select("token"), "token", "left_semi")
+
+
 def signature(tokens: np.ndarray) -> np.ndarray:
-    out = np.zeros(SIGNATURE_BITS // 64, np.uint64)
-    bit = np.unique(tokens & np.uint64(SIGNATURE_BITS - 1))
+    bits = min(max(FEWEST_BITS, 1 << (2 * len(tokens) - 1).bit_length()), MOST_BITS)
+    out = np.zeros(bits // 64, np.uint64)
+    bit = np.unique(tokens & np.uint64(bits - 1))
     np.bitwise_or.at(out, (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
     return out
 
 
+def fold(bits: np.ndarray, words: int) -> np.ndarray:
+    """Signatures as they would be with ``words`` words."""
+    while bits.shape[-1] > words:
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] | bits[..., half:]
+    return bits
+
+
+def shared_bits(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    words = min(x.shape[-1], y.shape[-1])
+    return np.bitwise_count(fold(x, words) & fold(y, words)).sum(axis=-1).astype(np.int64)
+
+
 def _sets(texts: DataFrame) -> DataFrame:
+    """``node, n, tokens, signature`` of the rows ``text, key, n, node`` whose text
+    has that set; another text may share the id that brought them together."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            sets = [shingles(t) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()),
-                                              pa.array([signature(s).tobytes() for s in sets], pa.binary())], ["key", "n", "tokens", "signature"])
+            raw, key, n, node = (c.to_pylist() for c in b.columns)
+            sets = [(i, s) for t, k, m, i in zip(raw, key, n, node, strict=True) if len(s := shingles(t)) == m and set_key(s) == k]
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in sets], pa.int64()), pa.array([len(s) for _, s in sets], pa.int64()), pa.array([s.tobytes() for _, s in sets], pa.binary()),
+                                              pa.array([signature(s).tobytes() for _, s in sets], pa.binary())], ["node", "n", "tokens", "signature"])
+
+    return texts.select("text", "key", "n", "node").mapInArrow(run, "node bigint, n bigint, tokens binary, signature binary")
 
-    return texts.mapInArrow(run, "key bigint, n bigint, tokens binary, signature binary")
+
+def _pruned(shared: DataFrame) -> DataFrame:
+    """``token, node, n`` without sets that share too few tokens of their prefix
+    with others to be linked, and without tokens that are then alone."""
+    enough = shared.groupBy("node").agg(F.count(F.lit(1)).alias("shared"), F.first("n").alias("n")).filter(F.col("shared") >= least_shared(F.col("n"))).select("node")
+    left = shared.join(enough, "node", "left_semi")
+    several = left.groupBy("token").agg(F.min("node").alias("x"), F.max("node").alias("y")).filter("x < y").select("token")
+    return stage(left.join(several, "token", "left_semi"))
 
 
 # --------------------------------------------------------------------------- trees
 
 
 class Members:
-    """Sets of one token group, in an order that keeps components and sizes together."""
+    """Sets of one token group with signatures of one width, in an order that
+    keeps components and sizes together."""
 
     def __init__(self, node: np.ndarray, n: np.ndarray, component: np.ndarray, bits: np.ndarray, side: np.ndarray):
         by = np.lexsort((n, component))
@@ -238,7 +295,7 @@ class Tree:
     """A node over members ``a`` to ``z``."""
 
     def __init__(self, m: Members, a: int, z: int):
-        self.a, self.z = a, z
+        self.m, self.a, self.z = m, a, z
         step = LEAF
         while step * FANOUT < z - a:
             step *= FANOUT
@@ -250,21 +307,28 @@ class Tree:
         self.component = m.component[a] if m.component[a] == m.component[z - 1] else None  # sorted by it
 
 
+def spare(x: Tree, y: Tree, slack_x, slack_y):
+    """Shared tokens beyond shared bits: those of a set that share a bit with
+    another of its own.  A folded signature has more of them than its set's slack
+    says, so then only the narrower one's counts."""
+    a, b = x.bits.shape[-1], y.bits.shape[-1]
+    return np.minimum(slack_x, slack_y) if a == b else slack_x if a < b else slack_y
+
+
 def may_link(x: Tree, y: Tree) -> bool:
     """Whether some set under x and another under y could be linked and aren't in one component."""
     if x.component is not None and x.component == y.component:
         return False
     if 100 * x.high < PERCENT * y.low or 100 * y.high < PERCENT * x.low:
         return False
-    # Shared tokens set shared bits, but for those of a set that share a bit with another of its own.
-    most = int(np.bitwise_count(x.bits & y.bits).sum()) + min(x.slack, y.slack)
+    most = int(shared_bits(x.bits, y.bits)) + int(spare(x, y, x.slack, y.slack))
     return min(most, x.high, y.high) >= -(-PERCENT * (x.low + y.low) // (100 + PERCENT))
 
 
-def traverse(m: Members, cross: bool) -> list[tuple[int, int]]:
+def traverse(groups: list[Members], cross: bool) -> list[tuple[int, int]]:
     """Pairs of members that could be linked; if ``cross``, of different sides only."""
-    root = Tree(m, 0, len(m.node))
-    out, todo = [], [(root, root)]
+    roots = [Tree(m, 0, len(m.node)) for m in groups]
+    out, todo = [], [(x, y) for k, x in enumerate(roots) for y in roots[k:]]
     while todo:
         x, y = todo.pop()
         if not may_link(x, y):
@@ -272,26 +336,40 @@ def traverse(m: Members, cross: bool) -> list[tuple[int, int]]:
         if x.children or y.children:
             if x is y:
                 todo += [(c, d) for i, c in enumerate(x.children) for d in x.children[i:]]
-            elif x.z - x.a >= y.z - y.a:
+            elif x.children and (not y.children or x.z - x.a >= y.z - y.a):
                 todo += [(c, y) for c in x.children]
             else:
                 todo += [(x, c) for c in y.children]
             continue
         i, j = np.arange(x.a, x.z)[:, None], np.arange(y.a, y.z)[None, :]
         i, j = (v[i < j] if x is y else v.ravel() for v in np.broadcast_arrays(i, j))
-        keep = m.component[i] != m.component[j]
+        keep = x.m.component[i] != y.m.component[j]
         if cross:
-            keep &= m.side[i] != m.side[j]
+            keep &= x.m.side[i] != y.m.side[j]
         i, j = i[keep], j[keep]
-        most = np.bitwise_count(m.bits[i] & m.bits[j]).sum(axis=1).astype(np.int64) + np.minimum(m.slack[i], m.slack[j])
-        keep = np.minimum(most, np.minimum(m.n[i], m.n[j])) >= least_overlap(m.n[i], m.n[j])
-        out += zip(m.node[i[keep]].tolist(), m.node[j[keep]].tolist(), strict=True)
+        most = shared_bits(x.m.bits[i], y.m.bits[j]) + spare(x, y, x.m.slack[i], y.m.slack[j])
+        n, k = x.m.n[i], y.m.n[j]
+        keep = np.minimum(most, np.minimum(n, k)) >= least_overlap(n, k)
+        out += zip(x.m.node[i[keep]].tolist(), y.m.node[j[keep]].tolist(), strict=True)
+    return out
+
+
+def by_width(node, n, component, signatures: list[bytes], side) -> list[Members]:
+    """Members grouped by the width of their signatures."""
+    width = np.array([len(s) for s in signatures])
+    out = []
+    for w in np.unique(width):
+        at = np.flatnonzero(width == w)
+        bits = np.frombuffer(b"".join(signatures[i] for i in at), np.uint64).reshape(len(at), -1)
+        out.append(Members(node[at], n[at], component[at], bits, side[at]))
     return out
 
 
 def _candidates(rows: DataFrame) -> DataFrame:
     """``a < b``: pairs that the trees of the groups ``(token, i, j)`` let through.
-    ``rows``: ``token, i, j, side, node, n, component, signature``."""
+    ``rows``: ``token, leader, salt, i, j, side, node, n, component, signature``.
+    Groups of one leader have much the same sets, so they go to one task, one after
+    the other, where a pair counts once; salt spreads those of a busy leader."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         last, seen = None, set()
@@ -302,8 +380,8 @@ def _candidates(rows: DataFrame) -> DataFrame:
             if t.num_rows < 2:
                 return
             num = {c: t.column(c).to_numpy().astype(np.int64) for c in ("i", "j", "side", "node", "n", "component")}
-            bits = np.frombuffer(b"".join(t.column("signature").to_pylist()), np.uint64).reshape(t.num_rows, -1)
-            pairs = traverse(Members(num["node"], num["n"], num["component"], bits, num["side"]), bool(num["i"][0] != num["j"][0]))
+            groups = by_width(num["node"], num["n"], num["component"], t.column("signature").to_pylist(), num["side"])
+            pairs = traverse(groups, bool(num["i"][0] != num["j"][0]))
             seen.update((min(p), max(p)) for p in pairs)
 
         def send():
@@ -329,7 +407,7 @@ def _candidates(rows: DataFrame) -> DataFrame:
         if seen:
             yield send()
 
-    return (rows.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "component", "n", "node")
+    return (rows.repartition("leader", "salt", "i", "j").sortWithinPartitions("leader", "salt", "i", "j", "token", "component", "n", "node")
             .mapInArrow(run, "a bigint, b bigint").distinct())
 
 
@@ -340,11 +418,13 @@ def _plausible(pairs: DataFrame, light: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 4096):
-            n, k = b.column(2).to_numpy(), b.column(3).to_numpy()
-            s, t = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint64).reshape(b.num_rows, -1) for c in (4, 5))
-            count = lambda v: np.bitwise_count(v).sum(axis=1).astype(np.int64)
-            most = np.minimum(count(s & t) + np.minimum(n - count(s), k - count(t)), np.minimum(n, k))
-            yield pa.RecordBatch.from_arrays(b.columns[:2], ["a", "b"]).filter(pa.array(most >= least_overlap(n, k)))
+            keep = []
+            for n, k, s, t in zip(*(c.to_pylist() for c in b.columns[2:]), strict=True):
+                s, t = np.frombuffer(s, np.uint64), np.frombuffer(t, np.uint64)
+                words = min(len(s), len(t))
+                spare = min(size - int(np.bitwise_count(v).sum()) for size, v in ((n, s), (k, t)) if len(v) == words)
+                keep.append(min(int(shared_bits(s, t)) + spare, n, k) >= -(-PERCENT * (n + k) // (100 + PERCENT)))
+            yield pa.RecordBatch.from_arrays(b.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     close = (F.col("na") * 100 >= F.col("nb") * PERCENT) & (F.col("nb") * 100 >= F.col("na") * PERCENT)
     return (pairs.join(x, "a").join(y, "b").filter(close).select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a bigint, b bigint"))
@@ -378,14 +458,19 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     ship_package(spark)
     texts = _texts(docs, id_col, text_col)
-    sizes = stage(_sizes(texts))
-    order = spark.sparkContext.broadcast(Order(_frequent(texts)))
+    survey = stage(_survey(texts))
+    sizes = survey.filter("n is not null").select("id", "part", "key", "n")
+    frequent = (survey.filter("token is not null").groupBy("token").agg(F.sum("count").alias("n"))
+                .orderBy(F.desc("n"), "token").limit(FREQUENT_TOKENS).collect())
+    order = spark.sparkContext.broadcast(Order({r.token: r.n for r in frequent}))
     reps = sizes.filter("n > 0").groupBy("key", "n").agg(F.min("id").alias("id"))
     reps = stage(add_row_index(reps, ["id", "key", "n"], "node"))
-    shared = stage(_shared(_postings(texts, order)).join(reps.select("key", "n", "node"), ["key", "n"]).select("token", "node"))
+    shared = stage(_shared(_postings(texts, order)).join(reps.select("key", "n", "node"), ["key", "n"]).select("token", "node", "n"))
+    for _ in range(PRUNINGS):
+        shared = _pruned(shared)
+    shared = stage(_different_groups(shared.select("token", "node")))
     wanted = shared.select("node").distinct().join(reps, "node")
-    sets = stage(_sets(texts.join(wanted.select("id").distinct(), "id", "left_semi").select("id", "text"))
-                 .join(wanted.select("key", "n", "node"), ["key", "n"]).select("node", "n", "tokens", "signature").dropDuplicates(["node"]))
+    sets = stage(_sets(texts.join(wanted, "id")))
     light = sets.select("node", "n", "signature")
 
     # First traversal: each set against the leaders of three of its groups.
@@ -398,12 +483,15 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # Second, complete traversal, where a group has several components.
     labelled = shared.join(of, "node", "left").select("token", "node", F.coalesce("component", "node").alias("component"))
-    mixed = labelled.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("size")).filter("x < y")
+    mixed = labelled.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("size"), F.min("node").alias("leader")).filter("x < y")
     chunks = F.ceil(F.col("size") / GROUP).cast("int")
-    rows = labelled.join(mixed.select("token", chunks.alias("chunks")), "token").join(light, "node")
+    busy = mixed.groupBy("leader").agg(F.ceil(F.sum("size") / LEADER_ROWS).alias("salts"))
+    salt = F.pmod(F.xxhash64("token"), F.col("salts")).cast("int")
+    mixed = mixed.join(busy, "leader").select("token", "leader", salt.alias("salt"), chunks.alias("chunks"))
+    rows = labelled.join(mixed, "token").join(light, "node")
     rows = rows.withColumn("side", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    rows = rows.select("token", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "node", "n", "component", "signature")
+    rows = rows.select("token", "leader", "salt", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "node", "n", "component", "signature")
     more = stage(_verified(_candidates(rows), sets))
     joined = components(_across(more, of))
     root = of.join(joined.select(F.col("node").alias("component"), F.col("component").alias("root")), "component", "left").select("node", F.coalesce("root", "component").alias("root"))
