@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.session import ensure_checkpoint_dir, ship_package, stage
 
-__all__ = ["add_row_index", "load_ranks", "read_table", "running_total", "ship_package", "slices", "stage", "stage_path"]
+__all__ = ["add_row_index", "arrow_rows", "load_ranks", "read_table", "running_total", "ship_package", "slices", "stage", "stage_path"]
 
 #: Rows of an Arrow batch that are turned into Python objects at a time.
 SLICE_ROWS = 512
@@ -34,6 +35,19 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
             yield b.slice(i, rows)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Within it, Arrow batches of jobs that run have at most ``rows`` rows: for
+    rows so wide that Spark's default number of them would not fit a worker."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def load_ranks(path: str) -> dict[bytes, int]:
     """Token bytes to rank, from a ``.tiktoken`` file (``base64 rank`` lines)."""
     with open(path, "rb") as f:

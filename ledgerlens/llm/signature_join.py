@@ -37,13 +37,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from ledgerlens.llm.common import add_row_index, ship_package, slices, stage
+from ledgerlens.llm.common import add_row_index, arrow_rows, ship_package, slices, stage
 from ledgerlens.llm.components import components
 
 WORDS = 5
 PERCENT = 80
 #: A token is frequent if it is in at least this many sets of a lot, which is this many slices of documents.
 FREQUENT_ROWS, LOT = 8, 8
+#: Rows of an Arrow batch of texts or sets, and of one of pairs with both sets.
+TEXT_ROWS, PAIR_ROWS = 1024, 128
 #: Rows of groups of one leader that are traversed in one task.
 LEADER_ROWS = 16_384
 #: Frequent tokens that the order knows (the most frequent; 1.6 MB); others keep their place by hash.
@@ -112,7 +114,7 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _distinct_sets(batch: pa.RecordBatch, seen: set) -> list[np.ndarray]:
-    """The sets of a slice that aren't in ``seen``, which gets them: a batch's copies count once."""
+    """The sets of a slice that aren't in ``seen``, which gets their keys: a task's copies count once."""
     out = []
     for t in batch.column(1).to_pylist():
         s = shingles(t)
@@ -178,18 +180,17 @@ class Order:
 def _postings(texts: DataFrame, order) -> DataFrame:
     """``token, salt, key, n``: the prefix of each set.  Salt spreads a frequent token's rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            seen: set = set()
-            for b in slices([whole]):
-                sets = _distinct_sets(b, seen)
-                pre = [order.value.prefix(s) for s in sets]
-                size = [len(p) for p, _ in pre]
-                token = np.concatenate([np.zeros(0, np.uint64), *(p for p, _ in pre)]).view(np.int64)
-                level = np.concatenate([np.zeros(0, np.int64), *(x for _, x in pre)])
-                key = np.repeat(np.array([set_key(s) for s in sets], np.int64), size)
-                n = np.repeat(np.array([len(s) for s in sets], np.int64), size)
-                salt = np.where(level > 0, 1 + (key & 255), 0)
-                yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(salt.astype(np.int32)), pa.array(key), pa.array(n)], ["token", "salt", "key", "n"])
+        seen: set = set()
+        for b in slices(batches):
+            sets = _distinct_sets(b, seen)
+            pre = [order.value.prefix(s) for s in sets]
+            size = [len(p) for p, _ in pre]
+            token = np.concatenate([np.zeros(0, np.uint64), *(p for p, _ in pre)]).view(np.int64)
+            level = np.concatenate([np.zeros(0, np.int64), *(x for _, x in pre)])
+            key = np.repeat(np.array([set_key(s) for s in sets], np.int64), size)
+            n = np.repeat(np.array([len(s) for s in sets], np.int64), size)
+            salt = np.where(level > 0, 1 + (key & 255), 0)
+            yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(salt.astype(np.int32)), pa.array(key), pa.array(n)], ["token", "salt", "key", "n"])
 
     return texts.mapInArrow(run, "token bigint, salt int, key bigint, n bigint")
 
@@ -458,19 +459,23 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     ship_package(spark)
     texts = _texts(docs, id_col, text_col)
-    survey = stage(_survey(texts))
+    with arrow_rows(spark, TEXT_ROWS):
+        survey = stage(_survey(texts))
     sizes = survey.filter("n is not null").select("id", "part", "key", "n")
     frequent = (survey.filter("token is not null").groupBy("token").agg(F.sum("count").alias("n"))
                 .orderBy(F.desc("n"), "token").limit(FREQUENT_TOKENS).collect())
     order = spark.sparkContext.broadcast(Order({r.token: r.n for r in frequent}))
     reps = sizes.filter("n > 0").groupBy("key", "n").agg(F.min("id").alias("id"))
     reps = stage(add_row_index(reps, ["id", "key", "n"], "node"))
-    shared = stage(_shared(_postings(texts, order)).join(reps.select("key", "n", "node"), ["key", "n"]).select("token", "node", "n"))
+    with arrow_rows(spark, TEXT_ROWS):
+        postings = stage(_shared(_postings(texts, order)))
+    shared = stage(postings.join(reps.select("key", "n", "node"), ["key", "n"]).select("token", "node", "n"))
     for _ in range(PRUNINGS):
         shared = _pruned(shared)
     shared = stage(_different_groups(shared.select("token", "node")))
     wanted = shared.select("node").distinct().join(reps, "node")
-    sets = stage(_sets(texts.join(wanted, "id")))
+    with arrow_rows(spark, TEXT_ROWS):
+        sets = stage(_sets(texts.join(wanted, "id")))
     light = sets.select("node", "n", "signature")
 
     # First traversal: each set against the leaders of three of its groups.
@@ -478,7 +483,9 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     mine = chosen.select("node", F.explode(F.array_distinct(F.array("x", "y", "z"))).alias("token"))
     leaders = mine.groupBy("token").agg(F.min("node").alias("a"))
     stars = mine.join(leaders, "token").filter("a < node").select("a", F.col("node").alias("b")).distinct()
-    linked = stage(_verified(_plausible(stars, light), sets))
+    stars = stage(_plausible(stars, light))
+    with arrow_rows(spark, PAIR_ROWS):
+        linked = stage(_verified(stars, sets))
     of = stage(components(linked))
 
     # Second, complete traversal, where a group has several components.
@@ -492,7 +499,9 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = rows.withColumn("side", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     rows = rows.select("token", "leader", "salt", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "node", "n", "component", "signature")
-    more = stage(_verified(_candidates(rows), sets))
+    pairs = stage(_candidates(rows))
+    with arrow_rows(spark, PAIR_ROWS):
+        more = stage(_verified(pairs, sets))
     joined = components(_across(more, of))
     root = of.join(joined.select(F.col("node").alias("component"), F.col("component").alias("root")), "component", "left").select("node", F.coalesce("root", "component").alias("root"))
     alone = joined.join(of.select("node"), "node", "left_anti").select("node", F.col("component").alias("root"))
