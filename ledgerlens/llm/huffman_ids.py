@@ -227,24 +227,31 @@ def decode_table(lengths: np.ndarray, max_bits: int) -> np.ndarray:
     return table
 
 
-def encode_bits(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[bytes, np.ndarray]:
-    """The ids' code words one after the other, first bit highest, padded to whole
-    bytes; and the bit offset of each ``BLOCK_IDS``-th id."""
+def encode_bits(texts: list[np.ndarray], lengths: np.ndarray, codes: np.ndarray) -> list[tuple[bytes, np.ndarray]]:
+    """For each text its ids' code words one after the other, first bit highest,
+    padded to whole bytes; and the bit offset of each ``BLOCK_IDS``-th id."""
+    size = np.array([len(t) for t in texts], np.int64)
+    ids = np.concatenate([np.zeros(0, np.int64), *texts]).astype(np.int64)
     n = lengths[ids].astype(np.int64)
-    ends = np.cumsum(n)
-    starts = ends - n
-    words = np.zeros(int((ends[-1] if len(ids) else 0) + 63) // 64 + 1, np.uint64)
+    last = np.cumsum(size)
+    ends = np.concatenate([[0], np.cumsum(n)])
+    bits = ends[last] - ends[last - size]
+    room = -(-bits // 8) * 8
+    base = np.cumsum(room) - room  # where each text begins
+    starts = ends[:-1] + np.repeat(base - ends[last - size], size)
+    words = np.zeros((int(room.sum()) + 63) // 64 + 1, np.uint64)
     word, off = starts >> 6, starts & 63
     code = codes[ids]
-    room = 64 - off - n  # bits left in the first word; below 0 the code goes on in the next
-    here = np.where(room >= 0, code << np.maximum(room, 0).astype(np.uint64), code >> np.maximum(-room, 0).astype(np.uint64))
-    over = np.flatnonzero(room < 0)
+    free = 64 - off - n  # bits left in the first word; below 0 the code goes on in the next
+    here = np.where(free >= 0, code << np.maximum(free, 0).astype(np.uint64), code >> np.maximum(-free, 0).astype(np.uint64))
+    over = np.flatnonzero(free < 0)
     if len(ids):
         first = np.flatnonzero(np.diff(word, prepend=-1))
         words[word[first]] = np.bitwise_or.reduceat(here, first)
-        words[word[over] + 1] |= code[over] << (64 + room[over]).astype(np.uint64)
-    total = int(ends[-1]) if len(ids) else 0
-    return words.astype(">u8").tobytes()[:(total + 7) // 8], starts[::BLOCK_IDS]
+        words[word[over] + 1] |= code[over] << (64 + free[over]).astype(np.uint64)
+    raw = words.astype(">u8").tobytes()
+    return [(raw[b // 8:(b + r) // 8], starts[z - k:z:BLOCK_IDS] - b)
+            for b, r, z, k in zip(base.tolist(), room.tolist(), last.tolist(), size.tolist(), strict=True)]
 
 
 # --------------------------------------------------------------------------- files
@@ -348,12 +355,12 @@ def write_files(ids: DataFrame, lengths: np.ndarray, width: str, id_col: str = "
             return row
 
         for b in slices(batches):
-            for doc_id, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                flat = np.frombuffer(raw, width)
+            texts = [np.frombuffer(raw, width) for raw in b.column(1).to_pylist()]
+            for doc_id, ids, stream in zip(b.column(0).to_pylist(), texts, encode_bits(texts, bits, codes), strict=True):
                 doc_ids.append(doc_id)
-                counts.append(len(flat))
-                streams.append(encode_bits(flat, bits, codes))
-                held += len(streams[-1][0]) + 32
+                counts.append(len(ids))
+                streams.append(stream)
+                held += len(stream[0]) + 32
                 if held >= file_bytes:
                     yield flush()
         if doc_ids:

@@ -66,7 +66,8 @@ def test_files_round_trip(docs, rng):
     flat = [i for d in docs for i in d]
     lengths = H.code_lengths({i: flat.count(i) for i in set(flat)})
     codes = H.canonical_codes(lengths)
-    streams = [H.encode_bits(np.array(d, np.int64), lengths, codes) for d in docs]
+    streams = H.encode_bits([np.array(d, np.int64) for d in docs], lengths, codes)
+    assert [s[0] for s in streams] == [H.encode_bits([np.array(d, np.int64)], lengths, codes)[0][0] for d in docs]
     names = [rng.choice([None, -5, k, 2**60]) for k in range(len(docs))]
     data = H.pack_file(names, [len(d) for d in docs], streams, lengths, H.MAX_BITS, 17)
     ids, counts, start, out = H.FileReader().read(data)
