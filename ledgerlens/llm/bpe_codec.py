@@ -28,8 +28,8 @@ from pyspark.sql import DataFrame
 from ledgerlens.llm.common import load_ranks, ship_package, slices
 
 #: Memo sizes in a worker; beyond them the memo starts anew (results are the same).
-MAX_PAIRS = 1_000_000
-MAX_PIECES = 500_000
+MAX_PAIRS = 300_000
+MAX_PIECES = 300_000
 
 
 class ByteBpe:
@@ -46,7 +46,7 @@ class ByteBpe:
             self.automaton.add_word(b.decode("latin-1"), i)
         self.automaton.make_automaton()
         self.shorter = {i: self._shorter(b) for b, i in ranks.items()}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
 
     def _parts(self, token: bytes, rank: int) -> tuple[int, int]:
         """The two tokens whose merge makes ``token``: what the merges below its rank leave of its bytes."""
@@ -67,7 +67,7 @@ class ByteBpe:
 
     def fits(self, a: int, b: int) -> bool:
         """Whether encoding the bytes of tokens a and b together gives a, b."""
-        key = (a, b)
+        key = a << 32 | b
         known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) >= MAX_PAIRS:

@@ -35,4 +35,4 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0)), F.coalesce(F.sum(F.pmod(F.xxhash64("v", "u"), F.lit(1 << 31))), F.lit(0))).first())
+    return tuple(edges.agg(F.count(F.lit(1)), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0)), F.coalesce(F.sum(F.pmod(F.xxhash64("v", "u"), F.lit(1 << 24))), F.lit(0))).first())

@@ -231,7 +231,7 @@ def _different_groups(shared: DataFrame) -> DataFrame:
     trees.  Groups are told apart by size, ends and two sums over hashes of their sets."""
     h = F.xxhash64("node")
     groups = shared.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("first"), F.max("node").alias("last"),
-                                         F.bit_xor(h).alias("x"), F.sum(F.pmod(F.xxhash64("node", F.lit(1)), F.lit(1 << 31))).alias("s"))
+                                         F.bit_xor(h).alias("x"), F.sum(F.pmod(F.xxhash64("node", F.lit(1)), F.lit(1 << 24))).alias("s"))
     one = groups.groupBy("size", "first", "last", "x", "s").agg(F.min("token").alias("token"))
     return shared.join(one.select("token"), "token", "left_semi")
 
