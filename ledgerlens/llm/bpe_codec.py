@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from ledgerlens.llm.common import load_ranks, ship_package, slices
 
 #: Memo sizes in a worker; beyond them the memo starts anew (results are the same).
-MAX_PAIRS = 300_000
+MAX_PAIRS = 200_000
 MAX_PIECES = 300_000
 
 

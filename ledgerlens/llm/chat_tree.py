@@ -136,7 +136,8 @@ def format_tree(conversations: DataFrame, ranks_path: str, pattern: str,
     ship_package(spark)
     ranks = spark.sparkContext.broadcast(load_ranks(ranks_path))
     turns = stage(_turns(conversations, ranks, pattern, loss_roles))
-    runs_of = turns.groupBy("node").agg(F.min("cid").alias("run"))
+    # Written, so that the join below is one of two plain shuffles, which Spark splits where a node is hot.
+    runs_of = stage(turns.groupBy("node").agg(F.min("cid").alias("run")))
     path = stage(turns.select("cid", "depth", "node", "pos", "n_tokens").join(runs_of, "node"))
     sizes = path.filter("cid = run").groupBy("run").agg(F.min("pos").alias("first_pos"), F.sum("n_tokens").alias("total"))
     convs = path.groupBy("cid").agg(F.sort_array(F.collect_set("run")).alias("key"), F.max("run").alias("run"),

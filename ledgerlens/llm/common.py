@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import ctypes
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -13,10 +14,12 @@ from pyspark.sql import functions as F
 
 from ledgerlens.session import ensure_checkpoint_dir, ship_package, stage
 
-__all__ = ["add_row_index", "arrow_rows", "load_ranks", "read_table", "running_total", "ship_package", "slices", "stage", "stage_path"]
+__all__ = ["add_row_index", "arrow_rows", "load_ranks", "read_table", "running_total", "ship_package", "slices", "stage", "stage_path", "text_batches"]
 
 #: Rows of an Arrow batch that are turned into Python objects at a time.
 SLICE_ROWS = 512
+#: Rows of an Arrow batch where each is a whole text.
+TEXT_ROWS = 1024
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,10 +32,31 @@ def stage_path(spark: SparkSession, name: str) -> str:
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches, so that Python objects exist for few rows at a time."""
-    for b in batches:
-        for i in range(0, b.num_rows, rows):
-            yield b.slice(i, rows)
+    """Cut Arrow batches, so that Python objects exist for few rows at a time.  At
+    a task's end what it has freed goes back to the system: workers live on, and
+    share their executor's memory with others."""
+    try:
+        for b in batches:
+            for i in range(0, b.num_rows, rows):
+                yield b.slice(i, rows)
+    finally:
+        give_back()
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        pass
+
+
+def text_batches(spark: SparkSession, rows: int = TEXT_ROWS) -> None:
+    """From now on Arrow batches of the session have at most ``rows`` rows: for
+    jobs whose rows are whole texts and that are run later by someone else."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
 
 
 @contextmanager

@@ -37,15 +37,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from ledgerlens.llm.common import add_row_index, arrow_rows, ship_package, slices, stage
+from ledgerlens.llm.common import TEXT_ROWS, add_row_index, arrow_rows, ship_package, slices, stage
 from ledgerlens.llm.components import components
 
 WORDS = 5
 PERCENT = 80
 #: A token is frequent if it is in at least this many sets of a lot, which is this many slices of documents.
 FREQUENT_ROWS, LOT = 8, 8
-#: Rows of an Arrow batch of texts or sets, and of one of pairs with both sets.
-TEXT_ROWS, PAIR_ROWS = 1024, 128
+#: Rows of an Arrow batch of pairs with both sets.
+PAIR_ROWS = 128
 #: Rows of groups of one leader that are traversed in one task.
 LEADER_ROWS = 16_384
 #: Frequent tokens that the order knows (the most frequent; 1.6 MB); others keep their place by hash.
@@ -233,7 +233,7 @@ def _different_groups(shared: DataFrame) -> DataFrame:
     groups = shared.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("first"), F.max("node").alias("last"),
                                          F.bit_xor(h).alias("x"), F.sum(F.pmod(F.xxhash64("node", F.lit(1)), F.lit(1 << 24))).alias("s"))
     one = groups.groupBy("size", "first", "last", "x", "s").agg(F.min("token").alias("token"))
-    return shared.join(one.select("token"), "token", "left_semi")
+    return shared.join(stage(one.select("token")), "token", "left_semi")
 
 
 def signature(tokens: np.ndarray) -> np.ndarray:
@@ -274,9 +274,10 @@ def _pruned(shared: DataFrame) -> DataFrame:
     """``token, node, n`` without sets that share too few tokens of their prefix
     with others to be linked, and without tokens that are then alone."""
     enough = shared.groupBy("node").agg(F.count(F.lit(1)).alias("shared"), F.first("n").alias("n")).filter(F.col("shared") >= least_shared(F.col("n"))).select("node")
+    # Written, as the joins are then of plain shuffles, which Spark splits where a token is hot.
     left = shared.join(enough, "node", "left_semi")
     several = left.groupBy("token").agg(F.min("node").alias("x"), F.max("node").alias("y")).filter("x < y").select("token")
-    return stage(left.join(several, "token", "left_semi"))
+    return stage(left.join(stage(several), "token", "left_semi"))
 
 
 # --------------------------------------------------------------------------- trees
@@ -481,7 +482,8 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # First traversal: each set against the leaders of three of its groups.
     chosen = shared.groupBy("node").agg(F.min("token").alias("x"), F.max("token").alias("y"), F.min_by("token", F.xxhash64("token")).alias("z"))
     mine = chosen.select("node", F.explode(F.array_distinct(F.array("x", "y", "z"))).alias("token"))
-    leaders = mine.groupBy("token").agg(F.min("node").alias("a"))
+    # Written, so that the join with it is one of two plain shuffles, which Spark splits where a token is hot.
+    leaders = stage(mine.groupBy("token").agg(F.min("node").alias("a")))
     stars = mine.join(leaders, "token").filter("a < node").select("a", F.col("node").alias("b")).distinct()
     stars = stage(_plausible(stars, light))
     with arrow_rows(spark, PAIR_ROWS):
@@ -494,7 +496,7 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     chunks = F.ceil(F.col("size") / GROUP).cast("int")
     busy = mixed.groupBy("leader").agg(F.ceil(F.sum("size") / LEADER_ROWS).alias("salts"))
     salt = F.pmod(F.xxhash64("token"), F.col("salts")).cast("int")
-    mixed = mixed.join(busy, "leader").select("token", "leader", salt.alias("salt"), chunks.alias("chunks"))
+    mixed = stage(mixed.join(busy, "leader").select("token", "leader", salt.alias("salt"), chunks.alias("chunks")))
     rows = labelled.join(mixed, "token").join(light, "node")
     rows = rows.withColumn("side", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))

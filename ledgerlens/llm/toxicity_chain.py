@@ -41,7 +41,7 @@ MIN_DOCS = 3
 FOLDS = 5
 RIDGE = 1.0
 THRESHOLD = 0.4
-MAX_WORDS = 200_000
+MAX_WORDS = 100_000
 WORD = re.compile(r"\w+")
 
 
