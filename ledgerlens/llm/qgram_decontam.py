@@ -55,6 +55,7 @@ class Normal:
 
     def form(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         codes, places = [], []
+        before = 1  # the code of the last window's last character, kept or not
         for at in range(0, len(text), WINDOW):
             raw = np.frombuffer(text[at:at + WINDOW].encode("utf-32-le", "surrogatepass"), np.uint32)
             c = self.letters[np.minimum(raw, 0xFFFF)]
@@ -63,8 +64,8 @@ class Normal:
             keep = c != 0
             # A run's first character stays, as a space; so does a run's that goes on from the last window.
             keep[1:] |= c[:-1] != 0
-            if len(keep):
-                keep[0] |= not codes or codes[-1][-1] != 0
+            keep[0] |= before != 0
+            before = c[-1]
             codes.append(c[keep])
             places.append(np.flatnonzero(keep) + at)
         if not codes:

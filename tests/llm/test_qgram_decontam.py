@@ -68,6 +68,23 @@ def test_long_texts_are_cut_without_loss(monkeypatch):
     assert [e for *_, e in whole] == [0, 0, 1] and text[whole[0][1]:whole[0][2]] == item
 
 
+def test_runs_longer_than_windows(monkeypatch):
+    rng = random.Random(3)
+    texts = [ITEM + " " * 500 + ITEM, " " * 500 + ITEM, ITEM + "\0" * 500, "-" * 500, ITEM[:20] + "-" * 384 + ITEM[20:]]
+    texts += ["".join(rng.choice(["ab", "c", "\u6f22", "\U0001f600"]) + rng.choice(" -\0") * rng.randint(0, 60) for _ in range(9)) for _ in range(50)]
+    index, normal = Q.Index([(0, ITEM)]), Q.Normal()
+    whole = [normal.form(t) for t in texts]
+    found = Q.Finder(index).in_texts(texts)
+    assert [len(m) for m in found[:5]] == [2, 1, 1, 0, 1]
+    for n in (1, 7, 128):
+        monkeypatch.setattr(Q, "WINDOW", n)
+        for t, (codes, places) in zip(texts, whole, strict=True):
+            c, p = normal.form(t)
+            assert c.tolist() == codes.tolist() and p.tolist() == places.tolist()
+        if n == 128:
+            assert Q.Finder(index).in_texts(texts) == found
+
+
 ITEM = "the quick brown fox jumps over the lazy dog and runs away"
 
 
