@@ -78,6 +78,57 @@ def test_clean_texts_have_none():
     assert scanner.in_texts(texts) == [[]] * 5
 
 
+AGPL = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General
+Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."""
+LGPL = """This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."""
+DISCLAIMER = """THIS SOFTWARE IS PROVIDED BY THE REGENTS AND CONTRIBUTORS ``AS IS'' AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING,
+BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL
+THE REGENTS OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING,
+BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN
+ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+
+
+@pytest.mark.parametrize("name, text", [
+    ("AGPL-3.0", AGPL), ("LGPL-2.1", LGPL), ("LGPL-3.0", LGPL.replace("2.1", "3").replace("library", "program")), ("GPL-3.0", AGPL.replace("Affero ", "")),
+    ("BSD-disclaimer", DISCLAIMER), ("CC-BY-4.0", "Licensed through CC BY 4.0"), ("CC-BY-4.0", "licensed, gladly, under CC-BY v 4.0"),
+    ("MIT", "released with the MIT license")])
+def test_headers_and_notices_go_by_their_own_name(name, text):
+    scanner = L.Scanner(L.Index(L.TEMPLATES), L.COVERAGE)
+    for around in ("", "it and the word " * 30):
+        (found,) = scanner.in_texts([f"{around} {text} {around}"])
+        assert [scanner.index.names[m[0]] for m in found] == [name]
+
+
+def test_bodies_are_told_apart():
+    scanner = L.Scanner(L.Index(L.TEMPLATES), L.COVERAGE)
+    for name, text in L.BODIES:
+        words = text.split()
+        words[::9] = ["edited"] * len(words[::9])
+        found = scanner.in_texts(["some words " * 200 + " ".join(words) + " more words" * 200])[0]
+        assert scanner.index.names[max(found, key=lambda m: m[1])[0]] == name
+
+
+def test_every_region_of_a_notice_is_a_candidate():
+    rng, hits = random.Random(5), 0
+    templates = [(str(i), " ".join(rng.choice(["ab", "cd", "efg", "h", "ij", "klm"]) for _ in range(n))) for i, n in enumerate((5, 6, 8, 12, 20))]
+    for t in templates:
+        scanner = L.Scanner(L.Index([t]), L.COVERAGE)
+        words, spare = t[1].split(), len(t[1].split()) // 5
+        for _ in range(60):
+            edited = list(words)
+            for at in rng.sample(range(len(words)), rng.randint(0, spare + 2)):
+                edited[at] = rng.choice(["xx", "ab", "yy"])
+            text = [rng.choice(["xx", "zz", "ab", "h"]) for _ in range(30)] + edited + ["zz"] * 30
+            hit = full(words, text) <= spare
+            hits += hit
+            found = scanner.in_texts([" ".join(text)])[0]
+            assert found or not hit
+            assert all(k >= L.COVERAGE * len(words) for _, k, _, _ in found)
+    assert hits > 100
+
+
 def test_copies_and_long_texts(monkeypatch):
     template = "This work is licensed under the GNU General Public License, version 3."
     text = (template + "\n") * 40 + "noise " * 3000 + template
