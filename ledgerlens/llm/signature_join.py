@@ -110,7 +110,8 @@ def least_overlap(n: np.ndarray, m: np.ndarray) -> np.ndarray:
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NULL_ID)).alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
+    text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
+    return docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NULL_ID)).alias("id"), text.alias("text"), F.xxhash64(text).alias("hash"))
 
 
 def _distinct_sets(batch: pa.RecordBatch, seen: set) -> list[np.ndarray]:
@@ -125,10 +126,10 @@ def _distinct_sets(batch: pa.RecordBatch, seen: set) -> list[np.ndarray]:
 
 
 def _survey(texts: DataFrame) -> DataFrame:
-    """Of each document ``id, part`` (hash of the text), ``key, n`` (its set);
+    """Of each document ``id, hash, part`` (hashes of the text, Spark's and ours), ``key, n`` (its set);
     and, in rows of their own, ``token, count`` of tokens that are frequent in a lot."""
-    kinds = [pa.int64()] * 6
-    names = ["id", "part", "key", "n", "token", "count"]
+    kinds = [pa.int64()] * 7
+    names = ["id", "hash", "part", "key", "n", "token", "count"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[tuple[int, int], np.ndarray] = {}
@@ -138,7 +139,7 @@ def _survey(texts: DataFrame) -> DataFrame:
             seen.clear()
             keep = n >= FREQUENT_ROWS
             none = pa.nulls(int(keep.sum()), pa.int64())
-            return pa.RecordBatch.from_arrays([none, none, none, none, pa.array(token[keep].view(np.int64)), pa.array(n[keep].astype(np.int64))], names)
+            return pa.RecordBatch.from_arrays([none, none, none, none, none, pa.array(token[keep].view(np.int64)), pa.array(n[keep].astype(np.int64))], names)
 
         for i, b in enumerate(slices(batches), 1):
             raw = b.column(1).to_pylist()
@@ -146,7 +147,7 @@ def _survey(texts: DataFrame) -> DataFrame:
             keys = [set_key(s) for s in sets]
             seen.update(((k, len(s)), s) for k, s in zip(keys, sets, strict=True) if len(s))
             none = pa.nulls(b.num_rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([xxh3_64_intdigest(t) - (1 << 63) for t in raw], pa.int64()), pa.array(keys, pa.int64()),
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([xxh3_64_intdigest(t) - (1 << 63) for t in raw], pa.int64()), pa.array(keys, pa.int64()),
                                               pa.array([len(s) for s in sets], pa.int64()), none, none], names)
             if i % LOT == 0:
                 yield frequent()
@@ -259,11 +260,14 @@ def shared_bits(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 def _sets(texts: DataFrame) -> DataFrame:
     """``node, n, tokens, signature`` of the rows ``text, key, n, node`` whose text
-    has that set; another text may share the id that brought them together."""
+    has that set; another text may share the id and hash that brought them together.
+    A task's copies of a row count once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()
         for b in slices(batches):
             raw, key, n, node = (c.to_pylist() for c in b.columns)
-            sets = [(i, s) for t, k, m, i in zip(raw, key, n, node, strict=True) if len(s := shingles(t)) == m and set_key(s) == k]
+            sets = [(i, s) for t, k, m, i in zip(raw, key, n, node, strict=True)
+                    if i not in seen and len(s := shingles(t)) == m and set_key(s) == k and not seen.add(i)]
             yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in sets], pa.int64()), pa.array([len(s) for _, s in sets], pa.int64()), pa.array([s.tobytes() for _, s in sets], pa.binary()),
                                               pa.array([signature(s).tobytes() for _, s in sets], pa.binary())], ["node", "n", "tokens", "signature"])
 
@@ -466,7 +470,8 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     frequent = (survey.filter("token is not null").groupBy("token").agg(F.sum("count").alias("n"))
                 .orderBy(F.desc("n"), "token").limit(FREQUENT_TOKENS).collect())
     order = spark.sparkContext.broadcast(Order({r.token: r.n for r in frequent}))
-    reps = sizes.filter("n > 0").groupBy("key", "n").agg(F.min("id").alias("id"))
+    # A set's text is found again by id and hash: ids, null ones too, may have many texts.
+    reps = survey.filter("n > 0").groupBy("key", "n").agg(F.min(F.struct("id", "hash")).alias("first")).select("key", "n", "first.*")
     reps = stage(add_row_index(reps, ["id", "key", "n"], "node"))
     with arrow_rows(spark, TEXT_ROWS):
         postings = stage(_shared(_postings(texts, order)))
@@ -476,7 +481,7 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = stage(_different_groups(shared.select("token", "node")))
     wanted = shared.select("node").distinct().join(reps, "node")
     with arrow_rows(spark, TEXT_ROWS):
-        sets = stage(_sets(texts.join(wanted, "id")))
+        sets = stage(_sets(texts.join(wanted, ["id", "hash"])))
     light = sets.select("node", "n", "signature")
 
     # First traversal: each set against the leaders of three of its groups.

@@ -80,6 +80,15 @@ def test_repeated_and_null_ids(spark):
     assert result(spark, rows) == brute(rows)
 
 
+def test_a_set_meets_its_own_text_only(spark, monkeypatch):
+    common = " ".join(f"w{k}" for k in range(80))
+    rows = [(None if i % 2 else 7, f"{common} number{i}") for i in range(60)] + [(9, f"{common} nine")] * 3
+    met, plain = [], J._sets
+    monkeypatch.setattr(J, "_sets", lambda texts: met.append(texts.count()) or plain(texts))
+    assert result(spark, rows) == brute(rows)
+    assert 0 < met[0] <= len(rows)
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert J.link_components(df).count() == 0 == J.keep_one(df).count()
