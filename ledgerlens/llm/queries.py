@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import bpe_codec, chat_tree, huffman_ids, license_scan, qgram_decontam, signature_join, simhash, toxicity_chain, url_cascade, warc_archive
+from ledgerlens.llm import bpe_codec, chat_tree, hard_negatives, huffman_ids, license_scan, qgram_decontam, signature_join, simhash, stratified_shards, toxicity_chain, url_cascade, warc_archive
 from ledgerlens.llm.common import read_table
 
 QUERIES: dict = {}
@@ -129,3 +129,38 @@ SELECT page_id, octet_length(encode(p))::BIGINT AS payload_bytes, {_B32} AS payl
 FROM k""")
 def q_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_archive.read_records(*warc_archive.write_archive(read_table(spark, sf_dir, "pages")))
+
+
+@query("op12_hard_negatives", """
+WITH e AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     s AS (SELECT a.id AS anchor_id, a.label = b.label AS same, b.id, list_inner_product(a.q, b.q)::BIGINT AS score
+           FROM e a JOIN e b ON a.id % 100 = 0 AND a.id <> b.id),
+     p AS (SELECT anchor_id, id AS positive_id, score AS p FROM s WHERE same
+           QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+     n AS (SELECT p.anchor_id, positive_id, p AS positive_score, s.id AS negative_id, s.score AS negative_score,
+                  row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id)::INT AS rank
+           FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 30 * p <= 100 * s.score AND 100 * s.score <= 90 * p)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10""")
+def q_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved))
+
+
+@query("op13_stratified_shards", """
+WITH r AS (SELECT doc_id, source, coalesce(text, '') AS text,
+                  row_number() OVER (PARTITION BY source ORDER BY md5('20240229:' || coalesce(doc_id::VARCHAR, 'null')), doc_id NULLS FIRST) - 1 AS k,
+                  count(*) OVER (PARTITION BY source) AS m FROM documents),
+     o AS (SELECT *, row_number() OVER (ORDER BY (2 * k + 1) / (2 * m)::DOUBLE, source NULLS FIRST, k) - 1 AS place, count(*) OVER () AS n FROM r),
+     c AS (SELECT *, place * 16 // n AS shard, list_prepend(4294967295, [('0x' || h)::BIGINT FOR h IN regexp_extract_all(hex(encode(text)), '..')]) AS bytes FROM o),
+     t AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: xor(c >> 1, 3988292384 * (c & 1)))) AS crc)
+SELECT doc_id, octet_length(encode(text))::BIGINT + 1 AS size,
+       xor(list_reduce(bytes, lambda c, x: xor(c >> 8, crc[1 + (xor(c, x) & 255)])), 4294967295)::BIGINT AS text_crc32,
+       'rows' AS law, shard::INT AS shard, (place - (shard * n + 15) // 16)::BIGINT AS slot, NULL::INT AS grown_shard
+FROM c, t""")
+def q_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return stratified_shards.digests(stratified_shards.read_shards(spark, stratified_shards.write_shards(docs), docs.schema))
