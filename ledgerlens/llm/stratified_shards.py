@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, LongType, StructType
 
 from ledgerlens.llm.common import add_row_index, stage, stage_path
 
@@ -98,7 +98,7 @@ def write_shards(docs: DataFrame, strata: str = "source", id_column: str = "doc_
 def read_shards(spark: SparkSession, folder: str, columns: StructType) -> DataFrame:
     """``shard, slot, row`` of all shards, where ``row`` has ``columns``; a shard's
     rows in the order of ``slot`` are its sequence."""
-    schema = StructType().add("slot", "long").add("row", columns).add("shard", "int")
+    schema = StructType().add("slot", LongType()).add("row", columns).add("shard", IntegerType())
     return spark.read.schema(schema).parquet(folder).select("shard", "slot", "row")
 
 
