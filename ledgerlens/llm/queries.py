@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import bpe_codec, chat_tree, hard_negatives, huffman_ids, license_scan, qgram_decontam, signature_join, simhash, stratified_shards, toxicity_chain, url_cascade, warc_archive
+from ledgerlens.llm import bpe_codec, chat_tree, collocations, hard_negatives, huffman_ids, license_scan, qgram_decontam, signature_join, simhash, stratified_shards, toxicity_chain, url_cascade, warc_archive
 from ledgerlens.llm.common import read_table
 
 QUERIES: dict = {}
@@ -131,6 +131,26 @@ def q_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_archive.read_records(*warc_archive.write_archive(read_table(spark, sf_dir, "pages")))
 
 
+@query("op11_collocation_stripes", f"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+     w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+     g AS ({" UNION ALL ".join(f"SELECT lang, {m} AS m, unnest([array_to_string(ws[i:i + {m - 1}], ' ') FOR i IN range(1, len(ws) - {m - 2})]) AS phrase FROM w" for m in (1, 2, 3, 4))}),
+     f AS (SELECT lang, m, phrase, count(*) AS f FROM g GROUP BY ALL),
+     n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+     c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE m > 1 AND f >= 30),
+     k AS (SELECT lang, phrase, a, unnest(range(1, m)) AS k, ws FROM c),
+     s AS (SELECT k.lang, k.phrase, a, l.f AS l, r.f AS r, ((2000000::HUGEINT * a) // (l.f + r.f))::BIGINT AS score
+           FROM k JOIN f l ON l.lang = k.lang AND l.phrase = array_to_string(ws[1:k], ' ')
+                  JOIN f r ON r.lang = k.lang AND r.phrase = array_to_string(ws[k + 1:], ' ')
+           QUALIFY row_number() OVER (PARTITION BY k.lang, k.phrase ORDER BY (2000000::HUGEINT * a) // (l.f + r.f), k) = 1),
+     o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM s
+           WHERE NOT EXISTS (FROM c WHERE c.lang = s.lang AND length(c.phrase) > length(s.phrase) AND 100 * c.a >= 80 * s.a
+                                        AND contains(' ' || c.phrase || ' ', ' ' || s.phrase || ' ')))
+SELECT lang, rank, phrase, a, l, r, n, score FROM o JOIN n USING (lang) WHERE rank <= 2000""")
+def q_collocation_stripes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(read_table(spark, sf_dir, "documents"))
+
+
 @query("op12_hard_negatives", """
 WITH e AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
