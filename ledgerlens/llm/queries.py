@@ -133,19 +133,23 @@ def q_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op11_collocation_stripes", f"""
 WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
-     w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
-     g AS ({" UNION ALL ".join(f"SELECT lang, {m} AS m, unnest([array_to_string(ws[i:i + {m - 1}], ' ') FOR i IN range(1, len(ws) - {m - 2})]) AS phrase FROM w" for m in (1, 2, 3, 4))}),
-     f AS (SELECT lang, m, phrase, count(*) AS f FROM g GROUP BY ALL),
+     w AS (SELECT row_number() OVER () AS id, lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+     u AS (SELECT id, lang, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM w),
+     v AS (SELECT lang, w AS w1, lead(w) OVER o AS w2, lead(w, 2) OVER o AS w3, lead(w, 3) OVER o AS w4 FROM u WINDOW o AS (PARTITION BY id ORDER BY i)),
+     g AS (SELECT lang, 1 AS m, w1 AS phrase FROM v UNION ALL SELECT lang, 2, w1 || ' ' || w2 FROM v WHERE w2 IS NOT NULL
+           UNION ALL SELECT lang, 3, concat_ws(' ', w1, w2, w3) FROM v WHERE w3 IS NOT NULL UNION ALL SELECT lang, 4, concat_ws(' ', w1, w2, w3, w4) FROM v WHERE w4 IS NOT NULL),
+     f AS MATERIALIZED (SELECT lang, m, phrase, count(*) AS f FROM g GROUP BY ALL),
      n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
-     c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE m > 1 AND f >= 30),
-     k AS (SELECT lang, phrase, a, unnest(range(1, m)) AS k, ws FROM c),
-     s AS (SELECT k.lang, k.phrase, a, l.f AS l, r.f AS r, ((2000000::HUGEINT * a) // (l.f + r.f))::BIGINT AS score
-           FROM k JOIN f l ON l.lang = k.lang AND l.phrase = array_to_string(ws[1:k], ' ')
-                  JOIN f r ON r.lang = k.lang AND r.phrase = array_to_string(ws[k + 1:], ' ')
-           QUALIFY row_number() OVER (PARTITION BY k.lang, k.phrase ORDER BY (2000000::HUGEINT * a) // (l.f + r.f), k) = 1),
-     o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM s
-           WHERE NOT EXISTS (FROM c WHERE c.lang = s.lang AND length(c.phrase) > length(s.phrase) AND 100 * c.a >= 80 * s.a
-                                        AND contains(' ' || c.phrase || ' ', ' ' || s.phrase || ' ')))
+     c AS MATERIALIZED (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE m > 1 AND f >= 30),
+     k AS (SELECT lang, phrase, a, k, array_to_string(ws[1:k], ' ') AS x, array_to_string(ws[k + 1:], ' ') AS y FROM (SELECT *, unnest(range(1, m)) AS k FROM c)),
+     s AS (SELECT k.lang, k.phrase, a, l.f AS l, r.f AS r, ((2000000::HUGEINT * a) // (l.f + r.f))::BIGINT AS score, k
+           FROM k JOIN f l ON l.lang = k.lang AND l.phrase = x JOIN f r ON r.lang = k.lang AND r.phrase = y),
+     e AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+     i AS (SELECT lang, m, a, ws, unnest(range(1, m)) AS i FROM c),
+     j AS (SELECT lang, m, a, ws, i, unnest(range(i + 1, m + 1)) AS j FROM i),
+     h AS (SELECT lang, array_to_string(ws[i:j], ' ') AS phrase, max(a) AS longer FROM j WHERE j - i + 1 < m GROUP BY ALL),
+     o AS (SELECT e.*, row_number() OVER (PARTITION BY e.lang ORDER BY score DESC, a DESC, e.phrase) AS rank
+           FROM e LEFT JOIN h ON h.lang = e.lang AND h.phrase = e.phrase WHERE longer IS NULL OR 100 * longer < 80 * a)
 SELECT lang, rank, phrase, a, l, r, n, score FROM o JOIN n USING (lang) WHERE rank <= 2000""")
 def q_collocation_stripes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine(read_table(spark, sf_dir, "documents"))
