@@ -19,6 +19,7 @@ contamination quantile (exact, distributed).
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -216,6 +217,84 @@ def detect_anomalies(features: DataFrame, n_rows: int, n_trees: int = C.N_TREES,
     return rescale_decision(decision_from_scores(sc, contamination, "score", key), "decision", key)
 
 
+def pca_spectrum(z: DataFrame, cols, key: str = "wallet") -> DataFrame:
+    """One row, from the variances of all principal components: ``components``
+    (their number), ``total`` (their sum, the trace of the covariance matrix) and
+    ``squares`` (the sum of their squares, that of all its entries)."""
+    pts, _ = pca_project(z, cols, len(cols), key)
+    wide = pts.agg(F.array(*[F.var_samp(F.col("features")[i]) for i in range(len(cols))]).alias("v"))
+    add = lambda f: F.aggregate("v", F.lit(0.0), lambda a, x: a + f(x))
+    return wide.select(F.size("v").alias("components"), add(lambda x: x).alias("total"), add(lambda x: x * x).alias("squares"))
+
+
+# ---------------------------------------------------------------------- S16
+@dataclass
+class AnomalyModel:
+    """A fitted M1 -> M2 -> M3 -> M5 chain that scores wallets it was not fitted on.
+
+    ``scale``: one row of means and deviations; ``pca``: Spark ML model or None;
+    ``nodes``: the forest; ``cut``: one row, the contamination quantile of the
+    scores and the range of the decisions it was fitted on."""
+
+    columns: list
+    scale: DataFrame
+    pca: object
+    nodes: DataFrame
+    psi: int
+    cut: DataFrame
+
+    def decisions(self, features: DataFrame, key: str = "wallet") -> DataFrame:
+        from pyspark.ml.feature import VectorAssembler
+        from pyspark.ml.functions import vector_to_array
+        j = features.select(key, *self.columns).crossJoin(F.broadcast(self.scale))   # one row
+        z = [F.when(F.col(f"_s_{c}") > 0, (F.col(c) - F.col(f"_m_{c}")) / F.col(f"_s_{c}")).otherwise(F.lit(0.0)).alias(c) for c in self.columns]
+        v = VectorAssembler(inputCols=list(self.columns), outputCol="_v").transform(j.select(key, *z))
+        v = v.withColumnRenamed("_v", "_p") if self.pca is None else self.pca.transform(v)
+        scores = score_isolation_forest(v.select(key, vector_to_array("_p").alias("features")), self.nodes, self.psi, key)
+        return scores.crossJoin(F.broadcast(self.cut)).withColumn("decision", F.col("score") - F.col("offset"))   # one row
+
+    def score(self, features: DataFrame, key: str = "wallet") -> DataFrame:
+        """``wallet, anomaly_score, is_anomaly``; wallets beyond the fitted range are held at 0 and 1."""
+        part = (F.col("decision") - F.col("low")) / (F.col("high") - F.col("low") + F.lit(1e-10))
+        return self.decisions(features, key).select(key, F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.lit(1.0) - part)).alias("anomaly_score"),
+                                                    (F.col("decision") < 0).alias("is_anomaly"))
+
+    def save(self, path: str) -> None:
+        """One folder: statistics, nodes and settings as Parquet, the PCA by Spark ML's writer."""
+        path = path.rstrip("/")
+        spark = self.scale.sparkSession
+        settings = spark.createDataFrame([(list(self.columns), self.psi, self.pca is not None)], "columns array<string>, psi int, pca boolean")
+        for name, table in (("scale", self.scale), ("nodes", self.nodes), ("cut", self.cut), ("settings", settings)):
+            table.write.mode("overwrite").parquet(f"{path}/{name}")
+        if self.pca is not None:
+            self.pca.write().overwrite().save(f"{path}/pca")
+
+    @classmethod
+    def load(cls, spark, path: str) -> AnomalyModel:
+        from pyspark.ml.feature import PCAModel
+        path = path.rstrip("/")
+        read = lambda name: spark.read.parquet(f"{path}/{name}")
+        s = read("settings").first()
+        return cls(list(s.columns), read("scale"), PCAModel.load(f"{path}/pca") if s.pca else None, read("nodes"), s.psi, read("cut"))
+
+
+def fit_anomaly_model(features: DataFrame, n_rows: int, n_trees: int = C.N_TREES, seed: int = C.SEED,
+                      contamination: float = C.CONTAMINATION, key: str = "wallet") -> AnomalyModel:
+    """Fit the chain of :func:`detect_anomalies` and keep it."""
+    from ledgerlens.session import stage
+    cols = anomaly_feature_columns(features)
+    scale = stage(features.agg(*[F.avg(c).alias(f"_m_{c}") for c in cols], *[F.stddev_pop(c).alias(f"_s_{c}") for c in cols]))
+    pts, pca = pca_project(standardize(features, cols, key), cols, pca_components(n_rows, len(cols)), key)
+    pts = stage(pts)
+    nodes = stage(fit_isolation_forest(pts, n_rows, n_trees, 256, seed, key))
+    psi = min(256, n_rows)
+    scores = stage(score_isolation_forest(pts, nodes, psi, key))
+    q = exact_quantile_long(scores.select(F.lit("all").alias("_g"), F.col("score").alias("_v")), "_g", "_v", contamination)
+    cut = scores.agg(F.min("score").alias("_lo"), F.max("score").alias("_hi")).crossJoin(F.broadcast(q.select(F.col("quantile").alias("offset"))))   # one row each
+    cut = stage(cut.select("offset", (F.col("_lo") - F.col("offset")).alias("low"), (F.col("_hi") - F.col("offset")).alias("high")))
+    return AnomalyModel(cols, scale, pca, nodes, psi, cut)
+
+
 # ---------------------------------------------------------------------- M4
 def rbf_gamma_scale(points: DataFrame) -> float:
     """gamma='scale' = 1 / (d * variance of all feature entries), one aggregation."""

@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens import config as C
-from ledgerlens.functions.columns import day_diff, epoch_micros, guarded_ratio, safe_corr, ts_literal
-from ledgerlens.operators.ordered import (consecutive_gaps, last_known, min_at_or_after, running_sums,
-                                          with_previous)
-from ledgerlens.operators.ranking import exact_quantile_long
+from ledgerlens.functions.columns import day_diff, guarded_ratio, safe_corr, ts_literal
+from ledgerlens.operators.ordered import adjacent, consecutive_gaps, gap_us, last_known, min_at_or_after, rolling_sums
+from ledgerlens.operators.ranking import exact_quantile_long, value_positions
+from ledgerlens.operators.steps import EXACT, accruals, market_rates, marked_balances, moves
+from ledgerlens.session import stage
 
 # Running balances are rounded to this many decimals so that the order of a
 # distributed floating sum cannot flip a sign test or blow up a ratio.
@@ -31,18 +32,49 @@ def _ev(name):
 
 # ------------------------------------------------------------------ D1
 def windowed_features(tx: DataFrame, as_of: _dt.datetime = C.DEFAULT_AS_OF, windows=None) -> DataFrame:
-    """Lifetime / 90d / 30d variants of counts and volumes in one pass."""
+    """Lifetime / 90d / 30d variants (suffix ``_<window>``) of the summary's counts,
+    volumes and market count and of the interval statistics, by wallet.
+
+    One aggregation per (account, market) and one over pairs of neighbours serve
+    all windows: a market counts in a window if its last event lies in it, a gap
+    by the event that ends it, if the one before lies in the window too."""
     windows = windows or C.TIME_WINDOWS
+    stop = ts_literal(as_of)
+    start = {n: None if days is None else ts_literal(as_of - _dt.timedelta(days=days)) for n, days in windows.items()}
+    since = lambda n, t: (t <= stop) if start[n] is None else ((t <= stop) & (t >= start[n]))
+
     aggs = []
-    for name, days in windows.items():
-        inside = F.lit(True) if days is None else (F.col("timestamp") >= ts_literal(as_of - _dt.timedelta(days=days)))
-        inside = inside & (F.col("timestamp") <= ts_literal(as_of))
-        aggs.append(F.count_if(inside).alias(f"tx_count_{name}"))
-        for ev in ("Mint", "Borrow", "RepayBorrow"):
-            aggs.append(F.coalesce(F.sum(F.when(inside & _ev(ev), F.col("amount"))), F.lit(0.0))
-                        .alias(f"{_SHORT[ev]}_volume_{name}"))
-        aggs.append(F.count_if(inside & _ev("LiquidateBorrow")).alias(f"liquidation_count_{name}"))
-    return tx.groupBy(F.col("account").alias("wallet")).agg(*aggs)
+    for n in windows:
+        inside = since(n, F.col("timestamp"))
+        aggs.append(F.count_if(inside).alias(f"tx_count_{n}"))
+        aggs += [F.count_if(inside & _ev(e)).alias(f"{_SHORT[e]}_count_{n}") for e in EV]
+        aggs += [F.sum(F.when(inside & _ev(e), F.col("amount"))).alias(f"_{_SHORT[e]}_{n}") for e in ("Mint", "Borrow", "RepayBorrow")]
+        aggs += [F.min(F.when(inside, F.col("timestamp"))).alias(f"_first_{n}"), F.max(F.when(inside, F.col("timestamp"))).alias(f"_last_{n}")]
+    counts = tx.groupBy(F.col("account").alias("wallet")).agg(*aggs)
+
+    markets = tx.where(F.col("timestamp") <= stop).select("account", "timestamp", F.explode(F.array_distinct(F.array(*[c for c in ("token", "ctoken") if c in tx.columns]))).alias("_m"))
+    markets = markets.where(F.col("_m").isNotNull()).groupBy("account", "_m").agg(F.max("timestamp").alias("_t")) \
+        .groupBy(F.col("account").alias("wallet")).agg(*[F.count_if(since(n, F.col("_t"))).alias(f"_markets_{n}") for n in windows])
+
+    gap = lambda p, r: gap_us(p["timestamp"], r["timestamp"])
+    wide = lambda p, r: gap(p, r).cast("decimal(19,0)")
+    within = lambda n, f: lambda p, r: F.when(since(n, r["timestamp"]) & since(n, p["timestamp"]), f(p, r))
+    metrics = {}
+    for n in windows:
+        metrics |= {f"_n_{n}": ("sum", within(n, lambda p, r: F.lit(1))), f"_s_{n}": ("sum", within(n, gap)),
+                    f"_q_{n}": ("sum", within(n, lambda p, r: wide(p, r) * wide(p, r))),
+                    f"_max_{n}": ("max", within(n, gap)), f"_min_{n}": ("min", within(n, gap))}
+    gaps = adjacent(tx.select("account", "timestamp"), "account", metrics).withColumnRenamed("account", "wallet")
+
+    day, cols = F.lit(86_400_000_000.0), []
+    for n in windows:
+        k = F.col(f"_n_{n}").cast("double")
+        cols += [F.col(f"tx_count_{n}"), *[F.col(f"{_SHORT[e]}_count_{n}") for e in EV]]
+        cols += [F.coalesce(F.col(f"_{_SHORT[e]}_{n}"), F.lit(0.0)).alias(f"{_SHORT[e]}_volume_{n}") for e in ("Mint", "Borrow", "RepayBorrow")]
+        cols += [F.coalesce(f"_markets_{n}", F.lit(0).cast("long")).alias(f"market_count_{n}"), day_diff(f"_first_{n}", f"_last_{n}").alias(f"age_days_{n}"),
+                 (F.col(f"_s_{n}") / k / day).alias(f"avg_gap_days_{n}"), (F.col(f"_max_{n}") / day).alias(f"max_gap_days_{n}"),
+                 (F.col(f"_min_{n}") / day).alias(f"min_gap_days_{n}"), (spread(f"_n_{n}", f"_s_{n}", f"_q_{n}") / k / day).alias(f"stddev_gap_days_{n}")]
+    return counts.join(markets, "wallet", "left").join(gaps, "wallet", "left").select("wallet", *cols)
 
 
 # ------------------------------------------------------------------ D2
@@ -60,7 +92,7 @@ def declared_features(tx: DataFrame, features: DataFrame, as_of: _dt.datetime =
     can give (D2, D6, D9, D11), one row per wallet."""
     out = weight_aliases(features, as_of)
     ltv = ltv_path(tx, as_of).select("wallet", "avg_ltv_90d", "min_ltv_alltime", "max_ltv_alltime", "time_near_liquidation_pct")
-    rewards = interest_estimate(tx, as_of).select("wallet", "comp_earned_estimate_ratio")
+    rewards = reward_estimate(tx, as_of).select("wallet", "comp_earned_estimate_ratio")
     actions = complex_actions(tx).select("wallet", "complex_action_freq")
     for more in (ltv, rewards, actions):
         out = out.join(more, "wallet", "left")
@@ -105,25 +137,27 @@ def wallet_sessions(tx: DataFrame, gap_seconds: int = 3600) -> DataFrame:
     session, mean session duration (days), longest inactivity (days),
     burstiness (sigma - mu) / (sigma + mu) of the gaps, and the population
     stddev of the counts per active day."""
-    t = with_previous(tx.select("account", "timestamp", "transaction_hash"), "account",
-                      tiebreak=("transaction_hash",))
-    gap = (epoch_micros("timestamp") - epoch_micros("prev_ts")) / F.lit(1e6)
-    t = t.withColumn("_new", F.when(F.col("prev_ts").isNull() | (gap > gap_seconds), 1).otherwise(0)) \
-         .withColumn("_gap_days", gap / F.lit(86400.0))
-    t = running_sums(t, "account", ["timestamp", "transaction_hash"], {"session": F.col("_new")})
-    s = t.groupBy("account", "session").agg(F.count(F.lit(1)).alias("_a"),
-                                            day_diff(F.min("timestamp"), F.max("timestamp")).alias("_d"))
-    per = s.groupBy(F.col("account").alias("wallet")).agg(
-        F.count(F.lit(1)).alias("sessions"), F.avg("_a").alias("actions_per_session"),
-        F.avg("_d").alias("avg_session_days"))
-    g = t.groupBy(F.col("account").alias("wallet")).agg(
-        F.max("_gap_days").alias("longest_inactivity_days"),
-        F.avg("_gap_days").alias("_mu"), F.stddev_pop("_gap_days").alias("_sd"))
-    g = g.select("wallet", "longest_inactivity_days",
-                 F.try_divide(F.col("_sd") - F.col("_mu"), F.col("_sd") + F.col("_mu")).alias("burstiness"))
+    limit = gap_seconds * 1_000_000
+    gap = lambda p, r: gap_us(p["timestamp"], r["timestamp"])
+    wide = lambda p, r: gap(p, r).cast("decimal(19,0)")
+    g = adjacent(tx.select("account", "timestamp"), "account", {
+        "n": ("sum", lambda p, r: F.lit(1)), "s": ("sum", gap), "q": ("sum", lambda p, r: wide(p, r) * wide(p, r)), "longest": ("max", gap),
+        "breaks": ("sum", lambda p, r: F.when(gap(p, r) > limit, 1)), "inside": ("sum", lambda p, r: F.when(gap(p, r) <= limit, gap(p, r)))})
+    day, n = F.lit(86_400_000_000.0), F.col("n").cast("double")
+    mu, sd = F.col("s") / n, spread("n", "s", "q") / n
+    sessions = F.coalesce("breaks", F.lit(0)) + 1
+    g = g.select(F.col("account").alias("wallet"), sessions.alias("sessions"), ((F.coalesce("n", F.lit(0)) + 1) / sessions).alias("actions_per_session"),
+                 (F.coalesce("inside", F.lit(0)) / sessions / day).alias("avg_session_days"), (F.col("longest") / day).alias("longest_inactivity_days"),
+                 F.try_divide(sd - mu, sd + mu).alias("burstiness"))
     daily = tx.groupBy("account", F.to_date("timestamp").alias("_day")).agg(F.count(F.lit(1)).alias("_c")) \
               .groupBy(F.col("account").alias("wallet")).agg(F.stddev_pop("_c").alias("daily_count_stddev"))
-    return per.join(g, "wallet").join(daily, "wallet")
+    return g.join(daily, "wallet")
+
+
+def spread(n: str, s: str, q: str):
+    """``sqrt(n q - s s)`` of exact sums: ``n`` times the population deviation."""
+    wide = lambda c: F.col(c).cast("decimal(19,0)")
+    return F.sqrt(((F.col(q) * wide(n)).cast("decimal(38,0)") - (wide(s) * wide(s)).cast("decimal(38,0)")).cast("double"))
 
 
 # ------------------------------------------------------------------ D6
@@ -137,22 +171,16 @@ def asof_price(tx: DataFrame) -> DataFrame:
 
 
 def ltv_path(tx: DataFrame, as_of: _dt.datetime = C.DEFAULT_AS_OF, near: float = 0.8) -> DataFrame:
-    """Running supplied and borrowed USD value per wallet; LTV after each event
-    (borrowed / supplied when supplied > 0).  Per wallet: avg, min, max,
+    """LTV after each event of a wallet: what it has borrowed over what it has
+    supplied (when positive), all its tokens at the prices of that moment
+    (:func:`asof_price`), so LTV moves with prices too.  Per wallet: avg, min, max,
     stddev of LTV, time-weighted average LTV (weight = time to the next event,
     the last event to the clock), share of time with LTV > ``near`` and the
     average LTV over the last 90 days."""
-    usd = F.coalesce(F.col("amountusd"), F.col("amount"))
-    supply = F.when(_ev("Mint"), usd).when(_ev("Redeem"), -usd).otherwise(F.lit(0.0))
-    debt = F.when(_ev("Borrow"), usd).when(_ev("RepayBorrow") | _ev("LiquidateBorrow"), -usd).otherwise(F.lit(0.0))
-    t = tx.select("account", "timestamp", "transaction_hash", supply.alias("_s"), debt.alias("_b"))
-    t = running_sums(t, "account", ["timestamp", "transaction_hash"], {"supplied": F.col("_s"), "borrowed": F.col("_b")})
-    t = t.withColumns({"supplied": F.round("supplied", BALANCE_DIGITS), "borrowed": F.round("borrowed", BALANCE_DIGITS)})
+    t = marked_balances(moves(tx))
+    t = t.withColumns({c: F.round(c, BALANCE_DIGITS) for c in ("supplied", "borrowed")})
     t = t.withColumn("ltv", F.when(F.col("supplied") > 0, F.col("borrowed") / F.col("supplied")))
-    from ledgerlens.operators.ordered import with_neighbors
-    t = with_neighbors(t, "account", "timestamp", tiebreak=("transaction_hash",))
-    clock = ts_literal(as_of)
-    dt = F.greatest(F.lit(0.0), day_diff("timestamp", F.coalesce("next_ts", clock)))
+    dt = F.greatest(F.lit(0.0), day_diff("timestamp", F.coalesce("next_ts", ts_literal(as_of))))
     recent = F.col("timestamp") >= ts_literal(as_of - _dt.timedelta(days=90))
     w_ltv = F.when(F.col("ltv").isNotNull(), dt)
     return t.groupBy(F.col("account").alias("wallet")).agg(
@@ -185,28 +213,29 @@ def liquidation_history(tx: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ D8, D9
-def interest_estimate(tx: DataFrame, as_of: _dt.datetime = C.DEFAULT_AS_OF, borrow_apr: float = 0.05,
-                      supply_apr: float = 0.02, reward_apr: float = 0.01) -> DataFrame:
-    """Interest paid / earned and reward accrual: running USD balances x
-    annual rate x time held (to the next event, the last to the clock).
-    ``comp_earned_estimate_ratio`` = reward / total USD volume."""
-    usd = F.coalesce(F.col("amountusd"), F.col("amount"))
-    supply = F.when(_ev("Mint"), usd).when(_ev("Redeem"), -usd).otherwise(F.lit(0.0))
-    debt = F.when(_ev("Borrow"), usd).when(_ev("RepayBorrow") | _ev("LiquidateBorrow"), -usd).otherwise(F.lit(0.0))
-    t = tx.select("account", "timestamp", "transaction_hash", usd.alias("_usd"), supply.alias("_s"), debt.alias("_b"))
-    t = running_sums(t, "account", ["timestamp", "transaction_hash"], {"supplied": F.col("_s"), "borrowed": F.col("_b")})
-    t = t.withColumns({"supplied": F.round("supplied", BALANCE_DIGITS), "borrowed": F.round("borrowed", BALANCE_DIGITS)})
-    from ledgerlens.operators.ordered import with_neighbors
-    t = with_neighbors(t, "account", "timestamp", tiebreak=("transaction_hash",))
-    years = F.greatest(F.lit(0.0), day_diff("timestamp", F.coalesce("next_ts", ts_literal(as_of)))) / F.lit(365.0)
-    pos = lambda c: F.greatest(F.lit(0.0), F.col(c))
-    g = t.groupBy(F.col("account").alias("wallet")).agg(
-        F.sum(pos("borrowed") * F.lit(borrow_apr) * years).alias("interest_paid_estimate"),
-        F.sum(pos("supplied") * F.lit(supply_apr) * years).alias("interest_earned_estimate"),
-        F.sum(pos("supplied") * F.lit(reward_apr) * years).alias("comp_earned_estimate"),
-        F.sum(F.abs("_usd")).alias("_vol"))
-    return g.select("wallet", "interest_paid_estimate", "interest_earned_estimate", "comp_earned_estimate",
-                    guarded_ratio("comp_earned_estimate", "_vol").alias("comp_earned_estimate_ratio"))
+def interest_estimate(tx: DataFrame, as_of: _dt.datetime = C.DEFAULT_AS_OF, rates: DataFrame | None = None,
+                      reserve_factor: float = 0.1, seize_share: float = 0.028) -> DataFrame:
+    """Interest paid and earned per wallet: its positive USD balance in each
+    market at the market's rate, which changes with time (``rates``: steps of
+    ``token, timestamp, borrow, supply, reward``; by default :func:`market_rates`).
+    Reserves get ``reserve_factor`` of the interest paid and ``seize_share`` of what
+    liquidations of the wallet seized."""
+    m = moves(tx)
+    rates = stage(market_rates(m, reserve_factor=reserve_factor)) if rates is None else rates
+    seized = m.groupBy(F.col("account").alias("wallet")).agg(F.coalesce(F.sum("seized"), F.lit(0.0)).alias("_seized"))
+    a = accruals(m, rates, as_of).join(seized, "wallet")
+    return a.select("wallet", F.col("paid").alias("interest_paid_estimate"), F.col("earned").alias("interest_earned_estimate"),
+                    (F.col("paid") * F.lit(reserve_factor) + F.col("_seized") * F.lit(seize_share)).alias("reserve_contribution_estimate"))
+
+
+def reward_estimate(tx: DataFrame, as_of: _dt.datetime = C.DEFAULT_AS_OF, rates: DataFrame | None = None) -> DataFrame:
+    """Reward tokens (USD) accrued on supplied balances at each market's daily
+    reward rate, and their ratio to the wallet's USD volume."""
+    m = moves(tx)
+    rates = stage(market_rates(m)) if rates is None else rates
+    volume = m.groupBy(F.col("account").alias("wallet")).agg(F.sum(F.abs("usd")).alias("_vol"))
+    return accruals(m, rates, as_of).join(volume, "wallet").select(
+        "wallet", F.col("reward").alias("comp_earned_estimate"), guarded_ratio("reward", "_vol").alias("comp_earned_estimate_ratio"))
 
 
 # ------------------------------------------------------------------ D10
@@ -237,25 +266,44 @@ def complex_actions(tx: DataFrame, window: str = "10 minutes") -> DataFrame:
 def behaviour_flags(tx: DataFrame, cycle_seconds: int = 3600, flash_seconds: int = 600,
                     repeat_seconds: int = 60) -> DataFrame:
     """Pattern counts per wallet: rapid supply->redeem cycles on one market,
-    flash-loan-like borrow->repay on one market, and bot-like repeats of the
-    same action within ``repeat_seconds``."""
+    flash-loan-like borrow->repay on one market, bot-like repeats of the
+    same action within ``repeat_seconds``, and churn (:func:`net_to_gross`)."""
     base = tx.select("account", "token", "timestamp", "transaction_hash", "event_type")
-    by_mkt = with_previous(base, ["account", "token"], carry=("event_type",), tiebreak=("transaction_hash",))
-    gap = (epoch_micros("timestamp") - epoch_micros("prev_ts")) / F.lit(1e6)
-    m = by_mkt.groupBy(F.col("account").alias("wallet")).agg(
-        F.count_if(_ev("Redeem") & (F.col("prev_event_type") == "Mint") & (gap <= cycle_seconds)).alias("rapid_cycles"),
-        F.count_if(_ev("RepayBorrow") & (F.col("prev_event_type") == "Borrow") & (gap <= flash_seconds))
-         .alias("flash_like"))
-    by_acct = with_previous(base, "account", carry=("event_type",), tiebreak=("transaction_hash",))
-    gap2 = (epoch_micros("timestamp") - epoch_micros("prev_ts")) / F.lit(1e6)
-    r = by_acct.groupBy(F.col("account").alias("wallet")).agg(
-        F.count_if((F.col("prev_event_type") == F.col("event_type")) & (gap2 <= repeat_seconds)).alias("repeats"))
-    return m.join(r, "wallet")
+
+    def follows(first, second, seconds):
+        return lambda p, r: F.when((p["event_type"] == first) & (r["event_type"] == second)
+                                   & (gap_us(p["timestamp"], r["timestamp"]) <= seconds * 1_000_000), 1)
+
+    same = lambda p, r: F.when((p["event_type"] == r["event_type"]) & (gap_us(p["timestamp"], r["timestamp"]) <= repeat_seconds * 1_000_000), 1)
+    m = adjacent(base, ["account", "token"], {"rapid_cycles": ("sum", follows("Mint", "Redeem", cycle_seconds)),
+                                              "flash_like": ("sum", follows("Borrow", "RepayBorrow", flash_seconds))},
+                 tiebreak=("transaction_hash",), carry=("event_type",), by="account")
+    r = adjacent(base, "account", {"repeats": ("sum", same)}, tiebreak=("transaction_hash",), carry=("event_type",))
+    zero = F.lit(0).cast("long")
+    both = m.join(r, "account").select(F.col("account").alias("wallet"), *[F.coalesce(c, zero).alias(c) for c in ("rapid_cycles", "flash_like", "repeats")])
+    return both.join(net_to_gross(tx), "wallet")
+
+
+def net_to_gross(tx: DataFrame, seconds: int = 3600, churn: float = 0.1) -> DataFrame:
+    """Per wallet, over the hours that end at its events, by market: ``churn_hours``,
+    those in which value went both in (supplied, repaid) and out (redeemed,
+    borrowed) and the net flow is at most ``churn`` of the gross flow, and
+    ``min_net_to_gross``, the least such ratio of hours with flow both ways."""
+    m = moves(tx)
+    zero = F.lit(0).cast(EXACT)
+    put = F.greatest(F.col("supply_usd"), zero) + F.greatest(-F.col("debt_usd"), zero)
+    took = F.greatest(-F.col("supply_usd"), zero) + F.greatest(F.col("debt_usd"), zero)
+    h = rolling_sums(m.select("account", "token", "timestamp", put.alias("_in"), took.alias("_out")), ["account", "token"], {"inflow": F.col("_in"), "outflow": F.col("_out")}, seconds)
+    net, gross = F.abs(F.col("inflow") - F.col("outflow")).cast("double"), (F.col("inflow") + F.col("outflow")).cast("double")
+    ratio = F.when((F.col("inflow") > 0) & (F.col("outflow") > 0), net / gross)
+    return h.withColumn("_r", ratio).groupBy(F.col("account").alias("wallet")).agg(
+        F.count_if(F.col("_r") <= churn).alias("churn_hours"), F.min("_r").alias("min_net_to_gross"))
 
 
 # ------------------------------------------------------------------ D13
 def wallet_clusters(z: DataFrame, cols, k: int = 4, seed: int = C.SEED):
-    """KMeans on standardised features -> ((wallet, cluster), silhouette)."""
+    """KMeans on standardised features: ``wallet, cluster`` and the clustering's
+    ``silhouette`` on each row."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.evaluation import ClusteringEvaluator
     from pyspark.ml.feature import VectorAssembler
@@ -263,32 +311,37 @@ def wallet_clusters(z: DataFrame, cols, k: int = 4, seed: int = C.SEED):
     model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(v)
     pred = model.transform(v)
     sil = ClusteringEvaluator(featuresCol="features", predictionCol="cluster").evaluate(pred)
-    return pred.select("wallet", "cluster"), sil
+    return pred.select("wallet", "cluster", F.lit(float(sil)).alias("silhouette"))
 
 
 # ------------------------------------------------------------------ D15
 def weight_sensitivity(weighted: DataFrame, weights: dict, step: float = 0.1) -> DataFrame:
-    """For each weighted feature, scale its weight by (1 +/- step) and compare
-    the raw score with the base one: Pearson correlation and mean absolute
-    change.  ``weighted`` carries ``raw_score`` and ``feature_contributions``
-    (vector mode); all perturbed scores are columns of one projection."""
+    """For each weighted feature, scale its weight by (1 +/- step) and compare the
+    scores with the base ones: rank correlation (Spearman, ties share their mean
+    rank), correlation of the scores and mean absolute change.  ``weighted``
+    carries ``wallet``, ``raw_score`` and ``feature_contributions`` (vector mode).
+
+    All perturbed scores are one long (name, value) table, ranked in one pass by
+    ``value_positions``: no window or sort over all wallets."""
     avail = {f: w for f, w in weights.items() if w != 0}
     total = sum(abs(w) for w in weights.values())
     c = lambda f: F.coalesce(F.col("feature_contributions").getItem(f), F.lit(0.0))
     base_sum = F.col("raw_score") * F.lit(total)
-    cols = []
+    scores = {("", ""): F.col("raw_score")}
     for f, w in avail.items():
         for sign, tag in ((1, "up"), (-1, "down")):
             s = 1 + sign * step
-            cols.append(((base_sum - c(f) + c(f) * F.lit(s)) / F.lit(total - abs(w) + abs(w) * s)).alias(f"{f}__{tag}"))
-    p = weighted.select("raw_score", *cols)
-    names = [f"{f}__{t}" for f in avail for t in ("up", "down")]
-    wide = p.agg(*[safe_corr("raw_score", n).alias(f"corr__{n}") for n in names],
-                 *[F.avg(F.abs(F.col(n) - F.col("raw_score"))).alias(f"mad__{n}") for n in names])
-    st = F.explode(F.array(*[F.struct(F.lit(n.split("__")[0]).alias("feature"), F.lit(n.split("__")[1]).alias("direction"),
-                                      F.col(f"corr__{n}").alias("correlation"),
-                                      F.col(f"mad__{n}").alias("mean_abs_change")) for n in names]))
-    return wide.select(st.alias("s")).select("s.*")
+            scores[f, tag] = (base_sum - c(f) + c(f) * F.lit(s)) / F.lit(total - abs(w) + abs(w) * s)
+    each = F.explode(F.array(*[F.struct(F.lit(f"{f}/{t}").alias("name"), v.alias("v")) for (f, t), v in scores.items()])).alias("e")
+    # Ranked by 12 digits, so that two ways to the same score tie.
+    long = stage(weighted.select("raw_score", each).select(F.round("raw_score", 12).alias("base"), "e.name", "e.v", F.round("e.v", 12).alias("value")))
+    ranks = stage(value_positions(long.select("name", "value"), "value", ["name"]).select("name", "value", (F.col("pos") + (F.col("cnt") - 1) / 2.0).alias("rank")))
+    base = ranks.where(F.col("name") == "/").select(F.col("value").alias("base"), F.col("rank").alias("base_rank"))
+    both = long.where(F.col("name") != "/").join(ranks, ["name", "value"]).join(base, "base")
+    out = both.groupBy("name").agg(safe_corr("base_rank", "rank").alias("rank_correlation"), F.avg(F.abs(F.col("rank") - F.col("base_rank"))).alias("mean_rank_change"),
+                                   safe_corr("base", "v").alias("correlation"), F.avg(F.abs(F.col("v") - F.col("base"))).alias("mean_abs_change"))
+    name = F.split("name", "/")
+    return out.select(name[0].alias("feature"), name[1].alias("direction"), "rank_correlation", "mean_rank_change", "correlation", "mean_abs_change")
 
 
 def score_drift(before: DataFrame, after: DataFrame, bins: int = 10, eps: float = 1e-6) -> DataFrame:

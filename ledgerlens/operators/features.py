@@ -3,7 +3,7 @@
 Plan shape: one hash aggregation by account for the summary, counts, volumes
 and ratios (partial aggregation on the map side, so a hot wallet costs one
 row per task before the shuffle); one two-level distinct for the market
-count; interval statistics from ``consecutive_gaps`` (chunked, skew-safe).
+count; interval statistics from ``adjacent`` (chunked, skew-safe, one scan).
 All parts are hash-partitioned by account, so their joins add no exchange.
 """
 
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.config import DEFAULT_AS_OF
 from ledgerlens.functions.columns import day_diff, guarded_ratio, ts_literal
-from ledgerlens.operators.ordered import DEFAULT_CHUNK_SECONDS, consecutive_gaps
+from ledgerlens.operators.ordered import DEFAULT_CHUNK_SECONDS, adjacent, gap_us
 from ledgerlens.operators.ranking import exact_medians
 from ledgerlens.schema import FEATURE_COLUMNS, SUMMARY_COLUMNS
 
@@ -136,15 +136,15 @@ def temporal_features(tx: DataFrame, optimize: bool = True,
     optimize=True: population stddev and CV (CV only when the mean > 0);
     optimize=False: sample stddev, no CV column.  Wallets with one row get no
     row here (NULL after the left join)."""
-    gaps = consecutive_gaps(tx, "account", "timestamp", chunk_seconds)
     day = F.lit(86_400_000_000.0)
-    us = F.col("gap_us")
-    wide = us.cast("decimal(19,0)")
+    us = lambda p, r: gap_us(p["timestamp"], r["timestamp"])
+    wide = lambda p, r: us(p, r).cast("decimal(19,0)")
     # Sums of whole microseconds and of their squares are exact, so wallets with
     # the same gaps get the same statistics whatever order the rows come in.
-    t = gaps.groupBy(F.col("account").alias("wallet")).agg(
-        F.count(us).alias("_n"), F.sum(us).alias("_s"), F.sum(wide * wide).alias("_q"),
-        F.max(us).alias("_max"), F.min(us).alias("_min"))
+    t = adjacent(tx.select("account", "timestamp"), "account", {
+        "_n": ("sum", lambda p, r: F.lit(1)), "_s": ("sum", us), "_q": ("sum", lambda p, r: wide(p, r) * wide(p, r)),
+        "_max": ("max", us), "_min": ("min", us)}, chunk_seconds=chunk_seconds)
+    t = t.where(F.col("_n").isNotNull()).withColumnRenamed("account", "wallet")
     n = F.col("_n").cast("decimal(19,0)")
     s = F.col("_s").cast("decimal(19,0)")
     spread = (F.col("_q") * n).cast("decimal(38,0)") - (s * s).cast("decimal(38,0)")

@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlens.session import stage
+
 DEFAULT_BUCKETS = 64
 
 
@@ -45,6 +47,7 @@ def value_positions(df: DataFrame, value: str, groups=(), buckets: int | None =
     dv = base.groupBy(*g, value).agg(F.count(F.lit(1)).alias("_cnt"))
     probs = [i / b for i in range(1, b)]
     if many_groups:
+        dv = stage(dv)      # used three times below; what it comes from is read once
         cuts = dv.agg(F.percentile_approx(v, probs, 10 * b).alias("_cuts"))
         dvb = dv.crossJoin(F.broadcast(cuts))      # one row of bounded size
     else:

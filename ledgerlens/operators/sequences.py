@@ -1,19 +1,17 @@
 """Per-wallet transaction sequences for sequence models.
 
-The last ``length`` events of each wallet are found without a per-wallet
-window over all its rows: a chunked running count gives each row its
-position from the start; the wallet's row count turns that into the
-position from the end.  Only rows within the last ``length`` survive, so the
-final per-wallet step handles at most ``length`` rows.
+The last ``length`` events of a wallet, and the one before them for the first
+gap, come from ``ordered.last_rows``: each chunk of a wallet's time keeps as many
+at most, so no step sees a hot wallet whole and the log is read once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.columns import day_diff
-from ledgerlens.operators.ordered import running_sums, with_previous
+from ledgerlens.operators.ordered import last_rows
 
 EVENT_CODES = {"Mint": 1, "Redeem": 2, "Borrow": 3, "RepayBorrow": 4, "LiquidateBorrow": 5}
 
@@ -24,17 +22,12 @@ def tx_sequences(tx: DataFrame, length: int = 10) -> DataFrame:
     code = None
     for ev, c in EVENT_CODES.items():
         code = F.when(F.col("event_type") == ev, c) if code is None else code.when(F.col("event_type") == ev, c)
-    t = with_previous(tx.select("account", "timestamp", "transaction_hash", "event_type", "amount"), "account",
-                      tiebreak=("transaction_hash",))
-    t = running_sums(t, "account", ["timestamp", "transaction_hash"], {"_seq": F.lit(1)})
-    n = tx.groupBy("account").agg(F.count(F.lit(1)).alias("_n"))
-    t = t.join(n, "account").withColumn("_from_end", F.col("_n") - F.col("_seq") + 1) \
-         .where(F.col("_from_end") <= length)
-    ev = t.select(F.col("account").alias("wallet"), (F.lit(length) - F.col("_from_end") + 1).alias("pos"),
-                  code.cast("int").alias("event_code"), F.coalesce("amount", F.lit(0.0)).alias("amount"),
-                  F.coalesce(day_diff("prev_ts", "timestamp"), F.lit(0.0)).alias("gap_days"))
-    grid = n.select(F.col("account").alias("wallet"), F.explode(F.sequence(F.lit(1), F.lit(length))).alias("pos"))
-    return (grid.join(ev, ["wallet", "pos"], "left")
-                .select("wallet", "pos", F.coalesce("event_code", F.lit(0)).alias("event_code"),
-                        F.coalesce("amount", F.lit(0.0)).alias("amount"),
-                        F.coalesce("gap_days", F.lit(0.0)).alias("gap_days")))
+    t = last_rows(tx.select("account", "timestamp", "transaction_hash", "event_type", "amount"), "account", length + 1, tiebreak=("transaction_hash",))
+    t = t.withColumn("_prev", F.lag("timestamp").over(Window.partitionBy("account").orderBy(F.desc("_from_end"))))
+    step = F.struct((F.lit(length) - F.col("_from_end") + 1).alias("pos"), code.cast("int").alias("event_code"),
+                    F.coalesce("amount", F.lit(0.0)).alias("amount"), F.coalesce(day_diff("_prev", "timestamp"), F.lit(0.0)).alias("gap_days"))
+    steps = t.where(F.col("_from_end") <= length).groupBy(F.col("account").alias("wallet")).agg(F.collect_list(step).alias("_s"))
+    pos = F.explode(F.sequence(F.lit(1), F.lit(length))).alias("pos")
+    out = steps.select("wallet", "_s", pos).select("wallet", "pos", F.get(F.filter("_s", lambda x: x["pos"] == F.col("pos")), F.lit(0)).alias("_e"))
+    return out.select("wallet", "pos", F.coalesce("_e.event_code", F.lit(0)).alias("event_code"),
+                      F.coalesce("_e.amount", F.lit(0.0)).alias("amount"), F.coalesce("_e.gap_days", F.lit(0.0)).alias("gap_days"))

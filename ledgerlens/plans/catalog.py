@@ -599,6 +599,32 @@ def q_isolation_forest(spark, sf):
     return out(_anomaly_table(spark, sf)[1])
 
 
+@register("anomaly_model_loaded")
+def q_anomaly_model_loaded(spark, sf):
+    """The fitted chain (scaler, PCA, forest, cut) is written, read back and
+    scores the wallets."""
+    f = P.stage(_feats(spark, sf), P.STAGE_MODE)
+    path = _scratch(spark, "anomaly-model")
+    AM.fit_anomaly_model(f, f.count()).save(path)
+    return out(AM.AnomalyModel.load(spark, path).score(f))
+
+
+def _spectrum_sql():
+    z = ", ".join(f"{_z_sql(c)} AS z_{c}" for c in _ANOM_COLS)
+    cov = ", ".join(f"covar_samp(z_{a}, z_{b})" for a in _ANOM_COLS for b in _ANOM_COLS)
+    var = " + ".join(f"var_samp(z_{c})" for c in _ANOM_COLS)
+    return O.with_ctes(O.features_ctes() + f", z AS (SELECT {z} FROM feat)",
+                       f"SELECT {len(_ANOM_COLS)} AS components, round({var}, 6) AS total, round(list_sum(list_transform([{cov}], lambda x: x * x)), 6) AS squares FROM z")
+
+
+@register("pca_spectrum", _spectrum_sql())
+def q_pca_spectrum(spark, sf):
+    """M2: variances of the components against the covariances of the columns."""
+    f = _feats(spark, sf)
+    cols = AM.anomaly_feature_columns(f)
+    return out(AM.pca_spectrum(AM.standardize(f, cols), cols))
+
+
 def _distance_anomaly(spark, sf, f):
     """The deterministic anomaly table (minus the norm of the standardised
     features, rescaled) without the wallets whose id ends in 7."""
@@ -647,19 +673,30 @@ def _ts_sql(dt):
 
 
 def _window_sql(as_of=O.C.DEFAULT_AS_OF):
-    parts = []
+    """Each window on its own: its rows, then summary and gaps between neighbours among them."""
+    parts, cols = [], ["wallet"]
     for name, days in O.C.TIME_WINDOWS.items():
         inside = "TRUE" if days is None else f'"timestamp" >= {_ts_sql(as_of - _dt.timedelta(days=days))}'
-        inside = f'({inside} AND "timestamp" <= {_ts_sql(as_of)})'
-        parts.append(f"CAST(count_if({inside}) AS BIGINT) AS tx_count_{name}")
-        for ev, short in (("Mint", "mint"), ("Borrow", "borrow"), ("RepayBorrow", "repay")):
-            parts.append(f"round(COALESCE(sum(CASE WHEN {inside} AND event_type = '{ev}' THEN amount END), {O.d(0)}), 6) "
-                         f"AS {short}_volume_{name}")
-        parts.append(f"CAST(count_if({inside} AND event_type = 'LiquidateBorrow') AS BIGINT) AS liquidation_count_{name}")
-    return ", ".join(parts)
+        evs = ", ".join(f"count(*) FILTER (event_type = '{e}') AS {s}_count_{name}" for e, s in _EVS)
+        vols = ", ".join(f"round(COALESCE(sum(amount) FILTER (event_type = '{e}'), {O.d(0)}), 6) AS {s}_volume_{name}" for e, s in _EVS if s in ("mint", "borrow", "repay"))
+        parts.append(f"""r_{name} AS (SELECT *, {O.days('lag("timestamp") OVER (PARTITION BY account ORDER BY "timestamp", transaction_hash)', '"timestamp"')} AS g
+  FROM clean WHERE {inside} AND "timestamp" <= {_ts_sql(as_of)}),
+w_{name} AS (SELECT account AS wallet, count(*) AS tx_count_{name}, {evs}, {vols}, round({O.days('min("timestamp")', 'max("timestamp")')}, 6) AS age_days_{name},
+  round(avg(g), 6) AS avg_gap_days_{name}, round(max(g), 6) AS max_gap_days_{name}, round(min(g), 6) AS min_gap_days_{name}, round(stddev_pop(g), 6) AS stddev_gap_days_{name}
+  FROM r_{name} GROUP BY account),
+m_{name} AS (SELECT account AS wallet, count(DISTINCT m) AS market_count_{name} FROM (SELECT account, unnest([token, ctoken]) AS m FROM r_{name}) GROUP BY account)""")
+        zero = [f"{s}_count_{name}" for _, s in _EVS] + [f"tx_count_{name}", f"market_count_{name}"]
+        cols += [f"COALESCE({c}, 0) AS {c}" for c in zero] + [f"COALESCE({s}_volume_{name}, 0) AS {s}_volume_{name}" for s in ("mint", "borrow", "repay")]
+        cols += [f"{c}_days_{name}" for c in ("age", "avg_gap", "max_gap", "min_gap", "stddev_gap")]
+    joins = " ".join(f"LEFT JOIN w_{n} USING (wallet) LEFT JOIN m_{n} USING (wallet)" for n in O.C.TIME_WINDOWS)
+    return O.with_ctes(_CLEAN + ", " + ", ".join(parts), f"SELECT {', '.join(cols)} FROM (SELECT DISTINCT account AS wallet FROM clean) {joins}")
+
+
+_EVS = [("Mint", "mint"), ("Redeem", "redeem"), ("Borrow", "borrow"), ("RepayBorrow", "repay"),
+        ("LiquidateBorrow", "liquidation")]
 
 
-@register("windowed_features", O.with_ctes(_CLEAN, f"SELECT account AS wallet, {_window_sql()} FROM clean GROUP BY account"))
+@register("windowed_features", _window_sql())
 def q_windowed_features(spark, sf):
     return out(DE.windowed_features(_tx(spark, sf)))
 
@@ -668,7 +705,7 @@ def q_windowed_features(spark, sf):
 _CLOCK_IN = _dt.datetime(2024, 2, 15)
 
 
-@register("windowed_features_recent", O.with_ctes(_CLEAN, f"SELECT account AS wallet, {_window_sql(_CLOCK_IN)} FROM clean GROUP BY account"))
+@register("windowed_features_recent", _window_sql(_CLOCK_IN))
 def q_windowed_features_recent(spark, sf):
     return out(DE.windowed_features(_tx(spark, sf), _CLOCK_IN))
 
@@ -681,10 +718,6 @@ def q_weight_aliases(spark, sf):
     return out(f.select("wallet", "tx_count_total", "account_age_days", "market_diversity_count"))
 
 
-_EVS = [("Mint", "mint"), ("Redeem", "redeem"), ("Borrow", "borrow"), ("RepayBorrow", "repay"),
-        ("LiquidateBorrow", "liquidation")]
-
-
 @register("activity_rates", O.with_ctes(
     _CLEAN + f", g AS ({O.gaps_sql('clean')}), med AS (SELECT account AS wallet, median(gap) AS m FROM g GROUP BY account), "
     "b AS (SELECT account AS wallet, count(*) AS n, greatest(" + O.d(1) + ", " + O.days('min("timestamp")', 'max("timestamp")')
@@ -742,18 +775,48 @@ def q_asof_price(spark, sf):
     return out(DE.asof_price(_tx(spark, sf)))
 
 
-def _balances_sql():
+def _moves_sql():
+    """The cleaned log as signed amounts, exact; ``rn`` numbers all events by time."""
     usd = "COALESCE(amountusd, amount)"
-    sup = f"CASE WHEN event_type = 'Mint' THEN {usd} WHEN event_type = 'Redeem' THEN -{usd} ELSE {O.d(0)} END"
-    debt = (f"CASE WHEN event_type = 'Borrow' THEN {usd} WHEN event_type IN ('RepayBorrow', 'LiquidateBorrow') "
-            f"THEN -{usd} ELSE {O.d(0)} END")
-    w = 'OVER (PARTITION BY account ORDER BY "timestamp", transaction_hash ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)'
-    return (f"""bal AS (SELECT account, "timestamp", transaction_hash, event_type, {usd} AS usd,
-  round(sum({sup}) {w}, {DE.BALANCE_DIGITS}) AS supplied, round(sum({debt}) {w}, {DE.BALANCE_DIGITS}) AS borrowed,
-  lead("timestamp") OVER (PARTITION BY account ORDER BY "timestamp", transaction_hash) AS next_ts FROM clean)""")
-
-
-_LTV_SQL = (_CLEAN + ", " + _balances_sql() + f""", l AS (SELECT *, CASE WHEN supplied > 0 THEN borrowed / supplied END AS ltv,
+    sup = lambda v: f"CAST(COALESCE(CASE WHEN event_type = 'Mint' THEN {v} WHEN event_type = 'Redeem' THEN -{v} END, 0) AS DECIMAL(28,9))"
+    debt = lambda v: f"CAST(COALESCE(CASE WHEN event_type = 'Borrow' THEN {v} WHEN event_type IN ('RepayBorrow', 'LiquidateBorrow') THEN -{v} END, 0) AS DECIMAL(28,9))"
+    return f"""mv AS (SELECT account, token, "timestamp", transaction_hash, {usd} AS usd, {sup('amount')} AS ds, {debt('amount')} AS db,
+  {sup(usd)} AS dsu, {debt(usd)} AS dbu, CASE WHEN event_type = 'LiquidateBorrow' THEN {usd} END AS seized,
+  CASE WHEN event_type = 'Mint' AND amount <> 0 THEN amountusd / amount END AS px,
+  row_number() OVER (ORDER BY "timestamp", transaction_hash) AS rn FROM clean)"""
+
+
+def _marked_sql():
+    """Balances of each event at the prices of that moment: all tokens of the wallet, as-of prices."""
+    return """ev AS (SELECT *, lead("timestamp") OVER (PARTITION BY account ORDER BY rn) AS next_ts FROM mv),
+held AS (SELECT DISTINCT account, token AS k FROM mv),
+grid AS (SELECT account, k, rn, "timestamp", next_ts,
+  CAST(sum(CASE WHEN token = k THEN ds ELSE 0 END) OVER w AS DOUBLE) AS qs, CAST(sum(CASE WHEN token = k THEN db ELSE 0 END) OVER w AS DOUBLE) AS qb
+  FROM ev JOIN held USING (account) WINDOW w AS (PARTITION BY account, k ORDER BY rn)),
+seen AS (SELECT token, rn, px FROM mv WHERE px IS NOT NULL),
+bal AS (SELECT account, grid.rn, any_value("timestamp") AS "timestamp", any_value(next_ts) AS next_ts,
+  round(sum(qs * COALESCE(px, 0)), 9) AS supplied, round(sum(qb * COALESCE(px, 0)), 9) AS borrowed
+  FROM grid ASOF LEFT JOIN seen ON grid.k = seen.token AND grid.rn >= seen.rn GROUP BY account, grid.rn)"""
+
+
+def _accrual_sql(clock):
+    """Rate steps of each market and day, and the balances' steps: every pair that overlaps."""
+    part = O.days("greatest(a, t0)", "least(z, t1)") + " / 365.0"
+    return f"""dy AS (SELECT token, CAST("timestamp" AS DATE) AS d, sum(dsu) AS s, sum(dbu) AS b FROM mv GROUP BY ALL),
+cu AS (SELECT token, CAST(d + 1 AS TIMESTAMP) AS t0, CAST(sum(s) OVER w AS DOUBLE) AS s, CAST(sum(b) OVER w AS DOUBLE) AS b FROM dy WINDOW w AS (PARTITION BY token ORDER BY d)),
+uu AS (SELECT *, CASE WHEN s > 0 THEN least({O.d(1)}, greatest({O.d(0)}, b / s)) ELSE {O.d(0)} END AS u FROM cu WHERE t0 < {clock}),
+rt AS (SELECT token, t0, COALESCE(lead(t0) OVER (PARTITION BY token ORDER BY t0), {clock}) AS t1, 0.02 + {O.d(0.2)} * u AS rb,
+  (0.02 + {O.d(0.2)} * u) * u * 0.9 AS rs, CASE WHEN s > 0 THEN 36500 / s ELSE {O.d(0)} END AS rr FROM uu),
+bi AS (SELECT account, token, "timestamp" AS a, least({clock}, COALESCE(lead("timestamp") OVER (PARTITION BY account, token ORDER BY rn), {clock})) AS z,
+  greatest({O.d(0)}, CAST(sum(dsu) OVER w AS DOUBLE)) AS qs, greatest({O.d(0)}, CAST(sum(dbu) OVER w AS DOUBLE)) AS qb
+  FROM mv WINDOW w AS (PARTITION BY account, token ORDER BY rn)),
+ac AS (SELECT account, sum(qb * rb * {part}) AS paid, sum(qs * rs * {part}) AS earned, sum(qs * rr * {part}) AS reward
+  FROM bi JOIN rt ON bi.token = rt.token AND a < t1 AND z > t0 GROUP BY account),
+vo AS (SELECT account, sum(abs(usd)) AS vol, COALESCE(sum(seized), 0) AS seized FROM mv GROUP BY account),
+acc AS (SELECT vo.account AS wallet, COALESCE(paid, 0) AS paid, COALESCE(earned, 0) AS earned, COALESCE(reward, 0) AS reward, vol, seized FROM vo LEFT JOIN ac USING (account))"""
+
+
+_LTV_SQL = (_CLEAN + ", " + _moves_sql() + ", " + _marked_sql() + f""", l AS (SELECT *, CASE WHEN supplied > 0 THEN borrowed / supplied END AS ltv,
   greatest({O.d(0)}, {O.days('"timestamp"', f'COALESCE(next_ts, {O.AS_OF_SQL})')}) AS dt FROM bal),
 l2 AS (SELECT *, CASE WHEN ltv IS NOT NULL THEN dt END AS wl FROM l)""")
 
@@ -781,15 +844,16 @@ def _declared_sql():
     clock = _ts_sql(_CLOCK_LATE)
     held = O.days('"timestamp"', f"COALESCE(next_ts, {clock})")
     recent = _ts_sql(_CLOCK_LATE - _dt.timedelta(days=90))
-    ctes = f"""{O.features_ctes('events_dense', as_of=clock)}, {_balances_sql()},
+    ctes = f"""{O.features_ctes('events_dense', as_of=clock)}, {_moves_sql()}, {_marked_sql()}, {_accrual_sql(clock)},
 l AS (SELECT *, CASE WHEN supplied > 0 THEN borrowed / supplied END AS ltv, greatest({O.d(0)}, {held}) AS dt FROM bal),
 lt AS (SELECT account AS wallet, avg(CASE WHEN "timestamp" >= {recent} THEN ltv END) AS avg_ltv_90d, min(ltv) AS min_ltv_alltime,
-  max(ltv) AS max_ltv_alltime, sum(CASE WHEN ltv > 0.8 THEN dt END) / NULLIF(sum(CASE WHEN ltv IS NOT NULL THEN dt END), 0) AS time_near_liquidation_pct,
-  sum(greatest({O.d(0)}, supplied) * 0.01 * (dt / 365.0)) / greatest({O.d(1)}, sum(abs(usd))) AS comp_earned_estimate_ratio FROM l GROUP BY account),
+  max(ltv) AS max_ltv_alltime, sum(CASE WHEN ltv > 0.8 THEN dt END) / NULLIF(sum(CASE WHEN ltv IS NOT NULL THEN dt END), 0) AS time_near_liquidation_pct
+  FROM l GROUP BY account),
 ca AS (SELECT wallet, (count(*) FILTER (e >= 2 AND m >= 2)) / count(*) AS complex_action_freq FROM (SELECT account AS wallet,
   count(DISTINCT event_type) AS e, count(DISTINCT token) AS m FROM clean GROUP BY account, floor(epoch_us("timestamp") / 600000000)) GROUP BY wallet),
 sc0 AS (SELECT feat.*, tx_count AS tx_count_total, {O.days('first_tx_timestamp', clock)} AS account_age_days, market_count AS market_diversity_count,
-  lt.* EXCLUDE (wallet), complex_action_freq, {O.d(O.C.NEUTRAL_ANOMALY)} AS anomaly_score FROM feat LEFT JOIN lt USING (wallet) LEFT JOIN ca USING (wallet)),
+  lt.* EXCLUDE (wallet), reward / greatest({O.d(1)}, vol) AS comp_earned_estimate_ratio, complex_action_freq, {O.d(O.C.NEUTRAL_ANOMALY)} AS anomaly_score
+  FROM feat LEFT JOIN lt USING (wallet) LEFT JOIN ca USING (wallet) LEFT JOIN acc USING (wallet)),
 {O.scoring_ctes(_DECLARED_COLS)}, {O.adjust_ctes(_DECLARED_COLS)}, fin AS ({O.percentile_sql('adjusted')})"""
     return O.with_ctes(ctes, "SELECT wallet, round(raw_score, 6) AS raw_score, " + ", ".join(f"round(a_{k}, 6) AS {k}" for k in _ALL_RULES)
                        + ", final_score FROM fin")
@@ -819,15 +883,30 @@ def q_liquidation_history(spark, sf):
 
 
 @register("interest_estimate", O.with_ctes(
-    _CLEAN + ", " + _balances_sql() + f""", y AS (SELECT *, greatest({O.d(0)}, {O.days('"timestamp"', f'COALESCE(next_ts, {O.AS_OF_SQL})')}) / 365.0 AS yrs FROM bal),
-g AS (SELECT account AS wallet, sum(greatest({O.d(0)}, borrowed) * 0.05 * yrs) AS ip, sum(greatest({O.d(0)}, supplied) * 0.02 * yrs) AS ie,
-  sum(greatest({O.d(0)}, supplied) * 0.01 * yrs) AS ce, sum(abs(usd)) AS vol FROM y GROUP BY account)""",
-    f"SELECT wallet, round(ip, 6) AS interest_paid_estimate, round(ie, 6) AS interest_earned_estimate, round(ce, 6) AS "
-    f"comp_earned_estimate, round(ce / greatest({O.d(1)}, vol), 6) AS comp_earned_estimate_ratio FROM g"))
+    _CLEAN + ", " + _moves_sql() + ", " + _accrual_sql(O.AS_OF_SQL),
+    "SELECT wallet, round(paid, 6) AS interest_paid_estimate, round(earned, 6) AS interest_earned_estimate, "
+    "round(paid * 0.1 + seized * 0.028, 6) AS reserve_contribution_estimate FROM acc"))
 def q_interest_estimate(spark, sf):
+    """Interest at rates that change by market and day, reserve shares."""
     return out(DE.interest_estimate(_tx(spark, sf)))
 
 
+@register("reward_estimate", O.with_ctes(
+    _CLEAN_DENSE + ", " + _moves_sql() + ", " + _accrual_sql(O.AS_OF_SQL),
+    f"SELECT wallet, round(reward, 6) AS comp_earned_estimate, round(reward / greatest({O.d(1)}, vol), 6) AS comp_earned_estimate_ratio FROM acc"))
+def q_reward_estimate(spark, sf):
+    """Reward tokens by market and day, on dense accounts."""
+    return out(DE.reward_estimate(_tx(spark, sf, "events_dense")))
+
+
+@register("market_rates", O.with_ctes(
+    _CLEAN + ", " + _moves_sql() + ", " + _accrual_sql("TIMESTAMP '2100-01-01'"),
+    'SELECT token, t0 AS "timestamp", round(u, 6) AS u, round(rb, 6) AS borrow, round(rs, 6) AS supply, round(rr, 6) AS reward FROM uu JOIN rt USING (token, t0)'))
+def q_market_rates(spark, sf):
+    """The rate steps of D8 and D9: utilisation of each market by day."""
+    return out(DE.market_rates(DE.moves(_tx(spark, sf))))
+
+
 @register("complex_actions", O.with_ctes(
     _CLEAN, "SELECT wallet, count(*) AS active_windows, CAST(count_if(e >= 2 AND m >= 2) AS BIGINT) AS complex_windows, "
             "round(count_if(e >= 2 AND m >= 2) / count(*), 6) AS complex_action_freq FROM (SELECT account AS wallet, "
@@ -846,10 +925,14 @@ b AS (SELECT *, lag(event_type) OVER (PARTITION BY account ORDER BY "timestamp",
   FROM clean),
 m AS (SELECT account AS wallet, CAST(count_if(event_type = 'Redeem' AND pe = 'Mint' AND g <= 3600) AS BIGINT) AS rapid_cycles,
   CAST(count_if(event_type = 'RepayBorrow' AND pe = 'Borrow' AND g <= 600) AS BIGINT) AS flash_like FROM a GROUP BY account),
-r AS (SELECT account AS wallet, CAST(count_if(pe2 = event_type AND g2 <= 60) AS BIGINT) AS repeats FROM b GROUP BY account)""",
-    "SELECT * FROM m JOIN r USING (wallet)"))
+r AS (SELECT account AS wallet, CAST(count_if(pe2 = event_type AND g2 <= 60) AS BIGINT) AS repeats FROM b GROUP BY account), """ + _moves_sql() + """,
+fl AS (SELECT DISTINCT account, token, "timestamp", sum(greatest(dsu, 0) + greatest(-dbu, 0)) OVER h AS i, sum(greatest(-dsu, 0) + greatest(dbu, 0)) OVER h AS o FROM mv
+  WINDOW h AS (PARTITION BY account, token ORDER BY "timestamp" RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW)),
+nr AS (SELECT account AS wallet, CASE WHEN i > 0 AND o > 0 THEN CAST(abs(i - o) AS DOUBLE) / CAST(i + o AS DOUBLE) END AS x FROM fl),
+n AS (SELECT wallet, count(*) FILTER (x <= 0.1) AS churn_hours, min(x) AS min_net_to_gross FROM nr GROUP BY wallet)""",
+    "SELECT m.*, repeats, churn_hours, round(min_net_to_gross, 6) AS min_net_to_gross FROM m JOIN r USING (wallet) JOIN n USING (wallet)"))
 def q_behaviour_flags(spark, sf):
-    return DE.behaviour_flags(_tx(spark, sf))
+    return out(DE.behaviour_flags(_tx(spark, sf)))
 
 
 @register("wallet_clusters")
@@ -857,8 +940,7 @@ def q_wallet_clusters(spark, sf):
     """KMeans (k=4) on the standardised anomaly features."""
     f = _feats(spark, sf)
     cols = AM.anomaly_feature_columns(f)
-    pred, _sil = DE.wallet_clusters(AM.standardize(f, cols), cols)
-    return pred
+    return DE.wallet_clusters(AM.standardize(f, cols), cols)
 
 
 _SENS_W = {f: w for f, w in _AVAIL.items()}
@@ -866,7 +948,7 @@ _SENS_W = {f: w for f, w in _AVAIL.items()}
 
 def _sens_sql():
     total = sum(abs(w) for w in _SENS_W.values())
-    rows = []
+    rows, avg_rank = [], "rank() OVER (ORDER BY {0}) + (count(*) OVER (PARTITION BY {0}) - 1) / 2.0"
     for f, w in _SENS_W.items():
         if w == 0:
             continue
@@ -874,8 +956,9 @@ def _sens_sql():
             s = 1 + sgn * 0.1
             c = f"COALESCE(c_{f}, {O.d(0)})"
             expr = (f"(raw_score * {O.d(total)} - {c} + {c} * {O.d(s)}) / {O.d(total - abs(w) + abs(w) * s)}")
-            rows.append(f"SELECT '{f}' AS feature, '{tag}' AS direction, round({_corr_sql('raw_score', expr)}, 6) AS "
-                        f"correlation, round(avg(abs({expr} - raw_score)), 6) AS mean_abs_change FROM weighted")
+            ranked = f"(SELECT raw_score, {expr} AS v, {avg_rank.format('round(raw_score, 12)')} AS br, {avg_rank.format(f'round({expr}, 12)')} AS r FROM weighted)"
+            rows.append(f"SELECT '{f}' AS feature, '{tag}' AS direction, round({_corr_sql('br', 'r')}, 6) AS rank_correlation, round(avg(abs(r - br)), 6) AS mean_rank_change, "
+                        f"round({_corr_sql('raw_score', 'v')}, 6) AS correlation, round(avg(abs(v - raw_score)), 6) AS mean_abs_change FROM {ranked}")
     return " UNION ALL ".join(rows)
 
 
@@ -933,7 +1016,7 @@ def _timeline(final, tx, n=2):
     med = exact_medians(final, ["final_score"]).select(F.col("final_score").alias("_med"))
     mid = (final.crossJoin(F.broadcast(med)).orderBy(F.abs(F.col("final_score") - F.col("_med")).asc(), F.col("wallet").asc())
                 .limit(n).select("wallet", F.lit("middle").alias("group")))
-    sel = sel_top.unionByName(sel_bot).unionByName(mid)          # 3n rows: bounded broadcast
+    sel = P.stage(sel_top.unionByName(sel_bot).unionByName(mid), P.STAGE_MODE)          # 3n rows: bounded broadcast
     t = tx.join(F.broadcast(sel), tx.account == sel.wallet, "inner").drop("wallet")
     usd = F.coalesce(F.col("amountusd"), F.col("amount"))
     sup = F.when(F.col("event_type") == "Mint", usd).when(F.col("event_type") == "Redeem", -usd).otherwise(F.lit(0.0))
@@ -1114,6 +1197,18 @@ def q_best_method(spark, sf):
     return TU.best_per_model(TU.tune(t, SE.feature_columns(t), ("ridge", "lasso", "elastic_net"), ("grid", "random")))
 
 
+@register("tune_trees")
+def q_tune_trees(spark, sf):
+    """Forest and boosting in 5-fold search: each is fitted once per fold, at the
+    largest number of trees, and scored at all three (M13, M15).  The reference's
+    grids (200 trees, depth 30) run by ``tune`` but take an hour on these tables."""
+    t = _train(spark, sf)
+    cols = SE.feature_columns(t)
+    rows = TU.search(t, cols, "random_forest", [{"n_estimators": n, "max_depth": 10, "min_samples_leaf": 2} for n in (5, 10, 20)], "grid_search")
+    rows += TU.search(t, cols, "gradient_boosting", [{"n_estimators": n, "max_depth": 3, "learning_rate": 0.1} for n in (5, 10, 20)], "grid_search")
+    return spark.createDataFrame(rows, "model string, method string, params string, mse double")
+
+
 @register("tune_space")
 def q_tune_space(spark, sf):
     """Search of a continuous space: 100 draws for the ridge model."""
@@ -1215,9 +1310,9 @@ from ledgerlens.streaming import incremental as ST  # noqa: E402
             + ", round(sum(CASE WHEN event_type = 'Mint' THEN amount END), 6) AS supply_volume, "
               "round(sum(CASE WHEN event_type = 'Borrow' THEN amount END), 6) AS borrow_volume FROM clean GROUP BY account"))
 def q_stream_wallet_summary(spark, sf):
-    """X1 + X3: streamed, cleaned events -> stateful wallet summary; the last row
-    of each wallet equals the batch summary once the stream has consumed the table."""
-    return out(ST.latest(ST.run_to_table(spark, ST.running_summary(ST.event_stream(spark, sf)), "update"), "wallet"))
+    """X1 + X3: streamed, cleaned events -> stateful wallet summary, upserted by
+    bucket; equals the batch summary once the stream has consumed the table."""
+    return out(ST.summary_table(spark, ST.running_summary(ST.event_stream(spark, sf))).read())
 
 
 @register("stream_dedup", O.with_ctes(_CLEAN, "SELECT transaction_hash, account, event_type FROM clean"))
@@ -1237,6 +1332,53 @@ def q_stream_window_activity(spark, sf):
                          ["wallet", "window_start"]))
 
 
+@register("stream_sliding_activity", O.with_ctes(
+    _CLEAN, "SELECT account AS wallet, to_timestamp((floor(epoch_us(\"timestamp\") / 900000000) - k) * 900)::TIMESTAMP AS window_start, count(*) AS events, "
+            "round(sum(amount), 6) AS volume FROM clean, range(4) r(k) GROUP BY ALL"))
+def q_stream_sliding_activity(spark, sf):
+    """Hours that begin at each quarter of an hour."""
+    t = ST.run_to_table(spark, ST.sliding_activity(ST.event_stream(spark, sf)), "update")
+    return out(ST.latest(t.select("wallet", F.col("w.start").alias("window_start"), "events", "volume", "batch_id"), ["wallet", "window_start"]))
+
+
+def _out_of_order(spark, sf):
+    """The events as two files: a tenth of them comes after all others."""
+    import time
+    path = _scratch(spark, "late")
+    e = read_table(spark, sf, "events")
+    e.where(F.col("event_id") % 10 != 3).coalesce(1).write.parquet(f"{path}/a")
+    time.sleep(0.05)    # files are read in the order of their times
+    e.where(F.col("event_id") % 10 == 3).coalesce(1).write.parquet(f"{path}/b")
+    use_utc(spark)
+    raw = spark.readStream.schema(ST.EVENTS_SCHEMA).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(path)
+    return CL.clean_transactions(ST.adapt_events(raw, "dense"))
+
+
+_LATE = (_CLEAN_DENSE + """, m AS (SELECT max("timestamp") - INTERVAL 20 DAY AS mark FROM clean WHERE CAST(transaction_hash AS BIGINT) % 10 <> 3),
+la AS (SELECT clean.*, CAST(transaction_hash AS BIGINT) % 10 = 3 AND "timestamp" < mark AS late FROM clean CROSS JOIN m)""")
+
+
+@register("stream_sessions", O.with_ctes(
+    _LATE + """, g AS (SELECT account, "timestamp", CASE WHEN epoch_us("timestamp") - epoch_us(lag("timestamp") OVER (PARTITION BY account ORDER BY "timestamp")) <= 21600000000
+  THEN 0 ELSE 1 END AS nw FROM la WHERE NOT late),
+i AS (SELECT *, sum(nw) OVER (PARTITION BY account ORDER BY "timestamp" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS k FROM g)""",
+    """SELECT account AS wallet, min("timestamp") AS "start", max("timestamp") AS "end", count(*) AS events FROM i GROUP BY account, k"""))
+def q_stream_sessions(spark, sf):
+    """Sessions (gaps over six hours end them) of two files out of order, late
+    rows (over 20 days) left out."""
+    closed, still, _ = ST.sessions_to_tables(spark, _out_of_order(spark, sf), 21_600, 20 * 86_400)
+    return out(closed.unionByName(still))
+
+
+@register("stream_late_rows", O.with_ctes(_LATE, 'SELECT transaction_hash, account, "timestamp", late FROM la'))
+def q_stream_late_rows(spark, sf):
+    """Kept and late rows are together the input."""
+    stream = _out_of_order(spark, sf)
+    _, _, late = ST.sessions_to_tables(spark, stream, 21_600, 20 * 86_400)
+    late = late.select("transaction_hash").distinct().withColumn("late", F.lit(True))
+    return out(_tx(spark, sf, "events_dense").join(late, "transaction_hash", "left").select("transaction_hash", "account", "timestamp", F.coalesce("late", F.lit(False)).alias("late")))
+
+
 @register("stream_interval_stats", O.with_ctes(
     _CLEAN + f", g AS ({O.gaps_sql('clean')}), w AS (SELECT DISTINCT account FROM clean)",
     "SELECT w.account AS wallet, count(g.gap) AS gaps, round(avg(g.gap), 6) AS avg_gap_days, "
@@ -1253,17 +1395,21 @@ _RESCORE = {"tx_count": 0.5, "mint_count": 1.0, "borrow_count": -0.7, "liquidati
 def _rescore_sql():
     part = lambda c, w: f"(({c} - mn_{c}) / CAST(mx_{c} - mn_{c} AS DOUBLE))" if w >= 0 else f"({O.d(1)} - ({c} - mn_{c}) / CAST(mx_{c} - mn_{c} AS DOUBLE))"
     total = " + ".join(f"CASE WHEN mx_{c} > mn_{c} THEN {part(c, w)} * {O.d(abs(w))} ELSE 0 END" for c, w in _RESCORE.items())
+    raw = f"round(({total}) / {O.d(sum(abs(w) for w in _RESCORE.values()))}, 12)"
     return O.with_ctes(
-        _ACT_CTES + ", st AS (SELECT " + ", ".join(f"min({c}) AS mn_{c}, max({c}) AS mx_{c}" for c in _RESCORE) + " FROM act)",
-        f"SELECT wallet, round(({total}) / {O.d(sum(abs(w) for w in _RESCORE.values()))}, 6) AS raw_score FROM act CROSS JOIN st")
+        _ACT_CTES + ", st AS (SELECT " + ", ".join(f"min({c}) AS mn_{c}, max({c}) AS mx_{c}" for c in _RESCORE)
+        + f" FROM act), rs AS (SELECT wallet, {raw} AS raw_score FROM act CROSS JOIN st), fin AS ({O.percentile_sql('rs')})",
+        "SELECT wallet, round(raw_score, 6) AS raw_score, final_score FROM fin")
 
 
 @register("stream_rescore", _rescore_sql())
 def q_stream_rescore(spark, sf):
-    """Touched wallets scored again per micro-batch against statistics that
-    were frozen from the batch table."""
-    frozen = P.stage(SC.feature_stats(FE.wallet_summary(_tx(spark, sf)), list(_RESCORE)), P.STAGE_MODE)
-    return out(ST.rescored_stream(spark, ST.running_summary(ST.event_stream(spark, sf)), frozen, _RESCORE))
+    """Touched wallets scored again per micro-batch, raw and 0-100, against
+    minima, maxima and score cuts that were frozen from the batch table."""
+    summary = P.stage(FE.wallet_summary(_tx(spark, sf)), P.STAGE_MODE)
+    frozen = P.stage(SC.feature_stats(summary, list(_RESCORE)), P.STAGE_MODE)
+    cuts = P.stage(ST.frozen_cuts(SC.final_score(P.stage(ST.rescore_batch(summary, frozen, _RESCORE), P.STAGE_MODE))), P.STAGE_MODE)
+    return out(ST.rescored_stream(spark, ST.running_summary(ST.event_stream(spark, sf)), frozen, _RESCORE, cuts))
 
 
 @register("one_class_svm")

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ledgerlens.operators.clean import clean_transactions
-from ledgerlens.session import ensure_checkpoint_dir, use_utc
+from ledgerlens.operators.ordered import gap_us, ordered
+from ledgerlens.session import ensure_checkpoint_dir, stage, use_utc
 from ledgerlens.sources.adapters import adapt_events
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -60,11 +61,72 @@ def windowed_activity(stream: DataFrame, width: str = "1 hour", delay: str = "1
                   .agg(F.count(F.lit(1)).alias("events"), F.sum("amount").alias("volume")))
 
 
-def session_activity(stream: DataFrame, gap: str = "1 hour", delay: str = "1 hour") -> DataFrame:
-    """Session windows per wallet."""
+def sliding_activity(stream: DataFrame, width: str = "1 hour", slide: str = "15 minutes", delay: str = "1 hour") -> DataFrame:
+    """Sliding-window counts per wallet."""
     return (stream.withWatermark("timestamp", delay)
-                  .groupBy(F.col("account").alias("wallet"), F.session_window("timestamp", gap).alias("s"))
-                  .agg(F.count(F.lit(1)).alias("events")))
+                  .groupBy(F.col("account").alias("wallet"), F.window("timestamp", width, slide).alias("w"))
+                  .agg(F.count(F.lit(1)).alias("events"), F.sum("amount").alias("volume")))
+
+
+SESSION = "wallet string, start timestamp, end timestamp, events long"
+
+
+def merge_sessions(sessions: DataFrame, events: DataFrame, gap_seconds: int) -> DataFrame:
+    """Sessions (``wallet, start, end, events``) after ``events`` (``wallet, timestamp``)
+    came in: an event extends or joins the sessions it is within ``gap_seconds`` of.
+
+    A session stands for its events by its two ends; what lies between them is
+    inside, however far from either.  Two ordered passes, so a wallet with a third
+    of a batch spreads over tasks."""
+    point = lambda ts, n, step: F.struct(F.col(ts).alias("timestamp"), n.cast("long").alias("n"), F.lit(step).alias("step"))
+    ends = sessions.select("wallet", F.explode(F.array(point("start", F.col("events"), 1), point("end", F.lit(0), -1))).alias("p")).select("wallet", "p.*")
+    all_points = events.select("wallet", "timestamp", F.lit(1).cast("long").alias("n"), F.lit(0).alias("step")).unionByName(ends)
+    # At one time a session opens before and closes after what else happens.
+    t = ordered(all_points.withColumn("_o", -F.col("step")), "wallet", tiebreak=("_o",), prev={"_before": "timestamp"}, sums={"_depth": "step"})
+    apart = F.col("_before").isNull() | ((F.col("_depth") - F.col("step") == 0) & (gap_us("_before", "timestamp") > gap_seconds * 1_000_000))
+    t = ordered(t.withColumn("_new", F.when(apart, 1).otherwise(0)), "wallet", tiebreak=("_o",), sums={"_island": "_new"})
+    return t.groupBy("wallet", "_island").agg(F.min("timestamp").alias("start"), F.max("timestamp").alias("end"), F.sum("n").alias("events")).drop("_island")
+
+
+def sessions_to_tables(spark: SparkSession, stream: DataFrame, gap_seconds: int = 3600, delay_seconds: int = 3600, timeout_s: int = 600) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Session windows per wallet with merging state, in append mode.  Returns the
+    tables ``closed`` (sessions that no event can extend any more), ``open`` and
+    ``late``: the rows older than the watermark, whole, instead of a count of them.
+
+    The watermark is the latest time in earlier micro-batches less ``delay_seconds``.
+    Each batch writes its closed sessions, its late rows, the open sessions after it
+    and the latest time, all under its id; one that is run again starts from the
+    tables of the batch before it and replaces its own."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/sessions-{uuid.uuid4().hex[:12]}"
+    kind = stream.schema
+    empty = spark.createDataFrame([], SESSION)
+    first = {"closed": empty, "open": empty, "late": spark.createDataFrame([], kind), "clock": spark.createDataFrame([], "latest timestamp")}
+    for name, table in first.items():
+        write_batch(table, f"{root}/{name}", -1)
+    read = lambda name, i, like: spark.read.schema(like.schema).parquet(f"{root}/{name}/batch_id={i}")
+
+    def step(batch: DataFrame, i: int) -> None:
+        seen = read("clock", i - 1, first["clock"]).agg(F.max("latest").alias("latest")).first().latest
+        rows = stage(batch)
+        mark = None if seen is None else F.lit(seen) - F.expr(f"INTERVAL {delay_seconds} SECONDS")
+        late = rows.where(F.lit(False) if mark is None else F.col("timestamp") < mark)
+        write_batch(late, f"{root}/late", i)
+        kept = rows if mark is None else rows.where(F.col("timestamp") >= mark)
+        now = stage(merge_sessions(read("open", i - 1, empty), kept.select(F.col("account").alias("wallet"), "timestamp"), gap_seconds))
+        latest_now = rows.agg(F.max("timestamp").alias("t")).first().t
+        latest_now = max([t for t in (seen, latest_now) if t is not None], default=None)
+        done = F.lit(False) if latest_now is None else F.col("end") < F.lit(latest_now) - F.expr(f"INTERVAL {delay_seconds + gap_seconds} SECONDS")
+        write_batch(now.where(done).select(*empty.columns), f"{root}/closed", i)
+        write_batch(now.where(~done).select(*empty.columns), f"{root}/open", i)
+        write_batch(spark.createDataFrame([(latest_now,)], "latest timestamp"), f"{root}/clock", i)
+        _done.append(i)
+
+    _done: list = [-1]
+    query = stream.writeStream.queryName(f"ll_{uuid.uuid4().hex[:12]}").trigger(availableNow=True) \
+        .option("checkpointLocation", f"{root}/state").foreachBatch(step).start()
+    _finish(query, timeout_s, None)
+    table = lambda name: spark.read.schema(first[name].schema).parquet(f"{root}/{name}")
+    return table("closed"), read("open", max(_done), empty), table("late")
 
 
 INTERVAL_STATE = "n long, mean double, m2 double, last_us long, late long"
@@ -109,7 +171,7 @@ def interval_stats(stream: DataFrame) -> DataFrame:
 
 def rescore_batch(batch: DataFrame, frozen: DataFrame, weights: dict) -> DataFrame:
     """Weighted score of the wallets touched by a micro-batch against frozen
-    min/max statistics (one broadcast row ``min__f``/``max__f``)."""
+    min/max statistics (one broadcast row ``min__f``/``max__f``); rounded to 12 digits."""
     j = batch.crossJoin(F.broadcast(frozen))
     total = F.lit(0.0)
     for f, w in weights.items():
@@ -120,7 +182,7 @@ def rescore_batch(batch: DataFrame, frozen: DataFrame, weights: dict) -> DataFra
         norm = F.lit(1.0) - norm if w < 0 else norm
         total = total + F.coalesce(F.when(hi > lo, norm * F.lit(abs(w))), F.lit(0.0))
     s = sum(abs(w) for f, w in weights.items() if f in batch.columns) or 1.0
-    return j.select("wallet", (total / F.lit(s)).alias("raw_score"))
+    return j.select("wallet", F.round(total / F.lit(s), 12).alias("raw_score"))
 
 
 def _finish(query, timeout_s: int, report: dict | None) -> None:
@@ -173,23 +235,104 @@ def latest(rows: DataFrame, keys) -> DataFrame:
     return rows.groupBy(*keys).agg(last).select(*keys, "_last.*")
 
 
+def frozen_cuts(final: DataFrame) -> DataFrame:
+    """One row, ``cuts``: for each score k from 1 to 100 the largest raw score that
+    stays below k.  A raw score's final score is the number of cuts below it,
+    equal to its percentile score where the frozen table has it."""
+    top = final.groupBy("final_score").agg(F.max("raw_score").alias("top"))     # 101 rows at most
+    below = [F.coalesce(F.max(F.when(F.col("final_score") < k, F.col("top"))), F.lit(float("-inf"))) for k in range(1, 101)]
+    return top.agg(F.array(*below).alias("cuts"))
+
+
 def rescored_stream(spark: SparkSession, summaries: DataFrame, frozen: DataFrame, weights: dict,
-                    timeout_s: int = 600) -> DataFrame:
+                    cuts: DataFrame | None = None, timeout_s: int = 600) -> DataFrame:
     """The wallets that a micro-batch touches are scored again from their
-    running summaries against frozen statistics; the last score of each."""
-    name = f"ll_{uuid.uuid4().hex[:12]}"
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}"
-    out = f"{root}/rows"
-    schema = "wallet string, raw_score double"
-    write_batch(spark.createDataFrame([], schema), out, -1)
-    query = (summaries.writeStream.queryName(name).outputMode("update").trigger(availableNow=True)
-             .option("checkpointLocation", f"{root}/state")
-             .foreachBatch(lambda batch, i: write_batch(rescore_batch(batch, frozen, weights), out, i)).start())
+    running summaries against frozen statistics (and, with ``cuts``, get their
+    0-100 score): a table with one row per wallet."""
+    table = KeyedTable(spark, "wallet string, raw_score double" + (", final_score int" if cuts is not None else ""), "wallet")
+
+    def scored(batch: DataFrame) -> DataFrame:
+        s = rescore_batch(batch, frozen, weights)
+        if cuts is None:
+            return s
+        return s.crossJoin(F.broadcast(cuts)).select("wallet", "raw_score", F.size(F.filter("cuts", lambda c: c < F.col("raw_score"))).alias("final_score"))   # a row of 100 numbers
+
+    query = (summaries.writeStream.queryName(f"ll_{uuid.uuid4().hex[:12]}").outputMode("update").trigger(availableNow=True)
+             .option("checkpointLocation", f"{table.root}/state")
+             .foreachBatch(lambda batch, i: table.upsert(scored(batch), i)).start())
     _finish(query, timeout_s, None)
-    return latest(spark.read.schema(f"{schema}, batch_id long").parquet(out), "wallet")
+    return table.read()
 
 
-def upsert_by_key(batch: DataFrame, current: DataFrame, key: str = "wallet") -> DataFrame:
-    """X3/X6 sink helper: replace rows of ``current`` whose key is in ``batch``
-    (anti join + union), for ``foreachBatch`` writers without MERGE."""
-    return current.join(batch.select(key), key, "left_anti").unionByName(batch, allowMissingColumns=True)
+def summary_table(spark: SparkSession, summaries: DataFrame, timeout_s: int = 600) -> KeyedTable:
+    """Running summaries upserted into a table with one row per wallet."""
+    table = KeyedTable(spark, summaries.schema, "wallet")
+    query = (summaries.writeStream.queryName(f"ll_{uuid.uuid4().hex[:12]}").outputMode("update").trigger(availableNow=True)
+             .option("checkpointLocation", f"{table.root}/state").foreachBatch(table.upsert).start())
+    _finish(query, timeout_s, None)
+    return table
+
+
+class KeyedTable:
+    """A Parquet table with one row per key, upserted copy-on-write.
+
+    Rows lie in ``buckets`` by hash of the key.  A batch rewrites the buckets it
+    touches under its own id and then publishes a manifest that names the
+    version of every bucket; readers take the last manifest, so they see all of a
+    batch or nothing.  A batch that is run again starts from the manifest before its
+    own and replaces what it wrote.  Only bucket numbers pass through the driver."""
+
+    def __init__(self, spark: SparkSession, schema, key: str, buckets: int = 32, root: str | None = None):
+        self.spark, self.key, self.buckets = spark, key, buckets
+        self.root = root or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/table-{uuid.uuid4().hex[:12]}"
+        self.schema = spark.createDataFrame([], schema).schema
+
+    def _path(self, name: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def versions(self, before: int | None = None) -> dict:
+        """Bucket to version, by the last manifest (of those before batch ``before``)."""
+        fs, folder = self._path("manifest")
+        if not fs.exists(folder):
+            return {}
+        found = [int(f.getPath().getName()) for f in fs.listStatus(folder)
+                 if fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(f.getPath(), "_SUCCESS"))]
+        found = [i for i in found if before is None or i < before]
+        if not found:
+            return {}
+        return {r.bucket: r.version for r in self.spark.read.schema("bucket int, version long").parquet(f"{self.root}/manifest/{max(found)}").collect()}
+
+    def _rows(self, versions: dict) -> DataFrame:
+        if not versions:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.root}/v={v}/bucket={b}" for b, v in sorted(versions.items())])
+
+    def read(self) -> DataFrame:
+        return self._rows(self.versions())
+
+    def upsert(self, batch: DataFrame, batch_id: int) -> None:
+        """Replace or add the rows of ``batch``'s keys (each key once)."""
+        bucket = F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int").alias("bucket")
+        batch = stage(batch.select(*self.schema.names))
+        now = self.versions(batch_id)
+        touched = [r.bucket for r in batch.select(bucket).distinct().collect()]
+        old = self._rows({b: now[b] for b in touched if b in now})
+        kept = old.join(batch.select(self.key), self.key, "left_anti")
+        (kept.unionByName(batch).select("*", bucket).repartition(max(1, len(touched)), "bucket")
+             .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/v={batch_id}"))
+        now |= {b: batch_id for b in touched}
+        self.spark.createDataFrame([(b, v) for b, v in now.items()], "bucket int, version long").coalesce(1) \
+            .write.mode("overwrite").parquet(f"{self.root}/manifest/{batch_id}")
+
+    def vacuum(self) -> list:
+        """Remove the versions of buckets that the last manifest doesn't name; their paths."""
+        keep = {f"v={v}/bucket={b}" for b, v in self.versions().items()}
+        fs, root = self._path("")
+        gone = []
+        for v in fs.globStatus(self.spark._jvm.org.apache.hadoop.fs.Path(root, "v=*/bucket=*")) or []:
+            name = f"{v.getPath().getParent().getName()}/{v.getPath().getName()}"
+            if name not in keep:
+                fs.delete(v.getPath(), True)
+                gone.append(name)
+        return sorted(gone)

@@ -20,3 +20,25 @@ def test_filter_on_canonical_timestamp_is_pushed(spark):
     df = transactions(spark, SF_SMALL).where(F.col("timestamp").isNotNull()).select("account")
     plan = _plan(df)
     assert "PushedFilters: [IsNotNull(ts)" in plan
+
+
+def test_queries_without_the_optional_part_or_what_it_needs(monkeypatch):
+    import builtins
+    import sys
+
+    import __spark_entry__ as E
+    real = builtins.__import__
+    for missing in ("ahocorasick", "corpus_pipeline"):
+        for m in [m for m in sys.modules if m.startswith(("ledgerlens.llm", "corpus_pipeline", "ahocorasick"))]:
+            monkeypatch.delitem(sys.modules, m)
+
+        def without(name, *a, missing=missing, **k):
+            if name == missing:
+                raise ImportError(name)
+            return real(name, *a, **k)
+
+        monkeypatch.setattr(builtins, "__import__", without)
+        core = E.queries()
+        assert len(core) > 80 and not any(n.startswith("op") or n == "pipeline" for n in core)
+        assert set(E.oracle_sql()) <= set(core)
+        monkeypatch.setattr(builtins, "__import__", real)

@@ -49,7 +49,7 @@ def test_a_hot_day_is_cut_by_the_data(spark, monkeypatch):
 
 def test_no_row_is_cut_where_nothing_is_hot(spark):
     df = _hot_day(spark, 400)
-    assert OR.with_chunks(df, "account", "timestamp").where(F.col("_chunk") % OR.GRID != 0).count() == 0
+    assert OR.with_chunks(df, "account", "timestamp").where(F.col("_chunk") % (1 << OR.PART_BITS) != 0).count() == 0
 
 
 def _split_by_time(spark, folder, parts=2):
