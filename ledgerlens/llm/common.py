@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.session import ensure_checkpoint_dir, ship_package, stage
 
-__all__ = ["add_row_index", "arrow_rows", "load_ranks", "read_table", "running_total", "ship_package", "slices", "stage", "stage_path", "text_batches"]
+__all__ = ["add_row_index", "arrow_rows", "fresh", "load_ranks", "read_table", "running_total", "ship_package", "slices", "stage", "stage_path", "text_batches"]
 
 #: Rows of an Arrow batch that are turned into Python objects at a time.
 SLICE_ROWS = 512
@@ -26,6 +26,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(columns: list[str], name: str) -> str:
+    """``name``, with underscores before it until none of ``columns`` is called so."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def stage_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for a written table under the shared checkpoint folder."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"

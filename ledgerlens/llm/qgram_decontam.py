@@ -9,6 +9,11 @@ q-grams are counted in bands of 2e + 1 diagonals, each e after the one before: a
 span of e + 1 diagonals is always inside one of them.  Bands with too few are
 dropped; the regions of the others are verified by banded alignment.
 
+The lemma says something only if q * (e + 1) <= m.  So items have the largest q
+of ``QS`` for which that holds (8 for all of 32 characters and more at a RATE of
+0.1), and each q has an index of its own; with q = 1 the shortest items are
+searched exactly.
+
 The items are indexed on the driver in groups of bounded size and broadcast; a
 larger benchmark takes more passes.  Documents are read whole and not shuffled.
 """
@@ -25,10 +30,10 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import ship_package, slices, stage
 
-Q = 8
+QS = (8, 4, 2, 1)
 RATE = 0.1
-#: Characters of items that one broadcast index holds.
-INDEX_CHARS = 16 << 20
+#: Characters of items that one broadcast holds (about 24 bytes each).
+INDEX_CHARS = 2 << 20
 #: Characters that are looked at together in a task.
 WINDOW = 2 << 20
 TABLE_BITS = 22
@@ -80,14 +85,16 @@ def strip(codes: np.ndarray) -> np.ndarray:
     return codes[real[0]:real[-1] + 1] if len(real) else codes[:0]
 
 
-def gram_hashes(codes: np.ndarray) -> np.ndarray:
-    """A 32-bit hash of the q-gram (q = 8) that begins at each place."""
-    if len(codes) < Q:
+def gram_hashes(codes: np.ndarray, q: int) -> np.ndarray:
+    """A 32-bit hash of the q-gram (q: 1, 2, 4 or 8) that begins at each place."""
+    if len(codes) < q:
         return np.zeros(0, np.uint32)
-    h = codes[:-1] * np.uint32(0x9E3779B1) + codes[1:]
-    h = h[:-2] * np.uint32(0x85EBCA77) + h[2:]
-    h = (h ^ (h >> np.uint32(15))) * np.uint32(0xC2B2AE3D)
-    h = h[:-4] * np.uint32(0x27D4EB2F) + h[4:]
+    h = codes * np.uint32(0xC2B2AE3D) if q == 1 else codes[:-1] * np.uint32(0x9E3779B1) + codes[1:]
+    if q >= 4:
+        h = h[:-2] * np.uint32(0x85EBCA77) + h[2:]
+        h = (h ^ (h >> np.uint32(15))) * np.uint32(0xC2B2AE3D)
+    if q == 8:
+        h = h[:-4] * np.uint32(0x27D4EB2F) + h[4:]
     return h ^ (h >> np.uint32(13))
 
 
@@ -133,34 +140,52 @@ def same(item: np.ndarray, text: np.ndarray, lo: int, hi: int) -> tuple[int, int
     return (0, max(0, lo) + at // 4, max(0, lo) + at // 4 + len(item)) if at >= 0 else None
 
 
+def budget(m: int, rate: float) -> int:
+    """Edits allowed in an item of ``m`` characters; one of them at least stays."""
+    return min(int(rate * m), m - 1)
+
+
+def gram_length(m: int, rate: float) -> int:
+    return next(q for q in QS if q * (budget(m, rate) + 1) <= m)
+
+
+def indexes(items: list[tuple[int | None, str]], rate: float = RATE) -> list[Index]:
+    """One index for each q that items need; items without a letter or digit need none."""
+    normal = Normal()
+    forms = [(i, strip(normal.form(t or "")[0])) for i, t in items]
+    need = [gram_length(len(c), rate) if len(c) else 0 for _, c in forms]
+    return [Index([f for f, n in zip(forms, need, strict=True) if n == q], q, rate) for q in QS if q in need]
+
+
 class Index:
     """Items with the places of their q-grams."""
 
-    def __init__(self, items: list[tuple[int | None, str]], rate: float = RATE):
-        normal = Normal()
-        forms = [(i, strip(normal.form(t or "")[0])) for i, t in items]
-        forms = [(i, c) for i, c in forms if len(c) >= Q]
-        self.ids, self.items = [i for i, _ in forms], [c for _, c in forms]
+    def __init__(self, forms: list[tuple[int | None, np.ndarray]], q: int, rate: float = RATE):
+        self.q, self.ids, self.items = q, [i for i, _ in forms], [c for _, c in forms]
         m = np.array([len(c) for c in self.items], np.int64)
-        # No more edits than leave at least one q-gram whole.
-        self.edits = np.minimum((rate * m).astype(np.int64), (m - Q) // Q)
-        self.least = m - Q + 1 - Q * self.edits
-        hashes = [gram_hashes(c) for c in self.items]
+        self.edits = np.array([budget(len(c), rate) for c in self.items], np.int64)
+        self.least = m - q + 1 - q * self.edits
+        hashes = [gram_hashes(c, q) for c in self.items]
         flat = np.concatenate([np.zeros(0, np.uint32), *hashes])
         order = np.argsort(flat, kind="stable")
         self.hash, first = np.unique(flat[order], return_index=True)
         self.first = np.append(first, len(flat))
-        self.item = np.repeat(np.arange(len(m)), m - Q + 1)[order] if len(m) else order
-        self.place = np.concatenate([np.zeros(0, np.int64), *(np.arange(len(h)) for h in hashes)])[order]
+        self.item = np.repeat(np.arange(len(m), dtype=np.int32), m - q + 1)[order]
+        self.place = np.concatenate([np.zeros(0, np.int32), *(np.arange(len(h), dtype=np.int32) for h in hashes)])[order]
         self.table = np.zeros(1 << TABLE_BITS, bool)
         self.table[self.hash >> np.uint32(32 - TABLE_BITS)] = True
-        self.longest = int((m + 4 * self.edits).max(initial=0)) + Q
+        self.longest = int((m + 4 * self.edits).max(initial=0)) + q
         self.smallest = int(self.least.min(initial=1))
 
+    @property
+    def window(self) -> int:
+        """Characters to look at together: short grams are in many places."""
+        return WINDOW if self.q == 8 else max(1, WINDOW // 16)
+
     def regions(self, codes: np.ndarray, starts: np.ndarray) -> list[tuple[int, int, int]]:
         """(document, item, band) of each band of diagonals in which a document,
         of those that begin at ``starts``, shares enough q-grams with an item."""
-        h = gram_hashes(codes)
+        h = gram_hashes(codes, self.q)
         at = np.flatnonzero(self.table[h >> np.uint32(32 - TABLE_BITS)])
         h = h[at]
         k = np.minimum(np.searchsorted(self.hash, h), len(self.hash) - 1)
@@ -174,7 +199,7 @@ class Index:
         at, k, doc = at[keep], k[keep], doc[keep]
         n = self.first[k + 1] - self.first[k]
         entry = np.repeat(self.first[k] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-        item, doc = self.item[entry], np.repeat(doc, n)
+        item, doc = self.item[entry].astype(np.int64), np.repeat(doc, n)
         # An item's q-gram counts once, however often the region repeats it: the lemma is about the item's.
         keep = enough(doc * len(self.ids) + item, self.place[entry], self.least[item])
         item, doc, entry = item[keep], doc[keep], entry[keep]
@@ -227,44 +252,47 @@ def enough(key: np.ndarray, place: np.ndarray, least: np.ndarray) -> np.ndarray:
 
 
 class Finder:
-    def __init__(self, index: Index):
-        self.index, self.normal = index, Normal()
+    def __init__(self, found: list[Index]):
+        self.indexes, self.normal = found, Normal()
+        self.ids = [i for x in found for i in x.ids]
+        self.lengths = [len(c) for x in found for c in x.items]
 
     def in_texts(self, texts: list[str]) -> list[list[tuple[int, int, int, int]]]:
-        """(item, start, end, edits) for each text, places in the text as it is;
-        of overlapping ones of an item that with fewest edits, then the first.
-        Texts are looked at together, up to WINDOW characters at a time."""
+        """(item's place in ``ids``, start, end, edits) for each text, places in the
+        text as it is; of overlapping ones of an item that with fewest edits, then
+        the first.  Texts are looked at together, up to a window of characters at a time."""
         out: list[list] = [[] for _ in texts]
-        if not self.index.ids:
-            return out
-        group: list[int] = []
-        size = 0
-        for i, t in enumerate([*texts, None]):
-            if group and (t is None or size + len(t) > WINDOW):
-                self._group(texts, group, out)
-                group, size = [], 0
-            if t is not None:
-                group.append(i)
-                size += len(t) + 1
+        base = 0
+        for index in self.indexes:
+            group: list[int] = []
+            size = 0
+            for i, t in enumerate([*texts, None]):
+                if group and (t is None or size + len(t) > index.window):
+                    self._group(index, base, texts, group, out)
+                    group, size = [], 0
+                if t is not None:
+                    group.append(i)
+                    size += len(t) + 1
+            base += len(index.ids)
         return [best(x) for x in out]
 
-    def _group(self, texts: list[str], group: list[int], out: list[list]) -> None:
+    def _group(self, index: Index, base: int, texts: list[str], group: list[int], out: list[list]) -> None:
         forms = [self.normal.form(texts[i]) for i in group]
         if len(group) == 1:
             # A long text goes window by window; windows overlap by the longest region.
             codes, places = forms[0]
-            overlap = self.index.longest
-            step = max(WINDOW, 2 * overlap)
+            overlap = index.longest
+            step = max(index.window, 2 * overlap)
             for at in range(0, max(len(codes), 1), step):
-                for _, item, s, t, e in self.index.matches(codes[at:at + step + overlap], np.zeros(1, np.int64)):
-                    out[group[0]].append((item, int(places[s + at]), int(places[t + at - 1]) + 1, e))
+                for _, item, s, t, e in index.matches(codes[at:at + step + overlap], np.zeros(1, np.int64)):
+                    out[group[0]].append((base + item, int(places[s + at]), int(places[t + at - 1]) + 1, e))
             return
         gap = np.array([BREAK], np.uint32)
         codes = np.concatenate([x for c, _ in forms for x in (c, gap)])
         starts = np.cumsum([0, *(len(c) + 1 for c, _ in forms[:-1])])
-        for doc, item, s, t, e in self.index.matches(codes[:-1], starts):
+        for doc, item, s, t, e in index.matches(codes[:-1], starts):
             places = forms[doc][1]
-            out[group[doc]].append((item, int(places[s]), int(places[t - 1]) + 1, e))
+            out[group[doc]].append((base + item, int(places[s]), int(places[t - 1]) + 1, e))
 
 
 def best(found: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
@@ -294,19 +322,19 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, doc
     and ``item_chars`` (in normal form).  Overlapping regions of one item count
     once, the one with fewest edits.
 
-    Null texts are empty; items of fewer than 8 characters in normal form (empty
-    ones among them) say nothing and match nowhere.  Repeated documents give
-    repeated rows, repeated items one; null ids are kept."""
+    Null texts are empty; items without a letter or digit say nothing and match
+    nowhere.  Repeated documents give repeated rows, repeated items one; null ids
+    are kept."""
     ship_package(docs.sparkSession)
     doc_type, item_type = docs.schema[doc_id].dataType.simpleString(), benchmark.schema[item_id].dataType.simpleString()
     schema = f"`{doc_id}` {doc_type}, `{item_id}` {item_type}, start bigint, end bigint, edits bigint, item_chars bigint"
     out = None
     for items in item_groups(benchmark, index_chars, item_id, item_text):
-        index = docs.sparkSession.sparkContext.broadcast(Index(items, rate))
+        index = docs.sparkSession.sparkContext.broadcast(indexes(items, rate))
 
         def run(batches, index=index):
             finder = Finder(index.value)
-            ids, lengths = index.value.ids, [len(c) for c in index.value.items]
+            ids, lengths = finder.ids, finder.lengths
             for b in slices(batches):
                 names = b.column(0).to_pylist()
                 got = finder.in_texts([t or "" for t in b.column(1).to_pylist()])
@@ -327,7 +355,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = RATE,
     ship_package(docs.sparkSession)
     at = docs.columns.index(text_col)
     for items in item_groups(benchmark, index_chars, item_id, item_text):
-        index = docs.sparkSession.sparkContext.broadcast(Index(items, rate))
+        index = docs.sparkSession.sparkContext.broadcast(indexes(items, rate))
 
         def run(batches, index=index):
             finder = Finder(index.value)

@@ -29,6 +29,7 @@ Shingles are 64-bit hashes; a set is known by a 64-bit hash and its size.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from ledgerlens.llm.common import TEXT_ROWS, add_row_index, arrow_rows, ship_package, slices, stage
+from ledgerlens.llm.common import TEXT_ROWS, add_row_index, arrow_rows, fresh, ship_package, slices, stage
 from ledgerlens.llm.components import components
 
 WORDS = 5
@@ -46,8 +47,8 @@ PERCENT = 80
 FREQUENT_ROWS, LOT = 8, 8
 #: Rows of an Arrow batch of pairs with both sets.
 PAIR_ROWS = 128
-#: Rows of groups of one leader that are traversed in one task.
-LEADER_ROWS = 16_384
+#: Rows of groups of one leader that are traversed one after the other, and of all groups in a task.
+LEADER_ROWS, TASK_ROWS = 2_048, 8_192
 #: Frequent tokens that the order knows (the most frequent; 1.6 MB); others keep their place by hash.
 FREQUENT_TOKENS = 200_000
 #: A prefix goes on by one token for each so many of the set.
@@ -197,31 +198,34 @@ def _postings(texts: DataFrame, order) -> DataFrame:
 
 
 def _shared(postings: DataFrame) -> DataFrame:
-    """Postings without repeats whose token is frequent or has two different sets."""
+    """Postings without repeats whose token is frequent or has two different sets.
+
+    Rows are sorted, so one row is held back at most: the first of a token, until
+    a different one comes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        held, last, many = np.zeros((0, 4), np.int64), None, None
         for b in batches:
             rows = np.column_stack([b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(4)])
-            if held is not None:
-                rows = np.concatenate([held, rows])
-            # The last token may go on in the next batch; a repeat may be anywhere, rows are sorted.  A
-            # frequent token's rows needn't wait, all are kept.
-            same = (rows[:, 0] == rows[-1, 0]) & (rows[:, 1] == 0) if len(rows) and rows[-1, 1] == 0 else np.zeros(len(rows), bool)
-            held = rows[same]
-            yield _keep(rows[~same])
-        if held is not None and len(held):
-            yield _keep(held)
-
-    def _keep(rows: np.ndarray) -> pa.RecordBatch:
-        new = np.ones(len(rows), bool)
-        new[1:] = (rows[1:] != rows[:-1]).any(axis=1)
-        rows = rows[new]
-        first = np.ones(len(rows), bool)
-        first[1:] = rows[1:, 0] != rows[:-1, 0]
-        group = np.cumsum(first) - 1
-        several = np.bincount(group)[group] > 1 if len(rows) else np.zeros(0, bool)
-        rows = rows[several | (rows[:, 1] > 0)]
-        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[:, i])) for i in (0, 2, 3)], ["token", "key", "n"])
+            rows = np.concatenate([held, rows])
+            new = np.ones(len(rows), bool)
+            new[1:] = (rows[1:] != rows[:-1]).any(axis=1)
+            if len(rows) and last is not None:
+                new[0] = (rows[0] != last).any()
+            rows = rows[new]
+            if not len(rows):
+                continue
+            first = np.ones(len(rows), bool)
+            first[1:] = rows[1:, 0] != rows[:-1, 0]
+            group = np.cumsum(first) - 1
+            keep = (np.bincount(group)[group] > 1) | (rows[:, 1] > 0)
+            if many is not None:
+                keep |= rows[:, 0] == many
+            if keep[-1]:
+                held, last, many = rows[:0], rows[-1], rows[-1, 0]
+            else:
+                held, last, many = rows[-1:], None, None
+            rows = rows[keep]
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[:, i])) for i in (0, 2, 3)], ["token", "key", "n"])
 
     return (postings.repartition("token", "salt").sortWithinPartitions("token", "salt", "key", "n")
             .mapInArrow(run, "token bigint, key bigint, n bigint"))
@@ -371,7 +375,7 @@ def by_width(node, n, component, signatures: list[bytes], side) -> list[Members]
     return out
 
 
-def _candidates(rows: DataFrame) -> DataFrame:
+def _candidates(rows: DataFrame, tasks: int) -> DataFrame:
     """``a < b``: pairs that the trees of the groups ``(token, i, j)`` let through.
     ``rows``: ``token, leader, salt, i, j, side, node, n, component, signature``.
     Groups of one leader have much the same sets, so they go to one task, one after
@@ -413,7 +417,7 @@ def _candidates(rows: DataFrame) -> DataFrame:
         if seen:
             yield send()
 
-    return (rows.repartition("leader", "salt", "i", "j").sortWithinPartitions("leader", "salt", "i", "j", "token", "component", "n", "node")
+    return (rows.repartition(tasks, "leader", "salt", "i", "j").sortWithinPartitions("leader", "salt", "i", "j", "token", "component", "n", "node")
             .mapInArrow(run, "a bigint, b bigint").distinct())
 
 
@@ -501,12 +505,15 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     chunks = F.ceil(F.col("size") / GROUP).cast("int")
     busy = mixed.groupBy("leader").agg(F.ceil(F.sum("size") / LEADER_ROWS).alias("salts"))
     salt = F.pmod(F.xxhash64("token"), F.col("salts")).cast("int")
-    mixed = stage(mixed.join(busy, "leader").select("token", "leader", salt.alias("salt"), chunks.alias("chunks")))
-    rows = labelled.join(mixed, "token").join(light, "node")
+    mixed = stage(mixed.join(busy, "leader").select("token", "leader", "size", salt.alias("salt"), chunks.alias("chunks")))
+    rows = labelled.join(mixed.drop("size"), "token").join(light, "node")
     rows = rows.withColumn("side", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     rows = rows.select("token", "leader", "salt", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "node", "n", "component", "signature")
-    pairs = stage(_candidates(rows))
+    # Work follows rows, not bytes, so Spark isn't left to join small tasks.
+    total = mixed.agg(F.sum(F.col("size") * F.col("chunks"))).first()[0] or 0
+    most = 50 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pairs = stage(_candidates(rows, max(1, min(most, math.ceil(total / TASK_ROWS)))))
     with arrow_rows(spark, PAIR_ROWS):
         more = stage(_verified(pairs, sets))
     joined = components(_across(more, of))
@@ -543,13 +550,15 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def _pick(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The rows with ``_id`` and ``_part`` in ``keys`` (distinct), each once."""
     names = docs.columns
+    pt, ident = fresh(names, "_part"), fresh(names, "_id")
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = names.index(text_col)
         for b in slices(batches):
             raw = b.column(at).cast(pa.binary()).to_pylist()
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([xxh3_64_intdigest(t or b"") - (1 << 63) for t in raw], pa.int64())], [*names, "_part"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([xxh3_64_intdigest(t or b"") - (1 << 63) for t in raw], pa.int64())], [*names, pt])
 
-    ddl = docs.withColumn("_part", F.lit(0).cast("bigint")).schema
-    marked = docs.mapInArrow(part, ddl).withColumn("_id", F.coalesce(F.col(id_col).cast("bigint"), F.lit(NULL_ID)))
-    return marked.join(keys, ["_id", "_part"], "left_semi").dropDuplicates(["_id", "_part"]).select(*names)
+    ddl = docs.withColumn(pt, F.lit(0).cast("bigint")).schema
+    marked = docs.mapInArrow(part, ddl).withColumn(ident, F.coalesce(F.col(id_col).cast("bigint"), F.lit(NULL_ID)))
+    keys = keys.select(F.col("_id").alias(ident), F.col("_part").alias(pt))
+    return marked.join(keys, [ident, pt], "left_semi").dropDuplicates([ident, pt]).select(*names)

@@ -24,7 +24,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import add_row_index, stage
+from ledgerlens.llm.common import add_row_index, fresh, stage
 
 WORDS = 5
 BITS = 64
@@ -45,7 +45,7 @@ def add_fingerprint(df: DataFrame, text_col: str = "text", name: str = "fingerpr
     without words (null ones too) has fingerprint 0; equal texts have equal
     fingerprints."""
     keep = [c for c in df.columns if c != name]
-    h, t, v = "_word_hashes", "_terms", "_votes"
+    h, t, v, size = (fresh(df.columns, c) for c in ("_word_hashes", "_terms", "_votes", "_n"))
     words = F.split(F.btrim(F.coalesce(F.col(text_col), F.lit("")), F.lit(SPACES)), SPACE)
     hashes = F.transform(words, lambda w: F.when(w != "", F.xxhash64(w)))
     n = F.size(h)
@@ -63,11 +63,11 @@ def add_fingerprint(df: DataFrame, text_col: str = "text", name: str = "fingerpr
         return F.aggregate(v, zero, lambda s, x: s + F.shiftrightunsigned(F.get(x, F.lit(b % 16)), 16 * (b // 16)).bitwiseAND(0xFFFF))
 
     votes = F.transform(chunks, lambda part: F.array(*(lane_sum(part, i) for i in range(16))))
-    bit = lambda b: F.when(ones(b) * 2 > F.col("_n"), F.lit(1 << b if b < 63 else -(1 << 63)).cast("bigint")).otherwise(zero)
+    bit = lambda b: F.when(ones(b) * 2 > F.col(size), F.lit(1 << b if b < 63 else -(1 << 63)).cast("bigint")).otherwise(zero)
     out = reduce(lambda a, b: a.bitwiseOR(b), (bit(b) for b in range(BITS)))
     return (df.select(*keep, hashes.alias(h))
             .select(*keep, F.when(F.get(h, F.lit(0)).isNotNull(), runs).otherwise(F.array().cast("array<bigint>")).alias(t))
-            .select(*keep, F.size(t).alias("_n"), F.when(F.size(t) > 0, votes).otherwise(F.array().cast("array<array<bigint>>")).alias(v))
+            .select(*keep, F.size(t).alias(size), F.when(F.size(t) > 0, votes).otherwise(F.array().cast("array<array<bigint>>")).alias(v))
             .select(*keep, out.alias(name)))
 
 

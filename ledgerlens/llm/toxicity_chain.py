@@ -167,7 +167,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, r
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``_id, text, y (array), weight, fold``: labelled documents, by hash of the id about ``rows`` of
     each class of the last category at most.  Rows without an id, text or one of
-    the labels are left out; of repeated labels one is taken, the least."""
+    the labels are left out; of repeated labels one is taken, the least, of documents with
+    one id that whose text has the least hash."""
     y = [F.when(F.col(c).isNotNull(), (F.col(c) == v).cast("int")) for _, c, v in categories]
     # 1e9 buckets: fine enough for any share.
     lab = (labels.select(F.col(id_col).alias("_id"), F.array(*y).alias("y"))
@@ -181,8 +182,10 @@ def training_sample(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, r
     picked = (lab.filter(F.col("_hash") < rate * 1_000_000_000)
               .select("_id", "y", (1 / rate).alias("weight"), F.pmod(F.xxhash64("_id", F.lit("fold")), F.lit(FOLDS)).alias("fold")))
     # About 2 * rows rows of a few numbers, whatever the tables' size.
-    return (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).filter("text is not null")
-            .join(F.broadcast(picked), "_id"))
+    joined = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).filter("text is not null")
+              .join(F.broadcast(picked), "_id"))
+    # Documents that share an id count once, so the sample is bounded in rows too.
+    return (joined.groupBy("_id").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"), *[F.first(c).alias(c) for c in ("y", "weight", "fold")]))
 
 
 def choose_features(sample: DataFrame, n_categories: int, per_category: int = FEATURES) -> list[dict[str, float]]:

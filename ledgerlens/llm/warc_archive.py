@@ -88,21 +88,26 @@ def _field(name: str, pattern: str) -> Column:
     return F.regexp_extract("header", rf"\r\n{name}: {pattern}\r\n", 1)
 
 
-def read_headers(headers: DataFrame) -> DataFrame:
-    """What the header blocks say: ``page_id``, ``record_type``, ``refers_to``, ``sha1`` beside ``digest``."""
+def read_headers(headers: DataFrame, beside: tuple = ()) -> DataFrame:
+    """What the header blocks say: ``page_id``, ``record_type``, ``refers_to``, ``sha1`` beside ``digest`` (and ``beside``)."""
     return headers.select(
-        "digest", _field("WARC-Record-ID", f"<{RECORD_ID}(-?\\d+|null)>").try_cast("bigint").alias("page_id"),
+        "digest", *beside, _field("WARC-Record-ID", f"<{RECORD_ID}(-?\\d+|null)>").try_cast("bigint").alias("page_id"),
         _field("WARC-Type", "([a-z]+)").alias("record_type"),
         _field("WARC-Refers-To", f"<{RECORD_ID}(-?\\d+)>").try_cast("bigint").alias("refers_to"),
         _field("WARC-Payload-Digest", "sha1:([A-Z2-7]{32})").alias("sha1"))
 
 
 def read_records(payloads: DataFrame, headers: DataFrame) -> DataFrame:
-    """One row per record of the archive, in numbers: the payload's length and
-    SHA-1 are taken from the stored bytes and must be the header's."""
-    sums = verified(payloads).select("digest", F.octet_length("payload").cast("bigint").alias("payload_bytes"), base32_sha1(F.col("payload")).alias("payload_digest"))
+    """One row per record of the archive, in numbers.  Each record is rebuilt;
+    length and SHA-1 are those of the payload cut out of a response record's bytes,
+    of the payload that a revisit record refers to, and must be the header's."""
+    at = F.octet_length("header") + F.octet_length("head")
+    body = F.substring("record", at + 1, F.octet_length("record") - at - len(CRLF * 2))
+    payload = F.when(F.col("record_type") == "revisit", F.col("payload")).otherwise(body)
+    rebuilt = _rebuilt(payloads, headers)
+    said = read_headers(rebuilt, rebuilt.columns[1:]).withColumn("payload", payload)
     ok = F.col("payload_digest") == F.col("sha1")
-    return read_headers(headers).join(sums, "digest").select(
+    return said.select("*", F.octet_length("payload").cast("bigint").alias("payload_bytes"), base32_sha1(F.col("payload")).alias("payload_digest")).select(
         "page_id", "payload_bytes", F.when(ok, F.col("payload_digest")).otherwise(F.raise_error(F.lit("a header has another digest than its payload")).cast("string")).alias("payload_digest"),
         "record_type", "refers_to")
 
@@ -110,8 +115,11 @@ def read_records(payloads: DataFrame, headers: DataFrame) -> DataFrame:
 def reconstruct(payloads: DataFrame, headers: DataFrame) -> DataFrame:
     """The whole records: header block, HTTP head, payload (none in a revisit
     record) and the closing empty lines, with the full ``payload`` beside."""
-    both = headers.join(verified(payloads), "digest")
-    head = http_head(F.octet_length("payload")).cast("binary")
+    return _rebuilt(payloads, headers).select(_field("WARC-Record-ID", f"<{RECORD_ID}(-?\\d+|null)>").try_cast("bigint").alias("page_id"), "record", "payload")
+
+
+def _rebuilt(payloads: DataFrame, headers: DataFrame) -> DataFrame:
+    """``digest, header, payload, head`` (of HTTP) and the whole ``record``."""
+    both = headers.join(verified(payloads), "digest").select("digest", "header", "payload", http_head(F.octet_length("payload")).cast("binary").alias("head"))
     body = F.when(_field("WARC-Type", "([a-z]+)") == "revisit", F.lit(b"")).otherwise(F.col("payload"))
-    return both.select(_field("WARC-Record-ID", f"<{RECORD_ID}(-?\\d+|null)>").try_cast("bigint").alias("page_id"),
-                       F.concat(F.col("header").cast("binary"), head, body, F.lit((CRLF * 2).encode())).alias("record"), "payload")
+    return both.withColumn("record", F.concat(F.col("header").cast("binary"), F.col("head"), body, F.lit((CRLF * 2).encode())))

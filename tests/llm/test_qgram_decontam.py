@@ -40,31 +40,41 @@ def test_all_regions_in_budget_are_found(seed):
     for _ in range(80):
         letters = rng.choice(["abc ", "abcdefghijklmnop ", "aé漢 \U0001f600b"])
         word = lambda lo, hi: "".join(rng.choice(letters) for _ in range(rng.randint(lo, hi)))  # noqa: B023, E731
-        items = [(j, word(5, 70)) for j in range(3)]
+        items = [(j, word(*rng.choice([(1, 9), (5, 70), (10, 15), (20, 23), (30, 31)]))) for j in range(3)]
         texts = [word(0, 60) + edited(rng, rng.choice(items)[1], letters, rng.randint(0, 7)) + word(0, 60) for _ in range(4)]
-        index = Q.Index(items)
-        finder = Q.Finder(index)
+        finder = Q.Finder(Q.indexes(items))
+        forms = [c for x in finder.indexes for c in x.items]
+        assert sorted(finder.ids) == [j for j, t in items if t.strip()]
         for text, found in zip(texts, finder.in_texts(texts), strict=True):
             least = {}
             for item, start, end, edits in found:
                 least[item] = min(edits, least.get(item, 99))
                 assert 0 <= start < end <= len(text)
             form = finder.normal.form(text)[0].tolist()
-            for j, item in enumerate(index.items):
+            for j, item in enumerate(forms):
                 best = plain(item.tolist(), form)
-                hits += best <= index.edits[j]
-                assert least.get(j) == (best if best <= index.edits[j] else None)
+                hits += best <= len(item) // 10
+                assert least.get(j) == (best if best <= len(item) // 10 else None)
     assert hits > 40
 
 
+def test_short_items_have_their_whole_budget():
+    item, text = "abcdefgh ijklmnop qrstuvw xyzab", "zz abXdefgh ijklmXop qrstuvw xXzab yy"
+    assert len(item) == 31
+    assert [(m[0], m[3]) for m in Q.Finder(Q.indexes([(0, item)])).in_texts([text])[0]] == [(0, 3)]
+    finder = Q.Finder(Q.indexes([(1, "cat"), (2, "!?"), (3, "a b c d e f"), (4, "tiny one")]))
+    assert [finder.ids[m[0]] for m in finder.in_texts(["The Cat sat", "a b c X e f", "a tiny--one"])[0]] == [1]
+    assert [[finder.ids[m[0]] for m in x] for x in finder.in_texts(["no", "a b c X e f", "a tiny--one"])] == [[], [3], [4]]
+
+
 def test_long_texts_are_cut_without_loss(monkeypatch):
     rng = random.Random(9)
     item = " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(12))
     noise = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
     text = noise(997) + item + "%%%" * 50 + noise(480) + item.upper() + noise(2000) + item[:40] + "x" + item[40:]
-    whole = Q.Finder(Q.Index([(0, item)])).in_texts([text])[0]
+    whole = Q.Finder(Q.indexes([(0, item)])).in_texts([text])[0]
     monkeypatch.setattr(Q, "WINDOW", 128)
-    assert Q.Finder(Q.Index([(0, item)])).in_texts([text])[0] == whole
+    assert Q.Finder(Q.indexes([(0, item)])).in_texts([text])[0] == whole
     assert [e for *_, e in whole] == [0, 0, 1] and text[whole[0][1]:whole[0][2]] == item
 
 
@@ -72,7 +82,7 @@ def test_runs_longer_than_windows(monkeypatch):
     rng = random.Random(3)
     texts = [ITEM + " " * 500 + ITEM, " " * 500 + ITEM, ITEM + "\0" * 500, "-" * 500, ITEM[:20] + "-" * 384 + ITEM[20:]]
     texts += ["".join(rng.choice(["ab", "c", "\u6f22", "\U0001f600"]) + rng.choice(" -\0") * rng.randint(0, 60) for _ in range(9)) for _ in range(50)]
-    index, normal = Q.Index([(0, ITEM)]), Q.Normal()
+    index, normal = Q.indexes([(0, ITEM)]), Q.Normal()
     whole = [normal.form(t) for t in texts]
     found = Q.Finder(index).in_texts(texts)
     assert [len(m) for m in found[:5]] == [2, 1, 1, 0, 1]
@@ -110,5 +120,6 @@ def test_items_in_several_indexes(spark):
 
 def test_hash_of_grams_tells_places():
     codes = np.array([ord(c) for c in "abcdefghijabcdefgh"], np.uint32)
-    h = Q.gram_hashes(codes)
-    assert len(h) == 11 and h[0] == h[10] and len(set(h.tolist())) == 10
+    for q in Q.QS:
+        h = Q.gram_hashes(codes, q)
+        assert len(h) == 19 - q and all(h[i] == h[i + 10] for i in range(9 - q)) and len(set(h.tolist())) == 10

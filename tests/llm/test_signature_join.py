@@ -106,6 +106,27 @@ def test_keep_one(spark):
     assert {(r.doc_id, r.text) for r in kept.collect()} <= {(i, t) for i, t in rows}
 
 
+def test_columns_with_clashing_names(spark):
+    rows = [(1, "a b c d e f g", 77, 5), (2, "a b c d e f g", 78, 6), (3, "other words are here now", 79, 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _id int, _PART int")
+    assert sorted(map(tuple, J.keep_one(df).collect())) == [rows[0], rows[2]]
+
+
+@pytest.mark.parametrize("batch", [1, 2, 3, 1000])
+def test_shared_postings_over_batches(spark, batch):
+    rng = random.Random(batch)
+    rows = [(rng.randrange(40), 0, rng.randrange(3), 9) for _ in range(150)] + [(50, 0, 7, 9)] * 40 + [(60, 1 + k % 3, k, 9) for k in range(9)] + [(70, 0, k // 5, 9) for k in range(60)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        got = sorted((r.token, r.key) for r in J._shared(spark.createDataFrame(rows, "token long, salt int, key long, n long")).collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    keys = {}
+    for t, _, k, _ in rows:
+        keys.setdefault(t, set()).add(k)
+    assert got == sorted((t, k) for t, ks in keys.items() for k in ks if len(ks) > 1)
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_no_pair_that_could_link_is_pruned(seed):
     rng = np.random.default_rng(seed)

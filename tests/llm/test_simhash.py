@@ -62,6 +62,12 @@ def test_edited_texts(spark):
     assert got[9].n_near == 3  # the three without words
 
 
+def test_columns_with_clashing_names(spark):
+    df = spark.createDataFrame([("a b c d e f", 1, 2, 3, 4)], "text string, _n int, _terms int, _Votes int, _word_hashes int")
+    got = S.add_fingerprint(df).first()
+    assert tuple(got)[:5] == tuple(df.first()) and got.fingerprint == S.add_fingerprint(df.select("text")).first().fingerprint
+
+
 def test_repeated_null_and_no_rows(spark):
     docs = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b c"), (None, "x y"), (None, "x y")], "doc_id long, text string")
     got = S.compare_edited(docs).collect()

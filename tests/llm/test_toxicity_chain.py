@@ -1,5 +1,7 @@
 """Operator 6: held-out accuracy, the chain's parts, and defined results at the edges."""
 
+import math
+
 import numpy as np
 import pytest
 
@@ -62,6 +64,38 @@ def test_sample_is_bounded_and_weighted_back(spark):
     assert {r["_id"] for r in T.training_sample(docs, labels).collect()} == set(range(300))
 
 
+def test_documents_of_one_id_count_once(spark):
+    docs, labels = planted(spark, 40)
+    many = docs.unionByName(spark.range(3000).selectExpr("1L AS doc_id", "concat('words number ', id) AS text", "'x' AS toxic"))
+    sample = T.training_sample(many, labels, rows=10)
+    assert sample.count() == sample.select("_id").distinct().count() <= 40
+    assert T.training_sample(many, labels).count() == 40
+
+
+def test_chain_by_hand():
+    """Probabilities of a fitted chain against the models applied one by one, and
+    the columns the later models were fitted on against refits without the fold."""
+    rng = np.random.default_rng(1)
+    names, features = ["a", "b"], ["f", "g", "h"]
+    vectors = [(np.array([0, 1, 2, 3, 4, 5]), rng.normal(size=6)) for _ in range(200)]
+    chain = T.Chain(features, names)
+    x = chain.matrix(vectors)
+    plain = x.astype(float).copy()
+    y = np.column_stack([(plain[:, 0] + rng.normal(size=200) > 0), (plain[:, 0] + plain[:, 1] + rng.normal(size=200) > 0)]).astype(float)
+    fold, weight = rng.integers(0, T.FOLDS, 200), np.ones(200)
+    scales = [{"f": 1.0, "g": 1.0}, {"g": 1.0, "h": 1.0}]
+    chain.fit(x, y, weight, fold, scales)
+    scale = np.array([1, 1, 0, 1, 1, 0, 0, 0, 1.0])
+    for k in range(T.FOLDS):
+        w = T.fit_logistic(plain.astype(np.float32)[fold != k], y[fold != k, 0], weight[fold != k], scale)
+        want = np.clip(plain[fold == k] @ w, -20, 20) / 4
+        assert np.abs(x[fold == k, 6] - want).max() < 1e-3
+    for (_, v), p in zip(vectors, chain.probabilities(vectors), strict=True):
+        first = float(chain.models[0][:6] @ v + chain.models[0][8])
+        second = float(chain.models[1][:6] @ v + chain.models[1][6] * first / 4 + chain.models[1][8])
+        assert np.abs(p - [1 / (1 + math.exp(-first)), 1 / (1 + math.exp(-second))]).max() < 1e-5
+
+
 def test_newton_reaches_the_optimum():
     rng = np.random.default_rng(0)
     x = np.column_stack([rng.normal(size=(400, 5)), np.ones(400)]).astype(np.float32)
