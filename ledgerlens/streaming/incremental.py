@@ -125,7 +125,7 @@ def sessions_to_tables(spark: SparkSession, stream: DataFrame, gap_seconds: int
     query = stream.writeStream.queryName(f"ll_{uuid.uuid4().hex[:12]}").trigger(availableNow=True) \
         .option("checkpointLocation", f"{root}/state").foreachBatch(step).start()
     _finish(query, timeout_s, None)
-    table = lambda name: spark.read.schema(first[name].schema).parquet(f"{root}/{name}")
+    table = lambda name: spark.read.schema(first[name].schema).parquet(f"{root}/{name}").drop("batch_id")
     return table("closed"), read("open", max(_done), empty), table("late")
 
 
