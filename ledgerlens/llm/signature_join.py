@@ -48,7 +48,7 @@ FREQUENT_ROWS, LOT = 8, 8
 #: Rows of an Arrow batch of pairs with both sets.
 PAIR_ROWS = 128
 #: Rows of groups of one leader that are traversed one after the other, and of all groups in a task.
-LEADER_ROWS, TASK_ROWS = 2_048, 8_192
+LEADER_ROWS, TASK_ROWS = 16_384, 8_192
 #: Frequent tokens that the order knows (the most frequent; 1.6 MB); others keep their place by hash.
 FREQUENT_TOKENS = 200_000
 #: A prefix goes on by one token for each so many of the set.
