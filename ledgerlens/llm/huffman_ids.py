@@ -23,6 +23,7 @@ import re
 import struct
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +38,7 @@ MAX_BITS = 18
 BLOCK_IDS = 1024
 FILE_BYTES = 1 << 20
 END_ID = 1
-MAX_WORDS = 1_000_000
+MAX_WORDS, MAX_CORES = 1_000_000, 500_000
 MAGIC = b"HIDS0001"
 
 # --------------------------------------------------------------------------- tokenising
@@ -53,7 +54,8 @@ def byte_letters() -> dict[int, int]:
 
 class WordMemo:
     """Text without white space to the bytes of its ids (little-endian unsigned
-    32-bit).  The first ``MAX_WORDS`` are remembered, so the frequent ones are.
+    32-bit).  The first ``MAX_WORDS`` are remembered, so the frequent ones are, and
+    the first ``MAX_CORES`` without case and marks, which many words share.
 
     A word of Latin letters, with or without ASCII marks behind it, goes to the
     library's model at once: for such a word the normalizer only lowers it and
@@ -66,23 +68,26 @@ class WordMemo:
         self.tokenizer, self.model = tokenizer, tokenizer.model
         self.letters = byte_letters()
         self.known: dict[str, bytes] = {}
-        self.behind: dict[str, list[int]] = {}
+        #: Words without case and marks, which many words share.
+        self.cores: dict[str, bytes] = {}
+        self.behind: dict[str, bytes] = {}
 
     def encode(self, word: str) -> bytes:
         core = word.lower().rstrip(self.MARKS)
-        if core.isalpha() and max(core) < "\u0250" and "\u03a3" not in word and unicodedata.is_normalized("NFC", core):
+        got = self.cores.get(core)
+        if got is None:
+            if not (core.isalpha() and max(core) < "\u0250" and "\u03a3" not in word and unicodedata.is_normalized("NFC", core)):
+                return _bytes(self.tokenizer.encode(word, add_special_tokens=False).ids)
             plain = core if core.isascii() else core.encode().decode("latin-1").translate(self.letters)
-            ids = [t.id for t in self.model.tokenize(plain)]
-            if len(core) < len(word):
-                ids += self._behind(word[len(core):])
-        else:
-            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
-
-    def _behind(self, marks: str) -> list[int]:
+            got = _bytes([t.id for t in self.model.tokenize(plain)])
+            if len(self.cores) < MAX_CORES and len(core) <= 64:
+                self.cores[core] = got
+        return got + self._behind(word[len(core):]) if len(core) < len(word) else got
+
+    def _behind(self, marks: str) -> bytes:
         got = self.behind.get(marks)
         if got is None:
-            got = self.tokenizer.encode(marks, add_special_tokens=False).ids
+            got = _bytes(self.tokenizer.encode(marks, add_special_tokens=False).ids)
             if len(self.behind) < 10_000 and len(marks) <= 16:
                 self.behind[marks] = got
         return got
@@ -100,6 +105,10 @@ class WordMemo:
         return b"".join(got)
 
 
+def _bytes(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
+
+
 #: A worker's memos by tokenizer, kept from task to task.
 _WORKER: dict[str, WordMemo] = {}
 
