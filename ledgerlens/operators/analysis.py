@@ -76,6 +76,19 @@ def top_bottom_analysis(final: DataFrame, features: DataFrame | None = None, n:
                  .select("wallet", "wallet_prefix", "group", "final_score", "raw_score", *cols))
 
 
+def full_analysis(final: DataFrame, n: int = 5) -> DataFrame:
+    """The whole analysis table (H14) in long form: for the 2n selected wallets every
+    feature and the anomaly score, every contribution and every adjustment:
+    ``wallet, group, final_score, raw_score, part, name, value``."""
+    skip = ("wallet", "final_score", "raw_score", "group")
+    names = [c for c, t in final.dtypes if c not in skip and t in ("int", "bigint", "double")]
+    sel = top_and_bottom(final, n)
+    part = lambda kind, entries: F.transform(entries, lambda e: F.struct(F.lit(kind).alias("part"), e["key"].alias("name"), e["value"].cast("double").alias("value")))
+    features = F.array(*[F.struct(F.lit(c).alias("key"), F.col(c).cast("double").alias("value")) for c in names])
+    rows = F.concat(part("feature", features), part("contribution", F.map_entries("feature_contributions")), part("adjustment", F.map_entries("adjustments")))
+    return sel.select("wallet", "group", "final_score", "raw_score", F.explode(rows).alias("r")).select("wallet", "group", "final_score", "raw_score", "r.*").where(F.col("value").isNotNull())
+
+
 def dedup_wallets(df: DataFrame) -> DataFrame:
     """Keep one row per wallet (U4)."""
     return df.dropDuplicates(["wallet"])

@@ -9,6 +9,7 @@ TIMESTAMP_NTZ on both sides.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -423,6 +424,46 @@ def q_top_bottom_wallets(spark, sf):
     return out(AN.top_bottom_analysis(_final(spark, sf), n=5))
 
 
+def _full_analysis_sql():
+    cols = [c for c in _W_COLS if c not in ("wallet", "first_tx_timestamp", "last_tx_timestamp")]
+    item = lambda kind, name, value: f"SELECT wallet, \"group\", final_score, raw_score, '{kind}' AS part, '{name}' AS name, CAST({value} AS DOUBLE) AS value FROM sel"
+    rows = [item("feature", c, c) for c in cols] + [item("contribution", f, f"c_{f}") for f in _AVAIL]
+    rows += [item("adjustment", k, f"a_{k}") for k in _ADJ_KEYS if O.rule_applies(k, _W_COLS)]
+    return O.with_ctes(O.pipeline_ctes() + """, sel AS ((SELECT *, 'top' AS "group" FROM fin ORDER BY final_score DESC, wallet ASC LIMIT 5) UNION ALL
+  (SELECT *, 'bottom' AS "group" FROM fin ORDER BY final_score ASC, wallet DESC LIMIT 5))""",
+        "SELECT wallet, \"group\", final_score, round(raw_score, 6) AS raw_score, part, name, round(value, 6) AS value FROM (" + " UNION ALL ".join(rows) + ") WHERE value IS NOT NULL")
+
+
+@register("analysis_table", _full_analysis_sql())
+def q_analysis_table(spark, sf):
+    """H14 whole: all features, both maps and the anomaly score of the selected wallets."""
+    return out(AN.full_analysis(_final(spark, sf)))
+
+
+@register("score_passthrough", O.with_ctes(O.pipeline_ctes(), "SELECT wallet, final_score AS credit_score, final_score FROM fin"))
+def q_score_passthrough(spark, sf):
+    """Scores that are there already are passed through."""
+    given = _final(spark, sf).select("wallet", F.col("final_score").alias("credit_score"))
+    return SC.final_score(given)
+
+
+@register("weight_availability", "SELECT * FROM (VALUES " + ", ".join(f"('{f}', {O.d(w)}, {'TRUE' if f in _W_COLS else 'FALSE'})" for f, w in O.C.FEATURE_WEIGHTS.items())
+          + ") v(feature, weight, available)")
+def q_weight_availability(spark, sf):
+    """which weights find their feature in the table of this data."""
+    return SC.weight_availability(SC.prepare_scoring(_feats(spark, sf)))
+
+
+@register("run_counters", O.with_ctes(
+    O.pipeline_ctes(), "SELECT 'load' AS stage, 'rows' AS counter, count(*) AS value FROM clean UNION ALL SELECT 'load', 'rows_' || e, count(clean.event_type) FROM (VALUES "
+    + ", ".join(f"('{e}')" for e in O.EVENT_TYPES) + ") v(e) LEFT JOIN clean ON event_type = e GROUP BY e "
+    + " ".join(f"UNION ALL SELECT '{s}', 'rows', count(*) FROM fin" for s in ("features", "scores", "final"))))
+def q_run_counters(spark, sf):
+    """What each stage of a run counts while it writes its table."""
+    seen = P.run_stages(spark, sf, _scratch(spark, "run"), with_anomaly=False)["counters"]
+    return spark.createDataFrame([(stage, k, int(v)) for stage, c in seen.items() for k, v in c.items()], "stage string, counter string, value long")
+
+
 @register("dedup_wallets", O.with_ctes(
     O.pipeline_ctes(), "SELECT DISTINCT wallet, final_score FROM (SELECT wallet, final_score FROM fin UNION ALL "
                        "(SELECT wallet, final_score FROM fin ORDER BY final_score DESC, wallet LIMIT 5))"))
@@ -520,6 +561,100 @@ def q_csv_roundtrip(spark, sf):
     return out(CL.clean_transactions(tx).select(*_CSV_COLS))
 
 
+_FLAT_SQL = O.with_ctes(f"tx AS ({O.tx_sql()}), clean AS ({O.clean_sql('tx')})", f"SELECT {_fsel(['amount'], _CSV_COLS)} FROM clean")
+
+
+@register("json_arrays_roundtrip", _FLAT_SQL)
+def q_json_arrays_roundtrip(spark, sf):
+    """JSON arrays of flat events with aliased columns, in files whose name
+    says nothing (S2)."""
+    path = _scratch(spark, "arrays")
+    SK.write_json_arrays(_tx(spark, sf), path, 2_000)
+    tx, _ = FI.load_and_process(spark, _list_files(spark, path, ".txt"))
+    return out(CL.clean_transactions(tx).select(*_CSV_COLS))
+
+
+@register("json_by_event_roundtrip", _FLAT_SQL)
+def q_json_by_event_roundtrip(spark, sf):
+    """Objects keyed by event names."""
+    path = _scratch(spark, "keyed")
+    SK.write_json_by_event(_tx(spark, sf), path, 2_000)
+    tx, _ = FI.load_and_process(spark, _list_files(spark, path, ".txt"))
+    return out(CL.clean_transactions(tx).select(*_CSV_COLS))
+
+
+@register("json_objects_roundtrip", O.with_ctes(
+    f"tx AS ({O.tx_sql()}), clean AS ({O.clean_sql('tx')})",
+    f"SELECT {_fsel(['amount'], _CSV_COLS)} FROM (SELECT *, row_number() OVER (PARTITION BY CAST(\"timestamp\" AS DATE), event_type ORDER BY \"timestamp\" DESC, transaction_hash DESC) AS k FROM clean) WHERE k = 1"))
+def q_json_objects_roundtrip(spark, sf):
+    """Files of one flat object each, the last event of each kind and day."""
+    path = _scratch(spark, "objects")
+    t = _tx(spark, sf)
+    last = t.groupBy(F.to_date("timestamp"), "event_type").agg(F.max_by(F.struct(*t.columns), F.struct("timestamp", "transaction_hash")).alias("r")).select("r.*")
+    SK.write_json_objects(last, path, "transaction_hash")
+    tx, _ = FI.load_and_process(spark, _list_files(spark, path, ".txt"))
+    return out(CL.clean_transactions(tx).select(*_CSV_COLS))
+
+
+#: For files that name no event: what tells each kind, its account's column and one of its own.
+_BY_COLUMN = {"Mint": ("minter", "mint_amount"), "Redeem": ("user", "redeem_amount"), "Borrow": ("borrower", "borrow_amount"),
+              "RepayBorrow": ("payer", "repay_amount"), "LiquidateBorrow": ("user", "seized_amount")}
+
+
+@register("csv_without_events", O.with_ctes(
+    f"tx AS ({O.tx_sql()}), clean AS ({O.clean_sql('tx')})", f"SELECT {_fsel(['amount'], ['event_type', 'timestamp', 'account', 'token', 'amount'])} FROM clean"))
+def q_csv_without_events(spark, sf):
+    """Files without event names and hashes; the events come from the
+    columns that only they have, file by file, in one load."""
+    path = _scratch(spark, "by-column")
+    t = _tx(spark, sf)
+    for i, (ev, (account, own)) in enumerate(_BY_COLUMN.items()):
+        part = t.where(F.col("event_type") == ev).select(SK.epoch_seconds_text("timestamp").alias("date"), F.col("account").alias(account), F.col("token").alias("underlying"),
+                                                         F.col("amount").cast("string").alias("asset_amount"), F.lit("0").alias(own))
+        part.write.option("header", True).option("sep", "|").csv(f"{path}/{i}")
+    tx, _ = FI.load_and_process(spark, _list_files(spark, path, ".csv"))
+    return out(CL.clean_transactions(tx).select("event_type", "timestamp", "account", "token", "amount"))
+
+
+@register("csv_malformed_rows", O.with_ctes(
+    f"tx AS ({O.tx_sql()}), clean AS ({O.clean_sql('tx')})",
+    "SELECT transaction_hash, CAST(transaction_hash AS BIGINT) % 97 = 5 AS rejected, CASE WHEN CAST(transaction_hash AS BIGINT) % 97 <> 5 AND "
+    "CAST(transaction_hash AS BIGINT) % 89 <> 7 THEN token END AS token FROM clean"))
+def q_csv_malformed_rows(spark, sf):
+    """Rows with a field too many are rejected one by one, rows with a field
+    too few are filled; the rest of their files stays."""
+    path = _scratch(spark, "malformed")
+    h = F.col("transaction_hash").cast("bigint")
+    line = F.concat_ws(",", "transaction_hash", "event_type", SK.epoch_seconds_text("timestamp"), "account", "amount",
+                       F.when(h % 97 == 5, F.concat("token", F.lit(",surplus"))).when(h % 89 == 7, None).otherwise(F.col("token")))
+    lines = _tx(spark, sf).repartition(4, "transaction_hash").select(line.alias("value"))
+
+    def headed(rows):
+        for i, b in enumerate(rows):
+            if not i:
+                yield pa.RecordBatch.from_arrays([pa.array(["transaction_hash,event_type,timestamp,account,amount,token"])], schema=b.schema)
+            yield b
+
+    lines.mapInArrow(headed, "value string").write.text(path)
+    tx, rejected = FI.load_and_process(spark, _list_files(spark, path, ".txt"))
+    kept = tx.select("transaction_hash", F.lit(False).alias("rejected"), "token")
+    return kept.unionByName(rejected.select(F.split("record", ",")[0].alias("transaction_hash"), F.lit(True).alias("rejected"), F.lit(None).cast("string").alias("token")))
+
+
+@register("sinks_roundtrip", O.with_ctes(
+    _ACT_CTES, f"SELECT sink, {_fsel(['wallet_age_days'], ['wallet', 'tx_count', 'wallet_age_days'])} FROM act, (VALUES ('csv'), ('json'), ('parquet')) v(sink)"))
+def q_sinks_roundtrip(spark, sf):
+    """The summary as CSV, JSON and Parquet, read back."""
+    path = _scratch(spark, "sinks")
+    s = P.stage(FE.wallet_summary(_tx(spark, sf)).select("wallet", "tx_count", "wallet_age_days"), P.STAGE_MODE)
+    SK.save_dataframe(s, f"{path}/summary.csv")
+    SK.save_dataframe(s, f"{path}/summary.parquet")
+    SK.write_json(s, f"{path}/summary.json")
+    back = {"csv": FI.load_dataframe(spark, f"{path}/summary.csv"), "parquet": FI.load_dataframe(spark, f"{path}/summary.parquet"), "json": spark.read.json(f"{path}/summary.json")}
+    parts = [d.select(F.lit(k).alias("sink"), F.col("wallet").cast("string").alias("wallet"), F.col("tx_count").cast("bigint").alias("tx_count"), "wallet_age_days") for k, d in back.items()]
+    return out(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+
+
 # ---------------------------------------------------------------- M1-M5, J3 with a real anomaly table
 from ledgerlens.operators import anomaly as AM  # noqa: E402
 
@@ -1148,6 +1283,20 @@ def q_feature_votes(spark, sf):
     return SE.votes_from_long(c.unionByName(m), 15)
 
 
+@register("feature_votes_all")
+def q_feature_votes_all(spark, sf):
+    """The combined selection: votes of all four methods."""
+    names = SE.select_features(_train(spark, sf))
+    return spark.createDataFrame([(i + 1, f) for i, f in enumerate(names)], "position int, feature string")
+
+
+@register("training_frame_selected", O.with_ctes(_TF_CTES, f"SELECT wallet, {O.r6(['wallet_age_days', 'tx_count', 'repay_ratio', 'label'])} FROM tf"))
+def q_training_frame_selected(spark, sf):
+    """F8: restricted to selected features, one of which doesn't exist."""
+    f = P.stage(_feats(spark, sf), P.STAGE_MODE)
+    return out(SE.training_frame(f, P.scores(f), selected=["tx_count", "repay_ratio", "wallet_age_days", "no_such_feature"]))
+
+
 @register("rf_importance")
 def q_rf_importance(spark, sf):
     """Random-forest importances (100 trees, depth 10, seed 42); sums to 1."""
@@ -1230,13 +1379,35 @@ def q_ensemble_predictions(spark, sf):
                                                       "pred_median", "pred_min", "pred_max"))
 
 
+#: Five models with few trees, since they are fitted many times.
+_FIVE = {**EN.DEFAULT_BEST, "random_forest": {"n_estimators": 20, "max_depth": 8}, "gradient_boosting": {"n_estimators": 20, "learning_rate": 0.1, "max_depth": 3}}
+
+
 @register("stacking_ensemble")
 def q_stacking_ensemble(spark, sf):
-    """Stacking of the linear models: bases refitted on all rows under a ridge
+    """Stacking of all five models: bases refitted on all rows under a ridge
     meta-model fitted on out-of-fold predictions (M20)."""
     t = _train(spark, sf)
-    best = {m: EN.DEFAULT_BEST[m] for m in ("ridge", "lasso", "elastic_net")}
-    return out(EN.stacked_predictions(t, SE.feature_columns(t), best))
+    return out(EN.stacked_predictions(t, SE.feature_columns(t), _FIVE))
+
+
+def _holdout(spark, sf):
+    t = _train(spark, sf)
+    return P.stage(EN.holdout_predictions(t, SE.feature_columns(t), _FIVE), P.STAGE_MODE)
+
+
+@register("holdout_metrics")
+def q_holdout_metrics(spark, sf):
+    """MSE and MAE of five fitted models on held-out rows, the best one marked."""
+    m = EN.regression_metrics(_holdout(spark, sf), "label", [f"score_{x}" for x in _FIVE])
+    best = EN.best_model(m)     # one row
+    return out(m.crossJoin(F.broadcast(best)).select("model", "mse", "mae", (F.col("model") == F.col("best_model")).alias("best")))
+
+
+@register("prediction_pairs")
+def q_prediction_pairs(spark, sf):
+    """Pairs of the five models whose held-out predictions have |r| > 0.8."""
+    return out(EN.strong_pairs(_holdout(spark, sf), [f"score_{x}" for x in _FIVE]))
 
 
 
@@ -1317,8 +1488,13 @@ def q_stream_wallet_summary(spark, sf):
 
 @register("stream_dedup", O.with_ctes(_CLEAN, "SELECT transaction_hash, account, event_type FROM clean"))
 def q_stream_dedup(spark, sf):
-    """Replay-safe ingestion with watermark-bounded dedup state."""
-    s = ST.dedup_events(ST.event_stream(spark, sf)).select("transaction_hash", "account", "event_type")
+    """Replay-safe ingestion with watermark-bounded dedup state: a second file
+    holds a third of the events again."""
+    path = _scratch(spark, "replays")
+    e = read_table(spark, sf, "events")
+    e.coalesce(1).write.parquet(f"{path}/events_a.parquet")
+    e.where(F.col("event_id") % 3 == 0).coalesce(1).write.parquet(f"{path}/events_b.parquet")
+    s = ST.dedup_events(ST.event_stream(spark, path), "60 days").select("transaction_hash", "account", "event_type")
     return ST.run_to_table(spark, s, "append")
 
 

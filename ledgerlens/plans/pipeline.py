@@ -35,6 +35,8 @@ def observed(df: DataFrame, name: str):
     from pyspark.sql import functions as F
     obs = Observation(name)
     aggs = [F.count(F.lit(1)).alias("rows")]
+    if "is_anomaly" in df.columns:
+        aggs.append(F.count_if("is_anomaly").alias("anomalies"))
     if "event_type" in df.columns:
         aggs += [F.count_if(F.col("event_type") == e).alias(f"rows_{e}") for e in
                  ("Mint", "Redeem", "Borrow", "RepayBorrow", "LiquidateBorrow")]
@@ -71,36 +73,41 @@ def run_stages(spark: SparkSession, sf_dir: str, out_dir: str, skip_to: str | No
     """Stage-resumable run (S15): each stage writes its table under
     ``out_dir`` (a shared folder); ``skip_to`` starts from a named stage and
     reads the previous stage's table instead of recomputing it.  Returns the
-    stage tables as DataFrames plus the run counters of the load stage."""
+    stage tables as DataFrames plus ``counters``: what each stage that ran counted
+    while it was written (A15)."""
     from ledgerlens.operators import anomaly as AM
     from ledgerlens.operators.scoring import top_wallets
     from ledgerlens.sources.sinks import write_csv, write_stage
     start = STAGES.index(skip_to) if skip_to else 0
     path = lambda name: f"{out_dir.rstrip('/')}/{name}"
-    out, counters = {}, None
+    out, seen = {}, {}
+
+    def counted(df, name):
+        df, seen[name] = observed(df, name)
+        return df
+
     if start <= 0:
-        tx, obs = observed(cleaned(spark, sf_dir, source), "load")
-        write_stage(tx, path("cleaned_transactions"), sort_by=["account", "timestamp"])
-        counters = obs.get
+        write_stage(counted(cleaned(spark, sf_dir, source), "load"), path("cleaned_transactions"), sort_by=["account", "timestamp"])
     tx = spark.read.parquet(path("cleaned_transactions"))
     if start <= 1:
         raw_wallet_features(tx, as_of, optimize).write.mode("overwrite").parquet(path("wallet_features_raw"))
     raw = spark.read.parquet(path("wallet_features_raw"))
     feats = impute_features(raw, nullable=set(TEMPORAL_COLUMNS))
     if start <= 1:
-        feats.write.mode("overwrite").parquet(path("wallet_features"))
+        counted(feats, "features").write.mode("overwrite").parquet(path("wallet_features"))
     feats = spark.read.parquet(path("wallet_features"))
     anomaly = None
     if with_anomaly:
         if start <= 2:
-            AM.detect_anomalies(feats, feats.count()).write.mode("overwrite").parquet(path("anomaly_scores"))
+            counted(AM.detect_anomalies(feats, feats.count()), "anomaly").write.mode("overwrite").parquet(path("anomaly_scores"))
         anomaly = spark.read.parquet(path("anomaly_scores"))
     if start <= 3:
-        score_wallets(feats, anomaly, None, optimize).write.mode("overwrite").parquet(path("wallet_scores"))
+        counted(score_wallets(feats, anomaly, None, optimize), "scores").write.mode("overwrite").parquet(path("wallet_scores"))
     scored = spark.read.parquet(path("wallet_scores"))
     fin = final_score(scored, method)
-    fin.write.mode("overwrite").parquet(path("all_wallet_scores"))
+    counted(fin, "final").write.mode("overwrite").parquet(path("all_wallet_scores"))
     fin = spark.read.parquet(path("all_wallet_scores"))
     write_csv(top_wallets(fin, top_n), path("wallet_scores_csv"))
-    out.update(transactions=tx, features=feats, anomaly=anomaly, scores=scored, final=fin, counters=counters)
+    out.update(transactions=tx, features=feats, anomaly=anomaly, scores=scored, final=fin,
+               counters={name: obs.get for name, obs in seen.items()})
     return out

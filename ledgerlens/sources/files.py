@@ -1,26 +1,18 @@
-"""Raw event files -> canonical transactions.
+"""Raw event files -> canonical transactions.
 
-Readers decide layout questions on schemas and file names (plan time), never
-per row.  Multi-line JSON is not splittable (one task per file), so callers
-repartition right after the read before any heavy work.
+The work is in :mod:`ledgerlens.sources.layouts`: files of one layout are read
+together, so a plan grows with the layouts, not with the files.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.columns import parse_timestamp, standardize_address
-from ledgerlens.schema import (ADDRESS_COLUMNS, COLUMN_ALIASES, EVENT_HINT_COLUMNS, EVENT_TYPES,
-                               EXPECTED_COLUMNS, NESTED_EVENT, NESTED_EVENT_KEYS, REQUIRED_COLUMNS)
-
-CSV_SEPARATORS = [",", ";", "\t", "|"]
-
+from ledgerlens.sources import layouts as LA
+from ledgerlens.sources.layouts import UnsupportedFile
 
-class UnsupportedFile(ValueError):
-    pass
+__all__ = ["UnsupportedFile", "infer_file_format", "largest_files", "load_and_process", "load_dataframe", "read_json"]
 
 
 # ------------------------------------------------------------------ S1
@@ -38,189 +30,27 @@ def largest_files(spark: SparkSession, directory: str, n: int = 3, pattern: str
 def infer_file_format(spark: SparkSession, paths: list) -> DataFrame:
     """(path, format): by extension, else by the first line (``{``/``[`` ->
     json, a comma -> csv, otherwise unknown)."""
-    by_ext = {p: ("csv" if p.lower().endswith(".csv") else "json" if p.lower().endswith(".json")
-                  else "parquet" if p.lower().endswith(".parquet") else None) for p in paths}
-    known = [(p, f) for p, f in by_ext.items() if f]
-    unknown = [p for p, f in by_ext.items() if not f]
-    out = spark.createDataFrame(known, "path string, format string") if known else None
-    if unknown:
-        t = (spark.read.text(unknown).select(F.col("_metadata.file_path").alias("path"), "value",
-                                             F.monotonically_increasing_id().alias("_i")))
-        first = t.groupBy("path").agg(F.min_by("value", "_i").alias("line"))
-        line = F.ltrim(F.col("line"))
-        fmt = (F.when(line.startswith("{") | line.startswith("["), "json")
-                .when(F.col("line").contains(","), "csv").otherwise(F.lit("unknown")))
-        sniffed = first.select("path", fmt.alias("format"))
-        out = sniffed if out is None else out.unionByName(sniffed)
-    return out
-
-
-# ------------------------------------------------------------------ P1-P6
-def lower_columns(df: DataFrame) -> DataFrame:
-    names = [c.lower() for c in df.columns]
-    if len(set(names)) != len(names):
-        seen, fixed = {}, []
-        for n in names:          # keep the first, suffix later collisions
-            seen[n] = seen.get(n, -1) + 1
-            fixed.append(n if seen[n] == 0 else f"{n}_{seen[n]}")
-        names = fixed
-    return df.toDF(*names)
-
-
-def resolve_aliases(df: DataFrame) -> DataFrame:
-    """First present alias fills a missing canonical column; originals kept."""
-    cols = list(df.columns)
-    adds = {}
-    for src, dst in COLUMN_ALIASES:
-        if src in cols and dst not in cols and dst not in adds:
-            adds[dst] = F.col(f"`{src}`")
-    return df.withColumns(adds) if adds else df
-
-
-def pad_required(df: DataFrame) -> DataFrame:
-    pads = {c: F.lit(None).cast("string") for c in REQUIRED_COLUMNS if c not in df.columns}
-    return df.withColumns(pads) if pads else df
-
-
-def infer_event_type(df: DataFrame) -> DataFrame:
-    """When ``event_type`` is NULL everywhere, the first event whose specific
-    column exists fills every row (one one-row aggregate decides)."""
-    if dict(df.dtypes).get("event_type") not in ("string", "void"):
-        return df
-    hint = next((ev for ev, cols in EVENT_HINT_COLUMNS if any(c in df.columns for c in cols)), None)
-    if hint is None:
-        return df.withColumn("event_type", F.col("event_type").cast("string"))
-    any_set = df.agg(F.max(F.col("event_type").isNotNull().cast("int")).alias("_any"))
-    return (df.crossJoin(F.broadcast(any_set))   # one row
-              .withColumn("event_type", F.when(F.coalesce(F.col("_any"), F.lit(0)) == 1,
-                                               F.col("event_type").cast("string")).otherwise(F.lit(hint)))
-              .drop("_any"))
-
-
-def standardize_columns(df: DataFrame) -> DataFrame:
-    """Lower names, resolve aliases, pad, infer event type, normalise
-    addresses, parse timestamps (per row)."""
-    df = pad_required(resolve_aliases(lower_columns(df)))
-    df = infer_event_type(df)
-    addr = {c: standardize_address(F.col(c).cast("string")) for c in ADDRESS_COLUMNS if c in df.columns}
-    df = df.withColumns(addr) if addr else df
-    t = dict(df.dtypes).get("timestamp")
-    if t == "timestamp_ntz":
-        df = df.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
-    elif t != "timestamp":
-        df = df.withColumn("timestamp", parse_timestamp("timestamp"))
-    return df
-
-
-# ------------------------------------------------------------------ S3
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Header CSV, every column as string.  If fewer than half of the expected
-    columns are found with a comma, the separator is sniffed: the candidate
-    that splits the header into most columns wins (decided on headers only)."""
-    def attempt(sep):
-        return spark.read.option("header", True).option("sep", sep).csv(path)
-    df = attempt(",")
-    found = sum(1 for c in EXPECTED_COLUMNS if c in [x.lower() for x in df.columns])
-    if found < len(EXPECTED_COLUMNS) / 2:
-        best = max((attempt(s) for s in CSV_SEPARATORS), key=lambda d: len(d.columns))
-        df = best
-    return df
+    heads = LA.first_lines(spark, list(paths))
+    return spark.createDataFrame([(p, LA.file_format(p, heads.get(LA.plain(p)))) for p in paths], "path string, format string")
 
 
 # ------------------------------------------------------------------ S4-S7
-def _nested_events(raw: DataFrame, keep_liquidator: bool = False) -> DataFrame:
-    parts = []
-    for key, ev in NESTED_EVENT_KEYS:
-        if key not in raw.columns:
-            continue
-        e = raw.select(F.inline(F.col(key)))
-        cols = [F.lit(ev).alias("event_type"),
-                F.col("account.id").alias("account"),
-                F.col("asset.id").alias("token"),
-                F.col("asset.symbol").alias("token_symbol"),
-                F.col("amount").alias("amount"),
-                F.col("amountUSD").alias("amountusd"),
-                F.col("hash").alias("transaction_hash"),
-                F.col("timestamp").alias("timestamp")]
-        if keep_liquidator:
-            cols.append(F.col("liquidator.id").alias("liquidator"))
-        parts.append(e.select(*cols))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-
-
 def read_json(spark: SparkSession, path: str, keep_liquidator: bool = False) -> DataFrame:
-    """One JSON document per file: an array of flat events (S4), an object of
-    five nested event arrays (S5), an object keyed by canonical event names
-    (S6, also the fallback when the five arrays are empty) or one flat object
-    (S7).  Anything else raises ``UnsupportedFile``."""
-    probe = spark.read.option("multiLine", True).json(path)
-    cols = set(probe.columns)
-    if "_corrupt_record" in cols and len(cols) == 1:
-        raise UnsupportedFile(f"not a JSON array or object: {path}")
-    first = spark.read.text(path).limit(1).collect()
-    is_array = bool(first) and first[0][0].lstrip().startswith("[")
-    if is_array:
-        return probe                                                      # S4
-    nested_keys = [k for k, _ in NESTED_EVENT_KEYS if k in cols]
-    if nested_keys:
-        from pyspark.sql import types as T
-        schema = T.StructType([T.StructField(k, T.ArrayType(NESTED_EVENT)) for k, _ in NESTED_EVENT_KEYS])
-        raw = spark.read.option("multiLine", True).schema(schema).json(path)
-        sizes = raw.select(*[F.coalesce(F.size(k), F.lit(0)).alias(k) for k, _ in NESTED_EVENT_KEYS]).first()
-        if sum(max(0, v) for v in sizes) > 0:
-            return _nested_events(raw, keep_liquidator)                  # S5
-    keyed = [e for e in EVENT_TYPES if e in cols]
-    if keyed:                                                              # S6
-        parts = [probe.select(F.inline(F.col(e))).withColumn("event_type", F.lit(e)) for e in keyed
-                 if dict(probe.dtypes)[e].startswith("array<struct")]
-        if parts:
-            return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    if nested_keys:
-        return spark.createDataFrame([], "event_type string")             # all empty, no fallback
-    return probe                                                           # S7: one row
-
-
-def parse_file(spark: SparkSession, path: str, fmt: str | None = None, keep_liquidator: bool = False) -> DataFrame:
-    fmt = fmt or infer_file_format(spark, [path]).first()["format"]
-    if fmt == "csv":
-        return read_csv(spark, path)
-    if fmt == "json":
-        return read_json(spark, path, keep_liquidator)
-    if fmt == "parquet":
-        return spark.read.parquet(path)
-    raise UnsupportedFile(f"Unsupported file format for {path}")
+    """The events of one JSON file, whatever its layout, as text columns."""
+    groups, bad = LA.layouts(spark, [path])
+    if bad:
+        raise UnsupportedFile(bad[0][1])
+    return LA.parse(spark, groups, keep_liquidator).where(F.col(LA.BAD).isNull()).drop(LA.BAD, LA.PATH)
 
 
 # ------------------------------------------------------------------ S8, S10
-def load_and_process(spark: SparkSession, paths: list, keep_liquidator: bool = False,
-                     partitions: int | None = None):
-    """Read every file, standardise, union by name.  A file that cannot be
-    parsed is skipped and reported; all files bad -> error.
-
-    Returns (transactions, rejected) where ``rejected`` is a (path, error)
-    DataFrame."""
-    fmts = {r["path"].replace("file://", ""): r["format"]
-            for r in infer_file_format(spark, paths).collect()}   # one row per file
-    good, bad = [], []
-    for p in paths:
-        try:
-            df = standardize_columns(parse_file(spark, p, fmts.get(p) or fmts.get(p.replace("file://", "")),
-                                                keep_liquidator))
-            # Raw files union as text (like object columns): a string amount in
-            # one file and a number in another must not be widened to BIGINT.
-            df = df.select(*[F.col(f"`{c}`") if t == "timestamp" else F.col(f"`{c}`").cast("string").alias(c)
-                             for c, t in df.dtypes])
-            df.schema  # analysis errors surface here, inside the try
-            good.append(df)
-        except Exception as ex:  # noqa: BLE001 - a bad file is skipped, as in the reference
-            bad.append((p, str(ex).splitlines()[0][:500] if str(ex) else type(ex).__name__))
-    if not good:
-        raise UnsupportedFile("no file could be parsed")
-    tx = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), good)
-    if partitions:
-        tx = tx.repartition(partitions)
-    rejected = spark.createDataFrame(bad, "path string, error string")
-    return tx, rejected
+def load_and_process(spark: SparkSession, paths: list, keep_liquidator: bool = False, partitions: int | None = None):
+    """Read every file, standardise, union by name: (transactions, rejected),
+    where ``rejected`` is (path, error, record): files and records that don't
+    parse are skipped and reported.  All files bad -> error."""
+    tx, rejected = LA.load_files(spark, paths, keep_liquidator)
+    tx = tx.drop(LA.PATH)
+    return (tx.repartition(partitions) if partitions else tx), rejected
 
 
 def load_dataframe(spark: SparkSession, path: str) -> DataFrame:

@@ -60,6 +60,37 @@ def write_nested_event_files(tx: DataFrame, path: str, rows_per_file: int = 25_0
     doc.repartition(files, "_b").write.mode("overwrite").partitionBy("_b").json(path)
 
 
+def _dealt(tx: DataFrame, rows_per_file: int) -> tuple[DataFrame, int]:
+    files = max(1, -(-tx.count() // rows_per_file))
+    return tx.withColumn("_b", F.pmod(F.xxhash64("transaction_hash"), F.lit(files))), files
+
+
+def _flat_event(*more):
+    return F.struct("event_type", epoch_seconds_text("timestamp").alias("block_timestamp"), F.col("account").alias("user"), F.col("transaction_hash").alias("tx_hash"),
+                    F.col("token").alias("asset"), F.col("ctoken").alias("c_token"), F.col("amount").alias("amount_decimal"), *more)
+
+
+def write_json_arrays(tx: DataFrame, path: str, rows_per_file: int = 25_000) -> None:
+    """The flat raw layout: one JSON array of events per file (of ``rows_per_file`` or so)."""
+    t, files = _dealt(tx, rows_per_file)
+    doc = t.groupBy("_b").agg(F.to_json(F.collect_list(_flat_event())).alias("value"))
+    doc.repartition(files, "_b").write.mode("overwrite").partitionBy("_b").text(path)
+
+
+def write_json_by_event(tx: DataFrame, path: str, rows_per_file: int = 25_000) -> None:
+    """The layout keyed by event names: one object of arrays per file."""
+    t, files = _dealt(tx, rows_per_file)
+    bare = F.struct(epoch_seconds_text("timestamp").alias("time"), F.col("account").alias("wallet"), F.col("transaction_hash").alias("hash"), "token", "ctoken", "amount")
+    events = ["Mint", "Redeem", "Borrow", "RepayBorrow", "LiquidateBorrow"]
+    doc = t.groupBy("_b").agg(*[F.collect_list(F.when(F.col("event_type") == e, bare)).alias(e) for e in events])
+    doc.select("_b", F.to_json(F.struct(*events)).alias("value")).repartition(files, "_b").write.mode("overwrite").partitionBy("_b").text(path)
+
+
+def write_json_objects(tx: DataFrame, path: str, key: str) -> None:
+    """One flat object per file, a file for each value of ``key`` (each once in ``tx``)."""
+    tx.select(F.col(key).alias("_b"), F.to_json(_flat_event()).alias("value")).repartition("_b").write.mode("overwrite").partitionBy("_b").text(path)
+
+
 def save_models(models: dict, path: str) -> None:
     """Fitted Spark ML pipelines, one folder per model."""
     for name, m in models.items():

@@ -278,7 +278,7 @@ def test_stage_resume(spark, tmp_dir):
     from conftest import SF_SMALL
     from ledgerlens.plans.pipeline import run_stages
     a = run_stages(spark, SF_SMALL, tmp_dir, with_anomaly=False)
-    assert a["counters"]["rows"] == a["transactions"].count()
+    assert a["counters"]["load"]["rows"] == a["transactions"].count() and a["counters"]["final"]["rows"] == a["final"].count()
     first = sorted(map(tuple, a["final"].select("wallet", "final_score").collect()))
     b = run_stages(spark, SF_SMALL, tmp_dir, skip_to="scores", with_anomaly=False)
     assert sorted(map(tuple, b["final"].select("wallet", "final_score").collect())) == first
