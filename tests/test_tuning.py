@@ -44,3 +44,19 @@ def test_search_over_trees_equals_single_runs(spark, model):
     if model == "gradient_boosting":
         for p, (*_, m) in zip(some, rows, strict=True):
             assert m == pytest.approx(TU.cv_mse(t, ["x", "z"], model, p, k=2))
+
+
+def test_a_loaded_anomaly_model_scores_as_before(spark, tmp_dir):
+    from conftest import SF_SMALL
+    from ledgerlens.operators import anomaly as AM
+    from ledgerlens.plans import pipeline as P
+    f = P.stage(P.features(P.cleaned(spark, SF_SMALL)))
+    n = f.count()
+    model = AM.fit_anomaly_model(f, n, n_trees=20)
+    rows = lambda df: {r.wallet: (round(r.anomaly_score, 8), r.is_anomaly) for r in df.collect()}
+    want = rows(model.score(f))
+    model.save(tmp_dir)
+    loaded = AM.AnomalyModel.load(spark, tmp_dir)
+    assert rows(loaded.score(f)) == want == rows(AM.detect_anomalies(f, n, n_trees=20))
+    far = f.limit(1).withColumn("tx_count", F.lit(10**9))
+    assert 0 <= loaded.score(far).first().anomaly_score <= 1
