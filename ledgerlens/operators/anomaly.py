@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -195,9 +196,12 @@ def anomaly_counts(anomalies: DataFrame) -> DataFrame:
 def decision_from_scores(scores: DataFrame, contamination: float = C.CONTAMINATION,
                          score: str = "score", key: str = "wallet") -> DataFrame:
     """decision = score - offset, offset = the contamination quantile of the
-    scores (exact, linear interpolation, distributed)."""
-    q = exact_quantile_long(scores.select(F.lit("all").alias("_g"), F.col(score).alias("_v")), "_g", "_v",
-                            contamination)
+    scores (exact, linear interpolation, distributed).  The scores are read
+    several times, so they and the offset are staged: a forest scores once."""
+    from ledgerlens.session import stage
+    scores = stage(scores.select(key, score))
+    q = stage(exact_quantile_long(scores.select(F.lit("all").alias("_g"), F.col(score).alias("_v")), "_g", "_v",
+                                  contamination))
     return (scores.crossJoin(F.broadcast(q.select(F.col("quantile").alias("_off"))))   # one row
                   .select(key, (F.col(score) - F.col("_off")).alias("decision")))
 
@@ -343,18 +347,18 @@ def fit_one_class_svm(z: DataFrame, nu: float = C.CONTAMINATION, steps: int = 40
     def partial(w_, rho_):
         def run(batches):
             s, c = np.zeros(D), 0
-            for pdf in batches:
-                if not len(pdf):
+            for batch in batches:
+                if not batch.num_rows:
                     continue
-                Z = np.vstack(pdf["z"].to_numpy())
+                Z = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, D)
                 viol = Z @ w_ < rho_
                 s += Z[viol].sum(axis=0)
                 c += int(viol.sum())
-            yield pd.DataFrame({"s": [s.tolist()], "c": [c]})
+            yield pa.RecordBatch.from_pydict({"s": [s.tolist()], "c": [c]}, pa.schema([("s", pa.list_(pa.float64())), ("c", pa.int64())]))
         return run
 
     for t in range(1, steps + 1):
-        parts = z.select("z").mapInPandas(partial(w.copy(), rho), "s array<double>, c long").collect()
+        parts = z.select("z").mapInArrow(partial(w.copy(), rho), "s array<double>, c long").collect()
         s = np.sum([np.asarray(p["s"]) for p in parts], axis=0)
         c = sum(p["c"] for p in parts)
         gw = w - s / (nu * n)
