@@ -32,7 +32,12 @@ from ledgerlens.session import stage
 
 CSV_SEPARATORS = [",", ";", "\t", "|"]
 BAD, PATH = "_corrupt_record", "_path"
+BLANK = "\ufeff \t\r\n"
 HEAD_CHARS = 65_536
+#: Records of a file that are looked at for its first; all of them, where those are blank.
+HEAD_RECORDS = 64
+#: Tasks that list files (Spark's default is one for each path that is named).
+LISTING_TASKS = 64
 REJECT = "path string, error string, record string"
 
 
@@ -46,33 +51,47 @@ def plain(path: str) -> str:
 
 
 @contextmanager
-def _one_file_a_task(spark: SparkSession):
-    key = "spark.sql.files.openCostInBytes"
+def _setting(spark: SparkSession, key: str, value: str):
     before = spark.conf.get(key)
-    spark.conf.set(key, spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    spark.conf.set(key, value)
     try:
         yield
     finally:
         spark.conf.set(key, before)
 
 
+def _one_file_a_task(spark: SparkSession):
+    return _setting(spark, "spark.sql.files.openCostInBytes", spark.conf.get("spark.sql.files.maxPartitionBytes"))
+
+
+def few_listing_tasks(spark: SparkSession):
+    """Reads of many named paths list them in a bounded number of tasks."""
+    return _setting(spark, "spark.sql.sources.parallelPartitionDiscovery.parallelism", str(LISTING_TASKS))
+
+
 def _first_records(spark: SparkSession, paths: list, separator: str, early: bool) -> dict:
-    """The first record with something in it of each file; ``early``: a task stops at its first."""
+    """The first record with something in it of each file; ``early``: among its first
+    ``HEAD_RECORDS``, which need no Python (a worker that stops before the end of its
+    file is not used again, so each file would start one)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
         for b in batches:
-            rows = [(p, v[:HEAD_CHARS]) for p, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) if v.strip("﻿ \t\r\n")]
+            rows = [(p, v) for p, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) if v.strip(BLANK)]
             first = {p: v for p, v in reversed(rows) if p not in seen}
             seen |= set(first)
             if first:
                 yield pa.RecordBatch.from_arrays([pa.array(list(first)), pa.array(list(first.values()))], ["path", "head"])
-                if early:
-                    return
 
-    with _one_file_a_task(spark):
+    with _one_file_a_task(spark), few_listing_tasks(spark):
         t = spark.read.option("lineSep", separator).text(paths)
-        t = t.where(F.col("_metadata.file_block_start") == 0).select(F.col("_metadata.file_path").alias("path"), "value")
-        return {plain(r.path): r.head for r in t.mapInArrow(run, "path string, head string").collect()}    # a line per file
+        t = t.where(F.col("_metadata.file_block_start") == 0).select(F.col("_metadata.file_path").alias("path"), F.substring("value", 1, HEAD_CHARS).alias("head"))
+        if early:
+            at = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))   # place in the task, so in its file
+            t = t.withColumn("at", at).where((F.col("at") < HEAD_RECORDS) & (F.btrim("head", F.lit(BLANK)) != ""))
+            t = t.groupBy("path").agg(F.min_by("head", "at").alias("head"))
+        else:
+            t = t.mapInArrow(run, "path string, head string")
+        return {plain(r.path): r.head for r in t.collect()}    # a line per file
 
 
 def first_lines(spark: SparkSession, paths: list) -> dict:
@@ -84,7 +103,7 @@ def first_lines(spark: SparkSession, paths: list) -> dict:
         if some:
             out |= _first_records(spark, some, separator, True)
             left = [p for p in some if plain(p) not in out]
-            if left:    # files that shared a task with another
+            if left:    # files that begin with many blank records
                 out |= _first_records(spark, left, separator, False)
     return out
 
@@ -250,9 +269,10 @@ def parse(spark: SparkSession, groups: dict, keep_liquidator: bool = False) -> D
     """All events of all groups as text columns, with ``_path`` and, where a record
     doesn't parse, ``_corrupt_record``."""
     parts = []
-    for (kind, *of), paths in groups.items():
-        parts.append(parse_csv(spark, paths, *of) if kind == "csv" else parse_parquet(spark, paths) if kind == "parquet"
-                     else parse_arrays(spark, paths) if of == ["array"] else parse_objects(spark, paths, keep_liquidator))
+    with few_listing_tasks(spark):
+        for (kind, *of), paths in groups.items():
+            parts.append(parse_csv(spark, paths, *of) if kind == "csv" else parse_parquet(spark, paths) if kind == "parquet"
+                         else parse_arrays(spark, paths) if of == ["array"] else parse_objects(spark, paths, keep_liquidator))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 

@@ -57,12 +57,14 @@ def write_nested_event_files(tx: DataFrame, path: str, rows_per_file: int = 25_0
            .withColumn("_b", F.pmod(F.xxhash64("transaction_hash"), F.lit(files))))
     aggs = [F.collect_list(F.when(F.col("event_type") == ev, elem)).alias(k) for ev, k in ev_key.items()]
     doc = t.groupBy("_b").agg(*aggs)
-    doc.repartition(files, "_b").write.mode("overwrite").partitionBy("_b").json(path)
+    doc.write.mode("overwrite").partitionBy("_b").json(path)    # a row per file: no task of its own for each
 
 
-def _dealt(tx: DataFrame, rows_per_file: int) -> tuple[DataFrame, int]:
+def _dealt(tx: DataFrame, rows_per_file: int) -> DataFrame:
+    """``_b``: the file of a row.  A file is a row of what is written, so tasks write
+    as many files as Spark deals to them."""
     files = max(1, -(-tx.count() // rows_per_file))
-    return tx.withColumn("_b", F.pmod(F.xxhash64("transaction_hash"), F.lit(files))), files
+    return tx.withColumn("_b", F.pmod(F.xxhash64("transaction_hash"), F.lit(files)))
 
 
 def _flat_event(*more):
@@ -72,18 +74,18 @@ def _flat_event(*more):
 
 def write_json_arrays(tx: DataFrame, path: str, rows_per_file: int = 25_000) -> None:
     """The flat raw layout: one JSON array of events per file (of ``rows_per_file`` or so)."""
-    t, files = _dealt(tx, rows_per_file)
+    t = _dealt(tx, rows_per_file)
     doc = t.groupBy("_b").agg(F.to_json(F.collect_list(_flat_event())).alias("value"))
-    doc.repartition(files, "_b").write.mode("overwrite").partitionBy("_b").text(path)
+    doc.write.mode("overwrite").partitionBy("_b").text(path)
 
 
 def write_json_by_event(tx: DataFrame, path: str, rows_per_file: int = 25_000) -> None:
     """The layout keyed by event names: one object of arrays per file."""
-    t, files = _dealt(tx, rows_per_file)
+    t = _dealt(tx, rows_per_file)
     bare = F.struct(epoch_seconds_text("timestamp").alias("time"), F.col("account").alias("wallet"), F.col("transaction_hash").alias("hash"), "token", "ctoken", "amount")
     events = ["Mint", "Redeem", "Borrow", "RepayBorrow", "LiquidateBorrow"]
     doc = t.groupBy("_b").agg(*[F.collect_list(F.when(F.col("event_type") == e, bare)).alias(e) for e in events])
-    doc.select("_b", F.to_json(F.struct(*events)).alias("value")).repartition(files, "_b").write.mode("overwrite").partitionBy("_b").text(path)
+    doc.select("_b", F.to_json(F.struct(*events)).alias("value")).write.mode("overwrite").partitionBy("_b").text(path)
 
 
 def write_json_objects(tx: DataFrame, path: str, key: str) -> None:

@@ -80,3 +80,42 @@ def test_liquidators_are_kept_on_demand(spark, tmp_dir):
     p = _write(tmp_dir, {"n.json": json.dumps(doc)})
     assert FI.load_and_process(spark, p, keep_liquidator=True)[0].first().liquidator == "l"
     assert "liquidator" not in FI.load_and_process(spark, p)[0].columns
+
+
+def test_first_records_need_no_python_and_skip_blank_lines(spark, tmp_dir, monkeypatch):
+    """Many files: no Python worker for each; a file that begins with many blank lines is read on."""
+    files = {f"{i}.txt": f" \t\n\n{{\"a\": {i}}}\nmore,{i}\n" for i in range(40)} | {"late.txt": "\n" * (LA.HEAD_RECORDS + 5) + "[1]\n", "blank.txt": "\n \n"}
+    paths = _write(tmp_dir, files)
+    real, used = type(spark.range(1)).mapInArrow, []
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow", lambda df, *a, **k: used.append(len(df.inputFiles())) or real(df, *a, **k))
+    heads = {os.path.basename(p): h for p, h in LA.first_lines(spark, paths).items()}
+    assert heads == {f"{i}.txt": f'{{"a": {i}}}' for i in range(40)} | {"late.txt": "[1]"}
+    assert used == [2]
+
+
+def test_files_do_not_each_take_a_task_to_write(spark, tmp_dir):
+    from ledgerlens.sources import sinks as SK
+    t = spark.range(300).selectExpr("'Mint' AS event_type", "timestamp_seconds(id) AS timestamp", "concat('w', id) AS account", "concat('h', id) AS transaction_hash",
+                                    "'t' AS token", "'c' AS ctoken", "1.5D AS amount")
+    seen = []
+
+    class Tracker:
+        def __init__(self):
+            self.group = "write-by-event"
+
+        def __enter__(self):
+            spark.sparkContext.setJobGroup(self.group, self.group)
+
+        def __exit__(self, *a):
+            st = spark.sparkContext.statusTracker()
+            for j in st.getJobIdsForGroup(self.group):
+                for s in st.getJobInfo(j).stageIds:
+                    info = st.getStageInfo(s)
+                    seen.append(info.numTasks if info else 0)
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+    with Tracker():
+        SK.write_json_by_event(t, f"{tmp_dir}/keyed", 3)
+    docs = [json.load(open(os.path.join(d, f))) for d, _, fs in os.walk(f"{tmp_dir}/keyed") for f in fs if f.startswith("part-")]
+    assert len(docs) > 60 and sorted(e["hash"] for d in docs for e in d["Mint"]) == sorted(f"h{i}" for i in range(300))
+    assert max(seen) < 60
