@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 
 from ledgerlens import config as C
 from ledgerlens.operators.ranking import exact_quantile_long
+from ledgerlens.session import stage
 
 NON_FEATURES = ("wallet", "first_tx_timestamp", "last_tx_timestamp")
 
@@ -41,9 +42,10 @@ def anomaly_feature_columns(df: DataFrame) -> list:
 
 
 def standardize(df: DataFrame, cols=None, key: str = "wallet") -> DataFrame:
-    """(x - mean) / population std per column; constant column -> 0 (M1)."""
+    """(x - mean) / population std per column; constant column -> 0 (M1).  The row of
+    statistics is staged, so that each read of the result reads it."""
     cols = cols or anomaly_feature_columns(df)
-    st = df.agg(*[F.avg(c).alias(f"_m_{c}") for c in cols], *[F.stddev_pop(c).alias(f"_s_{c}") for c in cols])
+    st = stage(df.agg(*[F.avg(c).alias(f"_m_{c}") for c in cols], *[F.stddev_pop(c).alias(f"_s_{c}") for c in cols]))
     j = df.select(key, *cols).crossJoin(F.broadcast(st))   # one row
     z = [F.when(F.col(f"_s_{c}") > 0, (F.col(c) - F.col(f"_m_{c}")) / F.col(f"_s_{c}"))
           .otherwise(F.lit(0.0)).alias(c) for c in cols]
@@ -198,7 +200,6 @@ def decision_from_scores(scores: DataFrame, contamination: float = C.CONTAMINATI
     """decision = score - offset, offset = the contamination quantile of the
     scores (exact, linear interpolation, distributed).  The scores are read
     several times, so they and the offset are staged: a forest scores once."""
-    from ledgerlens.session import stage
     scores = stage(scores.select(key, score))
     q = stage(exact_quantile_long(scores.select(F.lit("all").alias("_g"), F.col(score).alias("_v")), "_g", "_v",
                                   contamination))
@@ -213,7 +214,6 @@ def detect_anomalies(features: DataFrame, n_rows: int, n_trees: int = C.N_TREES,
     cols = anomaly_feature_columns(features)
     z = standardize(features, cols, key)
     pts, _ = pca_project(z, cols, pca_components(n_rows, len(cols)), key)
-    from ledgerlens.session import stage
     pts = stage(pts)
     nodes = fit_isolation_forest(pts, n_rows, n_trees, 256, seed, key)
     psi = min(256, n_rows)
@@ -285,7 +285,6 @@ class AnomalyModel:
 def fit_anomaly_model(features: DataFrame, n_rows: int, n_trees: int = C.N_TREES, seed: int = C.SEED,
                       contamination: float = C.CONTAMINATION, key: str = "wallet") -> AnomalyModel:
     """Fit the chain of :func:`detect_anomalies` and keep it."""
-    from ledgerlens.session import stage
     cols = anomaly_feature_columns(features)
     scale = stage(features.agg(*[F.avg(c).alias(f"_m_{c}") for c in cols], *[F.stddev_pop(c).alias(f"_s_{c}") for c in cols]))
     pts, pca = pca_project(standardize(features, cols, key), cols, pca_components(n_rows, len(cols)), key)
@@ -384,7 +383,6 @@ def one_class_svm_decision(z: DataFrame, w, rho: float | None = None, nu: float
 def detect_anomalies_svm(features: DataFrame, n_rows: int, nu: float = C.CONTAMINATION, n_components: int = 100,
                          steps: int = 40, seed: int = C.SEED, key: str = "wallet") -> DataFrame:
     """M1 -> M2 -> M4 -> P18: (wallet, anomaly_score, is_anomaly)."""
-    from ledgerlens.session import stage
     cols = anomaly_feature_columns(features)
     pts, _ = pca_project(standardize(features, cols, key), cols, pca_components(n_rows, len(cols)), key)
     pts = stage(pts)
