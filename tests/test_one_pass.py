@@ -82,3 +82,38 @@ def test_elimination_starts_from_known_importances(spark, monkeypatch):
     monkeypatch.setattr(SE, "rf_importance", lambda *a, **k: made.append(1) or real(*(a[:2] or ()), n_trees=3, max_depth=3))
     SE.select_features(t, "rfe", 3)
     assert len(made) == 1
+
+
+def test_forests_keep_the_nodes_of_rows(spark, monkeypatch):
+    """The same trees as without, and the same settings wherever a forest is fitted."""
+    from pyspark.ml.regression import RandomForestRegressor
+    t = spark.range(400).select(F.concat(F.lit("w"), "id").alias("wallet"), F.sin("id").alias("a"), F.cos(F.col("id") * 3).alias("b"), (F.sin("id") * F.cos(F.col("id") * 3)).alias("label"))
+    want = RandomForestRegressor(numTrees=4, maxDepth=6, seed=42, labelCol="label").fit(SE._assemble(t, ["a", "b"])).featureImportances.toArray()
+    seen, real = [], RandomForestRegressor.fit
+    monkeypatch.setattr(RandomForestRegressor, "fit", lambda est, *a: seen.append(est.getCacheNodeIds()) or real(est, *a))
+    assert {r.feature: r.importance for r in SE.rf_importance(t, n_trees=4, max_depth=6).collect()} == dict(zip("ab", want.tolist(), strict=True))
+    TU.search(t, ["a", "b"], "random_forest", [{"n_estimators": 2, "max_depth": 3}], "grid_search", k=2)
+    assert seen == [True] * 3
+
+
+def test_models_share_one_scaled_table(spark, monkeypatch):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import StandardScaler, VectorAssembler
+    from ledgerlens.operators import ensemble as EN
+    t = spark.range(300).selectExpr("concat('w', id) AS wallet", "(id * 37 % 101) / 50.0 AS x", "(id * 53 % 89) / 40.0 AS z", "sin(id) + id % 7 AS label").cache()
+    best = {"ridge": {"alpha": 1.0}, "lasso": {"alpha": 0.01}, "random_forest": {"n_estimators": 3, "max_depth": 4}, "gradient_boosting": {"n_estimators": 3, "max_depth": 2}}
+    n, sd = TU.label_stats(t)
+    alone = {m: Pipeline(stages=[VectorAssembler(inputCols=["x", "z"], outputCol="features"), StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True),
+                                 TU.make_estimator(m, p, n, sd)]).fit(t) for m, p in best.items()}
+    made, real = [], StandardScaler.fit
+    monkeypatch.setattr(StandardScaler, "fit", lambda est, *a: made.append(1) or real(est, *a))
+    models = EN.fit_models(t, ["x", "z"], best)
+    assert len(made) == 1 and list(models) == list(best)
+    rows = lambda ms: sorted(map(tuple, EN.predict_all(ms, t).select("wallet", *[f"score_{m}" for m in best]).collect()))
+    for got, want in zip(rows(models), rows(alone), strict=True):
+        assert got[0] == want[0] and got[1:] == pytest.approx(want[1:])
+
+
+def test_statistics_of_standardised_features_are_computed_once(spark):
+    t = spark.range(50).selectExpr("concat('w', id) AS wallet", "CAST(id AS DOUBLE) AS a")
+    assert "stddev_pop" not in _plan(AM.standardize(t))
