@@ -186,8 +186,13 @@ def parse_csv(spark: SparkSession, paths: list, sep: str, columns: tuple) -> Dat
     return df.select(*[F.col(f"`{n}`") for n in names], bad.alias(BAD), F.col("_metadata.file_path").alias(PATH))
 
 
+#: In no JSON text: a control character stands there escaped.
+NEVER = "\u0000\u0000ledgerlens\u0000\u0000"
+
+
 def _read_json(spark: SparkSession, paths: list, schema: T.StructType | None = None) -> DataFrame:
-    r = spark.read.option("multiLine", True).option("primitivesAsString", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD)
+    # A file is one record.  (In ``multiLine`` mode Spark goes back to the file for the exact text of each number.)
+    r = spark.read.option("lineSep", NEVER).option("primitivesAsString", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD)
     return (r.schema(schema) if schema else r).json(paths)
 
 

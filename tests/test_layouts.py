@@ -119,3 +119,15 @@ def test_files_do_not_each_take_a_task_to_write(spark, tmp_dir):
     docs = [json.load(open(os.path.join(d, f))) for d, _, fs in os.walk(f"{tmp_dir}/keyed") for f in fs if f.startswith("part-")]
     assert len(docs) > 60 and sorted(e["hash"] for d in docs for e in d["Mint"]) == sorted(f"h{i}" for i in range(300))
     assert max(seen) < 60
+
+
+def test_a_json_file_is_one_record_with_exact_numbers(spark, tmp_dir):
+    """No file is gone back to for the text of a number; records have many lines, numbers keep their digits."""
+    rows = '[\n {"event_type": "Mint", "amount": 1.50, "hash": "h1",\n "timestamp": 1},\n {"event_type": "Mint", "amount": 12345678901234567890.10, "hash": "h2", "timestamp": 2}\n]\n'
+    paths = _write(tmp_dir, {"a.json": rows, "b.json": '{"Mint":\n [{"amount": 2.00, "hash": "h3"},\n {"amount": 3e2, "hash": "h4"}]}', "c.json": "[{\n"})
+    raw = LA._read_json(spark, paths)
+    assert "multiLine" not in raw._jdf.queryExecution().analyzed().relation().options().toString()
+    groups, _ = LA.layouts(spark, paths)
+    got = LA.parse(spark, groups)
+    assert {r.hash: r.amount for r in got.where("hash is not null").collect()} == {"h1": "1.50", "h2": "12345678901234567890.10", "h3": "2.00", "h4": "3e2"}
+    assert [r._corrupt_record for r in got.where("_corrupt_record is not null").collect()] == ["[{\n"]
