@@ -13,6 +13,7 @@ import uuid
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
@@ -129,43 +130,82 @@ def sessions_to_tables(spark: SparkSession, stream: DataFrame, gap_seconds: int
     return table("closed"), read("open", max(_done), empty), table("late")
 
 
-INTERVAL_STATE = "n long, mean double, m2 double, last_us long, late long"
+#: Wallets share a group of ``applyInPandasWithState`` by hash: a call for each wallet takes
+#: milliseconds, one for a bucket not many more.
+INTERVAL_BUCKETS = 2048
+INTERVAL_STATE = "wallets binary"
 INTERVAL_OUT = "wallet string, gaps long, avg_gap_days double, stddev_gap_days double, last_tx_us long, late_events long"
+_NUMBERS = {"n": "int64", "mean": "float64", "m2": "float64", "last_us": "int64", "late": "int64"}
+
+
+def _pack(wallets, numbers: dict) -> bytes:
+    """A bucket's running numbers as one Arrow stream."""
+    sink = pa.BufferOutputStream()
+    table = pa.table({"wallet": pa.array(wallets, pa.string()), **numbers})
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpack(state) -> tuple:
+    """Wallets and running numbers of a bucket; empty ones without a state."""
+    if not state.exists:
+        return np.empty(0, object), {c: np.empty(0, t) for c, t in _NUMBERS.items()}
+    table = pa.ipc.open_stream(state.get[0]).read_all()
+    return table["wallet"].to_numpy(), {c: table[c].to_numpy() for c in _NUMBERS}
 
 
 def _interval_update(key, batches, state):
-    """Merge a batch's inter-event gaps into a wallet's count, mean and sum of
-    squared deviations.  Only an event's time is kept, so one that is older than
-    the wallet's last cannot be placed any more: it is counted as late."""
-    n, mean, m2, last, late = state.get if state.exists else (0, 0.0, 0.0, None, 0)
-    for us in (b["us"].to_numpy() for b in batches):
-        ts = np.sort(us)
-        if last is not None:
-            late += int((ts < last).sum())
-            ts = np.concatenate([[last], ts[ts >= last]])
-        gaps = np.diff(ts) / 86400e6
-        if len(gaps):
-            m, own = len(gaps), gaps.mean()
-            delta = own - mean
-            m2 += ((gaps - own) ** 2).sum() + delta**2 * n * m / (n + m)
-            mean += delta * m / (n + m)
-            n += m
-        last = int(ts[-1])
-    state.update((n, float(mean), float(m2), last, late))
-    yield pd.DataFrame({"wallet": [key[0]], "gaps": [n], "avg_gap_days": [mean if n else None],
-                        "stddev_gap_days": [float(np.sqrt(m2 / n)) if n else None], "last_tx_us": [last],
-                        "late_events": [late]})
-
-
-def interval_stats(stream: DataFrame) -> DataFrame:
+    """Merge a batch's inter-event gaps into the count, mean and sum of squared
+    deviations of each wallet of a bucket (without a column ``wallet`` the group is
+    one wallet, the key).  Only an event's time is kept, so one that is older than
+    its wallet's last cannot be placed any more: it is counted as late.  A group may
+    come in several parts, which are put in order together: a task holds the times
+    of one bucket and micro-batch."""
+    parts = [(b["wallet"].to_numpy(object) if "wallet" in b else np.full(len(b), key[0], object), b["us"].to_numpy()) for b in batches]
+    us = np.concatenate([p[1] for p in parts]).astype("int64")
+    known, was = _unpack(state)
+    code, names = pd.factorize(np.concatenate([known, *(p[0] for p in parts)]), use_na_sentinel=False)
+    old, code = len(known), code[len(known):]     # a known wallet's code is its place
+    size = len(names)
+    n, mean, m2, last, late = (np.concatenate([was[c], np.zeros(size - old, t)]) for c, t in _NUMBERS.items())
+    touched = np.unique(code)
+
+    missed = (code < old) & (us < last[code])
+    late += np.bincount(code[missed], minlength=size)
+    before = touched[touched < old]
+    of, ts = np.concatenate([before, code[~missed]]), np.concatenate([last[before], us[~missed]])
+    order = np.lexsort((ts, of))
+    of, ts = of[order], ts[order]
+    same = of[1:] == of[:-1]
+    gaps, at = np.diff(ts)[same] / 86400e6, of[1:][same]
+    m = np.bincount(at, minlength=size)
+    own = np.bincount(at, gaps, size) / np.maximum(m, 1)
+    delta, both = own - mean, np.maximum(n + m, 1)
+    m2 += np.bincount(at, (gaps - own[at]) ** 2, size) + delta**2 * n * m / both
+    mean += delta * m / both
+    n += m
+    ends = np.append(~same, True)
+    last[of[ends]] = ts[ends]
+
+    state.update((_pack(names, {"n": n, "mean": mean, "m2": m2, "last_us": last, "late": late}),))
+    n, mean, m2 = n[touched], mean[touched], m2[touched]
+    yield pd.DataFrame({"wallet": names[touched], "gaps": n, "avg_gap_days": np.where(n > 0, mean, None),
+                        "stddev_gap_days": np.where(n > 0, np.sqrt(m2 / np.maximum(n, 1)), None), "last_tx_us": last[touched],
+                        "late_events": late[touched]})
+
+
+def interval_stats(stream: DataFrame, buckets: int | None = None) -> DataFrame:
     """Running count, mean and deviation of inter-event gaps per wallet in user
     state: a row per wallet and micro-batch that touches it (see
     :func:`latest`).  Events that are older than the last one of an
-    earlier batch of the wallet are counted in ``late_events``, not in the gaps."""
+    earlier batch of the wallet are counted in ``late_events``, not in the gaps.
+    State is kept per bucket of wallets; a micro-batch writes the buckets it touches."""
     from ledgerlens.session import ship_package
     ship_package(stream.sparkSession)
-    s = stream.select(F.col("account").alias("wallet"), F.unix_micros("timestamp").alias("us"))
-    return s.groupBy("wallet").applyInPandasWithState(_interval_update, INTERVAL_OUT, INTERVAL_STATE, "update",
+    bucket = F.pmod(F.xxhash64(F.col("account")), F.lit(buckets or INTERVAL_BUCKETS)).cast("int").alias("bucket")
+    s = stream.select(bucket, F.col("account").alias("wallet"), F.unix_micros("timestamp").alias("us"))
+    return s.groupBy("bucket").applyInPandasWithState(_interval_update, INTERVAL_OUT, INTERVAL_STATE, "update",
                                                      GroupStateTimeout.NoTimeout)
 
 

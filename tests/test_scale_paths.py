@@ -78,6 +78,34 @@ def test_streams_over_two_files_in_order(spark, tmp_dir):
     assert windows.agg(F.sum("events")).first()[0] + report["late_rows"] == total
 
 
+def test_interval_groups_hold_many_wallets_and_arrow_may_cut_them(spark, tmp_dir, monkeypatch):
+    """A call per wallet took milliseconds each."""
+    from ledgerlens.operators.features import temporal_features
+    from ledgerlens.plans.pipeline import cleaned
+    _split_by_time(spark, tmp_dir)
+    batch = temporal_features(cleaned(spark, SF_SMALL)).select("wallet", "avg_time_between_tx_days", "activity_consistency_stddev")
+    calls = spark.sparkContext.accumulator(0)
+    real = ST._interval_update
+
+    def counted(key, batches, state):
+        calls.add(1)
+        yield from real(key, batches, state)
+
+    monkeypatch.setattr(ST, "_interval_update", counted)
+    monkeypatch.setattr(ST, "INTERVAL_BUCKETS", 4, raising=False)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = ST.latest(ST.run_to_table(spark, ST.interval_stats(ST.event_stream(spark, tmp_dir))), "wallet")
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert 0 < calls.value <= 8
+    assert got.agg(F.sum("late_events")).first()[0] == 0
+    both = got.where("gaps > 0").join(batch, "wallet")
+    assert both.count() == batch.count() == got.where("gaps > 0").count()
+    assert both.where((F.abs(F.col("avg_gap_days") - F.col("avg_time_between_tx_days")) > 1e-9)
+                      | (F.abs(F.col("stddev_gap_days") - F.col("activity_consistency_stddev")) > 1e-6)).count() == 0
+
+
 def test_late_events_are_counted_not_misplaced(spark):
     import pandas as pd
 
