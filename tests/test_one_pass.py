@@ -96,6 +96,29 @@ def test_forests_keep_the_nodes_of_rows(spark, monkeypatch):
     assert seen == [True] * 3
 
 
+def test_forests_read_alike_rows_one_after_the_other(spark, monkeypatch):
+    """Within partitions, for elimination and the votes; a single partition keeps its order."""
+    from pyspark.ml.regression import RandomForestRegressor
+    t = spark.range(600).selectExpr("concat('w', id) AS wallet", "sin(id) AS many", "CAST(id * 37 % 3 AS DOUBLE) AS few", "cos(id) + id * 37 % 3 AS label")
+    many, one = (t.repartition(n, "wallet").cache() for n in (3, 1))
+    seen, real = [], RandomForestRegressor.fit
+
+    def places(d, col):
+        return [[float(x) for x in part] for part in d.select(col).rdd.map(lambda r: r[0]).glom().collect()]
+
+    def fit(est, d, *a):
+        seen.append(places(d, "label"))
+        return real(est.copy({est.numTrees: 2, est.maxDepth: 2}), d, *a)
+
+    monkeypatch.setattr(RandomForestRegressor, "fit", fit)
+    keys = lambda df: [sorted(map(tuple, p)) for p in df.select("few", "many", "label").rdd.glom().collect()]
+    for df, want in ((many, [[float(r[2]) for r in p] for p in keys(many)]), (one, places(one, "label"))):
+        seen.clear()
+        SE.recursive_elimination(df, 1)
+        SE.select_features(df, "rfe", 1)
+        assert len(seen) == 2 and all(s == want for s in seen)
+
+
 def test_models_share_one_scaled_table(spark, monkeypatch):
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import StandardScaler, VectorAssembler
